@@ -106,16 +106,17 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         yield batch.slice(a, b - a)
 
 
-def gapless(df: DataFrame, by: list[str], order: list[Column], rows_a_bucket: int, total: int, name: str) -> DataFrame:
-    """Adds a rank from 0 without gaps in each group of by, without bringing a group into one task: hashed buckets are
-    counted, the counts summed, and ranks inside a bucket shifted by the sum. df: cheap to read twice."""
-    n = max(1, -(-total // rows_a_bucket))
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(n)))
-    counts = df.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+def running(df: DataFrame, by: list[str], order: list[Column], value: Column, name: str, total: int, rows_a_bucket: int = 50_000) -> DataFrame:
+    """Adds, as a long, the sum of value over the rows before a row in its group of by (value 1: a gapless rank), without
+    bringing a group into one task: hashed buckets are summed, and sums inside a bucket shifted by those of the buckets
+    before. order: columns that tell rows apart; df: narrow and cheap to read twice; total: its rows, about."""
+    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(max(1, -(-total // rows_a_bucket)))))
+    sums = df.groupBy(*by, "_bucket").agg(F.sum(value).alias("_sum"))
     w = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
-    ranked = df.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)) - 1)
-    return ranked.join(before, [*by, "_bucket"]).withColumn(name, (F.col("_before") + F.col("_in")).cast("long")).drop("_bucket", "_before", "_in")
+    before = sums.select(*by, "_bucket", F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_offset"))
+    w = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = df.withColumn("_in", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    return inside.join(before, [*by, "_bucket"]).withColumn(name, (F.col("_offset") + F.col("_in")).cast("long")).drop("_bucket", "_offset", "_in")
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
