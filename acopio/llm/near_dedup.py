@@ -8,8 +8,9 @@ a probability close to their Jaccard similarity. Then:
 2. representatives that agree in a band of registers meet in a bucket. Each bucket pairs its members with its smallest
    one only. Joint likelihood of the registers, given both set sizes, estimates a pair's similarity and drops pairs far
    below the threshold; what is left is verified on the full sets;
-3. buckets whose members are not all in one component yet go on: members of their smallest component meet the others,
-   until all members of a bucket have met or are connected. No link between different texts is lost to the pairing.
+3. buckets whose members are not all in one component yet go on: some members outside their largest component meet all
+   members of other components and leave the bucket, until the members left in it are connected. So any two documents
+   of a bucket have met or are connected without: no link between different texts is lost to the pairing.
 
 With 32 bands of 4, a pair at 0.8 is missed by the bands with a probability of 5e-8, at 0.85 of 5e-11; the estimate
 drops a pair at the threshold with a probability under 1e-6.
@@ -29,14 +30,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import LAST_ID, Rolling, Scratch, arrow, i64, keyed, slices, word_hashes
+from .common import LAST_ID, Rolling, Scratch, arrow, i64, keyed, slices, u64, word_hashes
 
 BANDS, ROWS, SPACING = 32, 4, 1.01
 REGISTERS = BANDS * ROWS
 #: How far under the threshold an estimate may fall and still be verified, in standard deviations of the estimate.
 SLACK = 5.0
-#: Members of a bucket's smallest component that meet its other members in one round.
-PIVOTS = 32
+#: Members outside a bucket's largest component that meet its other members in the first round; eight times as many in
+#: each further round, up to the second number.
+PIVOTS, MOST_PIVOTS = 64, 4096
+#: Documents of open buckets that share a rare shingle, at most.
+RARE = 8
 _dice = np.random.default_rng(20)
 _MUL = (_dice.integers(1, 2**32, REGISTERS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 _ADD = _dice.integers(0, 2**32, REGISTERS, dtype=np.uint64).astype(np.uint32)
@@ -110,14 +114,18 @@ def _estimate(percent: int):
 
 
 def _verify(width: int, percent: int):
+    """Of texts, or of the sorted sets themselves where the columns hold arrays."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, last, mine = Rolling(), None, None
         for batch in batches:
             good = []
-            for a, text_a, text_b in zip(*(batch.column(c) for c in ("a", "text_a", "text_b")), strict=True):
-                if (text_a := text_a.as_py()) != last:
-                    last, mine = text_a, shingles(text_a, width, roll)
-                other = shingles(text_b.as_py(), width, roll)
+            packed = pa.types.is_list(batch.column("set_a").type)
+            items = (lambda x: u64(x.values.to_numpy())) if packed else (lambda x: shingles(x.as_py(), width, roll))
+            for a, set_a, set_b in zip(batch.column("a").to_pylist(), batch.column("set_a"), batch.column("set_b"), strict=True):
+                if (key := (a, None if packed else set_a.as_py())) != last:
+                    last, mine = key, items(set_a)
+                other = items(set_b)
                 both = len(np.intersect1d(mine, other, assume_unique=True))
                 good.append(100 * both >= percent * (len(mine) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -125,56 +133,116 @@ def _verify(width: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
-    """Of pairs (a, b), distinct, those that are similar enough."""
+def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, width: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Of pairs (a, b), distinct, those that are similar enough. sets: rep and set, its text or its shingles."""
     left, right = (reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab")
     near = pairs.join(right, "b").join(left, "a").mapInArrow(_estimate(percent), "a long, b long")
     near = scratch.write(near, f"{name}-near")
-    left, right = (texts.select(F.col("_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    sure = near.join(right, "b").select("a", "b", "text_b").join(left, "a").select("a", "b", "text_a", "text_b")
+    left, right = (sets.select(F.col("rep").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
+    sure = near.join(right.hint("merge"), "b").select("a", "b", "set_b").join(left.hint("merge"), "a").select("a", "b", "set_a", "set_b")
     return scratch.write(sure.mapInArrow(_verify(width, percent), "a long, b long").distinct(), f"{name}-links")
 
 
+def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (band, value, rep, core ...) of buckets that hold several components and a core, with their component c
+    and their bucket's largest one, main."""
+    inside = members.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
+    parts = inside.groupBy("band", "value", "c").agg(F.count(F.lit(1)).alias("m"), F.max("core").alias("core"))
+    main = parts.groupBy("band", "value").agg(F.max(F.struct("m", "c")).alias("s"), F.count(F.lit(1)).alias("parts"), F.max("core").alias("any")).filter("parts > 1 and any")
+    return inside.join(main.select("band", "value", F.col("s.c").alias("main")), ["band", "value"])
+
+
+def _grown(links: DataFrame, more: DataFrame, comp: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """The links with more of them, and the components."""
+    if more.isEmpty():
+        return links, comp
+    links = scratch.write(links.unionByName(more).distinct(), f"links-{name}")
+    return links, scratch.write(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch, f"c-{name}"), f"comp-{name}")
+
+
+def _each(width: int):
+    made = pa.schema([("rep", pa.int64()), ("items", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roll = Rolling()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield arrow({"rep": part.column("rep"), "items": [i64(shingles(t, width, roll)) for t in part.column("text").to_pylist()]}, made)
+
+    return run
+
+
+def _bounds(base: DataFrame, reps: DataFrame, some: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For the documents of some (rep), whose shingles are counted: rare ones are in at most RARE of them.
+
+    bounds: rep, n, most (its shingles that are not rare), core. Two documents that share no rare shingle have at most
+    the smaller most in common; they can be linked only if min(most) * (100 + percent) >= percent * (n + n'), so at
+    least one of them, a core, has most * (100 + percent) >= percent * 2n. Hopeless documents are left out.
+    pairs: a, b, the documents that share rare shingles and can be linked by what they may have in common.
+    sets: rep and set, the shingles."""
+    texts = base.hint("merge").join(some.withColumnRenamed("rep", "_id"), "_id").select(F.col("_id").alias("rep"), "text")
+    packed = scratch.write(texts.mapInArrow(_each(width), "rep long, items array<long>"), "items")
+    each = packed.select("rep", F.explode("items").alias("item"))
+    counts = each.groupBy("item").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("first")).filter(F.col("df") <= RARE)
+    own = counts.filter("df = 1").groupBy(F.col("first").alias("rep")).agg(F.count(F.lit(1)).alias("rare"))
+    shared = each.join(counts.filter("df > 1").select("item"), "item").groupBy("item").agg(F.sort_array(F.collect_set("rep")).alias("reps"))
+    shared = scratch.write(shared.select("reps"), "shared")
+    rare = own.unionByName(shared.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("rare"))).groupBy("rep").agg(F.sum("rare").alias("rare"))
+    sized = reps.select("rep", "n").join(some, "rep", "left_semi").groupBy("rep").agg(F.max("n").alias("n"))
+    every = scratch.write(sized.join(rare, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("most")), "every")
+    hop = shared.select("reps", F.posexplode("reps").alias("at", "a"))
+    pairs = hop.select("a", F.explode(F.expr("slice(reps, at + 2, size(reps))")).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    for c in "ab":
+        pairs = pairs.join(every.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"m_{c}")), c)
+    pairs = pairs.filter(f"(least(m_a, m_b) + common) * {100 + percent} >= {percent} * (n_a + n_b)").select("a", "b")
+    bounds = every.filter(f"100 * most >= {percent} * n").withColumn("core", F.expr(f"most * {100 + percent} >= {2 * percent} * n"))
+    return bounds, pairs, packed.withColumnRenamed("items", "set")
+
+
 def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """(rows, links): _id, _th, n, component for each row of docs, and the verified links a, b between class
     representatives that connect the components."""
     scratch = Scratch(docs.sparkSession, "near")
     base = keyed(docs).select("_id", "_th", "text")
-    sets = scratch.write(base.mapInArrow(_sign(width), _SETS_SQL), "sets")
-    classes = sets.filter("n > 0").groupBy("hi", "lo").agg(F.min("_id").alias("rep"))
-    member = scratch.write(sets.filter("n > 0").join(classes, ["hi", "lo"]).select("_id", "_th", "rep", "n", F.when(F.col("_id") == F.col("rep"), F.col("sig")).alias("sig")), "member")
+    signed = scratch.write(base.mapInArrow(_sign(width), _SETS_SQL), "signed")
+    classes = signed.filter("n > 0").groupBy("hi", "lo").agg(F.min("_id").alias("rep"))
+    member = scratch.write(signed.filter("n > 0").join(classes, ["hi", "lo"]).select("_id", "_th", "rep", "n", F.when(F.col("_id") == F.col("rep"), F.col("sig")).alias("sig")), "member")
     reps = member.filter("sig is not null").select("rep", "_th", "n", "sig")
-    texts = base.join(member.filter("sig is not null").select("_id", "_th"), ["_id", "_th"], "left_semi")
 
     each = reps.select("rep", F.posexplode("sig").alias("band", "value"))
     led = each.groupBy("band", "value").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     met = scratch.write(each.join(led, ["band", "value"]).filter("rep <> lead"), "met")
-    links = _links(met.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), reps, base, width, percent, scratch, "lead")
+    links = _links(met.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), reps, base.select(F.col("_id").alias("rep"), F.col("text").alias("set")), width, percent, scratch, "lead")
 
     # buckets of three and more, without the member that all others have met
-    open_ = met.filter("size > 2").select("band", "value", "rep")
+    comp = scratch.write(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch, "comp"), "comp0")
+    open_ = _open(met.filter("size > 2").select("band", "value", "rep", F.lit(True).alias("core")), comp)
+    open_ = scratch.write(open_.select("band", "value", "rep"), "open")
+    bounds, pairs, sets = _bounds(base, reps, open_.select("rep").distinct(), width, percent, scratch)
+    for c in "ab":
+        pairs = pairs.join(comp.select(F.col("id").alias(c), F.col("component").alias(f"c_{c}")), c, "left")
+    apart = pairs.filter("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b")
+    more = _links(apart, reps, sets, width, percent, scratch, "rare")
+    links, comp = _grown(links, more, comp, scratch, "rare")
+    open_ = open_.join(bounds.join(reps.select("rep", "sig").dropDuplicates(["rep"]), "rep"), "rep")
     k = 0
     while True:
         k += 1
-        comp = scratch.write(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch, f"comp{k}"), f"comp{k}")
-        inside = open_.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
-        parts = inside.groupBy("band", "value", "c").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("first"))
-        small = parts.groupBy("band", "value").agg(F.min(F.struct("m", "first", "c")).alias("s"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-        inside = scratch.write(inside.join(small.select("band", "value", F.col("s.c").alias("least"), F.col("s.m").alias("m")), ["band", "value"]), f"inside{k}")
+        inside = scratch.write(_open(open_, comp), f"inside{k}")
         if inside.isEmpty():
             break
-        # a component of few members has them all meet the others at once; of a larger one, the first by hash
-        mine = inside.filter("c = least")
-        chosen = mine.filter(f"m <= {PIVOTS}").unionByName(
-            mine.filter(f"m > {PIVOTS}").withColumn("_n", F.row_number().over(Window.partitionBy("band", "value", F.pmod(F.xxhash64("rep"), F.lit(8))).orderBy("rep"))).filter(f"_n <= {PIVOTS // 8}").drop("_n")
-        )
-        chosen = scratch.write(chosen.select("band", "value", F.col("rep").alias("pivot")), f"pivots{k}")
-        pairs = inside.filter("c <> least").join(chosen, ["band", "value"]).select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-        more = _links(pairs, reps, base, width, percent, scratch, f"more{k}")
-        links = scratch.write(links.unionByName(more).distinct(), f"links{k}")
-        open_ = inside.select("band", "value", "rep").join(chosen.withColumnRenamed("pivot", "rep"), ["band", "value", "rep"], "left_anti")
+        w = Window.partitionBy("band", "value").orderBy(F.xxhash64("rep"), "rep")
+        chosen = inside.filter("c <> main").withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= min(MOST_PIVOTS, PIVOTS * 8 ** (k - 1)))
+        chosen = scratch.write(chosen.select("band", "value", *(F.col(c).alias(f"p_{c}") for c in ("rep", "c", "n", "most", "core", "sig"))), f"pivots{k}")
+        fit = F.expr(f"c <> p_c and (core or p_core) and least(most, p_most) * {100 + percent} >= {percent} * (n + p_n)")
+        fit &= ~F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda x: (x < F.col("i.band")) & (F.get("sig", x) == F.get("p_sig", x)))  # once, in the first band that they share
+        near = inside.alias("i").join(chosen.alias("j"), (F.col("i.band") == F.col("j.band")) & (F.col("i.value") == F.col("j.value")) & fit)
+        pairs = near.select(F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b")).distinct()
+        more = _links(pairs, reps, sets, width, percent, scratch, f"more{k}")
+        open_ = inside.drop("c", "main").join(chosen.select("band", "value", F.col("p_rep").alias("rep")), ["band", "value", "rep"], "left_anti")
+        links, comp = _grown(links, more, comp, scratch, str(k))
     rows = member.select("_id", "_th", "n", "rep").distinct().join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("_id", "_th", "n", F.coalesce("component", "rep").alias("component"))
-    alone = sets.filter("n = 0").select("_id", "_th", "n", F.col("_id").alias("component")).distinct()
+    alone = signed.filter("n = 0").select("_id", "_th", "n", F.col("_id").alias("component")).distinct()
     return rows.unionByName(alone), links
 
 
