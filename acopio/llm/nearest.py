@@ -1,10 +1,9 @@
 """Approximate nearest neighbours over balanced posting lists.
 
 Centroids are fitted by k-means, with a penalty on crowded ones, on at most SAMPLE vectors of smallest hash; every
-vector is then filed under its nearest centroid, and vectors near a boundary under up to COPIES centroids, unless a
-chosen centroid is nearer to the next one than the vector is. A query walks a graph over the centroids, held in memory,
-and searches the lists whose centroids are within RATIO of the nearest one's distance, and further lists in order until
-they hold LEAST vectors. Lists longer than PART are searched in parts. Each part gives a query its best k, so at most
+vector is then filed under its nearest centroid, and vectors near a boundary under up to COPIES centroids, those within
+NEAR of the nearest one's distance. A query walks a graph over the centroids, held in memory, and searches the lists of
+the MOST_PROBES nearest that are within RATIO of the nearest one's distance, or needed to reach LEAST vectors. Lists longer than PART are searched in parts. Each part gives a query its best k, so at most
 (lists searched) x k rows meet for one query.
 
 Centroids are at most MOST_LISTS, whatever the corpus, so they can be broadcast. Defined results: vectors that are null,
@@ -23,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-SAMPLE, MOST_LISTS, LIST, COPIES, PART = 16_384, 2048, 150, 4, 20_000
-NEAR, RATIO, LEAST, MOST_PROBES = 1.10, 1.45, 1500, 512
+SAMPLE, MOST_LISTS, LIST, COPIES, PART = 16_384, 2048, 200, 4, 20_000
+NEAR, RATIO, LEAST, MOST_PROBES = 1.15, 1.45, 1500, 64
 
 
 def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
@@ -81,8 +80,6 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _file(c: np.ndarray, made: pa.Schema):
-    between = np.sqrt(np.maximum(0, (c**2).sum(axis=1)[:, None] + (c**2).sum(axis=1)[None, :] - 2 * c @ c.T))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 1024):
@@ -90,14 +87,9 @@ def _file(c: np.ndarray, made: pa.Schema):
                 x = matrix(part.column("vec"), c.shape[1])
                 d = np.sqrt(np.maximum(0, (x**2).sum(axis=1)[:, None] + (c**2).sum(axis=1)[None, :] - 2 * x @ c.T))
                 top = np.argsort(d, axis=1, kind="stable")[:, :COPIES]
-                rows, lists = [], []
-                for i, t in enumerate(top):
-                    taken = [t[0]]
-                    for j in t[1:]:
-                        if d[i, j] <= NEAR * d[i, t[0]] and all(between[j, o] >= d[i, j] for o in taken):
-                            taken.append(j)
-                    rows += [i] * len(taken)
-                    lists += taken
+                near = np.take_along_axis(d, top, axis=1)
+                rows, k = np.nonzero(near <= NEAR * near[:, :1] + 1e-12)
+                lists = top[rows, k]
                 got = part.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), got.column("vec_id"), got.column("vec")], schema=made)
 
