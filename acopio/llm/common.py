@@ -6,6 +6,7 @@ multi-byte UTF-8 characters never hold such bytes. ``bytes.lower()`` lower-cases
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,8 +23,19 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LAST_ID = 2**63 - 1
 
 
+#: Rows that Spark hands to a Python worker at once, at most: texts are long, and two workers share an executor.
+BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text and the columns of more, with _id (null ids last) and _th, by which rows are told apart."""
+    small_batches(docs.sparkSession)
     return docs.select(
         "doc_id", "text", *more,
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_id"),
@@ -95,6 +107,13 @@ def arrow(batch_rows: dict[str, list | np.ndarray | pa.Array], schema: pa.Schema
     return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in ((f, batch_rows[f.name]) for f in schema)], schema=schema)
 
 
+def _trim() -> None:
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about so many bytes in a text column: keeps a worker's memory flat."""
     if not batch.num_rows:
@@ -104,6 +123,9 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)
+    if part[-1]:  # a large batch: give freed memory back, as idle workers keep it otherwise
+        pa.default_memory_pool().release_unused()
+        _trim()
 
 
 def running(df: DataFrame, by: list[str], order: list[Column], value: Column, name: str, total: int, rows_a_bucket: int = 50_000) -> DataFrame:

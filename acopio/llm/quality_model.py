@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, slices
+from .common import slices, small_batches
 
 WIDTH, CHUNK, FILTERS = 6, 256, 16
 PER_CLASS, MOST_CHUNKS, EPOCHS, RATE = 1500, 512, 12, 0.02
@@ -166,6 +166,7 @@ def _score(net: Network | float, carried: list[str]):
 
 def scored(docs: DataFrame, net: Network | float, keep: list[str]) -> DataFrame:
     """The columns keep of docs, and _score."""
+    small_batches(docs.sparkSession)
     base = docs.select("text", *(F.col(c).alias(f"_c{k}") for k, c in enumerate(keep)))
     names = [f"_c{k}" for k in range(len(keep))]
     kinds = dict(base.dtypes)
@@ -184,4 +185,4 @@ def drop_poor(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     return scored(docs, train(docs, labels), docs.columns).filter(F.col("_score") >= threshold).select(*docs.columns)
 
 
-__all__ = ["Network", "drop_poor", "fit", "keyed", "quality_scores", "score", "train"]
+__all__ = ["Network", "drop_poor", "fit", "quality_scores", "score", "train"]
