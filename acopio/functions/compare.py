@@ -7,13 +7,14 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .text import id_number, name_tokens, normalize_name, phonetic_tokens
 
 ALIKE, REORDERED = 0.82, 0.98
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def matched_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; depends on the order of its arguments. Null in, null out."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

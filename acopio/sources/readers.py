@@ -66,7 +66,7 @@ def card_records(text: Column, card: str, key_value: str, heads: dict[str, str])
     cards = F.regexp_extract_all(text, F.lit(card), F.lit(1))
 
     def one(c: Column) -> Column:
-        keys, values = (F.transform(F.regexp_extract_all(c, F.lit(key_value), F.lit(k)), F.trim) for k in (1, 2))
+        keys, values = (F.transform(F.regexp_extract_all(c, F.lit(key_value), F.lit(k)), lambda x: F.trim(x)) for k in (1, 2))
         pairs = F.arrays_zip(F.transform(keys, F.lower).alias("k"), values.alias("v"))
         last = F.filter(pairs, lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["k"] == e["k"]))
         named = [F.struct(F.lit(f"#{n}").alias("k"), F.trim(F.regexp_extract(c, p, 1)).alias("v")) for n, p in heads.items()]
