@@ -38,7 +38,7 @@ REGISTERS = BANDS * ROWS
 SLACK = 5.0
 #: Members outside a bucket's largest component that meet its other members in the first round; eight times as many in
 #: each further round, up to the second number.
-PIVOTS, MOST_PIVOTS = 64, 4096
+PIVOTS, MOST_PIVOTS = 8, 4096
 #: Documents of open buckets that share a rare shingle, at most.
 RARE = 8
 _dice = np.random.default_rng(20)
@@ -134,9 +134,11 @@ def _verify(width: int, percent: int):
 
 
 def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, width: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
-    """Of pairs (a, b), distinct, those that are similar enough. sets: rep and set, its text or its shingles."""
-    left, right = (reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab")
-    near = pairs.join(right, "b").join(left, "a").mapInArrow(_estimate(percent), "a long, b long")
+    """Of pairs (a, b), maybe with n_ and sig_ of both, those that are similar enough. sets: rep and set, its text or its shingles."""
+    if "sig_a" not in pairs.columns:
+        left, right = (reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab")
+        pairs = pairs.join(right, "b").join(left, "a")
+    near = pairs.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_estimate(percent), "a long, b long").distinct()
     near = scratch.write(near, f"{name}-near")
     left, right = (sets.select(F.col("rep").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
     sure = near.join(right.hint("merge"), "b").select("a", "b", "set_b").join(left.hint("merge"), "a").select("a", "b", "set_a", "set_b")
@@ -172,26 +174,29 @@ def _each(width: int):
     return run
 
 
-def _bounds(base: DataFrame, reps: DataFrame, some: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _bounds(base: DataFrame, reps: DataFrame, some: DataFrame, comp: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For the documents of some (rep), whose shingles are counted: rare ones are in at most RARE of them.
 
     bounds: rep, n, most (its shingles that are not rare), core. Two documents that share no rare shingle have at most
     the smaller most in common; they can be linked only if min(most) * (100 + percent) >= percent * (n + n'), so at
     least one of them, a core, has most * (100 + percent) >= percent * 2n. Hopeless documents are left out.
-    pairs: a, b, the documents that share rare shingles and can be linked by what they may have in common.
+    pairs: a, b, the documents of different components (comp) that share rare shingles and can be linked by what they
+    may have in common.
     sets: rep and set, the shingles."""
+    known = comp.select(F.col("id").alias("rep"), "component")
     texts = base.hint("merge").join(some.withColumnRenamed("rep", "_id"), "_id").select(F.col("_id").alias("rep"), "text")
     packed = scratch.write(texts.mapInArrow(_each(width), "rep long, items array<long>"), "items")
     each = packed.select("rep", F.explode("items").alias("item"))
     counts = each.groupBy("item").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("first")).filter(F.col("df") <= RARE)
     own = counts.filter("df = 1").groupBy(F.col("first").alias("rep")).agg(F.count(F.lit(1)).alias("rare"))
-    shared = each.join(counts.filter("df > 1").select("item"), "item").groupBy("item").agg(F.sort_array(F.collect_set("rep")).alias("reps"))
+    shared = each.join(counts.filter("df > 1").select("item"), "item").join(known, "rep", "left").withColumn("c", F.coalesce("component", "rep"))
+    shared = shared.groupBy("item").agg(F.sort_array(F.collect_set(F.struct("rep", "c"))).alias("reps"))  # at most RARE
     shared = scratch.write(shared.select("reps"), "shared")
-    rare = own.unionByName(shared.select(F.explode("reps").alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("rare"))).groupBy("rep").agg(F.sum("rare").alias("rare"))
+    rare = own.unionByName(shared.select(F.explode("reps").alias("r")).groupBy(F.col("r.rep").alias("rep")).agg(F.count(F.lit(1)).alias("rare"))).groupBy("rep").agg(F.sum("rare").alias("rare"))
     sized = reps.select("rep", "n").join(some, "rep", "left_semi").groupBy("rep").agg(F.max("n").alias("n"))
     every = scratch.write(sized.join(rare, "rep", "left").select("rep", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("most")), "every")
-    hop = shared.select("reps", F.posexplode("reps").alias("at", "a"))
-    pairs = hop.select("a", F.explode(F.expr("slice(reps, at + 2, size(reps))")).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
+    apart = shared.select(F.explode(F.expr("flatten(transform(reps, (x, i) -> transform(filter(slice(reps, i + 2, size(reps)), y -> y.c <> x.c), y -> struct(x.rep as a, y.rep as b))))")).alias("p"))
+    pairs = apart.groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("common"))
     for c in "ab":
         pairs = pairs.join(every.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"m_{c}")), c)
     pairs = pairs.filter(f"(least(m_a, m_b) + common) * {100 + percent} >= {percent} * (n_a + n_b)").select("a", "b")
@@ -218,11 +223,8 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
     comp = scratch.write(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch, "comp"), "comp0")
     open_ = _open(met.filter("size > 2").select("band", "value", "rep", F.lit(True).alias("core")), comp)
     open_ = scratch.write(open_.select("band", "value", "rep"), "open")
-    bounds, pairs, sets = _bounds(base, reps, open_.select("rep").distinct(), width, percent, scratch)
-    for c in "ab":
-        pairs = pairs.join(comp.select(F.col("id").alias(c), F.col("component").alias(f"c_{c}")), c, "left")
-    apart = pairs.filter("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b")
-    more = _links(apart, reps, sets, width, percent, scratch, "rare")
+    bounds, pairs, sets = _bounds(base, reps, open_.select("rep").distinct(), comp, width, percent, scratch)
+    more = _links(pairs, reps, sets, width, percent, scratch, "rare")
     links, comp = _grown(links, more, comp, scratch, "rare")
     open_ = open_.join(bounds.join(reps.select("rep", "sig").dropDuplicates(["rep"]), "rep"), "rep")
     k = 0
@@ -231,13 +233,14 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
         inside = scratch.write(_open(open_, comp), f"inside{k}")
         if inside.isEmpty():
             break
-        w = Window.partitionBy("band", "value").orderBy(F.xxhash64("rep"), "rep")
+        w = Window.partitionBy("band", "value").orderBy((F.col("most") / F.col("n")).desc(), F.xxhash64("rep"), "rep")  # the most central first
         chosen = inside.filter("c <> main").withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= min(MOST_PIVOTS, PIVOTS * 8 ** (k - 1)))
         chosen = scratch.write(chosen.select("band", "value", *(F.col(c).alias(f"p_{c}") for c in ("rep", "c", "n", "most", "core", "sig"))), f"pivots{k}")
         fit = F.expr(f"c <> p_c and (core or p_core) and least(most, p_most) * {100 + percent} >= {percent} * (n + p_n)")
         fit &= ~F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda x: (x < F.col("i.band")) & (F.get("sig", x) == F.get("p_sig", x)))  # once, in the first band that they share
         near = inside.alias("i").join(chosen.alias("j"), (F.col("i.band") == F.col("j.band")) & (F.col("i.value") == F.col("j.value")) & fit)
-        pairs = near.select(F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b")).distinct()
+        turned = F.col("rep") > F.col("p_rep")
+        pairs = near.select(*(F.when(turned != (s == "b"), F.col(f"p_{c}")).otherwise(F.col(c)).alias(f"{o}_{s}" if o else s) for s in "ab" for c, o in (("rep", ""), ("n", "n"), ("sig", "sig"))))
         more = _links(pairs, reps, sets, width, percent, scratch, f"more{k}")
         open_ = inside.drop("c", "main").join(chosen.select("band", "value", F.col("p_rep").alias("rep")), ["band", "value", "rep"], "left_anti")
         links, comp = _grown(links, more, comp, scratch, str(k))
