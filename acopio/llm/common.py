@@ -43,6 +43,13 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def apart(docs: DataFrame, *own: str) -> tuple[DataFrame, list[Column]]:
+    """docs with its columns other than own under neutral names, which clash with none of an operator's, and the columns
+    that give docs' names back."""
+    names = {c: c if c in own else f"_x{k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(a) for c, a in names.items())), [F.col(a).alias(c) for c, a in names.items()]
+
+
 def n_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

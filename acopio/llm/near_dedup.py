@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import LAST_ID, Rolling, Scratch, arrow, i64, keyed, slices, u64, word_hashes
+from .common import LAST_ID, Rolling, Scratch, apart, arrow, i64, keyed, slices, u64, word_hashes
 
 BANDS, ROWS, SPACING = 32, 4, 1.01
 REGISTERS = BANDS * ROWS
@@ -262,7 +262,8 @@ def drop_near(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs with one document of each component, the smallest doc_id."""
     rows, _ = near_components(docs, width, percent)
     gone = rows.filter("component <> _id").select("_id", "_th")
-    return keyed(docs, *(c for c in docs.columns if c not in ("doc_id", "text"))).join(gone, ["_id", "_th"], "left_anti").select(*docs.columns)
+    base, back = apart(docs, "doc_id", "text")
+    return keyed(base, *(c for c in base.columns if c not in ("doc_id", "text"))).join(gone, ["_id", "_th"], "left_anti").select(*back)
 
 
 __all__ = ["drop_near", "i64", "near_components", "near_dedup"]

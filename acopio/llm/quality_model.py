@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, small_batches
+from .common import apart, slices, small_batches
 
 WIDTH, CHUNK, FILTERS = 6, 256, 16
 PER_CLASS, MOST_CHUNKS, EPOCHS, RATE = 1500, 512, 12, 0.02
@@ -182,7 +182,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 def drop_poor(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs that score the threshold or more."""
-    return scored(docs, train(docs, labels), docs.columns).filter(F.col("_score") >= threshold).select(*docs.columns)
+    base, back = apart(docs, "doc_id", "text")
+    return scored(base, train(docs, labels), base.columns).filter(F.col("_score") >= threshold).select(*back)
 
 
 __all__ = ["Network", "drop_poor", "fit", "quality_scores", "score", "train"]
