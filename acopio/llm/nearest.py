@@ -2,9 +2,11 @@
 
 Centroids are fitted by k-means, with a penalty on crowded ones, on at most SAMPLE vectors of smallest hash; every
 vector is then filed under its nearest centroid, and vectors near a boundary under up to COPIES centroids, those within
-NEAR of the nearest one's distance. A query walks a graph over the centroids, held in memory, and searches the lists of
-the MOST_PROBES nearest that are within RATIO of the nearest one's distance, or needed to reach LEAST vectors. Lists longer than PART are searched in parts. Each part gives a query its best k, so at most
-(lists searched) x k rows meet for one query.
+NEAR of the nearest one's distance. A query walks a graph over the centroids, held in memory, and searches every list
+whose centroid is within RATIO of the nearest one's distance, and more of the nearest while these hold fewer than LEAST
+vectors; no fixed number of lists bounds it. Where the walk would have to see most centroids, all are compared instead.
+Lists are searched in parts of about PART vectors, several lists or a share of a long one, against about ASKED queries at
+a time. Each part gives a query its best k.
 
 Centroids are at most MOST_LISTS, whatever the corpus, so they can be broadcast. Defined results: vectors that are null,
 empty, zero, or hold null or non-finite components, or whose length is not the commonest, take no part; equal distances
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 SAMPLE, MOST_LISTS, LIST, COPIES, PART = 16_384, 2048, 200, 4, 20_000
-NEAR, RATIO, LEAST, MOST_PROBES = 1.15, 1.45, 1500, 64
+NEAR, RATIO, LEAST, ASKED = 1.15, 1.45, 1500, 50_000
 
 
 def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
@@ -74,6 +76,32 @@ class CentroidGraph:
             ids = np.concatenate([ids, fresh])
             dist = np.concatenate([dist, np.sqrt(((self.c[fresh] - q) ** 2).sum(axis=1))])
 
+    def within(self, q: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The centroids within RATIO of the nearest one's distance, or needed to reach LEAST vectors, nearest first."""
+        width = 64
+        while width < len(self.c) // 4:
+            ids, dist = self.search(q, width)
+            held = np.cumsum(sizes[ids]) - sizes[ids]
+            taken = (dist <= RATIO * dist[0]) | (held < LEAST)
+            if not taken[-1]:
+                return ids[taken]
+            width *= 2
+        dist = np.sqrt(((self.c - q) ** 2).sum(axis=1))
+        ids = np.argsort(dist, kind="stable")
+        held = np.cumsum(sizes[ids]) - sizes[ids]
+        return ids[(dist[ids] <= RATIO * dist[ids[0]]) | (held < LEAST)]
+
+
+def parts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first part of each list and how many parts it has: lists of up to PART vectors share parts of about PART."""
+    first, parts, at, held = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64), 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if held and held + n > PART:
+            at, held = at + 1, 0
+        first[i], parts[i] = at, max(1, -(-n // PART))
+        at, held = (at + parts[i], 0) if parts[i] > 1 else (at, held + n)
+    return first, parts
+
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
@@ -98,17 +126,21 @@ def _file(c: np.ndarray, made: pa.Schema):
 
 def _probe(c: np.ndarray, sizes: np.ndarray, made: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        graph = CentroidGraph(c)
+        graph, (first, parts) = CentroidGraph(c), parts_of(sizes)
         for batch in batches:
-            rows, lists = [], []
+            rows, places, lists = [], [], []
             for i, q in enumerate(matrix(batch.column("vec"), c.shape[1])):
-                ids, dist = graph.search(q, MOST_PROBES)
-                held = np.cumsum(sizes[ids]) - sizes[ids]
-                taken = ids[(dist <= RATIO * dist[0]) | (held < LEAST)]
-                rows += [i] * len(taken)
-                lists += taken.tolist()
+                taken = np.sort(graph.within(q, sizes))
+                at = np.repeat(first[taken], parts[taken])
+                at += np.arange(len(at)) - np.repeat(np.cumsum(parts[taken]) - parts[taken], parts[taken])
+                each = np.repeat(taken, parts[taken])
+                order = np.argsort(at, kind="stable")
+                at, cuts = np.unique(at[order], return_index=True)
+                rows += [i] * len(at)
+                places += at.tolist()
+                lists += np.split(each[order], cuts[1:])
             got = batch.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.int32()), got.column("vec_id"), got.column("vec")], schema=made)
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(lists, pa.list_(pa.int32())), got.column("vec_id"), got.column("vec")], schema=made)
 
     return run
 
@@ -120,18 +152,29 @@ def _search(k: int, dim: int):
     def run(key: tuple, filed: pa.Table, asked: pa.Table) -> pa.Table:
         if not filed.num_rows or not asked.num_rows:
             return _FOUND.empty_table()
-        filed = filed.combine_chunks()
-        ids, x = filed.column("vec_id").to_numpy(), matrix(filed.column("vec").chunk(0), dim)
+        filed, asked = filed.combine_chunks(), asked.combine_chunks()
+        ids, x, home = filed.column("vec_id").to_numpy(), matrix(filed.column("vec").chunk(0), dim), filed.column("list").to_numpy()
         order = np.argsort(ids, kind="stable")
-        ids, x = ids[order], x[order]
-        out: list[list[np.ndarray]] = [[], [], []]
-        for q, qv in zip(asked.column("vec_id").to_pylist(), matrix(asked.combine_chunks().column("vec").chunk(0), dim), strict=True):
-            d = np.sqrt(((x - qv) ** 2).sum(axis=1))
-            d[ids == q] = np.inf
-            best = np.argsort(d, kind="stable")[:k]
-            best = best[np.isfinite(d[best])]
-            for v, got in zip(out, (np.full(len(best), q), ids[best], d[best]), strict=True):
-                v.append(got)
+        ids, x, home = ids[order], x[order], home[order]
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))  # copies of a vector lie together
+        ids, x = ids[starts], x[starts]
+        lists, home = np.unique(home, return_inverse=True)
+        norms = (x**2).sum(axis=1)
+        queries, q, wanted = asked.column("vec_id").to_numpy(), matrix(asked.column("vec").chunk(0), dim), asked.column("lists").to_pylist()
+        out: list[list[np.ndarray]] = [[np.empty(0, t)] for t in (np.int64, np.int64, np.float64)]
+        for a in range(0, len(q), 64):
+            some = q[a : a + 64]
+            allowed = np.array([np.isin(lists, w) for w in wanted[a : a + 64]])
+            d = norms[None, :] + (some**2).sum(axis=1)[:, None] - 2 * some @ x.T
+            slack = 1e-9 * (norms.max() + (some**2).sum(axis=1))  # over the rounding of d: exact distances decide
+            d[~np.logical_or.reduceat(allowed[:, home], starts, axis=1) | (ids[None, :] == queries[a : a + 64, None])] = np.inf
+            last = np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] > k else np.full(len(d), np.inf)
+            for i, query in enumerate(queries[a : a + 64]):
+                near = np.flatnonzero((d[i] <= last[i] + slack[i]) & np.isfinite(d[i]))
+                exact = np.sqrt(((x[near] - some[i]) ** 2).sum(axis=1))
+                best = np.argsort(exact, kind="stable")[:k]
+                for v, got in zip(out, (np.full(len(best), query), ids[near[best]], exact[best]), strict=True):
+                    v.append(got)
         return pa.table([pa.array(np.concatenate(v)) for v in out], schema=_FOUND)
 
     return run
@@ -159,10 +202,15 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 100 = 0", k: int = 10)
     filed = scratch.write(good.mapInArrow(_file(c, made), kind), "filed")
     counts = {r["list"]: r["count"] for r in filed.groupBy("list").count().collect()}  # at most MOST_LISTS rows
     sizes = np.array([counts.get(i, 0) for i in range(len(c))])
-    parts = spark.createDataFrame([(i, max(1, -(-int(n) // PART))) for i, n in enumerate(sizes)], "list int, parts int")
-    filed = filed.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).drop("parts")
-    asked = good.filter(queries).mapInArrow(_probe(c, sizes, made), kind).join(F.broadcast(parts), "list")
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    found = filed.groupBy("list", "part").cogroup(asked.groupBy("list", "part")).applyInArrow(_search(k, dim), "query_id long, vec_id long, score double")
+    first, parts = parts_of(sizes)
+    places = spark.createDataFrame([(i, int(first[i]), int(parts[i])) for i in range(len(c))], "list int, first long, parts int")
+    asked = good.filter(queries)
+    turns = max(1, -(-asked.count() // ASKED))
+    filed = filed.join(F.broadcast(places), "list").withColumn("part", F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("first", "parts")
+    filed = filed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
+    made = pa.schema([("part", pa.int64()), ("lists", pa.list_(pa.int32())), ("vec_id", pa.int64()), ("vec", pa.list_(pa.float64()))])
+    asked = asked.mapInArrow(_probe(c, sizes, made), "part long, lists array<int>, vec_id long, vec array<double>")
+    asked = asked.withColumn("turn", F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(turns)).cast("int"))
+    found = filed.groupBy("part", "turn").cogroup(asked.groupBy("part", "turn")).applyInArrow(_search(k, dim), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -11,7 +11,7 @@ import pytest
 from acopio.llm import mixing, packing, quality_model
 from acopio.llm.line_dedup import CuckooFilter, LineStore, line_dedup
 from acopio.llm.near_dedup import drop_near, near_dedup
-from acopio.llm.nearest import nearest
+from acopio.llm.nearest import RATIO, CentroidGraph, nearest
 from acopio.llm.quality_rules import quality_rules
 from acopio.llm.sharding import kd_shards
 from acopio.llm.substring_dedup import substring_dedup
@@ -129,6 +129,18 @@ def test_nearest(spark):
     assert hits >= 0.9 * 90 and all(r.query_id < 900 and r.vec_id < 900 for r in got)
 
 
+def test_nearest_searches_all_lists_of_the_ratio():
+    """More lists than any fixed number of probes: the ratio alone selects, and few suffice where it is narrow."""
+    dice = np.random.default_rng(6)
+    c, sizes = dice.normal(size=(600, 32)) * 0.2, np.full(600, 200)
+    graph = CentroidGraph(c)
+    for q in dice.normal(size=(10, 32)):
+        d = np.sqrt(((c - q) ** 2).sum(axis=1))
+        assert set(graph.within(q, sizes)) == set(np.flatnonzero(d <= RATIO * d.min())) and (d <= RATIO * d.min()).sum() > 64
+    lone = np.concatenate([c[:1] + 50, c[1:]])
+    assert len(CentroidGraph(lone).within(lone[0] + 0.01, sizes)) == 8  # 1500 vectors
+
+
 def test_rules(docs, texts):
     for r in quality_rules(docs).collect():
         t = texts[(r.doc_id - 1) // 3] or ""
