@@ -97,6 +97,22 @@ def test_mixing():
     assert slots == list(range(7305))
 
 
+def test_mixing_follows_the_weights_for_long():
+    weights = [1 / 3] + [2 / 57] * 19 + [0.0001]
+    total = sum(weights)
+    blocks = [int(60_000 * w / total) + 2 for w in weights]
+    order = [-1] * sum(blocks)
+    for s, lo, hi, q, first, where in mixing.phases(blocks, weights):
+        for b in range(lo, hi):
+            order[first + (b - lo) // q * mixing.FRAME + where[(b - lo) % q]] = s
+    assert -1 not in order
+    seen, far = np.zeros(len(weights)), 0.0
+    for t, s in enumerate(order[:60_000], 1):
+        seen[s] += 1
+        far = max(far, np.abs(seen - np.array(weights) / total * t).max())
+    assert far < 1
+
+
 def test_mixed_keeps_all(docs, texts):
     rows = mixing.mixed(docs, block_bytes=256).collect()
     assert sorted(r.doc_id for r in rows) == [k * 3 + 1 for k in range(len(texts))]
