@@ -113,6 +113,25 @@ def test_mixing_follows_the_weights_for_long():
     assert far < 1
 
 
+def test_mixing_of_many_sources(spark, monkeypatch):
+    """More sources than are scheduled at once: given weights hold, and no two sources share a slot."""
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 12)
+    monkeypatch.setattr(mixing, "KEPT", 4, raising=False)
+    monkeypatch.setattr(mixing, "BUCKETS", 5, raising=False)
+    rows = [(40 * k + i, "x" * 99, f"s{k}" if k else None) for k in range(40) for i in range(40 if k in (7, 8, 9) else 8)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string"), {"s3": 10.0, "s7": 1e-6, "absent": 5.0}, block_bytes=200).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
+    held = {}
+    for r in got:
+        held.setdefault(r.slot, set()).add((r.source, r.block))
+    assert sorted(held) == list(range(len(held))) and all(len(v) == 1 for v in held.values())
+    at = {s: sorted(t for t, v in held.items() if (s, next(iter(v))[1]) in v) for s in ("s3", "s7")}
+    assert at["s3"][-1] < 10 and at["s7"][1] > len(held) // 2
+    for s in range(40):
+        of = sorted((r.block, r.slot) for r in got if r.source == f"s{s}")
+        assert [t for _, t in of] == sorted(t for _, t in of)
+
+
 def test_mixed_keeps_all(docs, texts):
     rows = mixing.mixed(docs, block_bytes=256).collect()
     assert sorted(r.doc_id for r in rows) == [k * 3 + 1 for k in range(len(texts))]
