@@ -3,8 +3,10 @@
 Pieces are packed longest first. A piece goes into the open bin that it leaves fullest; if none holds it, the bin size
 of least cost for each token that it can be filled with is opened, where a bin costs its padding-bearing length, a fixed
 part and attention's quadratic part. At the end each bin shrinks to the smallest permitted length that holds its
-contents. Documents longer than the longest sequence are cut into pieces, none is dropped. Pieces are dealt by hash into
-groups of about GROUP, each packed by one task; a group wastes at most a few part-filled bins.
+contents. Documents longer than the longest sequence are cut into pieces, none is dropped. Pieces are dealt into groups of
+about GROUP, each packed by one task; a group wastes at most a few part-filled bins. Groups are made by hash or, where
+documents have a place in a mixture, of consecutive slots: then groups are numbered along the mixture, and a group's bins
+by their first piece in it.
 
 Lengths are words plus one end mark, or the tokens of a tokenizer given by path. Defined results: a null or empty text
 has the end mark alone; rows alike in every way are packed as rows of their own.
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, arrow, keyed, slices
@@ -66,7 +68,8 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES) -> t
     return bins, places, caps[np.searchsorted(caps, np.array(used, np.int64))] if used else np.empty(0, np.int64)
 
 
-_PIECES = pa.schema([("doc_id", pa.int64()), ("_id", pa.int64()), ("_th", pa.int64()), ("piece", pa.list_(pa.int32())), ("start", pa.list_(pa.int32())), ("length", pa.list_(pa.int32()))])
+_KINDS = {"doc_id": pa.int64(), "_id": pa.int64(), "_th": pa.int64(), "_slot": pa.int64(), "_at": pa.int64()}
+_PIECES = pa.schema([*_KINDS.items(), *((c, pa.list_(pa.int32())) for c in ("piece", "start", "length"))])
 
 
 def _measure(longest: int, tokenizer: str | None):
@@ -82,7 +85,7 @@ def _measure(longest: int, tokenizer: str | None):
             for part in slices(batch, "text"):
                 ends = [n + 1 for n in lengths([t or "" for t in part.column("text").to_pylist()])]
                 starts = [np.arange(0, e, longest) for e in ends]
-                yield arrow({"doc_id": part.column("doc_id").cast(pa.int64()), "_id": part.column("_id"), "_th": part.column("_th"), "piece": [np.arange(len(s)) for s in starts], "start": starts, "length": [np.diff(np.append(s, e)) for s, e in zip(starts, ends, strict=True)]}, _PIECES)
+                yield arrow({**{c: part.column(c).cast(t) for c, t in _KINDS.items()}, "piece": [np.arange(len(s)) for s in starts], "start": starts, "length": [np.diff(np.append(s, e)) for s, e in zip(starts, ends, strict=True)]}, _PIECES)
 
     return run
 
@@ -90,10 +93,14 @@ def _measure(longest: int, tokenizer: str | None):
 _PACKED = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int32()), ("length", pa.int32()), ("bin", pa.int64()), ("capacity", pa.int32()), ("place", pa.int32())])
 
 
-def _pack(capacities: tuple[int, ...]):
+def _pack(capacities: tuple[int, ...], ordered: bool):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("_id", "ascending"), ("_th", "ascending"), ("piece", "ascending")])
+        rows = rows.sort_by([(c, "ascending") for c in ("_slot", "_at", "_id", "_th", "piece")])
         bins, places, caps = best_fit(rows.column("length").to_numpy().astype(np.int64), capacities)
+        if ordered:
+            firsts = np.unique(bins, return_index=True)[1]
+            turn = np.argsort(firsts)
+            bins, caps = np.argsort(turn)[bins], caps[turn]
         got = {n: rows.column(n) for n in ("doc_id", "piece", "start", "length")}
         got |= {"bin": (key[0].as_py() << 32) + bins, "capacity": caps[bins].astype(np.int32), "place": places.astype(np.int32)}
         return pa.table([got[n] for n in _PACKED.names], schema=_PACKED)
@@ -101,13 +108,37 @@ def _pack(capacities: tuple[int, ...]):
     return run
 
 
-def best_fit_packing(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, tokenizer: str | None = None) -> DataFrame:
+def _consecutive(each: DataFrame, total: int, scratch: Scratch) -> DataFrame:
+    """each, with the group g: runs of slots with about GROUP pieces."""
+    spark = each.sparkSession
+    slots = scratch.write(each.groupBy("_slot").agg(F.count(F.lit(1)).alias("n")), "slots")
+    last = slots.agg(F.max("_slot")).first()[0] or 0
+    width = last // (4096 + 16 * (total // GROUP)) + 1
+    slots = slots.withColumn("_range", F.floor(F.col("_slot") / width))
+    sums, before = sorted(tuple(r) for r in slots.groupBy("_range").agg(F.sum("n")).collect()), []  # so many ranges at most
+    held = 0
+    for r, n in sums:
+        before.append((r, held))
+        held += n
+    w = Window.partitionBy("_range").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.withColumn("_in", F.coalesce(F.sum("n").over(w), F.lit(0))).join(F.broadcast(spark.createDataFrame(before, "_range long, _before long")), "_range")
+    return each.join(slots.select("_slot", F.floor((F.col("_before") + F.col("_in")) / GROUP).alias("g")), "_slot")
+
+
+def best_fit_packing(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, tokenizer: str | None = None, order: tuple[str, str] | None = None) -> DataFrame:
     """A row for each piece of docs (doc_id, text): doc_id, piece, start and length (in tokens of the document, the end
-    mark last), bin, capacity (the bin's) and place (tokens before it in the bin)."""
+    mark last), bin, capacity (the bin's) and place (tokens before it in the bin). order: the columns of a document's
+    slot in a mixture and its place in the slot, which bins are to follow."""
     scratch = Scratch(docs.sparkSession, "pack")
-    packed = keyed(docs).select("doc_id", "_id", "_th", "text").mapInArrow(_measure(max(capacities), tokenizer), "doc_id long, _id long, _th long, piece array<int>, start array<int>, length array<int>")
-    each = packed.select("doc_id", "_id", "_th", F.explode(F.arrays_zip("piece", "start", "length")).alias("p")).select("doc_id", "_id", "_th", "p.*")
+    slot, at = (F.coalesce(F.col(f"`{c}`").cast("long"), F.lit(0)) for c in order) if order else (F.lit(0).cast("long"),) * 2
+    placed = keyed(docs.select("doc_id", "text", slot.alias("_slot"), at.alias("_at")), "_slot", "_at")
+    own = ", ".join(f"{c} long" for c in _KINDS)
+    packed = placed.select(*_KINDS, "text").mapInArrow(_measure(max(capacities), tokenizer), f"{own}, piece array<int>, start array<int>, length array<int>")
+    each = packed.select(*_KINDS, F.explode(F.arrays_zip("piece", "start", "length")).alias("p")).select(*_KINDS, "p.*")
     each = scratch.write(each, "pieces")
-    groups = max(1, -(-each.count() // GROUP))
-    each = each.withColumn("g", F.pmod(F.xxhash64("_id", "_th", "piece"), F.lit(groups)))
-    return each.groupBy("g").applyInArrow(_pack(tuple(capacities)), "doc_id long, piece int, start int, length int, bin long, capacity int, place int")
+    total = each.count()
+    if order and total:
+        each = _consecutive(each, total, scratch)
+    else:
+        each = each.withColumn("g", F.pmod(F.xxhash64("_id", "_th", "piece"), F.lit(max(1, -(-total // GROUP)))))
+    return each.groupBy("g").applyInArrow(_pack(tuple(capacities), bool(order)), "doc_id long, piece int, start int, length int, bin long, capacity int, place int")

@@ -13,6 +13,8 @@ from acopio.llm.packing import best_fit_packing
 from acopio.llm.quality_model import drop_poor
 
 ORACLE_SQL = None
+#: The columns that hold a document's place in the mixture between the last two stages.
+PLACE = ("mix_slot", "mix_at")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +36,13 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents, interleaved by their sources' weights."""
-    return mix(docs)
+    """The same documents, interleaved by their sources' weights, with their places in the mixture."""
+    return mix(docs, place=PLACE)
 
 
 def best_fit_packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document's pieces lie in sequences of the permitted lengths."""
-    return best_fit_packing(docs)
+    """Where each document's pieces lie in sequences of the permitted lengths, which follow the mixture."""
+    return best_fit_packing(docs, order=PLACE if set(PLACE) <= set(docs.columns) else None)
 
 
 STAGES = [

@@ -136,3 +136,28 @@ def test_pipeline(spark, tmp_path):
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
         got[r.doc_id] += r.length
     assert got == want and len(want) < len(kept)
+
+
+def test_packing_follows_the_mixture(spark, monkeypatch):
+    """Groups are runs of the mixture, bins go by their first piece in it, and without the mixing stage they differ."""
+    monkeypatch.setattr(packing, "GROUP", 25)
+    dice = random.Random(8)
+    docs = spark.createDataFrame([(k, " ".join(["word"] * dice.randint(1, 4000)), f"s{k % 3 if k > 60 else 0}", k) for k in range(150)], "doc_id long, text string, source string, mix_at long")
+    placed = corpus_pipeline.mix_sources(spark, docs, "")
+    where = {r.doc_id: (r.mix_slot, r.mix_at, r.doc_id) for r in placed.collect()}
+    rows = corpus_pipeline.best_fit_packing_stage(spark, placed, "").collect()
+    assert sorted((r.doc_id, r.length) for r in rows) == sorted((r.doc_id, len(r.text.split()) + 1) for r in docs.collect())
+    first = {}
+    for r in rows:
+        first[r.bin] = min(first.get(r.bin, (10**9,)), where[r.doc_id])
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.bin >> 32, []).append(where[r.doc_id][0])
+    assert len(groups) > 3 and len({t for t, *_ in where.values()}) > 20
+    assert all(max(groups[a]) < min(groups[b]) for a, b in zip(sorted(groups), sorted(groups)[1:], strict=False))
+    assert [first[b] for b in sorted(first)] == sorted(first.values())
+    without = corpus_pipeline.best_fit_packing_stage(spark, docs, "").collect()
+    assert sorted(without) != sorted(rows)
+    heavy = corpus_pipeline.best_fit_packing_stage(spark, mixing.mix(docs, {"s2": 50.0}, place=corpus_pipeline.PLACE), "").collect()
+    share = lambda v: sum(r.bin >> 32 == 0 and where[r.doc_id] is not None and r.doc_id > 60 and r.doc_id % 3 == 2 for r in v)
+    assert share(heavy) > share(rows)
