@@ -5,8 +5,8 @@ WIDTH - 1 bytes. Each filter is max-pooled in a chunk and rectified; the documen
 over its chunks, and a logistic unit combines them into one probability. Only the text's bytes are inputs.
 
 The network is fitted on the driver on a bounded sample: at most PER_CLASS labelled documents of each class, those of
-smallest hash, weighted back to the classes' shares; of a training text longer than MOST_CHUNKS chunks, as many evenly
-spaced ones. Scoring reads every byte of every text.
+smallest hash, and no more once those before hold CLASS_BYTES, weighted back to the classes' shares. Every byte of a
+sampled document is learned from. Scoring reads every byte of every text.
 
 Defined results: a null or empty text is one chunk of zero bytes; labels that are null take no part, a document
 labelled twice is learned twice; without labels of both classes the score is the share of 1 among them, or 0.5.
@@ -19,13 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import apart, slices, small_batches
 
 WIDTH, CHUNK, FILTERS = 6, 256, 16
-PER_CLASS, MOST_CHUNKS, EPOCHS, RATE = 1500, 512, 12, 0.02
+PER_CLASS, CLASS_BYTES, EPOCHS, RATE = 1500, 32 << 20, 12, 0.02
 THRESHOLD = 0.3
 
 
@@ -83,7 +83,7 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int =
     dice = np.random.default_rng(seed)
     p = {"table": dice.normal(0, 0.3, (WIDTH, 256, FILTERS)), "bias": np.zeros(FILTERS), "out": dice.normal(0, 0.3, 2 * FILTERS), "base": np.zeros(1)}
     m, v = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
-    parts = [c if len(c) <= MOST_CHUNKS else c[np.linspace(0, len(c) - 1, MOST_CHUNKS).astype(int)] for c in map(chunks, texts)]
+    parts = [chunks(t) for t in texts]
     step, size = 0, 64
     for epoch in range(EPOCHS):
         order = dice.permutation(len(parts))
@@ -137,13 +137,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Network | float:
     if len(shares) < 2:
         return float(next(iter(shares), 0.5))
     some = [known.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS) for q in (0, 1)]
-    sample = F.broadcast(some[0].unionByName(some[1]))  # at most 2 * PER_CLASS rows
-    span = MOST_CHUNKS * (CHUNK + WIDTH)
+    sample = some[0].unionByName(some[1])  # at most 2 * PER_CLASS rows
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    # of a longer text, evenly spaced stretches leave the executors, as the fit uses no more
-    step = F.octet_length(text).cast("double") / MOST_CHUNKS
-    spaced = F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(MOST_CHUNKS - 1)), lambda k: F.substring(text, (k * step).cast("int") + 1, F.lit(CHUNK))), F.lit("").cast("binary"), lambda a, b: F.concat(a, b))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("doc_id", F.when(F.octet_length(text) <= span, text).otherwise(spaced).alias("t"), "quality").collect()
+    sizes = docs.select("doc_id", F.octet_length(text).alias("n")).join(F.broadcast(sample.distinct()), "doc_id").groupBy("quality", "doc_id").agg(F.sum("n").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fit_in = sizes.withColumn("before", before).filter(F.col("before") < CLASS_BYTES).select("doc_id", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample.join(fit_in, ["doc_id", "quality"])), "doc_id").select("doc_id", text.alias("t"), "quality").collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["t"]), r["quality"]))
     got = np.array([r["quality"] for r in rows], np.float64)
     if len(set(got)) < 2:

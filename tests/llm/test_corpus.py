@@ -198,6 +198,24 @@ def test_classifier(spark):
     assert quality_model.quality_scores(docs, labels.limit(0)).count() == 302
 
 
+def test_classifier_learns_all_of_long_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_model, "chunks", lambda t, own=quality_model.chunks: seen.append(t) or own(t))
+    ids = [k for k in range(40) if k % 5]
+    long = {k: f"long {k} " + " ".join(f"w{j}" for j in range(30_000)) for k in ids[:2]}
+    docs = spark.createDataFrame([(k, long.get(k, f"short {k}")) for k in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id long, quality int")
+    monkeypatch.setattr(quality_model, "EPOCHS", 1)
+    quality_model.train(docs, labels)
+    held = {r.doc_id for r in labels.filter(quality_model.remainder() == 0).collect()}
+    assert sorted(seen) == sorted(long.get(k, f"short {k}").encode() for k in ids if k not in held)
+    assert any(len(t) > 134_000 for t in seen)
+    monkeypatch.setattr(quality_model, "CLASS_BYTES", 20)
+    seen.clear()
+    quality_model.train(docs, labels)
+    assert 2 <= len(seen) < 10
+
+
 def test_near(docs, texts):
     sets = {}
     for k, t in enumerate(texts):
