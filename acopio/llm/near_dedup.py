@@ -13,7 +13,7 @@ a probability close to their Jaccard similarity. Then:
    of a bucket have met or are connected without: no link between different texts is lost to the pairing.
 
 With 32 bands of 4, a pair at 0.8 is missed by the bands with a probability of 5e-8, at 0.85 of 5e-11; the estimate
-drops a pair at the threshold with a probability under 1e-6.
+drops a pair at the threshold with a probability of 4e-11.
 
 Defined results: a null or empty text has no shingle and is linked with nothing; rows that share a doc_id are one node;
 rows with a null doc_id have a null component and are kept.
@@ -35,10 +35,10 @@ from .common import LAST_ID, Rolling, Scratch, apart, arrow, i64, keyed, slices,
 BANDS, ROWS, SPACING = 32, 4, 1.01
 REGISTERS = BANDS * ROWS
 #: How far under the threshold an estimate may fall and still be verified, in standard deviations of the estimate.
-SLACK = 5.0
-#: Members outside a bucket's largest component that meet its other members in the first round; eight times as many in
+SLACK = 6.5
+#: Members outside a bucket's largest component that meet its other members in the first round; GROWTH times as many in
 #: each further round, up to the second number.
-PIVOTS, MOST_PIVOTS = 8, 4096
+PIVOTS, MOST_PIVOTS, GROWTH = 8, 4096, 32
 #: Documents of open buckets that share a rare shingle, at most.
 RARE = 8
 _dice = np.random.default_rng(20)
@@ -139,27 +139,64 @@ def _links(pairs: DataFrame, reps: DataFrame, sets: DataFrame, width: int, perce
         left, right = (reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab")
         pairs = pairs.join(right, "b").join(left, "a")
     near = pairs.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(_estimate(percent), "a long, b long").distinct()
-    near = scratch.write(near, f"{name}-near")
     left, right = (sets.select(F.col("rep").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
     sure = near.join(right.hint("merge"), "b").select("a", "b", "set_b").join(left.hint("merge"), "a").select("a", "b", "set_a", "set_b")
     return scratch.write(sure.mapInArrow(_verify(width, percent), "a long, b long").distinct(), f"{name}-links")
 
 
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (band, value, rep, core ...) of buckets that hold several components and a core, with their component c
-    and their bucket's largest one, main."""
+    """Members (band, value, rep; a written table, it is read twice) of buckets that hold several components."""
     inside = members.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
-    parts = inside.groupBy("band", "value", "c").agg(F.count(F.lit(1)).alias("m"), F.max("core").alias("core"))
-    main = parts.groupBy("band", "value").agg(F.max(F.struct("m", "c")).alias("s"), F.count(F.lit(1)).alias("parts"), F.max("core").alias("any")).filter("parts > 1 and any")
-    return inside.join(main.select("band", "value", F.col("s.c").alias("main")), ["band", "value"])
+    several = inside.groupBy("band", "value").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("band", "value")
+    return inside.drop("c").join(several, ["band", "value"])
 
 
-def _grown(links: DataFrame, more: DataFrame, comp: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
-    """The links with more of them, and the components."""
-    if more.isEmpty():
-        return links, comp
-    links = scratch.write(links.unionByName(more).distinct(), f"links-{name}")
-    return links, scratch.write(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch, f"c-{name}"), f"comp-{name}")
+def _components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    return scratch.write(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch, f"c-{name}"), f"comp-{name}")
+
+
+def _bucketed(open_: DataFrame, facts: DataFrame, links: DataFrame, comp: DataFrame, stale: bool, reps: DataFrame, sets: DataFrame, width: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The links, with those inside open buckets, and the components. facts: rep, n, most, core, sig, c0 (its component so
+    far); comp: components of all links but, if stale, the latest.
+
+    The members are written once. What changes from round to round is how many members of each first component a bucket
+    still has (counts, less the pivots that left), and which of these components have grown together since; so a round
+    handles the members outside a bucket's largest component, never rewrites those inside it, and a pivot meets members
+    of other first components only."""
+    members = scratch.write(open_.join(facts, "rep"), "members")
+    parts = scratch.write(members.groupBy("band", "value", "c0").agg(F.count(F.lit(1)).alias("m"), F.count_if("core").alias("cores")), "parts")
+    gone, k = None, 0
+    while True:
+        k += 1
+        live = parts
+        if gone is not None:
+            left = gone.groupBy("band", "value", "c0").agg((-F.count(F.lit(1))).alias("m"), (-F.count_if("core")).alias("cores"))
+            live = parts.unionByName(left).groupBy("band", "value", "c0").agg(F.sum("m").alias("m"), F.sum("cores").alias("cores")).filter("m > 0")
+        live = live.join(comp.withColumnRenamed("id", "c0"), "c0", "left").withColumn("c", F.coalesce("component", "c0")).drop("component")
+        live = scratch.write(live, f"live{k}")
+        main = live.groupBy("band", "value", "c").agg(F.sum("m").alias("m"), F.sum("cores").alias("cores")).groupBy("band", "value")
+        main = main.agg(F.max(F.struct("m", "c")).alias("s"), F.count(F.lit(1)).alias("parts"), F.sum("cores").alias("cores")).filter("parts > 1 and cores > 0")
+        outside = live.join(main.select("band", "value", F.col("s.c").alias("main")), ["band", "value"]).filter("c <> main").select("band", "value", "c0")
+        outside = members.join(outside, ["band", "value", "c0"])
+        if gone is not None:
+            outside = outside.join(gone.select("band", "value", "rep"), ["band", "value", "rep"], "left_anti")
+        w = Window.partitionBy("band", "value").orderBy((F.col("most") / F.col("n")).desc(), F.xxhash64("rep"), "rep")  # the most central first
+        chosen = outside.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= min(MOST_PIVOTS, PIVOTS * GROWTH ** (k - 1))).drop("_n")
+        chosen = scratch.write(chosen, f"pivots{k}")
+        scratch.drop(f"live{k}")
+        if chosen.isEmpty():
+            return links, _components(links, scratch, "last") if stale else comp
+        pivots = chosen.select("band", "value", *(F.col(c).alias(f"p_{c}") for c in ("rep", "c0", "n", "most", "core", "sig")))
+        fit = F.expr(f"c0 <> p_c0 and (core or p_core) and least(most, p_most) * {100 + percent} >= {percent} * (n + p_n)")
+        fit &= ~F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda x: (x < F.col("i.band")) & (F.get("sig", x) == F.get("p_sig", x)))  # once, in the first band that they share
+        near = members.alias("i").join(pivots.alias("j"), (F.col("i.band") == F.col("j.band")) & (F.col("i.value") == F.col("j.value")) & fit)
+        turned = F.col("rep") > F.col("p_rep")
+        pairs = near.select(*(F.when(turned != (s == "b"), F.col(f"p_{c}")).otherwise(F.col(c)).alias(f"{o}_{s}" if o else s) for s in "ab" for c, o in (("rep", ""), ("n", "n"), ("sig", "sig"))))
+        more = _links(pairs, reps, sets, width, percent, scratch, f"more{k}")
+        gone = chosen.drop("sig") if gone is None else gone.unionByName(chosen.drop("sig"))
+        if stale or not more.isEmpty():
+            links, stale = links.unionByName(more), False
+            comp = _components(links, scratch, str(k))
 
 
 def _each(width: int):
@@ -220,33 +257,18 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80) -> tuple
     links = _links(met.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), reps, base.select(F.col("_id").alias("rep"), F.col("text").alias("set")), width, percent, scratch, "lead")
 
     # buckets of three and more, without the member that all others have met
-    comp = scratch.write(connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch, "comp"), "comp0")
-    open_ = _open(met.filter("size > 2").select("band", "value", "rep", F.lit(True).alias("core")), comp)
-    open_ = scratch.write(open_.select("band", "value", "rep"), "open")
+    comp = _components(links, scratch, "lead")
+    open_ = scratch.write(_open(met.filter("size > 2").select("band", "value", "rep"), comp), "open")
     bounds, pairs, sets = _bounds(base, reps, open_.select("rep").distinct(), comp, width, percent, scratch)
     more = _links(pairs, reps, sets, width, percent, scratch, "rare")
-    links, comp = _grown(links, more, comp, scratch, "rare")
-    open_ = open_.join(bounds.join(reps.select("rep", "sig").dropDuplicates(["rep"]), "rep"), "rep")
-    k = 0
-    while True:
-        k += 1
-        inside = scratch.write(_open(open_, comp), f"inside{k}")
-        if inside.isEmpty():
-            break
-        w = Window.partitionBy("band", "value").orderBy((F.col("most") / F.col("n")).desc(), F.xxhash64("rep"), "rep")  # the most central first
-        chosen = inside.filter("c <> main").withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= min(MOST_PIVOTS, PIVOTS * 8 ** (k - 1)))
-        chosen = scratch.write(chosen.select("band", "value", *(F.col(c).alias(f"p_{c}") for c in ("rep", "c", "n", "most", "core", "sig"))), f"pivots{k}")
-        fit = F.expr(f"c <> p_c and (core or p_core) and least(most, p_most) * {100 + percent} >= {percent} * (n + p_n)")
-        fit &= ~F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda x: (x < F.col("i.band")) & (F.get("sig", x) == F.get("p_sig", x)))  # once, in the first band that they share
-        near = inside.alias("i").join(chosen.alias("j"), (F.col("i.band") == F.col("j.band")) & (F.col("i.value") == F.col("j.value")) & fit)
-        turned = F.col("rep") > F.col("p_rep")
-        pairs = near.select(*(F.when(turned != (s == "b"), F.col(f"p_{c}")).otherwise(F.col(c)).alias(f"{o}_{s}" if o else s) for s in "ab" for c, o in (("rep", ""), ("n", "n"), ("sig", "sig"))))
-        more = _links(pairs, reps, sets, width, percent, scratch, f"more{k}")
-        open_ = inside.drop("c", "main").join(chosen.select("band", "value", F.col("p_rep").alias("rep")), ["band", "value", "rep"], "left_anti")
-        links, comp = _grown(links, more, comp, scratch, str(k))
+    stale = not more.isEmpty()
+    links = links.unionByName(more) if stale else links
+    facts = bounds.join(reps.select("rep", "sig").dropDuplicates(["rep"]), "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
+    facts = facts.withColumn("c0", F.coalesce("component", "rep")).drop("component")
+    links, comp = _bucketed(open_, facts, links, comp, stale, reps, sets, width, percent, scratch)
     rows = member.select("_id", "_th", "n", "rep").distinct().join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("_id", "_th", "n", F.coalesce("component", "rep").alias("component"))
     alone = signed.filter("n = 0").select("_id", "_th", "n", F.col("_id").alias("component")).distinct()
-    return rows.unionByName(alone), links
+    return rows.unionByName(alone), links.distinct()
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
