@@ -7,17 +7,22 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .text import id_number, name_tokens, normalize_name, phonetic_tokens
 
 ALIKE, REORDERED = 0.82, 0.98
 
 
-@F.pandas_udf(DoubleType())
-def matched_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity; depends on the order of its arguments. Null in, null out."""
-    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+@F.pandas_udf(StructType([StructField("score", DoubleType()), StructField("rounded", DoubleType())]))
+def scored(a: pd.Series, b: pd.Series, contained: pd.Series) -> pd.DataFrame:
+    """score: the larger of containment and the Ratcliff-Obershelp similarity, which depends on the order of the names;
+    with a null name containment alone. rounded: that to three places, as Python rounds."""
+    best = [c if x is None or y is None else max(c, SequenceMatcher(None, x, y).ratio()) for x, y, c in zip(a, b, contained, strict=True)]
+    return pd.DataFrame({"score": best, "rounded": [round(s, 3) for s in best]}, dtype="float64")
+
+
+scored = scored.asNondeterministic()  # so that no plan runs it twice
 
 
 def containment(fa: Column, fb: Column) -> Column:
@@ -26,31 +31,33 @@ def containment(fa: Column, fb: Column) -> Column:
     return F.when(low > 0, F.size(F.array_intersect(fa, fb)) / low).otherwise(0.0)
 
 
-def needs_ratio(a: Column, b: Column, contained: Column) -> Column:
-    """Whether the ratio can still change the outcome: it is at most twice the shorter length over both lengths."""
+def same_tokens(a: Column, b: Column) -> Column:
+    return F.sort_array(F.array_distinct(name_tokens(a))) == F.sort_array(F.array_distinct(name_tokens(b)))
+
+
+def needs_ratio(a: Column, b: Column, contained: Column, floor: float = 0.0) -> Column:
+    """Whether the ratio can exceed containment and the larger of them can reach the floor: the ratio is at most twice
+    the shorter length over both lengths."""
     la, lb = F.length(a), F.length(b)
-    return (contained < 1) & (2 * F.least(la, lb) / (la + lb) > contained) & ((2 * F.least(la, lb) / (la + lb) >= ALIKE) | (contained >= ALIKE))
+    most = 2 * F.least(la, lb) / F.greatest(la + lb, F.lit(1))
+    return (a != b) & (contained < 1) & (most > contained) & ((most >= floor) | (contained >= floor))
 
 
 def category(a: Column, b: Column, score: Column) -> Column:
     """Of normalized names and the larger of containment and ratio."""
-    same = F.sort_array(F.array_distinct(name_tokens(a))) == F.sort_array(F.array_distinct(name_tokens(b)))
-    return F.when((a == "") | (b == ""), "no_coincide").when(a == b, "exacta").when(same, "exacta_reordenada").when(score >= ALIKE, "fonetica").otherwise("no_coincide")
-
-
-def final_score(kind: Column, a: Column, b: Column, score: Column) -> Column:
-    return F.when((a == "") | (b == ""), 0.0).when(kind == "exacta", 1.0).when(kind == "exacta_reordenada", REORDERED).otherwise(F.round(score, 3))
+    return F.when((a == "") | (b == ""), "no_coincide").when(a == b, "exacta").when(same_tokens(a, b), "exacta_reordenada").when(score >= ALIKE, "fonetica").otherwise("no_coincide")
 
 
 def compare_names(df, left: str, right: str):
-    """df with category and score for two name columns; the ratio runs only on rows where it matters."""
+    """df with category and score for two name columns; the ratio runs only on rows whose score it can change."""
     df = df.withColumns({"_a": normalize_name(F.col(left)), "_b": normalize_name(F.col(right))})
     df = df.withColumn("_c", containment(phonetic_tokens(F.col("_a")), phonetic_tokens(F.col("_b"))))
-    need = needs_ratio(F.col("_a"), F.col("_b"), F.col("_c")) & (F.col("_a") != F.col("_b"))
-    df = df.withColumn("_r", matched_ratio(F.when(need, F.col("_a")), F.when(need, F.col("_b"))))
-    score = F.greatest("_c", F.coalesce("_r", F.lit(0.0)))
-    kind = category(F.col("_a"), F.col("_b"), score)
-    return df.withColumns({"category": kind, "score": final_score(kind, F.col("_a"), F.col("_b"), score)}).drop("_a", "_b", "_c", "_r")
+    a, b = F.col("_a"), F.col("_b")
+    need = (a != "") & (b != "") & needs_ratio(a, b, F.col("_c")) & ~same_tokens(a, b)
+    df = df.withColumn("_s", scored(F.when(need, a), F.when(need, b), F.col("_c")))
+    df = df.withColumn("category", category(a, b, F.col("_s.score")))
+    score = F.when((a == "") | (b == ""), 0.0).when(F.col("category") == "exacta", 1.0).when(F.col("category") == "exacta_reordenada", REORDERED).otherwise(F.col("_s.rounded"))
+    return df.withColumn("score", score).drop("_a", "_b", "_c", "_s")
 
 
 def tier(id_a: Column, id_b: Column, score: Column, age_a: Column, age_b: Column) -> Column:

@@ -35,7 +35,7 @@ PARSER_WORDS = {
     "ucv_aparecidos": ({"aparecido": "ingresado", "fallecido": "fallecido", "deceased": "fallecido"}, "desaparecido"),
 }
 #: Sources whose words the re-parsing profile takes in any case.
-ANY_CASE = {"aquiestoyvenezuela", "busquedavzla", "drive_sismo_vzla", "ucv_aparecidos"}
+ANY_CASE = {"aquiestoyvenezuela", "drive_sismo_vzla"}
 
 
 def _mapped(value: Column, words: dict[str, str], default: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import html
 import unicodedata
 from functools import cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space that Python's str.strip() takes off; Spark's trim takes spaces only.
 _STRIP = r"(?U)^\s+|\s+$"
@@ -103,9 +106,9 @@ def hashed_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix + ":"), F.substring(F.sha2(key.cast("binary"), 256), 1, 16))
 
 
-def labelled_notes(separator: str, **parts: Column) -> Column:
+def labelled_notes(separator: str, *parts: tuple[str, Column]) -> Column:
     """Non-empty parts, each after its label, joined; an empty label gives the part alone."""
-    return F.concat_ws(separator, *(F.when(text_or_empty(v) != "", F.concat(F.lit(f"{k.replace('_', ' ')}: "), strip(v))) for k, v in parts.items()))
+    return F.concat_ws(separator, *(F.when(text_or_empty(v) != "", F.concat(F.lit(f"{k}: " if k else ""), strip(v))) for k, v in parts))
 
 
 def age_range(low: Column, high: Column, zero_is_missing: bool) -> Column:
@@ -115,13 +118,14 @@ def age_range(low: Column, high: Column, zero_is_missing: bool) -> Column:
 
 
 def location_parts(c: Column) -> Column:
-    """parish, municipality, state from a comma list: first, second and last of three or more, the two of two."""
+    """parish, municipality, state from a comma list: first, second and last of three or more, the latter two of two, the
+    state alone of one."""
     p = F.transform(F.split(c, ","), lambda x: F.trim(x))
     n = F.size(p)
     return F.struct(
-        F.when(n >= 3, F.get(p, F.lit(0))).when(n == 1, F.get(p, F.lit(0))).alias("parroquia"),
-        F.when(n >= 3, F.get(p, F.lit(1))).when(n == 2, F.get(p, F.lit(0))).alias("municipio"),
-        F.when(n >= 2, F.element_at(p, -1)).alias("estado"),
+        F.when(n >= 3, F.get(p, F.lit(0))).otherwise("").alias("parroquia"),
+        F.when(n >= 3, F.get(p, F.lit(1))).when(n == 2, F.get(p, F.lit(0))).otherwise("").alias("municipio"),
+        F.try_element_at(p, F.lit(-1)).alias("estado"),
     )
 
 
@@ -135,6 +139,16 @@ def decode_entities(c: Column) -> Column:
     return c
 
 
+@F.pandas_udf(StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else html.unescape(t))
+
+
+def unescape(c: Column) -> Column:
+    """Every entity of HTML, by name and by number; texts without an ampersand stay in the JVM's hands."""
+    return F.when(c.contains("&"), _unescaped(F.when(c.contains("&"), c))).otherwise(c)
+
+
 def strip_tags(c: Column) -> Column:
     return F.regexp_replace(c, "<[^>]+>", "")
 
@@ -193,7 +207,8 @@ def suspicious_canonical(name: Column) -> Column:
 
 
 def multipart_fields(blob: Column) -> Column:
-    """name and value of each part of a multipart body, non-empty values only."""
-    pattern = r'(?s)name="([^"]+)"\s*\r?\n\r?\n(.*?)(?=\r?\n-{10,}|\z)'
-    keys, values = (F.regexp_extract_all(blob, F.lit(pattern), F.lit(k)) for k in (1, 2))
-    return F.map_from_entries(F.filter(F.arrays_zip(keys.alias("k"), F.transform(values, strip).alias("v")), lambda e: e["v"] != ""))
+    """name and value of each part of a multipart body, non-empty values only: the body is cut at its boundary lines, a
+    part at its first empty line."""
+    parts = F.split(F.regexp_replace(blob, "\r\n", "\n"), "\n-{10,}[^\n]*")
+    cut = F.transform(parts, lambda p: F.struct(F.regexp_extract(F.substring_index(p, "\n\n", 1), r'\bname="([^"]+)"', 1).alias("k"), strip(F.substr(p, F.locate("\n\n", p) + 2)).alias("v"), F.contains(p, F.lit("\n\n")).alias("ok")))
+    return F.map_from_entries(F.transform(F.filter(cut, lambda e: e["ok"] & (e["k"] != "") & (e["v"] != "")), lambda e: F.struct(e["k"], e["v"])))

@@ -41,10 +41,39 @@ def extension(content_type: Column) -> Column:
     return out
 
 
+def content_type(ext: Column) -> Column:
+    """The type of an extension; of several types the last in the table."""
+    out = F.lit("application/octet-stream")
+    for kind, e in EXTENSIONS.items():
+        out = F.when(ext == e, kind).otherwise(out)
+    return out
+
+
+def objects(pages: DataFrame, known: DataFrame | None = None, body: str = "body", file_type: str = "file_type") -> DataFrame:
+    """What is to be stored of pages (spider_name, body, file_type): each new content once a source, under its hash and
+    extension: spider_name, name, content_type, body."""
+    ext = F.coalesce(F.col(file_type), F.lit("bin"))
+    out = pages.withColumn("checksum", checksum(F.col(body)))
+    if known is not None:
+        out = out.join(known.select("checksum").distinct(), "checksum", "left_anti")
+    out = out.select("spider_name", F.concat_ws(".", "checksum", ext).alias("name"), content_type(ext).alias("content_type"), F.col(body).cast("binary").alias("body"))
+    return out.dropDuplicates(["spider_name", "name"])
+
+
+def put_objects(pages: DataFrame, path: str, known: DataFrame | None = None) -> None:
+    """Appends the objects of pages to the store at path, a folder for each source."""
+    objects(pages, known).write.mode("append").partitionBy("spider_name").parquet(path)
+
+
 def stored_name(body: Column, content_type: Column) -> Column:
     return F.concat_ws(".", checksum(body), extension(content_type))
 
 
+def files_of(runs: DataFrame, files: DataFrame) -> DataFrame:
+    """The files of each run: runs (checksum and more) with the columns of the files' table."""
+    return runs.join(files, "checksum")
+
+
 def volume_alert(runs: DataFrame, source: str, started: str, status: str, files: str, ratio: float = 0.5) -> DataFrame:
     """Each run with the files of the latest earlier successful run of its source, and whether it has under half."""
     w = Window.partitionBy(source).orderBy(started).rowsBetween(Window.unboundedPreceding, -1)
@@ -63,6 +92,11 @@ def parser_stats(files: DataFrame, source: str, records: str, error: str) -> Dat
     )
 
 
+def write_stats(stats: DataFrame, path: str) -> None:
+    """Statistics of a run as JSON lines, with the time of writing."""
+    stats.withColumn("timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")).write.mode("errorifexists").json(path)
+
+
 def forward_fill(rows: DataFrame, value: str, by: list[str], order: list[str]) -> Column:
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return F.last(value, ignorenulls=True).over(w)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.compare import ALIKE, containment, matched_ratio, needs_ratio, tier
+from ..functions.compare import ALIKE, containment, needs_ratio, same_tokens, scored, tier
 from ..functions.text import name_tokens, normalize_name, normalize_place, phonetic_code, phonetic_tokens
 from ..plans.scratch import Scratch
 from .components import connected_components
@@ -38,11 +38,27 @@ def block_stats(blocks: DataFrame) -> DataFrame:
 
 def block_histogram(people: DataFrame, split: int = SPLIT) -> DataFrame:
     """One-level blocks by size class: 1, 2 to split, more."""
-    sizes = prepared(people).filter(F.coalesce("code", F.lit("")) != "").groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    sizes = first_codes(people)
     label = F.when(F.col("n") == 1, "1").when(F.col("n") <= split, f"2-{split}").otherwise(f">{split}")
     return sizes.groupBy(label.alias("size_class")).agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("people"))
 
 
+def first_codes(people: DataFrame) -> DataFrame:
+    """code, n: rows of each one-level block."""
+    return prepared(people).filter(F.coalesce("code", F.lit("")) != "").groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def largest_blocks(people: DataFrame, split: int = SPLIT, most: int = 15) -> DataFrame:
+    """The largest of the one-level blocks over split: code, n."""
+    return first_codes(people).filter(F.col("n") > split).orderBy(F.desc("n"), "code").limit(most)
+
+
+def block_coverage(people: DataFrame, split: int = SPLIT, limit: int = 500) -> DataFrame:
+    """One row: how many one-level blocks have 2 to split rows, whether a limit on blocks covers them, how many it leaves."""
+    small = F.count_if(F.col("n").between(2, split))
+    return first_codes(people).agg(F.count(F.lit(1)).alias("blocks"), small.alias("comparable"), (small <= limit).alias("covered"), F.greatest(small - limit, F.lit(0)).cast("long").alias("left_out"))
+
+
 def block_pairs(blocks: DataFrame) -> DataFrame:
     """Pairs a.id < b.id of a block whose names differ, whose ages are compatible and whose places are equal."""
     keep = ["id", "nombre", "norm", "codes", "edad", "cedula", "hospital"]
@@ -62,11 +78,12 @@ def candidates(blocks: DataFrame) -> DataFrame:
     """Phonetic duplicates: id_a, id_b, nombre_a, nombre_b, score, tier. Equal and reordered names are not among them.
     The ratio, the only Python here, sees only pairs whose outcome it can change."""
     pairs = block_pairs(blocks)
-    same = F.sort_array(F.array_distinct(name_tokens(F.col("norm_a")))) == F.sort_array(F.array_distinct(name_tokens(F.col("norm_b"))))
+    same = same_tokens(F.col("norm_a"), F.col("norm_b"))
     pairs = pairs.filter((F.col("norm_a") != "") & (F.col("norm_b") != "") & ~same).withColumn("_c", containment(F.col("codes_a"), F.col("codes_b")))
-    need = needs_ratio(F.col("norm_a"), F.col("norm_b"), F.col("_c"))
-    pairs = pairs.withColumn("_r", matched_ratio(F.when(need, F.col("norm_a")), F.when(need, F.col("norm_b"))))
-    out = pairs.withColumn("score", F.round(F.greatest("_c", F.coalesce("_r", F.lit(0.0))), 3)).filter(F.greatest("_c", F.coalesce("_r", F.lit(0.0))) >= ALIKE)
+    need = needs_ratio(F.col("norm_a"), F.col("norm_b"), F.col("_c"), ALIKE)
+    pairs = pairs.filter(need | (F.col("_c") >= ALIKE))
+    pairs = pairs.withColumn("_s", scored(F.when(need, F.col("norm_a")), F.when(need, F.col("norm_b")), F.col("_c")))
+    out = pairs.filter(F.col("_s.score") >= ALIKE).withColumn("score", F.col("_s.rounded"))
     out = out.withColumn("tier", tier(F.col("cedula_a"), F.col("cedula_b"), F.col("score"), F.col("edad_a"), F.col("edad_b")))
     return out.select("id_a", "id_b", "nombre_a", "nombre_b", "score", "tier")
 

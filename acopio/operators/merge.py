@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null
+from ..functions.status import may_change
+from ..functions.text import blank_to_null, strip
 
 
 def _key(c: str) -> Column:
@@ -59,20 +60,50 @@ def conflict_preview(names: DataFrame, known: DataFrame, most: int = 5) -> DataF
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most).select("name", "rank", "id")
 
 
-def import_plan(incoming: DataFrame, known: DataFrame) -> DataFrame:
-    """incoming (name, hospital, cedula, tipo) against known: row by id number, else name and hospital, else every row of
-    the name; name, id (null: insert), matched_by, notes_prefix with the state before."""
-    new = incoming.withColumns({"_n": _key("name"), "_h": _key("hospital")})
-    have = known.withColumns({"_n": _key("nombre"), "_h": _key("hospital")})
-    num = new.filter(F.coalesce("cedula", F.lit("")) != "").join(have.select("cedula", "id", "tipo_reporte"), "cedula").withColumn("matched_by", F.lit("cedula"))
-    rest = new.join(num.select("name").distinct(), "name", "left_anti")
-    both = rest.join(have.select("_n", "_h", "id", "tipo_reporte"), ["_n", "_h"]).withColumn("matched_by", F.lit("nombre_hospital"))
-    rest = rest.join(both.select("name").distinct(), "name", "left_anti")
-    name = rest.join(have.select("_n", "id", "tipo_reporte"), "_n").withColumn("matched_by", F.lit("nombre"))
-    none = rest.join(name.select("name").distinct(), "name", "left_anti").select("name", F.lit(None).cast("long").alias("id"), F.lit("insert").alias("matched_by"), F.lit("").alias("notes_prefix"))
-    found = num.select("name", "id", "matched_by", "tipo", "tipo_reporte").unionByName(both.select("name", "id", "matched_by", "tipo", "tipo_reporte")).unionByName(name.select("name", "id", "matched_by", "tipo", "tipo_reporte"))
-    changed = F.when(F.col("tipo") != F.col("tipo_reporte"), F.concat(F.lit("[Estado anterior: "), "tipo_reporte", F.lit("] "))).otherwise("")
-    return found.select("name", "id", "matched_by", changed.alias("notes_prefix")).unionByName(none)
+def import_plan(incoming: DataFrame, known: DataFrame, key: str = "row_id") -> DataFrame:
+    """What importing each incoming row (key, nombre, hospital, cedula, tipo_reporte, notas) does to known: key, id (null:
+    a new row), matched_by, notas. The row of equal id number, else of equal name and hospital in any case, is updated if
+    its state may change; the smallest id of several counts. Without one, every row of the name whose state may change is
+    updated, with the state before and the old notes in its notes, and nothing is inserted if the name is known at all.
+    Rows without a name are skipped."""
+    new = incoming.select(key, *(F.coalesce(F.trim(c), F.lit("")).alias(c) for c in ("nombre", "hospital", "cedula")), F.col("tipo_reporte").alias("new_state"), F.col("notas").alias("new_notes"))
+    new = new.filter("nombre <> ''").withColumns({"_n": F.lower("nombre"), "_h": F.lower("hospital")})
+    have = known.withColumns({"_n": F.lower("nombre"), "_h": F.lower("hospital")})
+    first = F.min(F.struct("id", F.col("tipo_reporte").alias("state")))
+    by_number = have.filter(F.col("cedula").isNotNull()).groupBy("cedula").agg(first.alias("a"))
+    by_place = have.filter(F.col("_n").isNotNull() & F.col("_h").isNotNull()).groupBy("_n", "_h").agg(first.alias("b"))
+    hit = new.withColumn("cedula", F.nullif("cedula", F.lit(""))).withColumn("_h", F.nullif("_h", F.lit("")))
+    hit = hit.join(by_number, "cedula", "left").join(by_place, ["_n", "_h"], "left").withColumn("s", F.coalesce("a", "b"))
+    sure = hit.filter("s is not null").filter(may_change(F.col("s.state"), F.col("new_state")))
+    sure = sure.select(key, F.col("s.id").alias("id"), F.when(F.col("a").isNotNull(), "cedula").otherwise("nombre_hospital").alias("matched_by"), F.col("new_notes").alias("notas"))
+    rest = hit.filter("s is null").select(key, "_n", "new_state", "new_notes")
+    same = rest.join(have.select("_n", "id", F.col("tipo_reporte").alias("state"), F.col("notas").alias("old_notes")), "_n")
+    before = F.when(F.col("state").eqNullSafe(F.col("new_state")), "").otherwise(F.concat(F.lit("[Estado anterior: "), F.coalesce("state", F.lit("None")), F.lit("] ")))
+    notes = F.concat(strip(F.concat(before, F.coalesce("new_notes", F.lit("")))), F.when(F.coalesce("old_notes", F.lit("")) != "", F.concat(F.lit(" | "), "old_notes")).otherwise(""))
+    named = same.filter(may_change(F.col("state"), F.col("new_state"))).select(key, "id", F.lit("nombre").alias("matched_by"), notes.alias("notas"))
+    fresh = rest.join(have.select("_n").distinct(), "_n", "left_anti").select(key, F.lit(None).cast(dict(known.dtypes)["id"]).alias("id"), F.lit("insert").alias("matched_by"), F.col("new_notes").alias("notas"))
+    return sure.unionByName(named).unionByName(fresh)
+
+
+def once(rows: DataFrame, keys: list[str], order: str, any_case: bool = True) -> DataFrame:
+    """The first row by order of each composite key, in any case of letters or exactly; null counts as empty."""
+    made = {f"_k{i}": (F.upper if any_case else (lambda c: c))(F.coalesce(F.col(k), F.lit(""))) for i, k in enumerate(keys)}
+    first = rows.groupBy(*(v.alias(k) for k, v in made.items())).agg(F.min(F.struct(order, F.struct(*rows.columns).alias("row"))).alias("first"))
+    return first.select("first.row.*")
+
+
+def filled(old: DataFrame, new: DataFrame, key: str, column: str, origin: str, first: str, second: str) -> DataFrame:
+    """old (key, column, origin and more) completed by new (the same columns, of the origin second): an empty column is
+    filled, the origin first becomes both, and keys that old lacks are added."""
+    a = old.withColumn("_old", F.lit(True))
+    b = new.select(key, *(F.col(c).alias(f"_n_{c}") for c in new.columns if c != key)).withColumn("_new", F.lit(True))
+    both = a.join(b, key, "full")
+    known, met = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    value = F.when(known & (F.coalesce(F.col(column), F.lit("")) == "") & met, F.col(f"_n_{column}")).when(known, F.col(column)).otherwise(F.col(f"_n_{column}"))
+    source = F.when(known & met & (F.col(origin) == first), f"{first} + {second}").when(known, F.col(origin)).otherwise(second)
+    others = [c for c in old.columns if c not in (key, column, origin)]
+    kept = [F.when(known, F.col(c)).otherwise(F.col(f"_n_{c}") if c in new.columns else F.lit(None)).alias(c) for c in others]
+    return both.select(key, *kept, value.alias(column), source.alias(origin))
 
 
 def resume(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:

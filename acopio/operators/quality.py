@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.compare import compare_names
 from ..functions.status import suggested_status
 from ..functions.text import digits, normalize_place, strip
 
@@ -48,6 +49,11 @@ def same_as(name: Column, other: Column) -> Column:
     return (F.upper(F.trim(name)) == F.upper(F.trim(other))) & (F.trim(other) != "")
 
 
+def in_wrong_column(name: Column, hospital: Column, city: Column) -> Column:
+    """The name is the row's hospital or city."""
+    return F.coalesce(same_as(name, hospital), F.lit(False)) | F.coalesce(same_as(name, city), F.lit(False))
+
+
 def invalid_age(age: Column) -> Column:
     """Given, and not a whole number from 0 to 120."""
     plain = strip(age)
@@ -71,9 +77,20 @@ def id_reasons(id_number: Column) -> Column:
 
 
 def shared_ids(df: DataFrame, id_number: str = "cedula", name: str = "nombre") -> DataFrame:
-    """Id numbers under several names: id_digits, names, n_names."""
-    named = df.filter(F.col(id_number).isNotNull() & F.col(name).isNotNull()).select(digits(F.col(id_number)).alias("id_digits"), name).distinct()
-    return named.groupBy("id_digits").agg(F.array_join(F.sort_array(F.collect_list(name)), "|").alias("names"), F.count(F.lit(1)).alias("n_names")).filter("n_names > 1")
+    """Id numbers under clearly different names, a row for each name: id_digits, nombre, n_names. Two names that are alike
+    are taken for one person's; three and more are always reported."""
+    named = shared_names(df, id_number, name)
+    pairs = named.groupBy("id_digits").agg(F.min("nombre").alias("a"), F.max("nombre").alias("b"), F.max("n_names").alias("n")).filter("n = 2")
+    alike = compare_names(pairs, "a", "b").filter("category <> 'no_coincide'")
+    return named.join(alike.select("id_digits"), "id_digits", "left_anti")
+
+
+def shared_names(df: DataFrame, id_number: str = "cedula", name: str = "nombre") -> DataFrame:
+    """Id numbers under several names, alike or not, a row for each name: id_digits, nombre, n_names."""
+    given = df.filter((F.coalesce(F.col(id_number), F.lit("")) != "") & F.col(name).isNotNull())
+    named = given.select(digits(F.col(id_number)).alias("id_digits"), F.col(name).alias("nombre")).distinct()
+    several = named.groupBy("id_digits").agg(F.count(F.lit(1)).alias("n_names")).filter("n_names > 1")
+    return named.join(several, "id_digits").select("id_digits", "nombre", "n_names")
 
 
 def invalid_phones(df: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
@@ -96,7 +113,10 @@ def mojibake(df: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
 
 
 def literal_duplicates(df: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list(key)), ",").alias("ids")).filter("n > 1")
+    """Rows that are alike in all of columns, nulls among them: the key of each, first_id (its group's smallest) and n."""
+    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_id")).filter("n > 1")
+    same = reduce(lambda a, b: a & b, (df[c].eqNullSafe(groups[c]) for c in columns))
+    return df.join(groups, same).select(df[key], groups["first_id"], groups["n"])
 
 
 def id_coverage(df: DataFrame, id_number: str = "cedula") -> DataFrame:

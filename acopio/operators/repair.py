@@ -52,14 +52,43 @@ def apply_changes(people: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def validated(people: DataFrame, registry: DataFrame) -> DataFrame:
-    """id, category, official, score of each row with an id number against the registry (cedula, nombre)."""
-    rows = people.filter(digits(F.col("cedula")) != "").withColumn("_d", digits(F.col("cedula")))
-    found = rows.join(registry.select(F.col("cedula").alias("_d"), F.col("nombre").alias("official")), "_d", "left")
+    """id, category, official, score of each row with an id number against the registry (cedula, its key, and nombre);
+    entries without a name count as missing."""
+    rows = people.filter(F.coalesce("cedula", F.lit("")) != "").withColumn("_d", digits(F.col("cedula")))
+    named = registry.filter(F.coalesce("nombre", F.lit("")) != "")
+    found = rows.join(named.select(F.col("cedula").alias("_d"), F.col("nombre").alias("official")), "_d", "left")
     out = compare_names(found, "nombre", "official")
     missing = F.col("official").isNull()
     return out.select("id", F.when(missing, "sin_registro").otherwise(F.col("category")).alias("category"), "official", F.when(~missing, F.col("score")).alias("score"))
 
 
+def with_validation(people: DataFrame, checked: DataFrame) -> DataFrame:
+    """people with what validated() found written to cedula_validacion, cedula_nombre_oficial and cedula_similitud; rows
+    that were not checked keep what they have."""
+    new = checked.select("id", F.col("category").alias("_v"), F.col("official").alias("_o"), F.col("score").alias("_s"))
+    out, names = people.join(new, "id", "left"), {"cedula_validacion": ("_v", "string"), "cedula_nombre_oficial": ("_o", "string"), "cedula_similitud": ("_s", "double")}
+    for name, (c, kind) in names.items():
+        old = F.col(name).cast(kind) if name in people.columns else F.lit(None).cast(kind)
+        out = out.withColumn(name, F.when(F.col("_v").isNotNull(), F.col(c)).otherwise(old))
+    return out.drop("_v", "_o", "_s")
+
+
+def lookup(wanted: DataFrame, *registries: DataFrame, key: str = "cedula") -> DataFrame:
+    """wanted (key) with the fields of the first registry that has the key, and found. The registries have the key once
+    each and the same fields."""
+    fields = [c for c in registries[0].columns if c != key]
+    out = wanted.select(key)
+    for i, r in enumerate(registries):
+        out = out.join(r.select(key, F.struct(*fields).alias(f"_r{i}")), key, "left")
+    first = F.coalesce(*(F.col(f"_r{i}") for i in range(len(registries))))
+    return out.select(key, first.isNotNull().alias("found"), *(first[c].alias(c) for c in fields))
+
+
+def name_search(registry: DataFrame, part: str, most: int = 50) -> DataFrame:
+    """Entries whose name holds the part in any case, those of the smallest keys first."""
+    return registry.filter(F.upper("nombre").contains(part.upper())).orderBy("cedula").limit(most)
+
+
 def validation_stats(rows: DataFrame) -> DataFrame:
     """Rows of each category, zeros among them."""
     kinds = rows.sparkSession.createDataFrame([(k,) for k in ("exacta", "exacta_reordenada", "fonetica", "no_coincide", "sin_registro")], "category string")

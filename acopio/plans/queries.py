@@ -46,16 +46,18 @@ _PEOPLE = {
     "foto_url": "CASE WHEN doc_id % 2 = 0 THEN concat('http://fotos/', CAST(doc_id % 40 AS STRING)) ELSE 'data:image/png;base64,AAAA' END",
     "notas": "CASE WHEN doc_id % 8 = 0 THEN 'JosÃ© &amp; familia' WHEN doc_id % 8 = 1 THEN 'sin novedad' ELSE NULL END",
 }
-_NAME = r"^[^ \n]+( [^ \n]+)?( [^ \n]+)?"
+#: A name: the first words of a text; of some texts all of the first line that a name's column holds.
+_NAME, _LINE = r"^[^ \n]+( [^ \n]+)?( [^ \n]+)?", r"^[^\n]{1,512}"
+_WHO = "CASE WHEN doc_id % 13 = 0 THEN concat(regexp_extract(text, '{name}', 0), ' 7') WHEN doc_id % 17 = 0 THEN 'Persona sin datos' WHEN doc_id % 19 = 0 THEN regexp_extract(text, '{line}', 0) WHEN doc_id % 23 = 0 THEN lang WHEN doc_id % 29 = 0 THEN 'N/A' ELSE regexp_extract(text, '{name}', 0) END"
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").filter("text is not null")
-    name = F.regexp_extract("text", _NAME, 0)
-    return docs.select(F.when(F.col("doc_id") % 13 == 0, F.concat(name, F.lit(" 7"))).when(F.col("doc_id") % 17 == 0, F.lit("Persona sin datos")).otherwise(name).alias("nombre"), *(F.expr(e).alias(c) for c, e in _PEOPLE.items()))
+    who = _WHO.format(name=_NAME.replace("\\n", "\\\\n"), line=_LINE.replace("\\n", "\\\\n"))
+    return docs.select(F.expr(who).alias("nombre"), *(F.expr(e).alias(c) for c, e in _PEOPLE.items()))
 
 
-_P = "WITH people AS (SELECT CASE WHEN doc_id % 13 = 0 THEN concat(regexp_extract(text, '" + _NAME.replace(r"\n", "\\n") + "', 0), ' 7') WHEN doc_id % 17 = 0 THEN 'Persona sin datos' ELSE regexp_extract(text, '" + _NAME.replace(r"\n", "\\n") + "', 0) END AS nombre, " + ", ".join(f"{e.replace('AS STRING', 'AS VARCHAR')} AS {c}" for c, e in _PEOPLE.items()) + " FROM documents WHERE text IS NOT NULL)"
+_P = "WITH people AS (SELECT " + _WHO.format(name=_NAME, line=_LINE) + " AS nombre, " + ", ".join(f"{e.replace('AS STRING', 'AS VARCHAR')} AS {c}" for c, e in _PEOPLE.items()) + " FROM documents WHERE text IS NOT NULL)"
 _NORM = "upper(trim(regexp_replace(strip_accents({}), '[^a-zA-Z]+', ' ', 'g')))"
 _PLACE = r"trim(regexp_replace(regexp_replace(upper(coalesce({}, '')), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 
@@ -72,7 +74,7 @@ _TOKENS = "list_filter(string_split(norm, ' '), lambda t: t <> '')"
 _N = f"{_P}, norms AS (SELECT *, {_NORM.format('nombre')} AS norm FROM people WHERE coalesce(nombre, '') <> ''), toks AS (SELECT *, {_TOKENS} AS tk FROM norms)"
 _CODES = f"{_N}, coded AS (SELECT *, list_transform(tk, lambda t: {_sound('t')}) AS cs FROM toks)"
 _BLOCKS = f"{_CODES}, freqs AS (SELECT *, cs[1] AS code, count(*) OVER (PARTITION BY cs[1]) AS freq FROM coded WHERE coalesce(cs[1], '') <> ''), blocks AS (SELECT *, CASE WHEN freq <= {{split}} THEN code ELSE concat(code, ':', CASE WHEN coalesce(cs[2], '') = '' THEN '(sin_segundo)' ELSE substr(cs[2], 1, 3) END) END AS block_key FROM freqs)"
-_SPLIT = 60
+_BLOCKS_60 = _BLOCKS.replace("{split}", "60")
 
 
 @query("WITH o AS (SELECT doc_id, sha256(coalesce(text, '')) AS checksum, row_number() OVER (PARTITION BY sha256(coalesce(text, '')) ORDER BY doc_id) = 1 AS is_new FROM documents) SELECT * FROM o")
@@ -142,12 +144,12 @@ def phonetic_codes(spark, sf_dir):
     return rows.select("id", F.array_join(F.transform(text.name_tokens(F.col("norm")), text.phonetic_code), " ").alias("codes"), F.size("codes").cast("long").alias("n_codes"))
 
 
-@query(f"{_BLOCKS.format(split=_SPLIT)} SELECT id, block_key, freq FROM blocks")
+@query(f"{_BLOCKS_60} SELECT id, block_key, freq FROM blocks")
 def block_keys(spark, sf_dir):
     return linkage.blocked(people(spark, sf_dir)).select("id", "block_key", "freq")
 
 
-@query(f"{_BLOCKS.format(split=_SPLIT)} SELECT block_key, count(*) AS n, CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS pairs FROM blocks GROUP BY 1")
+@query(f"{_BLOCKS_60} SELECT block_key, count(*) AS n, CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS pairs FROM blocks GROUP BY 1")
 def pair_estimate(spark, sf_dir):
     return linkage.block_stats(linkage.blocked(people(spark, sf_dir)))
 
@@ -157,7 +159,20 @@ def block_histogram(spark, sf_dir):
     return linkage.block_histogram(people(spark, sf_dir))
 
 
-_PAIRS = f"""{_BLOCKS.format(split=_SPLIT)}, r AS (SELECT *, list_distinct(cs) AS cd, {_PLACE.format('hospital')} AS place, CASE WHEN regexp_matches(edad, '^\\s*[+-]?\\d+\\s*$') THEN try_cast(trim(edad) AS INTEGER) END AS age FROM blocks),
+_SIZES = f"{_CODES}, s AS (SELECT cs[1] AS code, count(*) AS n FROM coded WHERE coalesce(cs[1], '') <> '' GROUP BY 1)"
+
+
+@query(f"{_SIZES} SELECT code, n FROM s WHERE n > 60 ORDER BY n DESC, code LIMIT 15")
+def largest_blocks(spark, sf_dir):
+    return linkage.largest_blocks(people(spark, sf_dir))
+
+
+@query(f"{_SIZES} SELECT count(*) AS blocks, count(*) FILTER (WHERE n BETWEEN 2 AND 60) AS comparable, count(*) FILTER (WHERE n BETWEEN 2 AND 60) <= 500 AS covered, greatest(count(*) FILTER (WHERE n BETWEEN 2 AND 60) - 500, 0) AS left_out FROM s")
+def block_coverage(spark, sf_dir):
+    return linkage.block_coverage(people(spark, sf_dir))
+
+
+_PAIRS = f"""{_BLOCKS_60}, r AS (SELECT *, list_distinct(cs) AS cd, {_PLACE.format('hospital')} AS place, CASE WHEN regexp_matches(edad, '^\\s*[+-]?\\d+\\s*$') THEN try_cast(trim(edad) AS INTEGER) END AS age FROM blocks),
 near AS (SELECT a.id AS id_a, b.id AS id_b, CAST(len(list_intersect(a.cd, b.cd)) AS DOUBLE) / least(len(a.cd), len(b.cd)) AS c FROM r a JOIN r b ON a.block_key = b.block_key AND a.id < b.id AND lower(trim(a.nombre)) <> lower(trim(b.nombre)) AND a.place = b.place AND (a.age IS NULL OR b.age IS NULL OR abs(a.age - b.age) <= 2))"""
 
 
@@ -194,7 +209,8 @@ def top_candidates(spark, sf_dir):
 @query("SELECT o_orderkey, c_name, c_name IS NULL AS missing FROM orders LEFT JOIN customer ON o_custkey + 100 = c_custkey")
 def registry_left_lookup(spark, sf_dir):
     known = table(spark, sf_dir, "customer").select((F.col("c_custkey") - 100).alias("o_custkey"), "c_name")
-    return table(spark, sf_dir, "orders").join(known, "o_custkey", "left").select("o_orderkey", "c_name", F.col("c_name").isNull().alias("missing"))
+    found = repair.lookup(table(spark, sf_dir, "orders").select("o_custkey").distinct(), known, key="o_custkey")
+    return table(spark, sf_dir, "orders").join(found, "o_custkey").select("o_orderkey", "c_name", (~F.col("found")).alias("missing"))
 
 
 @query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
@@ -204,7 +220,8 @@ def resume_anti(spark, sf_dir):
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
 def run_files_join(spark, sf_dir):
-    return table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    runs = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("checksum"), "o_orderstatus")
+    return content.files_of(runs, table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("checksum"))).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _split_people(spark, sf_dir):
@@ -240,17 +257,25 @@ def replace_merge(spark, sf_dir):
     return merge.replaced(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")), table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name")), "k")
 
 
-@query("WITH n AS (SELECT DISTINCT p_name AS name, lower(trim(p_name)) AS k FROM part WHERE p_partkey % 50 = 0), h AS (SELECT name, row_number() OVER (PARTITION BY name ORDER BY p_partkey) AS rank, p_partkey AS id FROM n JOIN part ON lower(trim(p_name)) = k) SELECT * FROM h WHERE rank <= 5")
+@query("WITH n AS (SELECT DISTINCT p_name AS name, lower(trim(p_name)) AS k FROM part), h AS (SELECT name, row_number() OVER (PARTITION BY name ORDER BY p_partkey) AS rank, p_partkey AS id FROM n JOIN part ON lower(trim(p_name)) = k) SELECT * FROM h WHERE rank <= 5")
 def conflict_preview(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    return merge.conflict_preview(part.filter("p_partkey % 50 = 0").select(F.col("p_name").alias("name")), part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("nombre")))
+    return merge.conflict_preview(part.select(F.col("p_name").alias("name")), part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("nombre")))
 
 
-@query()
+_MAY = "(k.tipo_reporte IS NULL OR k.tipo_reporte = 'desaparecido' OR (k.tipo_reporte <> 'fallecido' AND n.tipo_reporte <> 'desaparecido'))"
+
+
+@query(f"""{_P}, n AS (SELECT id AS row_id, trim(nombre) AS nombre, coalesce(trim(hospital), '') AS hospital, coalesce(trim(cedula), '') AS cedula, tipo_reporte, concat('nota ', id) AS notas FROM people WHERE id % 3 = 0 AND trim(coalesce(nombre, '')) <> ''), k AS (SELECT * FROM people WHERE id % 3 <> 0),
+a AS (SELECT cedula, min(id) AS id FROM k WHERE cedula <> '' GROUP BY 1), b AS (SELECT lower(nombre) AS x, lower(hospital) AS y, min(id) AS id FROM k WHERE hospital <> '' GROUP BY 1, 2),
+h AS (SELECT n.*, a.id AS m1, b.id AS m2 FROM n LEFT JOIN a ON a.cedula = n.cedula LEFT JOIN b ON b.x = lower(n.nombre) AND b.y = lower(n.hospital))
+SELECT row_id, k.id, CASE WHEN m1 IS NOT NULL THEN 'cedula' ELSE 'nombre_hospital' END AS matched_by, n.notas FROM h n JOIN k ON k.id = coalesce(m1, m2) WHERE {_MAY}
+UNION ALL SELECT row_id, k.id, 'nombre', concat(CASE WHEN k.tipo_reporte = n.tipo_reporte THEN '' ELSE concat('[Estado anterior: ', k.tipo_reporte, '] ') END, n.notas, CASE WHEN coalesce(k.notas, '') <> '' THEN concat(' | ', k.notas) ELSE '' END) FROM h n JOIN k ON lower(k.nombre) = lower(n.nombre) WHERE coalesce(m1, m2) IS NULL AND {_MAY}
+UNION ALL SELECT row_id, NULL, 'insert', n.notas FROM h n WHERE coalesce(m1, m2) IS NULL AND lower(n.nombre) NOT IN (SELECT lower(nombre) FROM k WHERE nombre IS NOT NULL)""")
 def import_plan(spark, sf_dir):
-    new, known = _split_people(spark, sf_dir)
-    named = new.groupBy(F.col("nombre").alias("name")).agg(*(F.min(c).alias(a) for c, a in (("hospital", "hospital"), ("cedula", "cedula"), ("tipo_reporte", "tipo"))))
-    return merge.import_plan(named, known)
+    rows = people(spark, sf_dir)
+    new = rows.filter("id % 3 = 0").select(F.col("id").alias("row_id"), "cedula", "nombre", "hospital", "tipo_reporte", F.concat(F.lit("nota "), F.col("id").cast("string")).alias("notas"))
+    return merge.import_plan(new, rows.filter("id % 3 <> 0"))
 
 
 _RUNS = "WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS files FROM events GROUP BY 1, 2), r AS (SELECT *, CASE WHEN extract(day FROM day) % 5 = 0 THEN 'failed' ELSE 'success' END AS status FROM d)"
@@ -284,11 +309,11 @@ def _rule(name: str, predicate, sql: str) -> None:
 
 
 _rule("quality_consonant_runs", lambda r: quality.consonant_runs(F.col("nombre")), "regexp_matches(lower(nombre), '[bcdfghjklmnpqrstvwxyzñ]{4,}')")
-_rule("quality_no_context", lambda r: quality.no_context(r.select("sexo", "hospital")), "coalesce(sexo, '') = '' AND coalesce(hospital, '') = ''")
+_rule("quality_no_context", lambda r: quality.no_context(r.drop("ciudad", "foto_url")), "coalesce(edad, '') = '' AND coalesce(cedula, '') = '' AND coalesce(sexo, '') = '' AND coalesce(hospital, '') = '' AND coalesce(telefono_familiar, '') = '' AND coalesce(notas, '') = ''")
 _rule("quality_digits", lambda r: quality.has_digits(F.col("nombre")), "regexp_matches(nombre, '[0-9]')")
-_rule("quality_long_names", lambda r: quality.too_long(F.col("nombre"), 30), "length(nombre) > 30")
-_rule("quality_placeholders", lambda r: quality.placeholder(F.col("nombre")), r"regexp_matches(lower(nombre), '\bdesconocid[oa]\b|\bsin\s+apellido\b|\btest\b|\bprueba\b|\bxxx\b|\bsin\s+nombre\b|\bsin\s+datos\b|\beliminad[oa]\b')")
-_rule("quality_same_as_place", lambda r: quality.same_as(F.lit(" EN"), F.col("ciudad")), "upper(trim(' EN')) = upper(trim(ciudad)) AND trim(ciudad) <> ''")
+_rule("quality_long_names", lambda r: quality.too_long(F.col("nombre")), "length(nombre) > 100")
+_rule("quality_placeholders", lambda r: quality.placeholder(F.col("nombre")), r"regexp_matches(lower(nombre), '\bdesconocid[oa]\b|\bsin\s+apellido\b|\bn/?a\b|\btest\b|\bprueba\b|\bxxx\b|\bsin\s+nombre\b|\bsin\s+datos\b|\beliminad[oa]\b')")
+_rule("quality_same_as_place", lambda r: quality.in_wrong_column(F.col("nombre"), F.col("hospital"), F.col("ciudad")), "coalesce(upper(trim(nombre)) = upper(trim(hospital)) AND trim(hospital) <> '', false) OR coalesce(upper(trim(nombre)) = upper(trim(ciudad)) AND trim(ciudad) <> '', false)")
 _rule("integrity_age", lambda r: quality.invalid_age(F.col("edad")), r"trim(edad) <> '' AND NOT (regexp_matches(trim(edad), '^[+-]?\d+$') AND coalesce(try_cast(trim(edad) AS BIGINT) BETWEEN 0 AND 120, false))")
 
 
@@ -307,7 +332,12 @@ def integrity_ids(spark, sf_dir):
     return people(spark, sf_dir).select("id", quality.id_reasons(F.col("cedula")).alias("reasons")).filter("reasons is not null")
 
 
-@query(f"{_P}, d AS (SELECT DISTINCT regexp_replace(coalesce(cedula, ''), '[^0-9]', '', 'g') AS id_digits, nombre FROM people WHERE cedula IS NOT NULL) SELECT id_digits, string_agg(nombre, '|' ORDER BY nombre) AS names, count(*) AS n_names FROM d GROUP BY 1 HAVING count(*) > 1")
+@query(f"{_P}, d AS (SELECT DISTINCT regexp_replace(cedula, '[^0-9]', '', 'g') AS id_digits, nombre FROM people WHERE coalesce(cedula, '') <> '' AND nombre IS NOT NULL), c AS (SELECT id_digits, count(*) AS n_names FROM d GROUP BY 1 HAVING count(*) > 1) SELECT id_digits, nombre, n_names FROM d JOIN c USING (id_digits)")
+def shared_id_names(spark, sf_dir):
+    return quality.shared_names(people(spark, sf_dir))
+
+
+@query()
 def integrity_shared_ids(spark, sf_dir):
     return quality.shared_ids(people(spark, sf_dir))
 
@@ -332,9 +362,9 @@ def mojibake_scan(spark, sf_dir):
     return quality.mojibake(people(spark, sf_dir), ["notas", "estado"])
 
 
-@query(f"{_P} SELECT sexo, ciudad, tipo_reporte, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM people GROUP BY 1, 2, 3 HAVING count(*) > 1")
+@query(f"{_P}, g AS (SELECT id, min(id) OVER w AS first_id, count(*) OVER w AS n FROM people WINDOW w AS (PARTITION BY nombre, edad, sexo, hospital, ciudad, tipo_reporte, estado)) SELECT * FROM g WHERE n > 1")
 def literal_duplicates(spark, sf_dir):
-    return quality.literal_duplicates(people(spark, sf_dir), ["sexo", "ciudad", "tipo_reporte"])
+    return quality.literal_duplicates(people(spark, sf_dir), ["nombre", "edad", "sexo", "hospital", "ciudad", "tipo_reporte", "estado"])
 
 
 @query(f"{_P} SELECT count(*) AS n_rows, count(*) FILTER (WHERE length(regexp_replace(coalesce(cedula, ''), '[^0-9]', '', 'g')) BETWEEN 6 AND 9) AS with_id, round(count(*) FILTER (WHERE length(regexp_replace(coalesce(cedula, ''), '[^0-9]', '', 'g')) BETWEEN 6 AND 9) * 100.0 / count(*), 6) AS percent FROM people")
@@ -351,8 +381,7 @@ _VARIANTS = "SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN concat('R
 
 
 def _variants(spark, sf_dir):
-    table(spark, sf_dir, "part").createOrReplaceTempView("acopio_part")
-    return spark.sql(_VARIANTS.replace("FROM part", "FROM acopio_part")).withColumn("notas", F.lit("n"))
+    return spark.sql(_VARIANTS.replace("FROM part", "FROM {part}"), part=table(spark, sf_dir, "part")).withColumn("notas", F.lit("n"))
 
 
 @query(f"WITH v AS ({_VARIANTS}), s AS (SELECT *, trim(string_split(nombre, '/')[1]) AS f, length(trim(string_split(nombre, '/')[2])) AS l FROM v) SELECT id, nombre, CASE id % 5 WHEN 1 THEN 'posible_inyeccion' WHEN 2 THEN 'mensaje_multiple' WHEN 3 THEN 'notas_administrativas' ELSE CASE WHEN length(regexp_replace(f, '[^A-Za-zÀ-ÿ]', '', 'g')) <= 2 OR length(f) * 10 < l * 4 OR contains(lower(f), 'ilegible') THEN 'canonico_sospechoso' ELSE 'variantes_ocr' END END AS class FROM s")
@@ -395,3 +424,6 @@ def name_comparison(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of probable duplicates with their sizes and pairs."""
     return pair_estimate(spark, sf_dir)
+
+
+from . import source_queries as _sources  # noqa: E402, F401  registers its queries

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,20 +15,26 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where none is named, as in tests."""
+    """The folder named by spark.checkpoint.dir. Where none is named a local master gets a temporary one, as in tests; a
+    cluster must name one, as its executors do not see each other's folders."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="acopio-"))
     return _own_dir[0]
 
 
 class Scratch:
-    """Tables of one run: they cut lineage and outlive lost executors."""
+    """Tables of one run: they cut lineage and outlive lost executors. Its folder goes when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/acopio/{name}-{uuid.uuid4().hex}"
+        path, system = self._at("")
+        system.mkdirs(path)
+        system.deleteOnExit(path)  # results are read lazily, so their tables must outlive the call
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Runs df once, frees its shuffle files and gives the table to read."""
@@ -50,5 +57,9 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Deletes a table that nothing reads any more."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, system = self._at(name)
+        system.delete(path, True)
+
+    def _at(self, name: str) -> tuple:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import decode_entities, iso_date, strip
+
 _RECORDS = "array<map<string,string>>"
 
 
@@ -45,45 +47,62 @@ def nested_rows(text: Column, rows: str, parent: dict[str, str]) -> Column:
     return F.transform(F.from_json(F.get_json_object(text, f"$.{rows}"), _RECORDS), lambda r: F.map_concat(r, extra))
 
 
+def _element(name: str, inside: str = ".*?") -> str:
+    """A pattern of an XML element of a local name, under any prefix; its group is what is inside."""
+    return rf"(?s)<(?:[\w.-]+:)?{name}(?:\s[^>]*)?>({inside})</(?:[\w.-]+:)?{name}\s*>"
+
+
 def pfif_records(text: Column) -> Column:
-    """person elements of a PFIF document; note_ fields come from the first note."""
+    """person elements of a PFIF document under any prefix; note_ fields come from the first note."""
     fields = ["person_record_id", "full_name", "age", "photo_url", "source_name"]
     notes = ["status", "text"]
-    people = F.regexp_extract_all(text, F.lit(r"(?s)<pfif:person>(.*?)</pfif:person>"), F.lit(1))
 
     def one(p: Column) -> Column:
-        head = F.regexp_replace(p, r"(?s)<pfif:note>.*?</pfif:note>", "")
-        note = F.regexp_extract(p, r"(?s)<pfif:note>(.*?)</pfif:note>", 1)
-        get = lambda where, name: F.regexp_extract(where, rf"(?s)<pfif:{name}>(.*?)</pfif:{name}>", 1)
+        head = F.regexp_replace(p, _element("note"), "")
+        note = F.regexp_extract(p, _element("note"), 1)
+        get = lambda where, name: decode_entities(F.regexp_extract(where, _element(name, "[^<]*"), 1))
         return F.create_map(*(x for f in fields for x in (F.lit(f), get(head, f))), *(x for f in notes for x in (F.lit(f"note_{f}"), get(note, f))))
 
-    return F.transform(people, one)
+    return F.transform(F.regexp_extract_all(text, F.lit(_element("person")), F.lit(1)), one)
+
 
+def tag(name: str, css: str | None = None) -> str:
+    """A pattern of an opening tag, of a class if one is given, whatever its other attributes are."""
+    return rf"<{name}\b" + (rf"(?=[^>]*\bclass\s*=\s*[\"'][^\"'>]*(?<![\w-]){css}(?![\w-]))" if css else "") + "[^>]*>"
 
-def card_records(text: Column, card: str, key_value: str, heads: dict[str, str]) -> Column:
-    """HTML cards: card matches one (group 1 its inside), key_value its labelled fields (groups 1, 2; keys are
-    lower-cased, the last of a key wins), heads further fields by a pattern each (group 1)."""
-    cards = F.regexp_extract_all(text, F.lit(card), F.lit(1))
+
+def card_records(text: Column, card: tuple[str, str], label: tuple[str, str | None], value: tuple[str, str | None], heads: dict[str, str]) -> Column:
+    """HTML cards, elements (name, class), as maps: the text of each label element, lower-case, with that of the value
+    element after it (the last of a label wins); heads: further fields, each by a pattern over the whole card whose
+    group is the text."""
+    cards = F.regexp_extract_all(text, F.lit(f"(?is){tag(*card)}.*?</{card[0]}\\s*>"), F.lit(0))
+    pair = F.lit(f"(?is){tag(*label)}([^<]*)</{label[0]}\\s*>\\s*{tag(*value)}([^<]*)<")
 
     def one(c: Column) -> Column:
-        keys, values = (F.transform(F.regexp_extract_all(c, F.lit(key_value), F.lit(k)), lambda x: F.trim(x)) for k in (1, 2))
+        keys, values = (F.transform(F.regexp_extract_all(c, pair, F.lit(k)), strip) for k in (1, 2))
         pairs = F.arrays_zip(F.transform(keys, F.lower).alias("k"), values.alias("v"))
-        last = F.filter(pairs, lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["k"] == e["k"]))
-        named = [F.struct(F.lit(f"#{n}").alias("k"), F.trim(F.regexp_extract(c, p, 1)).alias("v")) for n, p in heads.items()]
+        last = F.filter(pairs, lambda e, i: (e["k"] != "") & ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["k"] == e["k"]))
+        named = [F.struct(F.lit(f"#{n}").alias("k"), strip(F.regexp_extract(c, p, 1)).alias("v")) for n, p in heads.items()]
         return F.map_from_entries(F.concat(last, F.array(*named)))
 
     return F.transform(cards, one)
 
 
+def longest_line(text: Column) -> Column:
+    lines = F.split(text, "\r\n|\n|\r")
+    longest = F.array_max(F.transform(lines, F.length))
+    return F.get(F.filter(lines, lambda x: F.length(x) == longest), F.lit(0))
+
+
 def stream_records(text: Column) -> Column:
     """People of a component stream: flat or once-nested objects with a firstName. A hospital object becomes
     hospital.name and hospital.location; a reference ($...) counts as none."""
-    objects = F.regexp_extract_all(text, F.lit(r'(\{[^{}]*"firstName"(?:[^{}]|\{[^{}]*\})*\})'), F.lit(1))
+    objects = F.regexp_extract_all(text, F.lit(r'\{[^{}]*"firstName"(?:[^{}]|\{[^{}]*\})*\}'), F.lit(0))
 
     def one(o: Column) -> Column:
         flat = F.from_json(o, "map<string,string>")
         get = lambda p: F.coalesce(F.get_json_object(o, p), F.lit(""))
-        return F.map_concat(F.map_filter(flat, lambda k, v: (k != "hospital") & v.isNotNull()), F.create_map(F.lit("hospital.name"), get("$.hospital.name"), F.lit("hospital.location"), get("$.hospital.location")))
+        return F.map_concat(F.map_filter(flat, lambda k, v: (k != "hospital") & v.isNotNull()), F.create_map(F.lit("hospital.name"), get("$.hospital.name"), F.lit("hospital.location"), get("$.hospital.location"), F.lit("hospital.known"), F.when(get("$.hospital").startswith("{"), "yes").otherwise("")))
 
     return F.transform(objects, one)
 
@@ -91,13 +110,15 @@ def stream_records(text: Column) -> Column:
 _ROWS = pa.schema([("url", pa.string()), ("at", pa.int32()), ("record", pa.map_(pa.string(), pa.string())), ("error", pa.string())])
 
 
-def csv_records(files: DataFrame, marker: str | None) -> DataFrame:
+def csv_records(files: DataFrame, marker: str | None, case: str | None = None) -> DataFrame:
     """url, at, record, error of CSV files. The header is the first row with a cell that holds the marker, or without a
-    marker the first row of three or more non-empty cells under 60 characters, else row 0; short rows are padded."""
+    marker the first row of three or more non-empty cells, all under 60 characters, else row 0; short rows are padded.
+    case: "upper" or "lower" for the names. A column label of files goes into each record as _sheet."""
+    labelled = "label" in files.columns
 
     def header(rows: list[list[str]]) -> int | None:
         for i, row in enumerate(rows):
-            cells = [c.strip() for c in row if c.strip()]
+            cells = [c for c in row if c.strip()]
             if any(marker in c.upper() for c in cells) if marker else len(cells) >= 3 and all(len(c) < 60 for c in cells):
                 return i
         return None if marker else 0
@@ -110,19 +131,22 @@ def csv_records(files: DataFrame, marker: str | None) -> DataFrame:
                 for n, v in zip(_ROWS.names, values, strict=True):
                     out[n].append(v)
 
-            for url, body in zip(batch.column("url").to_pylist(), batch.column("body").to_pylist(), strict=True):
+            labels = batch.column("label").to_pylist() if labelled else [None] * batch.num_rows
+            for url, body, label in zip(batch.column("url").to_pylist(), batch.column("body").to_pylist(), labels, strict=True):
+                more = {"_sheet": label or "unknown"}
                 try:
                     rows = list(csv.reader(io.StringIO(body.decode("utf-8-sig"), newline="")))
                     top = header(rows)
-                    names = [c.strip() for c in rows[top]] if top is not None and rows else []
+                    names = [getattr(c.strip(), case)() if case else c.strip() for c in rows[top]] if top is not None and rows else []
                     for k, row in enumerate(rows[top + 1 :] if names else []):
                         if any(c.strip() for c in row):
-                            put(url, k, [(n, c.strip()) for n, c in dict(zip(names, row + [""] * len(names), strict=False)).items() if n], None)
+                            record = {n: c.strip() for n, c in zip(names, row + [""] * len(names), strict=False) if n}
+                            put(url, k, list((record | more).items()), None)
                 except (UnicodeDecodeError, csv.Error, AttributeError) as e:
                     put(url, None, None, type(e).__name__)
             yield pa.RecordBatch.from_pydict(out, schema=_ROWS)
 
-    return files.select("url", "body").mapInArrow(run, "url string, at int, record map<string,string>, error string")
+    return files.select("url", "body", *["label"] * labelled).mapInArrow(run, "url string, at int, record map<string,string>, error string")
 
 
 def exploded(files: DataFrame, records: Column) -> DataFrame:
@@ -132,7 +156,12 @@ def exploded(files: DataFrame, records: Column) -> DataFrame:
 
 
 def numbered_list(text: Column) -> Column:
-    """name, place, date of a line such as ``12. Name (Place, 28-06-26)``; null of others."""
-    pattern = r"^\d+\.\s+(.*?)\s+\(([^,]+),\s*([\d-]+)\)\s*$"
-    part = lambda k: F.nullif(F.regexp_extract(text, pattern, k), F.lit(""))
-    return F.struct(part(1).alias("name"), part(2).alias("place"), F.regexp_replace(part(3), r"^(\d\d)-(\d\d)-(\d\d)$", "20$3-$2-$1").alias("date"))
+    """name, place, date of a line such as ``12. Name (Place, 28-06-26)``, null of others: the number ends at the first
+    dot, the place begins after the first bracket that a comma and a date alone follow."""
+    line = strip(text)
+    rest = F.substr(line, F.locate(".", line) + 1)
+    inside = F.regexp_extract(rest, r"[ \t]+[(]([^,]+,[ \t]*[0-9-]+)[)]$", 1)
+    name = strip(F.substr(rest, F.lit(1), F.length(rest) - F.length(inside) - 2))
+    good = F.substring_index(line, ".", 1).rlike("^[0-9]+$") & (inside != "") & rest.rlike(r"^\s") & (name != "")
+    part = lambda c: F.when(good, strip(c))
+    return F.struct(part(name).alias("name"), part(F.substring_index(inside, ",", 1)).alias("place"), part(iso_date(strip(F.substring_index(inside, ",", -1)))).alias("date"))

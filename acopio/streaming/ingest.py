@@ -3,24 +3,52 @@ availableNow trigger; the checkpoint holds what was read."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from ..operators.content import checksum
 from ..operators.merge import folded
 
 
-def new_pages(spark: SparkSession, path: str, schema: StructType, body: str = "body", file_format: str = "parquet") -> DataFrame:
-    """A stream of pages, each content once."""
-    return spark.readStream.format(file_format).schema(schema).load(path).withColumn("checksum", checksum(F.col(body))).dropDuplicates(["checksum"])
+def new_pages(spark: SparkSession, path: str, schema: StructType, body: str = "body", file_format: str = "parquet", known: DataFrame | None = None, within: tuple[str, str] | None = None) -> DataFrame:
+    """A stream of pages, each content once, without those whose checksum a table already has (known). within: a time
+    column and a delay; state is then kept for so long only, and known must tell what came before. Without it every
+    checksum stays in the state."""
+    pages = spark.readStream.format(file_format).schema(schema).load(path).withColumn("checksum", checksum(F.col(body)))
+    pages = pages if known is None else pages.join(known.select("checksum").distinct(), "checksum", "left_anti")
+    return pages.withWatermark(*within).dropDuplicatesWithinWatermark(["checksum"]) if within else pages.dropDuplicates(["checksum"])
 
 
 def append_once(pages: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     return pages.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def guarded(reports: DataFrame, entity: str, kind: str, order: str) -> DataFrame:
+    """A stream of reports (entity string, kind string, order long) with accepted and the entity's state after each. The
+    state of an entity, its case state, outlives batches and runs; the reports of a batch count in order."""
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.get[0] if state.exists else None
+        rows = pd.concat(list(batches)).sort_values(order, kind="stable")
+        accepted, states = [], []
+        for new in rows[kind]:
+            ok = not now or now == "desaparecido" or (now != "fallecido" and new != "desaparecido")
+            now = new if ok else now
+            accepted.append(ok)
+            states.append(now)
+        state.update((now,))
+        yield pd.DataFrame({entity: key[0], order: rows[order], kind: rows[kind], "accepted": accepted, "state": states})
+
+    made = f"{entity} string, {order} long, {kind} string, accepted boolean, state string"
+    return reports.select(entity, order, kind).groupBy(entity).applyInPandasWithState(step, made, "state string", "append", GroupStateTimeout.NoTimeout)
+
+
 def merge_reports(reports: DataFrame, target: str, checkpoint: str, entity: str, kind: str, order: list[str], columns: list[str]) -> StreamingQuery:
     """Folds each batch of reports into the table of entities at target/batch=N, reading the last finished one; a batch
     that is run again writes the same folder again."""

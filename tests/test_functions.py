@@ -34,7 +34,74 @@ def test_compare(spark):
     got = compare.compare_names(spark.createDataFrame(rows, "a string, b string"), "a", "b").collect()
     assert [(r.category, r.score) for r in got[:4]] == [("exacta_reordenada", 0.98), ("no_coincide", 0.0), ("fonetica", 1.0), ("exacta", 1.0)]
     assert got[4].category == "fonetica" and got[5].category == "no_coincide"
-    assert got[5].score <= round(SequenceMatcher(None, "LUIS", "OLGA").ratio(), 3)
+    assert got[5].score == round(SequenceMatcher(None, "LUIS", "OLGA").ratio(), 3)
+
+
+def test_compare_equals_the_plain_rule(spark):
+    """Every pair of some names, empty and far ones among them, against sets of tokens and difflib."""
+    import itertools
+
+    names = ["", "ANA", "BARTOLOME GARCIA", "JOSE", "MARIA JOSEFINA PEREZ", "Pérez María", "maria perez", "MARTA LOPEZ", "MARTHA LOPES", "7", "  ", "AB CD EF GH IJ KL MN OP", "ab cd xx yy ij kl mn oq", "LUIS A", "LUISA", None]
+    pairs = list(itertools.product(range(len(names)), repeat=2))
+    rows = spark.createDataFrame([(i, j, names[i], names[j]) for i, j in pairs], "i int, j int, a string, b string")
+    plain = {r.i: (r.n, set(r.codes)) for r in spark.createDataFrame(list(enumerate(names)), "i int, x string").select("i", text.normalize_name(F.col("x")).alias("n"), text.phonetic_tokens(text.normalize_name(F.col("x"))).alias("codes")).collect()}
+    for r in compare.compare_names(rows, "a", "b").collect():
+        (a, fa), (b, fb) = plain[r.i], plain[r.j]
+        if not a or not b:
+            want = ("no_coincide", 0.0)
+        elif a == b:
+            want = ("exacta", 1.0)
+        elif set(a.split()) == set(b.split()):
+            want = ("exacta_reordenada", 0.98)
+        else:
+            score = max(len(fa & fb) / (min(len(fa), len(fb)) or 1), SequenceMatcher(None, a, b).ratio())
+            want = ("fonetica" if score >= 0.82 else "no_coincide", round(score, 3))
+        assert (r.category, r.score) == want, (a, b)
+
+
+def test_alike_names_under_one_id_are_no_finding(spark):
+    rows = [("V-1", "MARTA LOPEZ"), ("1", "MARTHA LOPES"), ("2", "LUIS"), ("2.", "OLGA"), ("3", "ANA"), ("3", "ANA B"), ("3", "ANNA"), ("4", "X"), (None, "Y"), ("", "Z")]
+    got = quality.shared_ids(spark.createDataFrame(rows, "cedula string, nombre string")).collect()
+    assert sorted((r.id_digits, r.nombre, r.n_names) for r in got) == [("2", "LUIS", 2), ("2", "OLGA", 2), ("3", "ANA", 3), ("3", "ANA B", 3), ("3", "ANNA", 3)]
+
+
+def test_candidates_equal_the_plain_rule(spark):
+    """Candidates of one block against every pair compared in full."""
+    import itertools
+
+    from acopio.operators import linkage
+
+    names = ["ANA MARIA PEREZ", "ANA MARIAH PERES", "ANA LOPEZ", "ANA PEREZ MARIA", "ANNA LOPES", "ANA", "ANA QUINTERO RUIZ", "ANA KINTERO"]
+    people = spark.createDataFrame([(k, n, None, None, None) for k, n in enumerate(names)], "id long, nombre string, edad string, hospital string, cedula string")
+    got = {(r.id_a, r.id_b): r.score for r in linkage.candidates(linkage.blocked(people)).collect()}
+    pairs = [(i, j, names[i], names[j]) for i, j in itertools.combinations(range(len(names)), 2)]
+    full = compare.compare_names(spark.createDataFrame(pairs, "i int, j int, a string, b string"), "a", "b").filter("category = 'fonetica'").collect()
+    assert got == {(r.i, r.j): r.score for r in full} and got
+
+
+def test_validation_is_written_back(spark):
+    from acopio.operators import repair
+
+    people = spark.createDataFrame([(1, "V-1", "ANA PEREZ"), (2, "2", "X"), (3, "no digits", "Y"), (4, None, "Z"), (5, "5", "Q")], "id int, cedula string, nombre string")
+    known = spark.createDataFrame([("1", "PEREZ ANA"), ("2", ""), ("5", "BEA")], "cedula string, nombre string")
+    got = {r.id: (r.cedula_validacion, r.cedula_nombre_oficial, r.cedula_similitud) for r in repair.with_validation(people, repair.validated(people, known)).collect()}
+    assert got == {1: ("exacta_reordenada", "PEREZ ANA", 0.98), 2: ("sin_registro", None, None), 3: ("sin_registro", None, None), 4: (None, None, None), 5: ("no_coincide", "BEA", 0.0)}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    import types
+
+    import pyspark
+
+    from acopio.plans import scratch
+
+    far = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda *a: None), sparkContext=types.SimpleNamespace(master="spark://x:7077"))
+    with pytest.raises(ValueError):
+        scratch.shared_dir(far)
+    far.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError):
+        scratch.shared_dir(far)
+    assert scratch.shared_dir(spark) and pyspark.__version__
 
 
 def test_status(spark):

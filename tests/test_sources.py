@@ -41,12 +41,28 @@ def test_parser_profile(spark):
 def test_special_shapes(spark):
     assert read(spark, "sismo_ehr")[0].hospital == "Hospital Uno"
     assert read(spark, "hospital_json")[0].tipo_reporte == "ingresado" and len(read(spark, "hospital_json")) == 1
-    assert [r.hospital for r in read(spark, "hospitalesdevenezuela")] == ["H1", "H1"]
+    assert [(r.hospital, r.tipo_reporte) for r in read(spark, "hospitalesdevenezuela", "parser")] == [("H1", "ingresado"), ("H1", "fallecido")]
     assert sorted(r.nombre for r in read(spark, "busquedavzla_sheet")) == ["Prueba Gina", "Prueba Iris"]
-    assert read(spark, "reportevenezuela")[0].edad == "30"
+    assert read(spark, "reportevenezuela", "parser")[0].edad == "30" and read(spark, "reportevenezuela")[0].edad == "30 años"
     assert read(spark, "encuentralos")[0].foto_url is None
 
 
+def test_ids_of_pages(spark):
+    import hashlib
+
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()[:12]
+    body = FILES["osirisberbesia"].replace("<div><strong>Edad", '<div><strong>Hospital</strong><span>Centro 1</span></div><div><strong>Edad')
+    assert read(spark, "osirisberbesia", body=body)[0].id == "osirisberbesia:" + md5("Hugo Prueba:7654321:Centro 1")
+    assert read(spark, "sismo_ehr")[0].id == "sismo_ehr:" + md5("Dora Prueba::XX1")
+    files = spark.createDataFrame([("u", bytearray(FILES["busquedavzla_sheet"].encode()), "Tab 3")], "url string, body binary, label string")
+    assert {r.id for r in specs.persons(files, "busquedavzla_sheet").collect()} == {"busquedavzla_sheet:" + md5(f"{x}:Tab 3") for x in ("Prueba Gina:1234567", "Prueba Iris:")}
+    drive = "a,b,c\nApellido,Nombre,Cedula o c_dula\nDiaz,Eva,77\n"
+    assert read(spark, "drive_sismo_vzla", body=drive.split("\n", 1)[1])[0].id == "drive_sismo_vzla:" + md5("Diaz Eva:77:")
+    card = '<section class="tarjeta" aria-label="Resultado: Iris Prueba"><span class="sello x"><i></i> Comunidad · Centro Dos</span></section>'
+    got = read(spark, "reportevenezuela", body=card)[0]
+    assert (got.id, got.hospital, got.notas) == ("reportevenezuela:" + md5("IRIS PRUEBA:CENTRO DOS"), "Centro Dos", "Comunidad | Centro Dos")
+
+
 def test_broken_files(spark):
     assert read(spark, "aquiestoyvenezuela", body='{"success":true,"total":10}') == []
     assert read(spark, "encuentralos", body="not json") == []
@@ -67,3 +83,52 @@ def test_streams(spark, tmp_path):
     df.coalesce(1).write.mode("append").parquet(src)
     ingest.append_once(ingest.new_pages(spark, src, df.schema), out, done).awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_pages_once_within_a_watermark(spark, tmp_path):
+    """State is bounded: a content that comes again within the delay goes, the table of known contents decides later on."""
+    import datetime as dt
+
+    from acopio.streaming import ingest
+
+    t = dt.datetime(2026, 1, 1)
+    df = spark.createDataFrame([("a", "x", t), ("b", "x", t + dt.timedelta(minutes=5)), ("c", "y", t)], "url string, body string, seen timestamp")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    pages = ingest.new_pages(spark, str(tmp_path / "in"), df.schema, within=("seen", "1 hour"))
+    ingest.append_once(pages, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert sorted(r.body for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["x", "y"]
+
+
+def test_stateful_guard_equals_the_sequence(spark, tmp_path):
+    """ST7: each report with whether it counts and the state after it, over several runs, with state for each entity."""
+    import itertools
+
+    from acopio.functions.status import STATES
+    from acopio.streaming import ingest
+
+    cases = list(enumerate(itertools.product(STATES, repeat=3)))
+    kind = "entity string, seq long, kind string"
+    want = {}
+    for turn in range(3):
+        rows = []
+        for e, kinds in cases:
+            rows.append((f"e{e}", turn, kinds[turn]))
+            now = next((want[f"e{e}", s][1] for s in range(turn - 1, -1, -1)), None)
+            ok = now is None or now == "desaparecido" or (now != "fallecido" and kinds[turn] != "desaparecido")
+            want[f"e{e}", turn] = (ok, kinds[turn] if ok else now)
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        reports = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
+        ingest.append_once(ingest.guarded(reports, "entity", "kind", "seq"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = {(r.entity, r.seq): (r.accepted, r.state) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == want
+
+
+def test_merged_batches(spark, tmp_path):
+    from acopio.streaming import ingest
+
+    kind = "e string, kind string, name string, seq long"
+    for rows in ([("a", "ingresado", "x", 1), ("b", "fallecido", "y", 1)], [("a", "desaparecido", "z", 2), ("b", "ingresado", "q", 2), ("c", "desaparecido", None, 2)], [("c", "dado_de_alta", "w", 3)]):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        ingest.merge_reports(spark.readStream.schema(kind).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), "e", "kind", ["seq"], ["name"]).awaitTermination()
+    last = max((tmp_path / "out").glob("batch=*"), key=lambda p: int(p.name[6:]))
+    assert {r.e: (r.state, r.name) for r in spark.read.parquet(str(last)).collect()} == {"a": ("ingresado", "x"), "b": ("fallecido", "y"), "c": ("dado_de_alta", "w")}
