@@ -135,7 +135,13 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         _trim()
 
 
-def running(df: DataFrame, by: list[str], order: list[Column], value: Column, name: str, total: int, rows_a_bucket: int = 50_000) -> DataFrame:
+def numbered(df: DataFrame) -> DataFrame:
+    """df, to be written, with _u: a number for rows with a null id (_id is LAST_ID), null for others. Only such rows can
+    be alike in great number; the number spreads them."""
+    return df.withColumn("_u", F.when(F.col("_id") == LAST_ID, F.monotonically_increasing_id()))
+
+
+def running(df: DataFrame, by: list[str], order: list[Column], value: Column, name: str, total: int, rows_a_bucket: int = 4000) -> DataFrame:
     """Adds, as a long, the sum of value over the rows before a row in its group of by (value 1: a gapless rank), without
     bringing a group into one task: hashed buckets are summed, and sums inside a bucket shifted by those of the buckets
     before. order: columns that tell rows apart; df: narrow and cheap to read twice; total: its rows, about."""

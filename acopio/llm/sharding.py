@@ -3,14 +3,15 @@
 A node that is to become k leaves is cut along its widest dimension (its range as a share of the whole table's range) at
 the weighted quantile that gives each side bytes in proportion to its leaves. Cuts of all nodes of a level are found
 together: a histogram of bytes over the keys of each node, refined inside the bin that holds the cut, so that only bins
-are ever gathered, never rows. Where a value is too heavy to keep whole, a hash cuts inside it.
+are ever gathered, never rows. Text dimensions count by the rank of their values in byte order.
 
-Documents of equal text make one unit, at the metadata of its smallest doc_id, and stay together; a text whose copies
-weigh over 1/32 of a leaf is dealt copy by copy. So sizes in bytes are near equal whatever one source, language or text
-weighs.
+Documents of equal text make one unit, at the metadata of its smallest doc_id, and stay in one shard. Units over HEAVY of
+a leaf are few (at most shards / HEAVY) and are placed one by one: those as heavy as a leaf take a shard of their own,
+the others are dealt along the cut dimension in proportion, and the cut among the light units makes up the difference.
+So sizes in bytes are near equal, as far as equal texts in one shard permit, whatever one source, language or text weighs.
 
-Defined results: a null text has 0 bytes and the checksum 0; nulls in a dimension sort first; rows alike in every way go
-to one shard, in slots of their own.
+Defined results: a null text has 0 bytes and the checksum 0; nulls in a dimension sort first; rows alike in every way
+have slots of their own; ids may have any value.
 """
 
 from __future__ import annotations
@@ -18,35 +19,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Scratch, keyed, running
+from .common import Scratch, keyed, numbered, running
 
 _BINS = 12
-#: A unit of copies is dealt apart above this share of a leaf; a cut is exact to this share of a leaf.
+#: A unit of copies is placed by itself above this share of a leaf; a cut is exact to this share of a leaf.
 HEAVY, EXACT = 1 / 32, 1 / 2000
+_KEY = ["_th", "text_crc32", "size"]
 
 
-def _ordinal(df: DataFrame, name: str) -> Column:
-    if dict(df.dtypes)[name] == "string":
-        return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.encode(name, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long"), F.lit(-1))
-    return F.coalesce(F.col(name).cast("long"), F.lit(-(2**62)))
+def ranks(docs: DataFrame, name: str, scratch: Scratch, table: str) -> DataFrame:
+    """v, r: the distinct values of a text column and their rank in byte order, from 1. Ranges of values are ranked apart
+    and shifted by the number of values before."""
+    values = docs.select(F.col(f"`{name}`").alias("v")).filter("v is not null").distinct().repartitionByRange("v")
+    values = scratch.write(values.withColumn("p", F.spark_partition_id()), table)
+    starts, held = [], 0
+    for p, n in sorted(tuple(r) for r in values.groupBy("p").agg(F.count(F.lit(1))).collect()):  # a row for each range
+        starts.append((p, held))
+        held += n
+    starts = F.broadcast(scratch.spark.createDataFrame(starts, "p int, before long"))
+    return values.join(starts, "p").select("v", (F.col("before") + F.row_number().over(Window.partitionBy("p").orderBy("v"))).alias("r"))
 
 
-def _level(units: DataFrame, nodes: list[dict], dims: list[str], root: dict, leaf: float, scratch: Scratch, level: int) -> tuple[DataFrame, list[dict]]:
-    """Cuts every node of more than one leaf; nodes: node, first (shard), leaves."""
+def _split(heavy: list[dict], dim: str, want: float, total: float) -> tuple[list[dict], list[dict]]:
+    """Heavy units for the left side, which is to hold want of total bytes in all, and for the right one."""
+    share, all_ = want / total if total else 0.0, sum(h["bytes"] for h in heavy)
+    along = sorted(heavy, key=lambda h: (h[dim], h["unit"]))
+    sums = [sum(h["bytes"] for h in along[:k]) for k in range(len(along) + 1)]
+    k = min(range(len(sums)), key=lambda i: (abs(sums[i] - share * all_), i))
+    if sums[k] <= want and all_ - sums[k] <= total - want:
+        return along[:k], along[k:]
+    sides, room = ([], []), [want, total - want]
+    for h in sorted(heavy, key=lambda h: (-h["bytes"], h["unit"])):
+        i = 0 if room[0] >= room[1] else 1
+        sides[i].append(h)
+        room[i] -= h["bytes"]
+    return sides
+
+
+def _level(units: DataFrame, heavy: list[dict], nodes: list[dict], dims: list[str], root: dict, leaf: float, scratch: Scratch, level: int) -> tuple[DataFrame, list[dict]]:
+    """Cuts every node of more than one leaf; nodes: node, first (shard), leaves; heavy units get their new node."""
     spark = scratch.spark
     splitting = [n for n in nodes if n["leaves"] > 1]
-    seen = {r["node"]: r for r in units.groupBy("node").agg(F.sum("bytes").alias("bytes"), *(f(d).alias(f"{d}_{k}") for d in dims for k, f in (("lo", F.min), ("hi", F.max)))).collect()}
+    seen = {r["node"]: r.asDict() for r in units.groupBy("node").agg(F.sum("bytes").alias("bytes"), *(f(d).alias(f"{d}_{k}") for d in dims for k, f in (("lo", F.min), ("hi", F.max)))).collect()}
     cuts = []
     for n in splitting:
-        r = seen.get(n["node"])
-        spread = {d: (r[f"{d}_hi"] - r[f"{d}_lo"]) / max(1, root[f"{d}_hi"] - root[f"{d}_lo"]) if r else 0 for d in dims}
+        r, mine = seen.get(n["node"]), [h for h in heavy if h["node"] == n["node"]]
+        values = {d: [h[d] for h in mine] + ([r[f"{d}_lo"], r[f"{d}_hi"]] if r else []) for d in dims}
+        spread = {d: (max(v) - min(v)) / max(1, root[d][1] - root[d][0]) if v else 0 for d, v in values.items()}
         d = max(dims, key=lambda x: spread[x])
-        left = n["leaves"] // 2
-        cuts.append({"node": n["node"], "dim": dims.index(d), "lo": r[f"{d}_lo"] if r else 0, "hi": r[f"{d}_hi"] if r else 0, "a": 0, "b": 1 << 62, "want": (r["bytes"] if r else 0) * left / n["leaves"], "cut": None})
-    made = "node int, dim int, lo long, hi long"
-    at = spark.createDataFrame([(c["node"], c["dim"], c["lo"], c["hi"]) for c in cuts], made)
-    value = F.element_at(F.array(*dims), F.col("dim") + 1)
-    place = ((value - F.col("lo")).cast("double") / F.greatest(F.lit(1), F.col("hi") - F.col("lo")) * (2**31 - 1)).cast("long")
+        light, left = r["bytes"] if r else 0, n["leaves"] // 2
+        total = light + sum(h["bytes"] for h in mine)
+        sides = _split(mine, d, total * left / n["leaves"], total)
+        for i, side in enumerate(sides):
+            for h in side:
+                h["node"] = 2 * n["node"] + 1 + i
+        want = min(max(0.0, total * left / n["leaves"] - sum(h["bytes"] for h in sides[0])), light)
+        cuts.append({"node": n["node"], "dim": dims.index(d), "lo": r[f"{d}_lo"] if r else 0, "hi": r[f"{d}_hi"] if r else 0, "a": 0, "b": 1 << 62, "want": want, "cut": None})
+    made = "node int, dim int, lo double, width double"
+    at = spark.createDataFrame([(c["node"], c["dim"], float(c["lo"]), max(1.0, float(c["hi"]) - float(c["lo"]))) for c in cuts], made)
+    value = F.element_at(F.array(*(F.col(d).cast("double") for d in dims)), F.col("dim") + 1)
+    place = F.least(F.greatest((value - F.col("lo")) / F.col("width"), F.lit(0.0)), F.lit(1.0))
+    place = (place * (2**31 - 1)).cast("long")
     keys = units.join(F.broadcast(at), "node").withColumn("key", F.shiftleft(place, 31) + F.col("tie").bitwiseAND(2**31 - 1)).select("node", "key", "bytes", "unit")
     keys = scratch.write(keys, f"keys{level}")
     while todo := [c for c in cuts if c["cut"] is None]:
@@ -77,36 +110,53 @@ def _level(units: DataFrame, nodes: list[dict], dims: list[str], root: dict, lea
     return units, after
 
 
+def _dimension(docs: DataFrame, name: str) -> Column:
+    return F.col(f"`{name}`") if dict(docs.dtypes)[name] == "string" else F.coalesce(F.col(f"`{name}`").cast("long"), F.lit(-(2**63)).cast("long"))
+
+
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, dims: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """A row for each of docs (doc_id, text and dims): doc_id, size, text_crc32, law, shard, slot, grown_shard. Give the
     number of shards, or a leaf's target_bytes; size and doc_id are always dimensions, too."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "kd")
-    text = F.coalesce("text", F.lit(""))
-    base = keyed(docs, *(_ordinal(docs, d).alias(f"_d{k}") for k, d in enumerate(dims)))
-    base = base.select("doc_id", "_id", "_th", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), *(f"_d{k}" for k in range(len(dims))))
-    base = scratch.write(base, "base")
-    names = [*(f"_d{k}" for k in range(len(dims))), "_dsize", "_did"]
+    text, own = F.coalesce("text", F.lit("")), [f"_d{k}" for k in range(len(dims))]
+    base = keyed(docs, *(_dimension(docs, d).alias(a) for a, d in zip(own, dims, strict=True)))
+    base = base.select("doc_id", "_id", "_th", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), *own)
+    base = scratch.write(numbered(base).withColumn("unit", F.xxhash64(*_KEY)), "base")
+    names = [*own, "_dsize", "_did"]
     total, rows = base.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     if shards is None:
         shards = max(1, -(-total // (target_bytes or 1 << 30)))
+    units = base.groupBy("unit").agg(F.sum("size").alias("bytes"), F.min(F.struct("_id", *own, "size")).alias("m")).select("unit", "bytes", *(F.col(f"m.{d}").alias(d) for d in own), F.col("m.size").alias("size"), F.col("m._id").alias("_did"))
+    for k, (d, a) in enumerate(zip(dims, own, strict=True)):
+        if dict(docs.dtypes)[d] == "string":
+            units = units.join(ranks(docs, d, scratch, f"values{k}"), F.col(a) == F.col("v"), "left").withColumn(a, F.coalesce("r", F.lit(0).cast("long"))).drop("v", "r")
+    units = units.withColumn("_dsize", (F.log2(F.col("size").cast("double") + 1) * 2**20).cast("long")).drop("size")
+    units = scratch.write(units.withColumn("tie", F.xxhash64("unit", F.lit(1))).withColumn("node", F.lit(0)), "all")
+    bounds = units.agg(*(f(d).alias(f"{d}_{k}") for d in names for k, f in (("lo", F.min), ("hi", F.max)))).first().asDict()
+    root = {d: (bounds[f"{d}_lo"] or 0, bounds[f"{d}_hi"] or 0) for d in names}
     leaf = max(1.0, total / shards)
-    text_key = ["_th", "text_crc32", "size"]
-    heavy = base.groupBy(*text_key).agg(F.sum("size").alias("w")).filter(F.col("w") > HEAVY * leaf).select(*text_key, F.lit(True).alias("heavy"))  # fewer than shards / HEAVY
-    base = base.join(F.broadcast(heavy), text_key, "left").withColumn("unit", F.xxhash64(*text_key, F.when(F.col("heavy"), F.col("_id")))).drop("heavy")
-    first = F.min(F.struct("_id", *names[:-2], "size"))
-    units = base.groupBy("unit").agg(F.sum("size").alias("bytes"), first.alias("m"))
-    units = units.select("unit", "bytes", *(F.col(f"m.{d}").alias(d) for d in names[:-2]), F.log2(F.col("m.size").cast("double") + 1).cast("double").alias("_l"), F.least("m._id", F.lit(LAST_ID // 4)).alias("_did"))
-    units = units.withColumn("_dsize", (F.col("_l") * 2**20).cast("long")).withColumn("tie", F.xxhash64("unit", F.lit(1))).withColumn("node", F.lit(0)).drop("_l")
-    units = scratch.write(units, "units0")
-    root = units.agg(*(f(d).alias(f"{d}_{k}") for d in names for k, f in (("lo", F.min), ("hi", F.max)))).first().asDict()
-    nodes, level = [{"node": 0, "first": 0, "leaves": shards}], 0
+    heavy = [r.asDict() for r in units.filter(F.col("bytes") > HEAVY * leaf).collect()]  # under shards / HEAVY of them
+    heavy.sort(key=lambda h: (-h["bytes"], h["unit"]))
+    placed, rest, left = {}, total, shards
+    while heavy and left > 1 and heavy[0]["bytes"] >= rest / left:  # as heavy as a leaf: a shard of its own
+        h, left = heavy.pop(0), left - 1
+        placed[h["unit"]], rest = left, rest - h["bytes"]
+    single = spark.createDataFrame([(u,) for u in [*placed, *(h["unit"] for h in heavy)]], "unit long")
+    units = scratch.write(units.join(F.broadcast(single), "unit", "left_anti"), "units0")
+    nodes, level = [{"node": 0, "first": 0, "leaves": left}], 0
     while rows and any(n["leaves"] > 1 for n in nodes):
-        units, nodes = _level(units, nodes, names, root, leaf, scratch, level)
+        units, nodes = _level(units, heavy, nodes, names, root, max(1.0, rest / left), scratch, level)
         scratch.drop(f"units{level}")
         level += 1
-    leaves = spark.createDataFrame([(n["node"], n["first"]) for n in nodes], "node int, shard int")
-    dealt = base.join(units.join(F.broadcast(leaves), "node").select("unit", "shard"), "unit").select("doc_id", "_id", "_th", "size", "text_crc32", "shard")
+    first = {n["node"]: n["first"] for n in nodes}
+    placed |= {h["unit"]: first[h["node"]] for h in heavy}
+    leaves = spark.createDataFrame(list(first.items()), "node int, shard int")
+    where = F.broadcast(spark.createDataFrame(list(placed.items()), "unit long, own int"))
+    kept = ["doc_id", "_id", "_th", "_u", "size", "text_crc32"]
+    marked = base.join(where, "unit", "left")  # copies of a heavy text are never shuffled by it
+    light = marked.filter("own is null").join(units.join(F.broadcast(leaves), "node").select("unit", "shard"), "unit")
+    dealt = marked.filter("own is not null").select(*kept, F.col("own").alias("shard")).unionByName(light.select(*kept, "shard"))
     dealt = scratch.write(dealt, "dealt")
-    out = running(dealt, ["shard"], [F.col("_id"), F.col("_th")], F.lit(1), "slot", rows)
+    out = running(dealt, ["shard"], [F.col("_id"), F.col("_th"), F.col("_u")], F.lit(1), "slot", rows)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
