@@ -10,7 +10,8 @@ A shard's references are dealt further by document where they are many (one very
 than about ``REFS`` of them.
 
 Defined results: a null or empty text is one empty line; empty keys are never dropped; a line twice in one document
-counts once; rows that repeat a doc_id count as documents of their own if their texts differ.
+counts once, and so do rows that share a doc_id, whatever their texts are, in one insertion or deletion; rows with a null
+doc_id count once for each different text.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow, keyed, slices
+from .common import LAST_ID, Scratch, arrow, keyed, slices
 
 #: References to lines that one task holds at most, about; and shards at most, so that their sizes can be broadcast.
 REFS, MOST_SHARDS = 300_000, 1 << 16
@@ -193,14 +194,25 @@ class LineStore:
         return F.pmod(F.col("lo"), F.lit(self.shards))
 
     def insert(self, docs: DataFrame) -> LineStore:
-        return self._change(line_refs(docs, self.min_chars), 1)
+        return self._change(docs, 1)
 
     def delete(self, docs: DataFrame) -> LineStore:
-        return self._change(line_refs(docs, self.min_chars), -1)
-
-    def _change(self, refs: DataFrame, sign: int) -> LineStore:
+        return self._change(docs, -1)
+
+    def _references(self, docs: DataFrame) -> DataFrame:
+        """A row for each document and distinct key in it. Only the rows of ids that occur again need a shuffle to become
+        one document, so they are told apart first, by their ids alone."""
+        refs = line_refs(docs, self.min_chars)
+        again = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("_id")).groupBy("_id").agg(F.count(F.lit(1)).alias("n"))
+        again = self.scratch.write(again.filter("n > 1").select("_id"), f"again-{self.version}")
+        if again.isEmpty():
+            return refs
+        several = refs.join(again, "_id", "left_semi").select("_id", F.when(F.col("_id") == LAST_ID, F.col("_th")).alias("_th"), "hi", "lo").distinct()
+        return refs.join(again, "_id", "left_anti").select("_id", "_th", "hi", "lo").unionByName(several)
+
+    def _change(self, docs: DataFrame, sign: int) -> LineStore:
         self.version += 1
-        delta = refs.groupBy("hi", "lo").agg((F.count(F.lit(1)) * sign).alias("d"))
+        delta = self._references(docs).groupBy("hi", "lo").agg((F.count(F.lit(1)) * sign).alias("d"))
         if self.version == 1:
             both = delta.select("hi", "lo", F.lit(0).cast("long").alias("was"), F.col("d").alias("n"))
         else:
