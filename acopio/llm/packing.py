@@ -1,9 +1,11 @@
 """Best-fit packing of documents into sequences of several permitted lengths.
 
-Pieces are packed longest first. A piece goes into the open bin that it leaves fullest; if none holds it, the bin size
-of least cost for each token that it can be filled with is opened, where a bin costs its padding-bearing length, a fixed
-part and attention's quadratic part. At the end each bin shrinks to the smallest permitted length that holds its
-contents. Documents longer than the longest sequence are cut into pieces, none is dropped. Pieces are dealt into groups of
+Pieces are packed longest first. A piece goes into the open bin that it leaves fullest; if none holds it, a bin is opened
+in the size of least cost for each token that the piece and the longest waiting ones that fit would fill it with, where
+a bin costs its padding-bearing length, a fixed part and attention's quadratic part. At the end each bin shrinks to the
+smallest permitted length that holds its contents. A group is also packed with each single length that holds all its
+pieces, and the cheapest packing stays, so the permitted lengths together never cost more than the best of them alone.
+Documents longer than the longest sequence are cut into pieces, none is dropped. Pieces are dealt into groups of
 about GROUP, each packed by one task; a group wastes at most a few part-filled bins. Groups are made by hash or, where
 documents have a place in a mixture, of consecutive slots: then groups are numbered along the mixture, and a group's bins
 by their first piece in it.
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow, keyed, slices
+from .common import Scratch, arrow, keyed, numbered, slices
 
 GROUP = 40_000
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -34,16 +36,42 @@ def cost(capacity: int) -> float:
     return FIXED + capacity * (1 + capacity / QUADRATIC)
 
 
-def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bin of each piece, its place in the bin, and each bin's capacity after downsizing."""
+class _Waiting:
+    """How many pieces of each length wait, and the longest waiting one of at most some length."""
+
+    def __init__(self, lengths: np.ndarray):
+        self.count = np.bincount(lengths, minlength=2).tolist()
+        self.below = list(range(len(self.count)))
+
+    def longest(self, most: int) -> int:
+        k = most = min(most, len(self.count) - 1)
+        while k and not self.count[k]:
+            self.below[k] = min(self.below[k], k - 1)
+            k = self.below[k]
+        while most > k:  # next time in one step
+            self.below[most], most = k, self.below[most]
+        return k
+
+    def filled(self, first: int, capacity: int) -> int:
+        """What a bin would hold if, after a first piece, the longest waiting ones that fit went into it."""
+        room, x = capacity - first, capacity
+        while room and (x := self.longest(min(room, x))):
+            n = min(self.count[x], room // x)
+            room -= n * x
+            x -= 1
+        return capacity - room
+
+
+def packed_into(lengths: np.ndarray, capacities: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bin of each piece, its place in the bin, and each bin's contents; bins are opened in these sizes only."""
     order = np.argsort(-lengths, kind="stable")
-    rest = int(lengths.sum())
+    waiting, sizes = _Waiting(lengths), sorted(capacities)
     bins, places = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     room: list[int] = []  # distinct free lengths, sorted
     free: dict[int, list[int]] = {}
     used: list[int] = []
-    size: list[int] = []
     for k, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
+        waiting.count[n] -= 1
         i = bisect_left(room, n)
         if i < len(room):
             left = room[i]
@@ -51,21 +79,38 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES) -> t
             if not free[left]:
                 del free[left], room[i]
         else:
-            fit = [c for c in capacities if c >= n]
-            left = min(fit, key=lambda c: (cost(c) / min(c, rest), c))
+            fit = sizes[bisect_left(sizes, n) :]
+            if len(fit) > 1:
+                holds = [waiting.filled(n, c) for c in fit]
+                left = min(zip(fit, holds, strict=True), key=lambda x: (cost(sizes[bisect_left(sizes, x[1])]) / x[1], x[0]))[0]
+            else:
+                left = fit[0]
             b = len(used)
             used.append(0)
-            size.append(left)
         bins[k], places[k] = b, used[b]
         used[b] += n
-        rest -= n
         if left - n:
             if left - n not in free:
                 insort(room, left - n)
                 free[left - n] = []
             free[left - n].append(b)
+    return bins, places, np.array(used, np.int64)
+
+
+def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bin of each piece, its place in the bin, and each bin's capacity after downsizing: of the packing with all
+    sizes and those with a single size that holds every piece, the one of least cost."""
     caps = np.sort(np.array(capacities))
-    return bins, places, caps[np.searchsorted(caps, np.array(used, np.int64))] if used else np.empty(0, np.int64)
+    if not len(lengths):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    costs = np.array([cost(c) for c in caps.tolist()])
+    best = None
+    for sizes in [tuple(caps.tolist()), *((c,) for c in caps.tolist() if c >= lengths.max())]:
+        bins, places, used = packed_into(lengths, sizes)
+        shrunk = np.searchsorted(caps, used)
+        if best is None or costs[shrunk].sum() < best[0] - 1e-6:
+            best = costs[shrunk].sum(), bins, places, caps[shrunk]
+    return best[1:]
 
 
 _KINDS = {"doc_id": pa.int64(), "_id": pa.int64(), "_th": pa.int64(), "_slot": pa.int64(), "_at": pa.int64()}
@@ -135,10 +180,10 @@ def best_fit_packing(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES,
     own = ", ".join(f"{c} long" for c in _KINDS)
     packed = placed.select(*_KINDS, "text").mapInArrow(_measure(max(capacities), tokenizer), f"{own}, piece array<int>, start array<int>, length array<int>")
     each = packed.select(*_KINDS, F.explode(F.arrays_zip("piece", "start", "length")).alias("p")).select(*_KINDS, "p.*")
-    each = scratch.write(each, "pieces")
+    each = scratch.write(numbered(each), "pieces")
     total = each.count()
     if order and total:
         each = _consecutive(each, total, scratch)
     else:
-        each = each.withColumn("g", F.pmod(F.xxhash64("_id", "_th", "piece"), F.lit(max(1, -(-total // GROUP)))))
-    return each.groupBy("g").applyInArrow(_pack(tuple(capacities), bool(order)), "doc_id long, piece int, start int, length int, bin long, capacity int, place int")
+        each = each.withColumn("g", F.pmod(F.xxhash64("_id", "_th", "piece", "_u"), F.lit(max(1, -(-total // GROUP)))))
+    return each.drop("_u").groupBy("g").applyInArrow(_pack(tuple(capacities), bool(order)), "doc_id long, piece int, start int, length int, bin long, capacity int, place int")
