@@ -2,8 +2,9 @@
 
 Rules decide the urls they fit; the longest wins. Hosts with urls that rules allow are trusted seeds, hosts with urls
 that rules block are distrusted ones, each by the share of its pages so judged. Trust follows links (personalised
-PageRank), distrust runs against them: who links to bad hosts is suspect. A url without a rule is blocked if its host's
-distrust exceeds its trust and reaches THRESHOLD of what a host with all its pages blocked has by itself.
+PageRank), distrust runs against them: who links mainly to bad hosts is suspect, however many others do. A url without a
+rule is blocked if its host's distrust exceeds its trust and reaches THRESHOLD of what a host with all its pages blocked
+has by itself.
 
 Host pairs are counted before they are joined, and a host is one row in each round, however many pages it has.
 Defined results: a null url, or one without ``://``, has an empty host and path, which no rule fits and no link reaches;
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, Scratch
 
-FOLLOW, ROUNDS, THRESHOLD = 0.85, 12, 0.75
-#: With more rules than this, they are joined by host instead of written out as one expression.
+FOLLOW, THRESHOLD = 0.85, 0.75
+#: Rounds end when nothing moves by more than this; 0.85 to the power of ROUNDS is far less, so they always end so.
+MOVED, ROUNDS = 1e-3, 80
+#: With more rules than this, they are joined by host instead of written out as one expression; both give the same.
 INLINE = 64
 
 
@@ -58,8 +61,8 @@ def judged(pages: DataFrame, rules: list[UrlRule]) -> DataFrame:
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     urls = parts.select("host", "path").distinct()
-    fits = urls.select("host", "path", F.explode(suffixes).alias("h")).join(by_host, "h")
-    fits = fits.select("host", "path", F.element_at(F.filter("all", lambda x: F.col("path").startswith(x["p"])), 1).alias("m")).filter("m is not null")
+    fits = urls.select("host", "path", F.explode(suffixes).alias("h")).join(F.broadcast(by_host), "h")  # the rules, given as a list
+    fits = fits.select("host", "path", F.get(F.filter("all", lambda x: F.col("path").startswith(x["p"])), F.lit(0)).alias("m")).filter("m is not null")
     best = fits.groupBy("host", "path").agg(F.min("m").alias("m"))
     return parts.join(best, ["host", "path"], "left").withColumns({"rule": F.col("m.t"), "allowed": F.col("m.a")}).drop("m")
 
@@ -72,18 +75,32 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.select("src", dst.alias("dst")).filter("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch, name: str, rounds: int = ROUNDS) -> DataFrame:
-    """host, mass: seeds' mass (host, mass) spread along edges (src, dst, n) in proportion to n."""
+def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame:
+    """host, trust, distrust of the hosts of seeds (host, good, bad: shares of a host's pages) and of edges (src, dst, n).
+
+    trust = good + FOLLOW * sum over links to the host of (the source's trust * the link's share of its links): a
+    personalised PageRank, in units of what a wholly trusted host has by itself. (Mass that ends at a host without links
+    starts again at the seeds, which changes all trust by one factor, so it needs no term here.)
+    distrust = bad + (1 - bad) * FOLLOW * mean over the host's links of the target's distrust: against the links, and in
+    the linking host's own shares, so that a popular blocked host is as bad to link to as an unknown one.
+    Rounds go on until no value moves by more than MOVED."""
     out = edges.groupBy("src").agg(F.sum("n").alias("all"))
-    share = scratch.write(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")), f"{name}-share")
-    own = seeds.select("host", (F.col("mass") * (1 - FOLLOW)).alias("mass"))
-    rank = own
-    for k in range(rounds):
-        moved = share.join(rank, share.src == rank.host).select(F.col("dst").alias("host"), (F.col("share") * F.col("mass") * FOLLOW).alias("mass"))
-        rank = scratch.write(own.unionByName(moved).groupBy("host").agg(F.sum("mass").alias("mass")), f"{name}-{k}")
-        if k:
-            scratch.drop(f"{name}-{k - 1}")
-    return rank
+    share = scratch.write(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")), "share")
+    named = edges.select(F.col("src").alias("host")).unionByName(edges.select(F.col("dst").alias("host"))).unionByName(seeds.select("host")).distinct()
+    own = named.join(seeds, "host", "left").select("host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("good", "bad")))
+    state = scratch.write(own.withColumns({"trust": F.col("good"), "distrust": F.col("bad"), "moved": F.lit(1.0)}), "state0")
+    for k in range(1, ROUNDS + 1):
+        ahead = share.join(state, share.src == state.host).select(F.col("dst").alias("host"), (F.col("share") * F.col("trust")).alias("t"), F.lit(0.0).alias("d"))
+        back = share.join(state, share.dst == state.host).select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("share") * F.col("distrust")).alias("d"))
+        got = ahead.unionByName(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
+        trust = F.col("good") + FOLLOW * F.coalesce("t", F.lit(0.0))
+        distrust = F.col("bad") + (1 - F.col("bad")) * FOLLOW * F.coalesce("d", F.lit(0.0))
+        new = state.join(got, "host", "left").select("host", "good", "bad", trust.alias("trust"), distrust.alias("distrust"), F.greatest(F.abs(trust - F.col("trust")), F.abs(distrust - F.col("distrust"))).alias("moved"))
+        state = scratch.write(new, f"state{k}")
+        scratch.drop(f"state{k - 1}")
+        if (state.agg(F.max("moved")).first()[0] or 0.0) <= MOVED:
+            break
+    return state.select("host", "trust", "distrust")
 
 
 def url_filters(pages: DataFrame, rules: list[UrlRule]) -> DataFrame:
@@ -91,15 +108,13 @@ def url_filters(pages: DataFrame, rules: list[UrlRule]) -> DataFrame:
     scratch = Scratch(pages.sparkSession, "urls")
     rows = judged(pages.select("page_id", "url"), rules)
     hosts = rows.filter("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("allowed")).alias("good"), F.count_if(~F.col("allowed")).alias("bad"))
-    hosts = scratch.write(hosts, "hosts")
+    hosts = scratch.write(hosts.select("host", (F.col("good") / F.col("n")).alias("good"), (F.col("bad") / F.col("n")).alias("bad")), "hosts")
     edges = scratch.write(host_links(pages.select("url", "html")), "edges")
-    trust, distrust = (hosts.filter(f"{c} > 0").select("host", (F.col(c) / F.col("n")).alias("mass")) for c in ("good", "bad"))
     if edges.isEmpty():
-        trust, distrust = (x.select("host", (F.col("mass") * (1 - FOLLOW)).alias("mass")) for x in (trust, distrust))
+        held = hosts.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
     else:
-        trust = spread(edges, trust, scratch, "trust")
-        distrust = spread(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), distrust, scratch, "distrust")
-    bad = distrust.join(trust.withColumnRenamed("mass", "trust"), "host", "left").filter((F.col("mass") > F.coalesce("trust", F.lit(0.0))) & (F.col("mass") >= THRESHOLD * (1 - FOLLOW) - 1e-12))
+        held = spread(edges, hosts.filter("good > 0 or bad > 0"), scratch)
+    bad = held.filter((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= THRESHOLD - 1e-9))
     out = rows.join(bad.select("host", F.lit(True).alias("bad")), "host", "left")
     allow = F.coalesce(F.col("allowed"), F.col("bad").isNull())
     return out.select("page_id", "host", "path", "rule", F.when(allow, "allow").otherwise("block").alias("verdict"))
