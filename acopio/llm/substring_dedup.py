@@ -8,7 +8,9 @@ counted in Spark first, and only windows under repeated ones travel:
 1. each document's distinct anchors, counted over all documents;
 2. windows under repeated anchors; inside a batch the smallest document stands for all, so a passage that a third of
    the corpus holds arrives once a batch, not once a document;
-3. per anchor, windows also found in a smaller document; they merge into maximal removal intervals;
+3. per anchor, windows also found in a smaller document; they merge into maximal removal intervals. An anchor of more than
+   HOT documents, whose windows could be too many for one task, is not kept together: the smallest document of each of
+   its windows is an aggregate;
 4. the intervals are cut from the texts.
 
 Defined results: a null or empty text has no words; a null doc_id counts as larger than any other; rows that repeat a
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import LAST_ID, Rolling, Scratch, arrow, i64, keyed, n_tasks, slices, sliding_min, u64, word_hashes
 
-#: Words in a run whose hash can be an anchor.
-RUN = 8
+#: Words in a run whose hash can be an anchor; documents of an anchor whose windows one task sees, at most.
+RUN, HOT = 8, 1000
 _NONE = np.empty(0, np.int64)
 
 
@@ -64,7 +66,7 @@ def _anchors(width: int):
     return run
 
 
-_KINDS = pa.schema([("local", pa.bool_()), ("_id", pa.int64()), ("_th", pa.int64()), ("anchor", pa.int64()), ("start", pa.int32()), ("hashes", pa.binary()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+_KINDS = pa.schema([("local", pa.bool_()), ("_id", pa.int64()), ("_th", pa.int64()), ("anchor", pa.int64()), ("start", pa.int32()), ("hashes", pa.binary()), ("each", pa.list_(pa.int64())), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 
 
 def _runs(rows: np.ndarray, pos: np.ndarray, anchor: np.ndarray) -> np.ndarray:
@@ -87,6 +89,7 @@ def _windows(width: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, ths = part.column("_id").to_numpy(), part.column("_th").to_numpy()
+                hot = np.unique(part.column("hot").flatten().to_numpy()).view(np.uint64)
                 got = []
                 for k, (text, rep) in enumerate(zip(part.column("text").to_pylist(), part.column("repeated"), strict=True)):
                     h, a = anchored(text or "", width, roll)
@@ -112,8 +115,10 @@ def _windows(width: int):
                 order = np.lexsort((pos, row))
                 row, pos, h, a = row[order], pos[order], h[order], a[order]
                 cuts = [*_runs(row, pos, a), len(row)] if len(row) else [0]
+                apart = np.isin(a, hot)
                 for x, y in zip(cuts, cuts[1:], strict=False):
-                    put(local=False, _id=ids[row[x]], _th=ths[row[x]], anchor=i64(a[x : x + 1])[0], start=pos[x], hashes=h[x:y].tobytes())
+                    held = {"each": i64(h[x:y])} if apart[x] else {"hashes": h[x:y].tobytes()}
+                    put(local=False, _id=ids[row[x]], _th=ths[row[x]], anchor=i64(a[x : x + 1])[0], start=pos[x], **held)
                 yield arrow(out, _KINDS)
 
     return run
@@ -160,13 +165,17 @@ def removal_intervals(docs: DataFrame, scratch: Scratch, width: int) -> DataFram
     base = keyed(docs).select("_id", "_th", "text")
     anchors = scratch.write(base.mapInArrow(_anchors(width), "_id long, _th long, anchors array<long>"), "anchors")
     single = anchors.select("_id", "_th", F.explode("anchors").alias("anchor"))
-    twice = single.groupBy("anchor").agg(F.min("_id").alias("a"), F.max("_id").alias("b")).filter("a < b").select("anchor")
-    repeated = scratch.write(single.join(twice, "anchor", "left_semi").groupBy("_id", "_th").agg(F.collect_set("anchor").alias("repeated")), "repeated")
+    twice = single.groupBy("anchor").agg(F.min("_id").alias("a"), F.max("_id").alias("b"), (F.count(F.lit(1)) > HOT).alias("hot")).filter("a < b").select("anchor", "hot")
+    repeated = single.join(twice, "anchor").groupBy("_id", "_th").agg(F.collect_set("anchor").alias("repeated"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))
+    repeated = scratch.write(repeated, "repeated")
     scratch.drop("anchors")
-    windows = base.join(repeated, ["_id", "_th"]).mapInArrow(_windows(width), "local boolean, _id long, _th long, anchor long, start int, hashes binary, starts array<int>, ends array<int>")
+    windows = base.join(repeated, ["_id", "_th"]).mapInArrow(_windows(width), "local boolean, _id long, _th long, anchor long, start int, hashes binary, each array<long>, starts array<int>, ends array<int>")
     windows = scratch.write(windows, "windows")
-    far = windows.filter("not local").select("_id", "_th", "anchor", "start", "hashes").repartition(n_tasks(scratch.spark), "anchor").sortWithinPartitions("anchor", "_id")
-    found = far.mapInArrow(_verdicts(width), "_id long, _th long, starts array<int>, ends array<int>").unionByName(windows.filter("local").select("_id", "_th", "starts", "ends"))
+    far = windows.filter("hashes is not null").select("_id", "_th", "anchor", "start", "hashes").repartition(n_tasks(scratch.spark), "anchor").sortWithinPartitions("anchor", "_id")
+    hot = windows.filter("each is not null").select("_id", "_th", "start", F.posexplode("each").alias("i", "h")).select("_id", "_th", "h", (F.col("start") + F.col("i")).alias("at"))
+    late = hot.join(hot.groupBy("h").agg(F.min("_id").alias("first")), "h").filter("_id > first").groupBy("_id", "_th").agg(F.collect_set("at").alias("starts"))
+    late = late.withColumn("ends", F.transform("starts", lambda x: x + width))
+    found = far.mapInArrow(_verdicts(width), "_id long, _th long, starts array<int>, ends array<int>").unionByName(windows.filter("local").select("_id", "_th", "starts", "ends")).unionByName(late)
     return found.groupBy("_id", "_th").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
 
 

@@ -99,6 +99,18 @@ def test_substring(docs, texts):
     assert substring_dedup(docs.limit(0)).count() == 0
 
 
+def test_substring_of_hot_anchors(spark, docs, monkeypatch):
+    """Whether an anchor counts as hot changes nothing."""
+    from acopio.llm import substring_dedup as s
+
+    phrase = "one two three four five six seven eight"
+    more = spark.createDataFrame([(1000 + k, f"a{k} b{k % 3} {phrase} " + " ".join(f"t{j}" for j in range(k % 5 * 4)) + f" {phrase} end") for k in range(60)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(more)
+    cold = sorted(substring_dedup(both, 12).collect())
+    monkeypatch.setattr(s, "HOT", 1)
+    assert sorted(substring_dedup(both, 12).collect()) == cold and sum(r.n_removed for r in cold) > 500
+
+
 def test_lines(docs, texts):
     key = lambda x: x.strip(b" \t\n\x0b\x0c\r").lower()
     lines = [(t or "").encode().split(b"\n") for t in texts]
