@@ -99,7 +99,7 @@ def bounded_sample(docs: DataFrame, rows: int, most_bytes: int, scratch: Scratch
     return scratch.write(with_counts(docs.sparkSession.createDataFrame(some, docs.schema).coalesce(1)), "sample")
 
 
-def cascade_order(sample: DataFrame, rules: list[Rule], repeats: int = 16) -> list[tuple[Rule, float, float]]:
+def cascade_order(sample: DataFrame, rules: list[Rule], repeats: int = 4) -> list[tuple[Rule, float, float]]:
     """(rule, seconds a row, share rejected), most rejection per cost first. sample: a small table, counts at hand. Each
     rule works on the sample so many times over inside one task; what a job without any rule takes is taken off, and the
     faster of two runs counts, so that starting jobs is not taken for a rule's cost."""
