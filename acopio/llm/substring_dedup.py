@@ -173,7 +173,8 @@ def removal_intervals(docs: DataFrame, scratch: Scratch, width: int) -> DataFram
     windows = scratch.write(windows, "windows")
     far = windows.filter("hashes is not null").select("_id", "_th", "anchor", "start", "hashes").repartition(n_tasks(scratch.spark), "anchor").sortWithinPartitions("anchor", "_id")
     hot = windows.filter("each is not null").select("_id", "_th", "start", F.posexplode("each").alias("i", "h")).select("_id", "_th", "h", (F.col("start") + F.col("i")).alias("at"))
-    late = hot.join(hot.groupBy("h").agg(F.min("_id").alias("first")), "h").filter("_id > first").groupBy("_id", "_th").agg(F.collect_set("at").alias("starts"))
+    hot = hot.groupBy("h", "_id", "_th").agg(F.collect_list("at").alias("at"))  # a window may recur in a document
+    late = hot.join(hot.groupBy("h").agg(F.min("_id").alias("first")), "h").filter("_id > first").groupBy("_id", "_th").agg(F.flatten(F.collect_list("at")).alias("starts"))
     late = late.withColumn("ends", F.transform("starts", lambda x: x + width))
     found = far.mapInArrow(_verdicts(width), "_id long, _th long, starts array<int>, ends array<int>").unionByName(windows.filter("local").select("_id", "_th", "starts", "ends")).unionByName(late)
     return found.groupBy("_id", "_th").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
