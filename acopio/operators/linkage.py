@@ -22,10 +22,14 @@ def prepared(people: DataFrame) -> DataFrame:
     return df.withColumns({"codes": phonetic_tokens(F.col("norm")), "code": phonetic_code(first), "second": phonetic_code(second)})
 
 
-def blocked(people: DataFrame, split: int = SPLIT, prefix: int = PREFIX) -> DataFrame:
+def blocked(people: DataFrame, split: int = SPLIT, prefix: int = PREFIX, scratch: Scratch | None = None) -> DataFrame:
     """prepared rows with block_key: the first token's code, or where over split rows share it, that and the start of the
-    second token's code. Codes are counted by an aggregate that is joined back, so a common code is no single task."""
+    second token's code. Codes are counted by an aggregate that is joined back, so a common code is no single task. With
+    scratch, normalized names and codes are worked out once and written, as counting and pairing read the rows again."""
     rows = prepared(people).filter(F.coalesce("code", F.lit("")) != "")
+    if scratch:
+        keep = [c for c in ("id", "nombre", "edad", "cedula", "hospital") if c in people.columns]
+        rows = scratch.write(rows.select(*keep, "norm", "codes", "code", "second"), "prepared")
     sizes = rows.groupBy("code").agg(F.count(F.lit(1)).alias("freq"))
     start = F.when(F.coalesce("second", F.lit("")) == "", NO_SECOND).otherwise(F.substring("second", 1, prefix))
     return rows.join(sizes, "code").withColumn("block_key", F.when(F.col("freq") <= split, F.col("code")).otherwise(F.concat_ws(":", "code", start)))

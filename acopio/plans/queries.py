@@ -146,12 +146,12 @@ def phonetic_codes(spark, sf_dir):
 
 @query(f"{_BLOCKS_60} SELECT id, block_key, freq FROM blocks")
 def block_keys(spark, sf_dir):
-    return linkage.blocked(people(spark, sf_dir)).select("id", "block_key", "freq")
+    return linkage.blocked(people(spark, sf_dir), scratch=Scratch(spark, "blocks")).select("id", "block_key", "freq")
 
 
 @query(f"{_BLOCKS_60} SELECT block_key, count(*) AS n, CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS pairs FROM blocks GROUP BY 1")
 def pair_estimate(spark, sf_dir):
-    return linkage.block_stats(linkage.blocked(people(spark, sf_dir)))
+    return linkage.block_stats(linkage.blocked(people(spark, sf_dir), scratch=Scratch(spark, "blocks")))
 
 
 @query(f"{_CODES}, s AS (SELECT cs[1] AS code, count(*) AS n FROM coded WHERE coalesce(cs[1], '') <> '' GROUP BY 1) SELECT CASE WHEN n = 1 THEN '1' WHEN n <= 60 THEN '2-60' ELSE '>60' END AS size_class, count(*) AS blocks, CAST(sum(n) AS BIGINT) AS people FROM s GROUP BY 1")
@@ -178,17 +178,17 @@ near AS (SELECT a.id AS id_a, b.id AS id_b, CAST(len(list_intersect(a.cd, b.cd))
 
 @query(f"{_PAIRS} SELECT id_a, id_b, round(c, 3) AS score FROM near WHERE round(c, 3) >= 0.82")
 def containment_pairs(spark, sf_dir):
-    return linkage.containment_pairs(linkage.blocked(people(spark, sf_dir)))
+    return linkage.containment_pairs(linkage.blocked(people(spark, sf_dir), scratch=Scratch(spark, "blocks")))
 
 
 @query()
 def fuzzy_candidates(spark, sf_dir):
-    return linkage.candidates(linkage.blocked(people(spark, sf_dir)))
+    return linkage.candidates(linkage.blocked(people(spark, sf_dir), scratch=Scratch(spark, "blocks")))
 
 
 @query(f"{_PAIRS}, g AS (SELECT id_a AS a, id_b AS b FROM near WHERE round(c, 3) >= 0.82 UNION SELECT id_b, id_a FROM near WHERE round(c, 3) >= 0.82), reach AS (SELECT a AS x, a AS y FROM g UNION SELECT x, b FROM reach JOIN g ON y = a) SELECT x AS id, min(y) AS component FROM reach GROUP BY 1".replace("WITH people", "WITH RECURSIVE people"))
 def duplicate_components(spark, sf_dir):
-    pairs = linkage.containment_pairs(linkage.blocked(people(spark, sf_dir))).withColumn("tier", F.lit("ALTA"))
+    pairs = linkage.containment_pairs(linkage.blocked(people(spark, sf_dir), scratch=Scratch(spark, "blocks"))).withColumn("tier", F.lit("ALTA"))
     return linkage.clusters(pairs, Scratch(spark, "clusters"), ("ALTA",))
 
 
@@ -196,7 +196,7 @@ def duplicate_components(spark, sf_dir):
 def unique_persons(spark, sf_dir):
     scratch = Scratch(spark, "unique")
     rows = people(spark, sf_dir)
-    pairs = scratch.write(linkage.candidates(linkage.blocked(rows)), "pairs")
+    pairs = scratch.write(linkage.candidates(linkage.blocked(rows, scratch=scratch)), "pairs")
     n = rows.count()
     return linkage.unique_estimate(n, linkage.clusters(pairs, scratch, ("ALTA",))).withColumn("graph", F.lit("ALTA")).unionByName(linkage.unique_estimate(n, linkage.clusters(pairs, scratch, ("ALTA", "MEDIA"))).withColumn("graph", F.lit("ALTA+MEDIA")))
 
