@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import compare, status, text
 from ..operators import content, linkage, merge, quality, repair
+from .ratio_sql import compared
 from .scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,7 +182,13 @@ def containment_pairs(spark, sf_dir):
     return linkage.containment_pairs(linkage.blocked(people(spark, sf_dir), scratch=Scratch(spark, "blocks")))
 
 
-@query()
+_ID = "CASE WHEN length(regexp_replace({x}, '[^0-9]', '', 'g')) BETWEEN 6 AND 9 THEN regexp_replace({x}, '[^0-9]', '', 'g') END"
+_FUZZY = f"""{_PAIRS.replace("WITH people", "WITH RECURSIVE people")}, met AS (SELECT id_a, id_b, c, a.norm AS a, b.norm AS b, a.nombre AS nombre_a, b.nombre AS nombre_b, {_ID.format(x="a.cedula")} = {_ID.format(x="b.cedula")} AS same_id, a.age = b.age AS same_age FROM near JOIN r a ON a.id = id_a JOIN r b ON b.id = id_b),
+{compared("SELECT a, b FROM met WHERE c >= 0.82 OR 2.0 * least(length(a), length(b)) >= 0.82 * (length(a) + length(b))", _sound)},
+fuzzy AS (SELECT id_a, id_b, nombre_a, nombre_b, score, CASE WHEN same_id THEN 'ALTA' WHEN score = 1.0 AND same_age THEN 'MEDIA' ELSE 'BAJA' END AS tier FROM met JOIN cmp USING (a, b) WHERE category = 'fonetica')"""
+
+
+@query(f"{_FUZZY} SELECT * FROM fuzzy")
 def fuzzy_candidates(spark, sf_dir):
     return linkage.candidates(linkage.blocked(people(spark, sf_dir), scratch=Scratch(spark, "blocks")))
 
@@ -192,7 +199,10 @@ def duplicate_components(spark, sf_dir):
     return linkage.clusters(pairs, Scratch(spark, "clusters"), ("ALTA",))
 
 
-@query()
+_GRAPHS = "g AS (SELECT id_a AS x, id_b AS y, t AS graph FROM fuzzy JOIN (VALUES ('ALTA'), ('ALTA+MEDIA')) v(t) ON contains(t, tier)), h AS (SELECT x, y, graph FROM g UNION SELECT y, x, graph FROM g), reach AS (SELECT x, x AS y, graph FROM h UNION SELECT reach.x, h.y, graph FROM reach JOIN h USING (graph) WHERE reach.y = h.x), comp AS (SELECT graph, x, min(y) AS component FROM reach GROUP BY 1, 2), n AS (SELECT t AS graph, count(DISTINCT component) AS clusters, count(x) AS inside FROM (VALUES ('ALTA'), ('ALTA+MEDIA')) v(t) LEFT JOIN comp ON graph = t GROUP BY 1)"
+
+
+@query(f"{_FUZZY}, {_GRAPHS} SELECT graph, clusters, (SELECT count(*) FROM people) - inside AS outside, clusters + (SELECT count(*) FROM people) - inside AS estimate FROM n")
 def unique_persons(spark, sf_dir):
     scratch = Scratch(spark, "unique")
     rows = people(spark, sf_dir)
@@ -201,7 +211,7 @@ def unique_persons(spark, sf_dir):
     return linkage.unique_estimate(n, linkage.clusters(pairs, scratch, ("ALTA",))).withColumn("graph", F.lit("ALTA")).unionByName(linkage.unique_estimate(n, linkage.clusters(pairs, scratch, ("ALTA", "MEDIA"))).withColumn("graph", F.lit("ALTA+MEDIA")))
 
 
-@query()
+@query(f"{_FUZZY} SELECT * FROM fuzzy ORDER BY score DESC, id_a, id_b LIMIT 40")
 def top_candidates(spark, sf_dir):
     return linkage.top_pairs(fuzzy_candidates(spark, sf_dir))
 
@@ -337,7 +347,9 @@ def shared_id_names(spark, sf_dir):
     return quality.shared_names(people(spark, sf_dir))
 
 
-@query()
+@query(f"""{_P.replace("WITH people", "WITH RECURSIVE people")}, d AS (SELECT DISTINCT regexp_replace(cedula, '[^0-9]', '', 'g') AS id_digits, nombre FROM people WHERE coalesce(cedula, '') <> '' AND nombre IS NOT NULL),
+shared AS (SELECT id_digits, count(*) AS n_names, {_NORM.format("min(nombre)")} AS a, {_NORM.format("max(nombre)")} AS b FROM d GROUP BY 1 HAVING count(*) > 1), {compared("SELECT a, b FROM shared WHERE n_names = 2", _sound)}
+SELECT id_digits, nombre, n_names FROM d JOIN shared USING (id_digits) LEFT JOIN cmp USING (a, b) WHERE n_names > 2 OR category = 'no_coincide'""")
 def integrity_shared_ids(spark, sf_dir):
     return quality.shared_ids(people(spark, sf_dir))
 
@@ -403,19 +415,26 @@ def multipart_extract(spark, sf_dir):
     return repair.apply_changes(rows, repair.multipart_repairs(rows)[0]).select("id", "nombre", "hospital")
 
 
-@query()
+_CHECKED = f"""{_P.replace("WITH people", "WITH RECURSIVE people")}, listed AS (SELECT regexp_replace(cedula, '[^0-9]', '', 'g') AS d, min(nombre) AS official FROM people WHERE id % 2 = 0 GROUP BY 1 HAVING coalesce(d, '') <> '' AND min(nombre) <> ''),
+asked AS (SELECT id, official, {_NORM.format("coalesce(nombre, '')")} AS a, {_NORM.format("coalesce(official, '')")} AS b FROM people LEFT JOIN listed ON d = regexp_replace(cedula, '[^0-9]', '', 'g') WHERE coalesce(cedula, '') <> ''),
+{compared("SELECT a, b FROM asked WHERE official IS NOT NULL", _sound)},
+checked AS (SELECT id, CASE WHEN official IS NULL THEN 'sin_registro' ELSE category END AS category, official, CASE WHEN official IS NOT NULL THEN score END AS score FROM asked LEFT JOIN cmp USING (a, b))"""
+
+
+@query(f"{_CHECKED} SELECT * FROM checked")
 def registry_validation(spark, sf_dir):
     rows = people(spark, sf_dir)
     known = rows.filter("id % 2 = 0").groupBy(text.digits(F.col("cedula")).alias("cedula")).agg(F.min("nombre").alias("nombre")).filter("cedula <> ''")
     return repair.validated(rows, known)
 
 
-@query()
+@query(f"{_CHECKED} SELECT kind AS category, count(id) AS n FROM (VALUES ('exacta'), ('exacta_reordenada'), ('fonetica'), ('no_coincide'), ('sin_registro')) v(kind) LEFT JOIN checked ON category = kind GROUP BY 1")
 def registry_validation_stats(spark, sf_dir):
     return repair.validation_stats(registry_validation(spark, sf_dir))
 
 
-@query()
+@query(f"""{_P.replace("WITH people", "WITH RECURSIVE people")}, named AS (SELECT id, {_NORM.format("coalesce(nombre, '')")} AS a, {_NORM.format("coalesce(ciudad, '')")} AS b FROM people), {compared("SELECT a, b FROM named", _sound)}
+SELECT id, category, score FROM named JOIN cmp USING (a, b)""")
 def name_comparison(spark, sf_dir):
     rows = people(spark, sf_dir)
     return compare.compare_names(rows.select("id", "nombre", F.col("ciudad").alias("otro")), "nombre", "otro").select("id", "category", "score")

@@ -1,3 +1,4 @@
+import random
 from difflib import SequenceMatcher
 
 import pytest
@@ -148,3 +149,23 @@ def test_components(spark):
     got = {r.id: r.component for r in connected_components(e, Scratch(spark, "t")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 9: 1, 4: 4, 5: 4}
     assert connected_components(e.limit(0), Scratch(spark, "t")).count() == 0
+
+
+def test_ratio_in_sql_equals_difflib():
+    duckdb = pytest.importorskip("duckdb")
+    from acopio.plans.queries import _sound
+    from acopio.plans.ratio_sql import compared
+
+    dice, pairs = random.Random(4), [("", "ANA"), ("ANA", "ANA"), ("ANA LUZ", "LUZ ANA")]
+    word = lambda: "".join(dice.choice("ABCDEF") for _ in range(dice.randint(1, 7)))
+    pairs += [tuple(" ".join(word() for _ in range(dice.randint(1, most))) for most in sizes) for sizes in [(4, 4)] * 200 + [(9, 90)] * 12 + [(90, 90)] * 2]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE named (a VARCHAR, b VARCHAR)")
+    con.executemany("INSERT INTO named VALUES (?, ?)", pairs)
+    got = con.execute(f"WITH RECURSIVE {compared('SELECT a, b FROM named', _sound)} SELECT cmp.a, cmp.b, category, score, ratio FROM cmp LEFT JOIN ratio USING (a, b)").fetchall()
+    assert len(got) == len(set(pairs))
+    for a, b, category, score, ratio in got:
+        if not a or set(a.split()) == set(b.split()):
+            assert (category, score) == (("no_coincide", 0.0) if not a else ("exacta", 1.0) if a == b else ("exacta_reordenada", 0.98))
+        else:
+            assert ratio == SequenceMatcher(None, a, b).ratio() and score >= round(ratio, 3)
