@@ -196,6 +196,19 @@ def test_mixing_of_many_sources(spark, monkeypatch):
         assert [t for _, t in of] == sorted(t for _, t in of)
 
 
+def test_blocks_grow_beyond_a_number_of_them(spark, monkeypatch):
+    """With more blocks than the schedule may hold they are larger ones, equal to asking for that size; nothing is lost."""
+    df = spark.createDataFrame([(i, "x" * (9 + i % 50), f"s{i % 3}") for i in range(900)], "doc_id long, text string, source string")
+    total = sum(10 + i % 50 for i in range(900))
+    for most in (10**6, 40):  # far from it, and beyond
+        monkeypatch.setattr(mixing, "MOST_BLOCKS", most, raising=False)
+        got = mixing.mixed(df, block_bytes=100).collect()
+        assert sorted(r.doc_id for r in got) == list(range(900)) and len({(r.source, r.block) for r in got}) <= min(most, -(-total // 100)) + 3
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10**6)
+    asked = mixing.mixed(df, block_bytes=-(-total // 40)).collect()
+    assert sorted(map(tuple, asked)) == sorted(map(tuple, got))
+
+
 def test_slots_of_documents(docs, texts):
     """Each document's block and place in it by cumulative bytes, each block's slot by a plain earliest-deadline schedule."""
     from fractions import Fraction
