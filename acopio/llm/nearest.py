@@ -172,7 +172,7 @@ def _search(k: int, dim: int):
             last = np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] > k else np.full(len(d), np.inf)
             for i, query in enumerate(queries[a : a + 64]):
                 near = np.flatnonzero((d[i] <= last[i] + slack[i]) & np.isfinite(d[i]))
-                exact = np.sqrt(((x[near] - some[i]) ** 2).sum(axis=1))
+                exact = np.sqrt(np.cumsum((x[near] - some[i]) ** 2, axis=1)[:, -1])  # summed in the order of the components
                 best = np.argsort(exact, kind="stable")[:k]
                 for v, got in zip(out, (np.full(len(best), query), ids[near[best]], exact[best]), strict=True):
                     v.append(got)
