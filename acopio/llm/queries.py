@@ -115,4 +115,34 @@ both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT x, b FROM reach JOIN both_ways ON y = a)
 SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
 FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)""",
+    # exact neighbours: what the lists give while a query's ratio and LEAST take in all of them, as in tables up to sf0.1
+    "op5_posting_list_search": r"""
+WITH v AS (SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0 GROUP BY vec_id),
+fine AS (SELECT * FROM v WHERE len(x) = (SELECT len(x) FROM v GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
+near AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score FROM fine q JOIN fine c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM near QUALIFY rank <= 10""",
+    # the rules of URL_RULES, then the same rounds over the link graph with the same end
+    "op10_url_filters": r"""
+WITH RECURSIVE rules(h, p, a) AS (VALUES ('com', '/en/', false), ('example.com', '/en/7', true), ('net', '/de/', true), ('example.net', '/de/8', false), ('org', '/es/', false)),
+page AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+fit AS (SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(a, length(h || p)) AS allowed FROM (SELECT DISTINCT host, path FROM page) JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path),
+judged AS (SELECT page.*, rule, allowed FROM page LEFT JOIN fit USING (host, path)),
+seed AS (SELECT host, avg(CASE WHEN allowed THEN 1 ELSE 0 END) AS good, avg(CASE WHEN NOT allowed THEN 1 ELSE 0 END) AS bad FROM judged WHERE host <> '' GROUP BY host),
+ref AS (SELECT host AS src, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?((?:https?:)?//[^"''\s>]+)', 1)) AS x FROM page),
+link AS (SELECT src, dst, count(*) AS n FROM (SELECT src, translate(regexp_extract(x, '//([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM ref) WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY src, dst),
+share AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS w FROM link),
+own AS (SELECT host, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad FROM (SELECT host FROM seed UNION SELECT src FROM link UNION SELECT dst FROM link) LEFT JOIN seed USING (host)),
+step AS (SELECT host, good AS trust, bad AS distrust, 1.0::DOUBLE AS moved, 0 AS k FROM own
+  UNION ALL
+  SELECT host, t, d, greatest(abs(t - trust), abs(d - distrust)), k + 1
+  FROM (SELECT own.host, s.k, s.trust, s.distrust, max(s.moved) OVER () AS most,
+      own.good + 0.85 * coalesce(f.t, 0) AS t, own.bad + (1 - own.bad) * 0.85 * coalesce(b.d, 0) AS d
+    FROM own JOIN step s ON s.host = own.host
+    LEFT JOIN (SELECT dst AS host, sum(w * trust) AS t FROM share JOIN step ON step.host = src GROUP BY dst) f ON f.host = own.host
+    LEFT JOIN (SELECT src AS host, sum(w * distrust) AS d FROM share JOIN step ON step.host = dst GROUP BY src) b ON b.host = own.host)
+  WHERE most > 1e-3 AND k < 80),
+held AS (SELECT host, trust, distrust FROM step WHERE k = (SELECT max(k) FROM step))
+SELECT page_id, host, path, rule, CASE WHEN coalesce(allowed, NOT coalesce(distrust > trust AND distrust >= 0.75 - 1e-9, false)) THEN 'allow' ELSE 'block' END AS verdict
+FROM judged LEFT JOIN held USING (host)""",
 }

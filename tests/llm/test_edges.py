@@ -7,7 +7,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import pytest
-from acopio.llm import mixing, packing, quality_model
+from acopio.llm import mixing, packing, quality_model, queries
 from acopio.llm.line_dedup import line_dedup
 from acopio.llm.near_dedup import drop_near, near_dedup
 from acopio.llm.nearest import nearest
@@ -189,3 +189,40 @@ def test_many_rows_alike(spark):
     mixed = mixing.mixed(docs, block_bytes=512).collect()
     assert len(mixed) == 1000 and len({(r.block, r.at) for r in mixed}) == 1000
     assert {r.n_removed for r in substring_dedup(docs, 3).filter("doc_id is null").collect()} == {0}
+
+
+def test_sql_of_url_filters_spreads_distrust_too(spark, tmp_path):
+    """The query against its SQL on pages whose hosts link to one another, with odd urls and null pages."""
+    duckdb = pytest.importorskip("duckdb")
+    dice = random.Random(4)
+    hosts = [f"h{k}.{e}" for k in range(12) for e in ("example.com", "example.net", "org", "io")]
+    rows = []
+    for k in range(600):
+        host = dice.choice(hosts)
+        bad = host.startswith(("h1.", "h2.")) and host.endswith("example.com")
+        path = "/en/5" if bad else dice.choice(["/en/7", "/de/1", "/de/8", "/es/2", "/fr/", "/", ""])
+        to = [dice.choice(["h1.example.com", "h2.example.com"] if host.endswith("io") else hosts) for _ in range(dice.randrange(4))]
+        rows.append((k, f"http://{host.upper()}{path}?x=1", " ".join(f"<a class='x' href='//{h}/y'>" for h in to)))
+    rows += [(600, None, None), (601, "no scheme", "<a href=http://h1.org/>"), (602, "http://h1.io", None), (603, "://", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    names = ["page_id", "host", "path", "rule", "verdict"]
+    got = sorted(tuple(r) for r in queries.op10_url_filters(spark, str(tmp_path)).select(*names).collect())
+    assert got == sorted(con.execute(f"SELECT {', '.join(names)} FROM ({queries.SQL['op10_url_filters']})").fetchall())
+    assert sum(r[3] is None and r[4] == "block" for r in got) > 20  # by links alone
+
+
+def test_sql_of_nearest_on_odd_vectors(spark, tmp_path):
+    """The query against exact neighbours by SQL: vectors that take no part, repeated ids and ties; one list holds all."""
+    duckdb = pytest.importorskip("duckdb")
+    dice = np.random.default_rng(6)
+    rows = [(k, [float(v) for v in dice.integers(0, 4, 5)]) for k in range(350)]
+    rows += [(100, [9.0] * 5), (400, None), (500, [0.0] * 5), (600, [float("nan")] * 5), (700, [1.0, None, 1.0, 1.0, 1.0]), (800, [1.0] * 4), (900, []), (None, [1.0] * 5)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    names = ["query_id", "rank", "vec_id", "score"]
+    got = sorted(tuple(r) for r in queries.op5_posting_list_search(spark, str(tmp_path)).select(*names).collect())
+    assert got == sorted(con.execute(f"SELECT {', '.join(names)} FROM ({queries.SQL['op5_posting_list_search']})").fetchall())
+    assert {r[0] for r in got} == {0, 100, 200, 300}
