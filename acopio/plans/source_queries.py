@@ -297,12 +297,12 @@ def source_dateas_lookup(spark, sf_dir):
     return pages.registry_lookup(ids, searches, details, "https://registro")
 
 
-@query("SELECT CAST(s_suppkey AS VARCHAR) AS cedula, c.c_custkey IS NOT NULL OR p.p_partkey IS NOT NULL AS found, coalesce(CASE WHEN c.c_custkey IS NOT NULL THEN c_name END, p_name) AS nombre FROM supplier LEFT JOIN customer c ON c_custkey = s_suppkey * 30 LEFT JOIN part p ON p_partkey = s_suppkey * 30")
+@query("SELECT CAST(s_suppkey * 30 AS VARCHAR) AS cedula, c.c_custkey IS NOT NULL OR p.p_partkey IS NOT NULL AS found, coalesce(CASE WHEN c.c_custkey IS NOT NULL THEN c_name END, p_name) AS nombre FROM supplier LEFT JOIN customer c ON c_custkey = s_suppkey * 30 LEFT JOIN part p ON p_partkey = s_suppkey * 30")
 def registry_cascade(spark, sf_dir):
     """The first registry that has the id."""
-    wanted = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("cedula"))
-    first = table(spark, sf_dir, "customer").filter("c_custkey % 30 = 0").select(F.expr("CAST(c_custkey DIV 30 AS STRING)").alias("cedula"), F.col("c_name").alias("nombre"))
-    second = table(spark, sf_dir, "part").filter("p_partkey % 30 = 0").select(F.expr("CAST(p_partkey DIV 30 AS STRING)").alias("cedula"), F.col("p_name").alias("nombre"))
+    wanted = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 30).cast("string").alias("cedula"))
+    first = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("cedula"), F.col("c_name").alias("nombre"))
+    second = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("cedula"), F.col("p_name").alias("nombre"))
     return repair.lookup(wanted, first, second)
 
 
