@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
+from .filter_audit import audit
 from .line_dedup import line_dedup
 from .mixing import mixed
 from .near_dedup import near_dedup
@@ -67,8 +68,12 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters(documents(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_sharding, op2_substring_dedup, op3_line_dedup, op4_pfair_mixing, op5_posting_list_search, op6_quality_rules, op7_quality_classifier, op8_best_fit_packing, op9_near_dedup, op10_url_filters)
+    f.__name__: f for f in (op1_kd_sharding, op2_substring_dedup, op3_line_dedup, op4_pfair_mixing, op5_posting_list_search, op6_quality_rules, op7_quality_classifier, op8_best_fit_packing, op9_near_dedup, op10_url_filters, op12_filter_audit)
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -145,4 +150,17 @@ step AS (SELECT host, good AS trust, bad AS distrust, 1.0::DOUBLE AS moved, 0 AS
 held AS (SELECT host, trust, distrust FROM step WHERE k = (SELECT max(k) FROM step))
 SELECT page_id, host, path, rule, CASE WHEN coalesce(allowed, NOT coalesce(distrust > trust AND distrust >= 0.75 - 1e-9, false)) THEN 'allow' ELSE 'block' END AS verdict
 FROM judged LEFT JOIN held USING (host)""",
+    "op12_filter_audit": rf"""
+WITH RECURSIVE {_EACH_WORD},
+fact AS (SELECT d.doc_id, coalesce(source, '') AS part, len(w) < 50 AS fa, 100 * len(list_distinct(w)) < 65 * len(w) AS fb, 100 * length(regexp_replace(coalesce(text, ''), '[^A-Z]+', '', 'g')) > 5 * length(coalesce(text, '')) AS fc,
+    regexp_matches(coalesce(text, ''), '[#$%&*|]') AS fd, d.doc_id > min(d.doc_id) OVER (PARTITION BY coalesce(text, '')) AS fe, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad
+  FROM documents d JOIN ws USING (doc_id) LEFT JOIN labels l ON l.doc_id = d.doc_id),
+mask AS (SELECT part, good, bad, fa::INT + 2 * fb::INT + 4 * fc::INT + 8 * fd::INT + 16 * fe::INT AS m, count(*) AS n FROM fact GROUP BY ALL),
+perm AS (SELECT '' AS o UNION ALL SELECT o || c FROM perm, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(c) WHERE NOT contains(o, c)),
+step AS (SELECT o, s, 1 << (ord(o[s]) - 65) AS bit, coalesce(list_sum(list_transform(range(1, s), lambda i: 1 << (ord(o[i]) - 65))), 0)::INT AS early FROM perm, range(1, 6) r(s) WHERE length(o) = 5)
+SELECT part, o AS filter_order, CAST(s AS INTEGER) AS step, coalesce(CAST(sum(n) FILTER (WHERE m & (early | bit) = 0) AS BIGINT), 0) AS kept, coalesce(CAST(sum(n) FILTER (WHERE m & bit > 0 AND m & early = 0) AS BIGINT), 0) AS removed,
+  coalesce(CAST(sum(n) FILTER (WHERE m & bit > 0 AND m & early > 0) AS BIGINT), 0) AS redundant, coalesce(CAST(sum(n) FILTER (WHERE m = bit) AS BIGINT), 0) AS unique_fails,
+  coalesce(CAST(sum(n) FILTER (WHERE good AND m & bit > 0 AND m & early = 0) AS BIGINT), 0) AS good_lost, coalesce(CAST(sum(n) FILTER (WHERE bad AND m & bit > 0 AND m & early = 0) AS BIGINT), 0) AS toxic_lost,
+  coalesce(CAST(sum(n * 120 // greatest(bit_count(m), 1)) FILTER (WHERE m & bit > 0) AS BIGINT), 0) AS shapley
+FROM mask, step GROUP BY part, o, s""",
 }
