@@ -16,6 +16,7 @@ from .packing import best_fit_packing
 from .quality_model import quality_scores
 from .quality_rules import quality_rules
 from .sharding import kd_shards
+from .spelling import spelling_variants
 from .substring_dedup import substring_dedup
 from .url_filters import UrlRule, url_filters
 
@@ -68,12 +69,16 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters(documents(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir), damage=97)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_sharding, op2_substring_dedup, op3_line_dedup, op4_pfair_mixing, op5_posting_list_search, op6_quality_rules, op7_quality_classifier, op8_best_fit_packing, op9_near_dedup, op10_url_filters, op12_filter_audit)
+    f.__name__: f for f in (op1_kd_sharding, op2_substring_dedup, op3_line_dedup, op4_pfair_mixing, op5_posting_list_search, op6_quality_rules, op7_quality_classifier, op8_best_fit_packing, op9_near_dedup, op10_url_filters, op11_spelling_variants, op12_filter_audit)
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -150,6 +155,21 @@ step AS (SELECT host, good AS trust, bad AS distrust, 1.0::DOUBLE AS moved, 0 AS
 held AS (SELECT host, trust, distrust FROM step WHERE k = (SELECT max(k) FROM step))
 SELECT page_id, host, path, rule, CASE WHEN coalesce(allowed, NOT coalesce(distrust > trust AND distrust >= 0.75 - 1e-9, false)) THEN 'allow' ELSE 'block' END AS verdict
 FROM judged LEFT JOIN held USING (host)""",
+    # the checksum of an occurrence bit by bit: each byte is mixed in, then eight shifts (-1) follow
+    "op11_spelling_variants": r"""
+WITH RECURSIVE run AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, r, count(*) AS c FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents) GROUP BY ALL),
+bits AS (SELECT *, hex(encode(d || ':' || r)) AS x FROM run),
+steps AS (SELECT d, r, c, list_prepend(4294967295, flatten(list_transform(range(1, length(x), 2), lambda i: [CAST('0x' || substr(x, i, 2) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))) AS s FROM bits),
+summed AS (SELECT d, r, c, xor(list_reduce(s, lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) AS h FROM steps),
+seen AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, c FROM summed),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM seen WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+del AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT a.word, a.n, b.word AS other, b.n AS m FROM del a JOIN del b ON a.k = b.k AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM del a JOIN v b ON a.k = b.word UNION SELECT b.word, b.n, a.word, a.n FROM del a JOIN v b ON a.k = b.word),
+best AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, other) = 1),
+known AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * v.n THEN other END AS form, CASE WHEN m >= 2 * v.n THEN m END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS last FROM known UNION ALL SELECT walk.word, form FROM walk JOIN known ON known.word = last WHERE form IS NOT NULL)
+SELECT known.word, form, last AS root, n, n_near, form_n FROM known JOIN walk ON walk.word = known.word WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.word = last AND k.form IS NOT NULL)""",
     "op12_filter_audit": rf"""
 WITH RECURSIVE {_EACH_WORD},
 fact AS (SELECT d.doc_id, coalesce(source, '') AS part, len(w) < 50 AS fa, 100 * len(list_distinct(w)) < 65 * len(w) AS fb, 100 * length(regexp_replace(coalesce(text, ''), '[^A-Z]+', '', 'g')) > 5 * length(coalesce(text, '')) AS fc,
