@@ -15,6 +15,7 @@ from .nearest import nearest
 from .packing import best_fit_packing
 from .quality_model import quality_scores
 from .quality_rules import quality_rules
+from .set_join import set_join
 from .sharding import kd_shards
 from .spelling import spelling_variants
 from .substring_dedup import substring_dedup
@@ -77,14 +78,32 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join(documents(spark, sf_dir), width=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_kd_sharding, op2_substring_dedup, op3_line_dedup, op4_pfair_mixing, op5_posting_list_search, op6_quality_rules, op7_quality_classifier, op8_best_fit_packing, op9_near_dedup, op10_url_filters, op11_spelling_variants, op12_filter_audit)
+    f.__name__: f for f in (op1_kd_sharding, op2_substring_dedup, op3_line_dedup, op4_pfair_mixing, op5_posting_list_search, op6_quality_rules, op7_quality_classifier, op8_best_fit_packing, op9_near_dedup, op10_url_filters, op11_spelling_variants, op12_filter_audit, op13_ngram_join)
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
 _EACH_WORD = rf"""
 ws AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS w FROM documents)"""
 
+def _components_sql(width: int, percent: int, kept: str) -> str:
+    """Components of documents whose word shingles have at least that similarity, through all pairs that share one."""
+    return rf"""
+WITH RECURSIVE ws AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {width - 1}], ' ') AS s FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {width} THEN [1] ELSE range(1, len(w) - {width - 2}) END) AS i FROM ws)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT x, b FROM reach JOIN both_ways ON y = a)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c AS component_id{kept}
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)"""
+
+
 SQL = {
     "op2_substring_dedup": f"""
 WITH {_EACH_WORD},
@@ -115,16 +134,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR 100 * n_symbols > 30 * n_words OR (n_lines > 4 AND 100 * n_dup_lines > 60 * n_lines) OR word_chars < 2 * n_words OR word_chars > 20 * n_words
     OR 100 * len(regexp_extract_all(text, '!!')) > 30 * n_words OR 2 * length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) > word_chars) AS kept
 FROM b""",
-    "op9_near_dedup": r"""
-WITH RECURSIVE ws AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [1] ELSE range(1, len(w) - 1) END) AS i FROM ws)),
-n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
-pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
-both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
-reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT x, b FROM reach JOIN both_ways ON y = a)
-SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
-FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)""",
+    "op9_near_dedup": _components_sql(3, 85, ", doc_id = c AS kept"),
+    "op13_ngram_join": _components_sql(4, 85, ""),
     # exact neighbours: what the lists give while a query's ratio and LEAST take in all of them, as in tables up to sf0.1
     "op5_posting_list_search": r"""
 WITH v AS (SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS x FROM embeddings
