@@ -12,6 +12,7 @@ from acopio.llm.line_dedup import line_dedup
 from acopio.llm.near_dedup import drop_near, near_dedup
 from acopio.llm.nearest import nearest
 from acopio.llm.quality_rules import quality_rules
+from acopio.llm.set_join import set_join
 from acopio.llm.sharding import kd_shards
 from acopio.llm.substring_dedup import substring_dedup
 from acopio.llm.common import Scratch
@@ -34,7 +35,7 @@ def labels(spark):
 
 TABLES = {
     "sharding": lambda d, _: kd_shards(d, 8), "substring": lambda d, _: substring_dedup(d, 50), "lines": lambda d, _: line_dedup(d, 2), "mixed": lambda d, _: mixing.mixed(d),
-    "rules": lambda d, _: quality_rules(d), "classifier": lambda d, x: quality_model.quality_scores(d, x), "near": lambda d, _: near_dedup(d, 3, 85),
+    "rules": lambda d, _: quality_rules(d), "classifier": lambda d, x: quality_model.quality_scores(d, x), "near": lambda d, _: near_dedup(d, 3, 85), "sets": lambda d, _: set_join(d, 4, 85),
 }
 STAGES = {"drop_poor": lambda d, x: quality_model.drop_poor(d, x, 0.0), "mix": lambda d, _: mixing.mix(d), "line_stage": lambda d, _: corpus_pipeline.line_dedup_stage(None, d, "")}
 
