@@ -180,12 +180,14 @@ def masks(docs: DataFrame, labels: DataFrame, filters: tuple[Filter, ...] = FILT
     bit = lambda f, k: F.when(F.expr(f.fails), 1 << k).otherwise(0)
     own = sum((bit(f, k) for k, f in enumerate(filters) if f.fails is not None), F.lit(0))
     later = sum(1 << k for k, f in enumerate(filters) if f.fails is None)
-    rows = _labelled(scan(docs, part).select("_id", "part", "digest", own.alias("own")), labels)
+    scratch = Scratch(docs.sparkSession, "audit")
+    facts = scratch.write(scan(docs, part).select("_id", "part", "digest", own.alias("own")), "facts")  # read twice, as is same
+    rows = _labelled(facts, labels)
     kind = ["digest", "part", "own", "good", "toxic"]
     # rows of one text and id, then how many rows of a kind there are and how many of them have its least id
     same = rows.groupBy(*kind, "_id").agg(F.count(F.lit(1)).alias("n"))
     same = same.groupBy(*kind).agg(F.sum("n").alias("n"), F.min(F.struct("_id", "n")).alias("first"))
-    same = Scratch(docs.sparkSession, "audit").write(same, "same")  # it is read twice
+    same = scratch.write(same, "same")
     first = same.groupBy("digest").agg(F.min("first._id").alias("least"))
     met = same.join(first, "digest")
     early = F.when(F.col("first._id") == F.col("least"), F.col("first.n")).otherwise(0)
