@@ -446,3 +446,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 from . import source_queries as _sources  # noqa: E402, F401  registers its queries
+from . import table_queries as _tables  # noqa: E402, F401
