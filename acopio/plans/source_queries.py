@@ -44,6 +44,8 @@ class Raw:
     head: str = "["
     between: str = ","
     tail: str = "]"
+    #: A file's number and body as it is written in the end.
+    shape: Callable[[F.Column, F.Column], F.Column] | None = None
 
 
 def _wrapped(name: str) -> dict[str, str]:
@@ -69,6 +71,20 @@ def _person_xml(v: dict) -> F.Column:
     return F.concat(F.lit("<pfif:person>"), *(tag(k, v[k]) for k in ("person_record_id", "full_name", "age", "photo_url", "source_name")), F.lit("<pfif:note>"), tag("status", v["note_status"]), tag("text", v["note_text"]), F.lit("</pfif:note></pfif:person>"))
 
 
+def _xml_shapes(f: F.Column, body: F.Column) -> F.Column:
+    """Files by number: as they are, another prefix, cut off, names in CDATA, comments and numeric entities, another
+    namespace, persons inside a group."""
+    cdata = F.regexp_replace(body, "<pfif:full_name>([^<]*)<", "<pfif:full_name><![CDATA[$1]]><")
+    entities = F.replace(F.replace(body, F.lit("<pfif:full_name>"), F.lit("<pfif:full_name>&#88;&#x20;")), F.lit("<pfif:note>"), F.lit("<!-- <pfif:full_name>Nadie</pfif:full_name> --><x:note xmlns:x='http://otro/'><x:status>believed_dead</x:status></x:note><pfif:note>"))
+    ghost = F.replace(entities, F.lit("</pfif:pfif>"), F.lit("<!-- <pfif:person><pfif:full_name>Nadie</pfif:full_name></pfif:person> --></pfif:pfif>"))
+    group = F.replace(F.replace(body, F.lit('1.4/">'), F.lit('1.4/"><pfif:group>')), F.lit("</pfif:pfif>"), F.lit("</pfif:group></pfif:pfif>"))
+    shapes = [body, F.replace(F.replace(body, F.lit("pfif:"), F.lit("p:")), F.lit("xmlns:pfif="), F.lit("xmlns:p=")), F.substr(body, F.lit(1), F.length(body) - 40), cdata, ghost, F.replace(body, F.lit("zesty.ca"), F.lit("otro.org")), group]
+    out = shapes[0]
+    for k, shaped in enumerate(shapes[1:], 1):
+        out = F.when(f % len(shapes) == k, shaped).otherwise(out)
+    return out
+
+
 def _osiris_html(v: dict) -> F.Column:
     cells = [_text(f"<div><strong>{k}</strong> <span>", v[k], "</span></div>") for k in v if not k.startswith("#")]
     return _text('<details class="patient-card" open><summary><span class="patient-name">', v["#name"], '</span><span class="patient-id">', v["#id"], '</span></summary><div class="details-grid">', *cells, "</div></details>")
@@ -88,7 +104,7 @@ _STREAM = {"id": f"concat('cm', {_ID})", "firstName": "split_part(" + _N + ", '
 
 RAW: dict[str, Raw] = {
     "aquiestoyvenezuela": Raw({"id": _ID, "nombre": "nombre", "cedula": "cedula", "edad": _E, "ciudad": "ciudad", "ultima_ubicacion": "hospital", "ubicacion_encontrado": _word("Refugio", " ", None), "estado": _word("Desaparecido", "MISSING", "deceased", "encontrado", None), "foto_url": _FACES, "telefono_contacto": "telefono_familiar", "nombre_de_quien_lo_busca": _word("Tia", None), "observaciones": "notas", "encontrado_por": _word(None, "Vecino"), "telefono_quien_encuentra": "telefono_familiar"}, **_wrapped("records")),
-    "busquedaunificadavzla": Raw({"person_record_id": f"CASE WHEN id % 4 = 0 THEN '' ELSE concat('r/', {_ID}) END", "full_name": _N, "age": _E, "photo_url": _FACES, "source_name": _word("Fuente", None), "note_status": _word("believed_missing", "believed_dead", "believed_alive", "information_sought", ""), "note_text": _word("texto &amp; mas", "")}, _person_xml, '<pfif:pfif xmlns:pfif="http://zesty.ca/pfif/1.4/">', "\n", "</pfif:pfif>"),
+    "busquedaunificadavzla": Raw({"person_record_id": f"CASE WHEN id % 4 = 0 THEN '' ELSE concat('r/', {_ID}) END", "full_name": _N, "age": _E, "photo_url": _FACES, "source_name": _word("Fuente", None), "note_status": _word("believed_missing", "believed_dead", "believed_alive", "information_sought", ""), "note_text": _word("texto &amp; mas", "")}, _person_xml, '<pfif:pfif xmlns:pfif="http://zesty.ca/pfif/1.4/">', "\n", "</pfif:pfif>", _xml_shapes),
     "busquedavzla": Raw({"id": _ID, "nombre": "nombre", "edad": _E, "estado": _word("buscando", "Buscando", "encontrado", None), "desc": "notas", "estadoUb": "ciudad", "visto": _word("ayer", None), "foto": _FACES, "repNombre": _word("Rep", None), "repTel": "telefono_familiar", "apodo": _word("Nene", None, ""), "referencia": _word("plaza", None), "notas": "notas"}),
     "busquedavzla_sheet": Raw(_SHEET, **_csv_row(_SHEET)),
     "desaparecidos_terremoto": Raw({"nombre": "nombre", "cedula": "cedula", "edad": _E, "ubicacion": "hospital", "ciudad": "ciudad", "estado": _WORDS, "condicion": _word("grave", None), "descripcion": "notas"}, **_wrapped("items")),
@@ -119,6 +135,7 @@ def files(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     record = raw.record({k: F.col(a) for k, a in named.items()}) if raw.record else F.to_json(F.struct(*(F.col(a).alias(k) for k, a in named.items())))
     each = rows.select("id", "f", record.alias("record")).groupBy("f").agg(F.sort_array(F.collect_list(F.struct("id", "record"))).alias("all"))  # at most _ROWS records
     body = F.concat(F.lit(raw.head), F.array_join(F.transform("all", lambda x: x["record"]), raw.between), F.lit(raw.tail))
+    body = raw.shape(F.col("f"), body) if raw.shape else body
     return each.select(F.concat(F.lit("file-"), F.col("f").cast("string")).alias("url"), F.encode(body, "UTF-8").alias("body"))
 
 
@@ -172,7 +189,7 @@ def _sql(source: str, columns: dict[str, str], keep: str) -> str:
     return f"{_P}, raw AS (SELECT id AS n, CAST(floor(id / {_ROWS}) AS BIGINT) AS f, {raw} FROM people), made AS (SELECT n, f, {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM raw) SELECT {', '.join((c if c in columns else f'CAST(NULL AS VARCHAR) AS {c}') for c in PERSON)} FROM made WHERE ({keep})"
 
 
-def _pages(source: str, columns: dict[str, str], ident: str | None = None, words: dict[str, str] | None = None) -> None:
+def _pages(source: str, columns: dict[str, str], ident: str | None = None, words: dict[str, str] | None = None, files_kept: str = "true") -> None:
     """Registers the pipeline profile: unknown states are desaparecido, a missing state text is the state's name, inline
     photos go, ids that are missing are hashes of source, name and id number."""
     c = dict(columns)
@@ -189,7 +206,7 @@ def _pages(source: str, columns: dict[str, str], ident: str | None = None, words
         return specs.persons(files(spark, sf_dir, source), source)
 
     QUERIES[f"source_{source}"] = run
-    SQL[f"source_{source}"] = _sql(source, c, "nombre IS NOT NULL OR cedula IS NOT NULL" if "cedula" in c else "nombre IS NOT NULL")
+    SQL[f"source_{source}"] = _sql(source, c, ("nombre IS NOT NULL OR cedula IS NOT NULL" if "cedula" in c else "nombre IS NOT NULL") + f") AND ({files_kept}")
 
 
 def _parsed(source: str, columns: dict[str, str], ident: str, state: str, sexes: dict[str, str] | None = None, keep: str = "nombre IS NOT NULL") -> None:
@@ -212,9 +229,11 @@ def _map(**keys: str) -> dict[str, str]:
 _aqui = _map(nombre="nombre", cedula="cedula", edad="edad", ciudad="ciudad", ultimo_lugar="ultima_ubicacion", hospital="ubicacion_encontrado", estado="estado", foto_url="foto_url", telefono_familiar="telefono_contacto", contacto_familiar="nombre_de_quien_lo_busca", notas="observaciones", reportero_nombre="encontrado_por", reportero_telefono="telefono_quien_encuentra")
 _pages("aquiestoyvenezuela", _aqui | {"tipo_reporte": b("estado")}, _own("aquiestoy", "id"))
 _parsed("aquiestoyvenezuela", _aqui | {"hospital": _or("ubicacion_encontrado", "ciudad")}, _own("aquiestoy", "id"), _cased(b("estado"), {"desaparecido": "desaparecido", "buscando": "desaparecido", "missing": "desaparecido", "fallecido": "fallecido", "deceased": "fallecido"}, "ingresado", True))
-_uni = _map(nombre="full_name", edad="age", foto_url="photo_url", estado="note_status", reportero_nombre="source_name") | {"notas": f"replace({b('note_text')}, '&amp;', '&')"}
-_pages("busquedaunificadavzla", _uni | {"tipo_reporte": b("note_status")}, b("person_record_id"))
-_parsed("busquedaunificadavzla", _uni, f"coalesce({b('person_record_id')}, concat('busquedaunificada:', {b('full_name')}))", _cased(b("note_status"), {"believed_missing": "desaparecido", "believed_dead": "fallecido", "believed_alive": "ingresado", "is_note_author": "ingresado", "information_sought": "desaparecido"}, "desaparecido"))
+# of the seven shapes of XML files those that are cut off or of another namespace have no persons; a group hides them from one profile
+_uni_name = f"CASE WHEN f % 7 = 4 THEN trim(concat('X ', coalesce({b('full_name')}, ''))) ELSE {b('full_name')} END"
+_uni = _map(edad="age", foto_url="photo_url", estado="note_status", reportero_nombre="source_name") | {"nombre": _uni_name, "notas": f"replace({b('note_text')}, '&amp;', '&')"}
+_pages("busquedaunificadavzla", _uni | {"tipo_reporte": b("note_status")}, b("person_record_id"), files_kept="f % 7 NOT IN (2, 5, 6)")
+_parsed("busquedaunificadavzla", _uni, f"coalesce({b('person_record_id')}, concat('busquedaunificada:', {_uni_name}))", _cased(b("note_status"), {"believed_missing": "desaparecido", "believed_dead": "fallecido", "believed_alive": "ingresado", "is_note_author": "ingresado", "information_sought": "desaparecido"}, "desaparecido"), keep="nombre IS NOT NULL AND f % 7 NOT IN (2, 5)")
 _bv = _map(nombre="nombre", edad="edad", estado="estado", descripcion_fisica="desc", ultimo_lugar="estadoUb", ultimo_contacto="visto", reportero_nombre="repNombre", reportero_telefono="repTel")
 _pages("busquedavzla", _bv | {"tipo_reporte": b("estado"), "foto_url": b("foto"), "notas": _note(" | ", ("Apodo: ", "apodo"), ("", "referencia"), ("", "notas"))}, _own("busquedavzla", "id"))
 _parsed("busquedavzla", _bv | {"foto_url": f"CASE WHEN NOT starts_with({b('foto')}, 'data:') THEN {b('foto')} END", "notas": _note(" · ", ("Apodo: ", "apodo"), ("Referencia: ", "referencia"), ("", "notas"))}, _own("busquedavzla", "id"), _cased(b("estado"), {"buscando": "desaparecido"}, "ingresado"))

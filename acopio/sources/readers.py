@@ -1,21 +1,25 @@
 """Raw files of many shapes as one shape: a row a record, its fields a map of strings.
 
 Files come as rows (url, body), as ``binaryFile`` gives them; a broken file has no records and an error instead of
-stopping the others. All but CSV, whose quoting spans lines, is read by built-in expressions."""
+stopping the others. All but CSV, whose quoting spans lines, and XML, whose namespaces and entities need a parser, is read
+by built-in expressions."""
 
 from __future__ import annotations
 
 import csv
 import io
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import decode_entities, iso_date, strip
+from ..functions.text import iso_date, strip
 
 _RECORDS = "array<map<string,string>>"
+_ROWS = pa.schema([("url", pa.string()), ("at", pa.int32()), ("record", pa.map_(pa.string(), pa.string())), ("error", pa.string())])
+_ROWS_SQL = "url string, at int, record map<string,string>, error string"
 
 
 def raw_files(spark: SparkSession, path: str) -> DataFrame:
@@ -47,23 +51,35 @@ def nested_rows(text: Column, rows: str, parent: dict[str, str]) -> Column:
     return F.transform(F.from_json(F.get_json_object(text, f"$.{rows}"), _RECORDS), lambda r: F.map_concat(r, extra))
 
 
-def _element(name: str, inside: str = ".*?") -> str:
-    """A pattern of an XML element of a local name, under any prefix; its group is what is inside."""
-    return rf"(?s)<(?:[\w.-]+:)?{name}(?:\s[^>]*)?>({inside})</(?:[\w.-]+:)?{name}\s*>"
+#: The namespace of person files and the elements of a person and of a note that are read.
+PFIF = "http://zesty.ca/pfif/1.4/"
+PERSON_ELEMENTS = ("person_record_id", "entry_date", "source_name", "source_url", "source_date", "full_name", "age", "photo_url")
+NOTE_ELEMENTS = ("status", "text")
 
 
-def pfif_records(text: Column) -> Column:
-    """person elements of a PFIF document under any prefix; note_ fields come from the first note."""
-    fields = ["person_record_id", "full_name", "age", "photo_url", "source_name"]
-    notes = ["status", "text"]
+def pfif_records(files: DataFrame, anywhere: bool) -> DataFrame:
+    """url, at, record, error of XML files: person elements of the PFIF namespace under any prefix, those right under the
+    root or anywhere; note_ fields come from a person's first note. An XML parser reads a file as a whole: one that is
+    not well-formed (cut off, unbound prefixes) has no records, comments and other namespaces count for nothing, and
+    CDATA and entities are text."""
 
-    def one(p: Column) -> Column:
-        head = F.regexp_replace(p, _element("note"), "")
-        note = F.regexp_extract(p, _element("note"), 1)
-        get = lambda where, name: decode_entities(F.regexp_extract(where, _element(name, "[^<]*"), 1))
-        return F.create_map(*(x for f in fields for x in (F.lit(f), get(head, f))), *(x for f in notes for x in (F.lit(f"note_{f}"), get(note, f))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for url, body in zip(batch.column("url").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                try:
+                    root = ElementTree.fromstring(body or b"")
+                except (ElementTree.ParseError, LookupError, ValueError) as e:  # also an encoding that nobody knows
+                    yield pa.RecordBatch.from_pylist([{"url": url, "error": type(e).__name__}], schema=_ROWS)
+                    continue
+                rows = []
+                for at, person in enumerate(root.findall(f"{'.//' if anywhere else ''}{{{PFIF}}}person")):
+                    note = person.find(f"{{{PFIF}}}note")
+                    get = lambda where, name: (where.findtext(f"{{{PFIF}}}{name}") or "") if where is not None else ""
+                    record = {n: get(person, n) for n in PERSON_ELEMENTS} | {f"note_{n}": get(note, n) for n in NOTE_ELEMENTS}
+                    rows.append({"url": url, "at": at, "record": list(record.items()), "error": None})
+                yield pa.RecordBatch.from_pylist(rows, schema=_ROWS)
 
-    return F.transform(F.regexp_extract_all(text, F.lit(_element("person")), F.lit(1)), one)
+    return files.select("url", "body").mapInArrow(run, _ROWS_SQL)
 
 
 def tag(name: str, css: str | None = None) -> str:
@@ -107,9 +123,6 @@ def stream_records(text: Column) -> Column:
     return F.transform(objects, one)
 
 
-_ROWS = pa.schema([("url", pa.string()), ("at", pa.int32()), ("record", pa.map_(pa.string(), pa.string())), ("error", pa.string())])
-
-
 def csv_records(files: DataFrame, marker: str | None, case: str | None = None) -> DataFrame:
     """url, at, record, error of CSV files. The header is the first row with a cell that holds the marker, or without a
     marker the first row of three or more non-empty cells, all under 60 characters, else row 0; short rows are padded.
@@ -146,7 +159,7 @@ def csv_records(files: DataFrame, marker: str | None, case: str | None = None) -
                     put(url, None, None, type(e).__name__)
             yield pa.RecordBatch.from_pydict(out, schema=_ROWS)
 
-    return files.select("url", "body", *["label"] * labelled).mapInArrow(run, "url string, at int, record map<string,string>, error string")
+    return files.select("url", "body", *["label"] * labelled).mapInArrow(run, _ROWS_SQL)
 
 
 def exploded(files: DataFrame, records: Column) -> DataFrame:

@@ -9,7 +9,7 @@ FILES = {
     "sismo_ehr": '{"facility":{"code":"XX1","name":"Hospital Uno"},"rows":[{"nombre":"Dora Prueba","estado":"deceased"}]}',
     "ubicame": '﻿[{"person_record_id":"P-1","full_name":"ELSA PRUEBA","status":"believed_alive"}]',
     "hospital_json": '{"pacientes":[{"nombre_completo":"Hugo Prueba","condicion":"alta médica"},{}]}',
-    "busquedaunificadavzla": "<pfif:pfif><pfif:person><pfif:person_record_id>r/1</pfif:person_record_id><pfif:full_name>Flor Prueba</pfif:full_name><pfif:note><pfif:status>believed_dead</pfif:status></pfif:note></pfif:person></pfif:pfif>",
+    "busquedaunificadavzla": "<pfif:pfif xmlns:pfif='http://zesty.ca/pfif/1.4/'><pfif:person><pfif:person_record_id>r/1</pfif:person_record_id><pfif:full_name>Flor Prueba</pfif:full_name><pfif:note><pfif:status>believed_dead</pfif:status></pfif:note></pfif:person></pfif:pfif>",
     "busquedavzla_sheet": "TITULO,,\nN°,HOSPITAL,APELLIDOS Y NOMBRES,EDAD,CÉDULA / ID,SEXO\n1,Hospital Uno,Prueba Gina,33,1234567,F\n2,Hospital Dos,Prueba Iris\n",
     "osirisberbesia": '<details class="patient-card"><summary><span class="patient-name">Hugo Prueba</span><span class="patient-id">7654321</span></summary><div><strong>Edad</strong><span>50</span></div></details>',
     "reportevenezuela": '<section class="tarjeta" aria-label="x"><span class="ficha__k">Nombre</span><span class="ficha__v">Iris Prueba</span><span class="ficha__k">Edad</span><span class="ficha__v">30 años</span></section>',
@@ -132,3 +132,31 @@ def test_merged_batches(spark, tmp_path):
         ingest.merge_reports(spark.readStream.schema(kind).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), "e", "kind", ["seq"], ["name"]).awaitTermination()
     last = max((tmp_path / "out").glob("batch=*"), key=lambda p: int(p.name[6:]))
     assert {r.e: (r.state, r.name) for r in spark.read.parquet(str(last)).collect()} == {"a": ("ingresado", "x"), "b": ("fallecido", "y"), "c": ("dado_de_alta", "w")}
+
+
+def test_xml_files(spark):
+    """As an XML parser sees them: cut-off files and unbound prefixes give nothing, CDATA and entities are text, comments and
+    other namespaces count for nothing, encodings are obeyed; a broken file leaves others alone."""
+    ns = "xmlns:p='http://zesty.ca/pfif/1.4/'"
+    person = lambda name, more="": f"<p:person><p:full_name>{name}</p:full_name>{more}</p:person>"
+    bodies = {
+        "cdata": f"<r {ns}>{person('<![CDATA[Ana <& Cía]]>')}</r>",
+        "entities": f"<r {ns}>{person('Jos&#233; &#x4E;u&ntilde;ez').replace('&ntilde;', '&amp;')}</r>",
+        "comment": f"<r {ns}><!-- {person('Nadie')} -->{person('Eva')}</r>",
+        "cut": f"<r {ns}>{person('Nadie')}",
+        "unbound": "<r><p:person><p:full_name>Nadie</p:full_name></p:person></r>",
+        "foreign": f"<r {ns} xmlns:q='http://otro/'><q:person><q:full_name>Nadie</q:full_name></q:person>{person('Eva', '<q:age>9</q:age><q:note><q:status>believed_dead</q:status></q:note><p:note><p:status>believed_missing</p:status></p:note>')}</r>",
+        "default": "<r xmlns='http://zesty.ca/pfif/1.4/'><person><full_name> Leo </full_name><note><status>believed_dead</status></note><note><status>x</status></note></person></r>",
+        "group": f"<r {ns}><p:group>{person('Zoe')}</p:group></r>",
+        "empty": "",
+    }
+    rows = [(k, bytearray(v.encode())) for k, v in bodies.items()] + [("latin", bytearray(f"<?xml version='1.0' encoding='ISO-8859-1'?><r {ns}>{person('Íñigo')}</r>".encode("latin-1"))), ("odd", bytearray(f"<?xml version='1.0' encoding='no-such'?><r {ns}/>".encode())), ("null", None)]
+    files = spark.createDataFrame(rows, "url string, body binary").repartition(1)
+    for profile, more in (("pipeline", {}), ("parser", {"group": [("Zoe", "desaparecido")]})):
+        got = {}
+        for r in specs.persons(files, "busquedaunificadavzla", profile).collect():
+            got.setdefault(r.fuente_url, []).append((r.nombre, r.tipo_reporte))
+        missing = "desaparecido"
+        assert got == {"cdata": [("Ana <& Cía", missing)], "entities": [("José Nu&ez", missing)], "comment": [("Eva", missing)], "foreign": [("Eva", missing)], "default": [("Leo", "fallecido")], "latin": [("Íñigo", missing)]} | more
+    errors = {r.url for r in readers.pfif_records(files, True).filter("error is not null").collect()}
+    assert errors == {"cut", "unbound", "empty", "odd", "null"}
