@@ -55,6 +55,7 @@ class Bands:
             low = highs[-1] + 1
         self.highs = np.array(highs)
         self.segments = [self.differ(2 * h) + 1 for h in highs]
+        self._places: dict[int, np.ndarray] = {}
 
     def of(self, n: int) -> int:
         return int(np.searchsorted(self.highs, n))
@@ -68,18 +69,25 @@ class Bands:
         return min(int(self.highs[band]), n * 100 // self.percent)
 
 
+    def places(self, band: int) -> np.ndarray:
+        """A number for each segment of a band, which goes into its keys."""
+        if band not in self._places:
+            self._places[band] = mix((np.uint64(band) << np.uint64(40)) + np.arange(self.segments[band], dtype=np.uint64))
+        return self._places[band]
+
+
 class Parts:
     """The subsets of a sorted set that fall into a band's segments."""
 
-    def __init__(self, items: np.ndarray, band: int, m: int):
-        self.owner = ((items >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # rises with the items
-        bounds = np.searchsorted(self.owner, np.arange(m + 1, dtype=np.uint64))
-        self.sizes = np.diff(bounds)
+    def __init__(self, items: np.ndarray, band: int, bands: Bands):
+        m, self.place = bands.segments[band], bands.places(band)
+        self.owner = (((items >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)  # rises with the items
+        self.sizes = np.bincount(self.owner, minlength=m)
+        bounds = np.concatenate([[0], np.cumsum(self.sizes)])
         self.weights = mix(items ^ _SALT)
         sums = np.zeros(len(items) + 1, np.uint64)
         np.cumsum(self.weights, out=sums[1:])
         self.sums = sums[bounds[1:]] - sums[bounds[:-1]]
-        self.place = mix((np.uint64(band) << np.uint64(40)) + np.arange(m, dtype=np.uint64))
 
     def keys(self) -> np.ndarray:
         return mix(self.sums + self.place)
@@ -115,7 +123,7 @@ def emitted(items: np.ndarray, bands: Bands, others: dict[int, np.ndarray]) -> t
         need = bands.differ(n + reach) + 1
         if m == 1 or (band != own and (reach <= bands.highs[own] or need == 1)):
             continue  # only equal sets, or none, can be linked here
-        parts = Parts(items, band, m)
+        parts = Parts(items, band, bands)
         level = levels(parts.sizes, need, others.get(band, np.zeros(LARGE + 2))) if need > 1 else np.full(m, -1)
         shown, cuttable = level >= 0, level == 1
         if band == own:
@@ -143,7 +151,7 @@ def _sign(width: int, percent: int):
                     d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
                     band = bands.of(len(s))
                     some = len(s) and bands.segments[band] > 1
-                    p = Parts(s, band, bands.segments[band]) if some else None
+                    p = Parts(s, band, bands) if some else None
                     row = (len(s), d[0], d[1], band, i64(p.keys()) if some else None, np.minimum(p.sizes, LARGE).astype(np.int16) if some else None)
                     for k, v in zip(out, row, strict=True):
                         out[k].append(v)
@@ -251,17 +259,20 @@ def set_components(docs: DataFrame, width: int = 4, percent: int = 85) -> tuple[
 
     texts = base.hint("merge").join(reps.select(F.col("rep").alias("_id"), "_th"), ["_id", "_th"], "left_semi").select(F.col("_id").alias("rep"), "text")
     each = scratch.write(texts.mapInArrow(_emit(width, percent, others), "key long, rep long, cut boolean, active boolean"), "each")
-    met = each.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("cut", ~F.col("active"), "rep")).alias("lead"), F.max("active").alias("active"))
-    met = scratch.write(met.filter("size > 1 and active and not lead.cut").select("key", F.col("lead.rep").alias("lead"), "size"), "met")
-    inside = scratch.write(each.join(met, "key"), "inside")
+    # most keys belong to one set: they are counted in narrow rows first; what is left is met without sorting the others
+    live = each.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max("active").alias("sought"), F.min("cut").alias("cuts"))
+    live = scratch.write(live.filter("size > 1 and sought and not cuts").select("key", "size"), "live")
+    inside = scratch.write(each.join(live.hint("shuffle_hash"), "key"), "inside")
     scratch.drop("each")
+    lead = inside.groupBy("key").agg(F.min(F.struct("cut", ~F.col("active"), "rep")).alias("lead")).select("key", F.col("lead.rep").alias("lead"))
+    met = inside.join(lead, "key").filter("rep <> lead")
     sets = base.select(F.col("_id").alias("rep"), F.col("text").alias("set"))
-    first = inside.filter("rep <> lead").select(*_ordered("rep", "lead")).distinct()
+    first = met.select(*_ordered("rep", "lead")).distinct()
     links = _verified(first, sets, width, percent, scratch, "lead")
     comp = _components(links, scratch, "lead")
 
     # the lead has met all others of its bucket: the rest of larger buckets goes on
-    rest = _placed(inside.filter("size > 2 and rep <> lead").select("key", "rep", "cut", "active"), comp)
+    rest = scratch.write(_placed(met.filter("size > 2").select("key", "rep", "cut", "active"), comp), "rest")
     open_ = scratch.write(rest.join(_open(rest).select("key"), "key").select("key", "rep", "cut", "active"), "open")
     scratch.drop("inside")
     facts, pairs, packed = _bounds(base, reps, open_.select("rep").distinct(), comp, width, percent, scratch)
