@@ -11,7 +11,7 @@ Nothing of this brings a row's records into one task: what may change follows fr
 from an aggregate, and what a row held before a record from stretches of time that are summed up first.
 
 Defined results: empty and blank values count as missing; records with neither name nor id number are skipped; of several
-rows that hold a key, the one that has held it longest counts, then the smallest id; arrival numbers are 0 and more, records that share
+rows that hold a key the smallest id counts, so batches may be cut anywhere; arrival numbers are 0 and more, records that share
 one are told apart by their content; columns that the table lacks are ignored.
 """
 
@@ -59,7 +59,7 @@ def _pair(name: Column, place: Column) -> Column:
 KINDS = ("id", "cedula", "nombre_hospital")
 
 
-def _keys(rows: DataFrame, *keep: str) -> DataFrame:
+def keys(rows: DataFrame, *keep: str | Column) -> DataFrame:
     """keep, kind (0 to 2) and key of each key that the rows (id, c, n, h) have."""
     return rows.select(*keep, F.posexplode(F.array("id", "c", _pair(F.col("n"), F.col("h")))).alias("kind", "key")).filter("key is not null")
 
@@ -74,12 +74,25 @@ def _holdings(writes: DataFrame) -> DataFrame:
     return _until(each.select("pid", "kind", "t", "_b", F.col("x.key").alias("key")), ["pid", "kind"]).select("kind", "key", "pid", F.col("t").alias("since"), "until")
 
 
-def _found(records: DataFrame, held: DataFrame) -> DataFrame:
-    """t, pid, matched_by: the holder of each record's first key that has one just before t; its own id without one.
-    Holders that came after one that keeps the key for good never count, so a key that many hold has few of them left."""
-    steady = held.filter(F.col("until") == NEVER).groupBy("kind", "key").agg(F.min(F.struct("since", "pid")).alias("first"))
-    few = held.join(steady, ["kind", "key"], "left").filter("first is null or struct(since, pid) <= first").drop("first")
-    hit = _keys(records, "t", "id").join(few, ["kind", "key"], "left").withColumn("m", F.when(F.expr("since < t and t <= until"), F.struct("kind", "since", "pid")))
+def _lowest(held: DataFrame, stretch: Column) -> DataFrame:
+    """Of held (kind, key, pid, since, until) what can be a key's smallest holder: of those that keep the key for good the
+    ones smaller than all before them, of the others those that no such earlier one is smaller than. Few are left of a key
+    that many hold."""
+    steady = held.filter(F.col("until") == NEVER).groupBy("kind", "key", "since").agg(F.min("pid").alias("pid")).withColumn("_b", stretch)
+    w = Window.partitionBy("kind", "key", "_b").orderBy("since").rowsBetween(Window.unboundedPreceding, -1)
+    v = Window.partitionBy("kind", "key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ends = steady.groupBy("kind", "key", "_b").agg(F.min("pid").alias("_pid")).select("kind", "key", "_b", F.min("_pid").over(v).alias("_low"))
+    lows = steady.withColumn("_in", F.min("pid").over(w)).join(ends, ["kind", "key", "_b"])
+    lows = lows.filter("(_in is null or pid < _in) and (_low is null or pid < _low)").select("kind", "key", "pid", "since", F.lit(NEVER).alias("until"))
+    first = steady.groupBy("kind", "key").agg(F.min(F.struct("since", "pid")).alias("first"))
+    brief = held.filter(F.col("until") < NEVER).join(first, ["kind", "key"], "left").filter("first is null or since < first.since or pid < first.pid").drop("first")
+    return lows.unionByName(brief)
+
+
+def _found(records: DataFrame, few: DataFrame) -> DataFrame:
+    """t, id, pid, matched_by: the smallest holder of each record's first key that has one just before t; its own id
+    without one."""
+    hit = keys(records, "t", "id").join(few, ["kind", "key"], "left").withColumn("m", F.when(F.expr("since < t and t <= until"), F.struct("kind", "pid")))
     best = hit.groupBy("t").agg(F.min("m").alias("m"), F.min("id").alias("id"))
     return best.select("t", "id", F.coalesce("m.pid", "id").alias("pid"), F.get(F.array(*map(F.lit, KINDS)), F.col("m.kind")).alias("matched_by"))
 
@@ -103,33 +116,40 @@ def assign(records: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
     id, nombre, cedula, hospital, tipo_reporte; known: id and the same columns."""
     records = scratch.write(records.select("t", "id", "tipo_reporte", F.col("cedula").alias("c"), F.col("nombre").alias("n"), F.col("hospital").alias("h")), "records")
     span = records.agg(F.min("t"), F.max("t"), F.count(F.lit(1))).first()
-    stretch = F.floor(F.col("t") / max(1, (span[1] - span[0]) // max(1, span[2] // STRETCH))) if span[2] else F.lit(0)
+    width = max(1, (span[1] - span[0]) // max(1, span[2] // STRETCH)) if span[2] else 1
+    stretch = lambda c: F.floor(F.col(c) / width)
     known = known.select("id", *(F.nullif(c, F.lit("")).alias(a) for c, a in (("tipo_reporte", "tipo_reporte"), ("cedula", "c"), ("nombre", "n"), ("hospital", "h"))))
-    near = _keys(known, "id").join(_keys(records).distinct(), ["kind", "key"], "left_semi").select("id").distinct()
+    near = keys(known, "id").join(keys(records).distinct(), ["kind", "key"], "left_semi").select("id").distinct()
     known = scratch.write(known.join(near, "id", "left_semi"), "near")  # a row's first record finds it by its own keys
-    old = known.select(F.col("id").alias("pid"), F.lit(ALWAYS).cast("long").alias("t"), "c", "n", "h").withColumn("_b", stretch)
+    old = known.select(F.col("id").alias("pid"), F.lit(ALWAYS).cast("long").alias("t"), "c", "n", "h").withColumn("_b", stretch("t"))
 
     writes, before, k = old, None, 0  # first what the known rows alone give
     while True:
-        found = _found(records, _holdings(writes)).join(records.select("t", "tipo_reporte"), "t")
+        found = _found(records, _lowest(_holdings(writes), stretch("since"))).join(records.select("t", "tipo_reporte"), "t")
         now = scratch.write(_accepted(found, known), f"round-{k}")
         state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("t", "pid", "ok", "is_new").cast("decimal(38,0)"))).first())
         if k > 0:
             scratch.drop(f"round-{k - 1}")
         if state == before:
             return now
-        writes = old.unionByName(records.join(now.filter("ok").select("t", "pid"), "t").select("pid", "t", "c", "n", "h").withColumn("_b", stretch))
+        writes = old.unionByName(records.join(now.filter("ok").select("t", "pid"), "t").select("pid", "t", "c", "n", "h").withColumn("_b", stretch("t")))
         before, k = state, k + 1
 
 
+def ready(batch: DataFrame, arrival: str, columns: list[str]) -> DataFrame:
+    """batch as arrival, id and those of columns that it has, blank values null, with ids."""
+    some = [c for c in batch.columns if c in columns and c not in ("id", "created_at", "updated_at")]
+    fit = batch.select(F.col(arrival).cast("long").alias("arrival"), *(blank_to_null(F.col(c)).alias(c) for c in ["id", *some]))
+    return with_ids(fit) if "spider_name" in some else with_ids(fit.withColumn("spider_name", F.lit(None).cast("string"))).drop("spider_name")
+
+
 def upserted(table: DataFrame, batch: DataFrame, arrival: str, now: Column) -> tuple[DataFrame, DataFrame]:
     """(rows, outcomes). rows: the rows of table (id, the columns of persons, created_at, updated_at) that batch changes or
     adds, as they are afterwards, with is_new; outcomes: for each record of batch its arrival, id, the row's id (pid),
     matched_by and outcome (inserted, updated, blocked, skipped)."""
     scratch = Scratch(batch.sparkSession, "upsert")
     columns = [c for c in table.columns if c in batch.columns and c not in ("id", "created_at", "updated_at")]
-    fit = batch.select(F.col(arrival).cast("long").alias("arrival"), *(blank_to_null(F.col(c)).alias(c) for c in ["id", *columns]))
-    fit = with_ids(fit) if "spider_name" in columns else with_ids(fit.withColumn("spider_name", F.lit(None).cast("string"))).drop("spider_name")
+    fit = ready(batch, arrival, columns)
     named = F.col("nombre").isNotNull() | F.col("cedula").isNotNull()
     fit = scratch.write(fit, "batch")
     apart = fit.groupBy("arrival").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1

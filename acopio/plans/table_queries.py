@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import upsert
+from ..operators import store, upsert
 from .queries import _P, people, query
+from .scratch import Scratch
 
 #: Records that share ids, id numbers, names and places with known rows and with one another; some only with earlier ones
 #: of the batch. Both engines read these expressions.
@@ -31,19 +32,17 @@ raw AS (SELECT {", ".join(f"{e} AS {k}" for k, e in _VARCHAR.items())} FROM peop
 fit AS (SELECT arrival, {_BLANK("id")} AS id, {", ".join(f"{_BLANK(c)} AS {c}" for c in _COLUMNS)} FROM raw),
 named AS (SELECT arrival, coalesce(id, 'fuente:' || substr(md5(concat('fuente:', coalesce(nombre, ''), ':', coalesce(cedula, ''))), 1, 12)) AS id, {", ".join(_COLUMNS)} FROM fit),
 rec AS (SELECT row_number() OVER (ORDER BY arrival) AS k, arrival, id AS r_id, {", ".join(f"{c} AS r_{c}" for c in _COLUMNS)} FROM named WHERE nombre IS NOT NULL OR cedula IS NOT NULL),
-walk AS (SELECT 0 AS k, id, true AS there, {", ".join(_COLUMNS)}, 0 AS c_since, 0 AS p_since, '2020-01-01 00:00:00' AS created_at, '2020-01-01 00:00:00' AS updated_at, false AS target, NULL::VARCHAR AS how, NULL::VARCHAR AS what FROM known
-  UNION ALL SELECT DISTINCT 0, r_id, false, {", ".join("NULL" for _ in _COLUMNS)}, 0, 0, NULL, NULL, false, NULL::VARCHAR, NULL::VARCHAR FROM rec WHERE r_id NOT IN (SELECT id FROM known)
+walk AS (SELECT 0 AS k, id, true AS there, {", ".join(_COLUMNS)}, '2020-01-01 00:00:00' AS created_at, '2020-01-01 00:00:00' AS updated_at, false AS target, NULL::VARCHAR AS how, NULL::VARCHAR AS what FROM known
+  UNION ALL SELECT DISTINCT 0, r_id, false, {", ".join("NULL" for _ in _COLUMNS)}, NULL, NULL, false, NULL::VARCHAR, NULL::VARCHAR FROM rec WHERE r_id NOT IN (SELECT id FROM known)
   UNION ALL
   SELECT k, id, there OR hit, {_SET},
-    CASE WHEN hit AND (NOT there OR may) AND r_cedula IS NOT NULL AND (NOT there OR cedula IS DISTINCT FROM r_cedula) THEN k ELSE c_since END,
-    CASE WHEN hit AND (NOT there OR (may AND (lower(coalesce(r_nombre, nombre)), lower(coalesce(r_hospital, hospital))) IS DISTINCT FROM (lower(nombre), lower(hospital)))) THEN k ELSE p_since END,
     CASE WHEN hit AND NOT there THEN '2024-05-01 00:00:00' ELSE created_at END, CASE WHEN hit AND (NOT there OR may) THEN '2024-05-01 00:00:00' ELSE updated_at END,
     hit, CASE WHEN hit THEN by_ END, CASE WHEN hit THEN CASE WHEN NOT there THEN 'inserted' WHEN may THEN 'updated' ELSE 'blocked' END END
-  FROM (SELECT *, id = coalesce(m1, m2.i, m3.i, r_id) AS hit, CASE WHEN m1 IS NOT NULL THEN 'id' WHEN m2 IS NOT NULL THEN 'cedula' WHEN m3 IS NOT NULL THEN 'nombre_hospital' END AS by_,
+  FROM (SELECT *, id = coalesce(m1, m2, m3, r_id) AS hit, CASE WHEN m1 IS NOT NULL THEN 'id' WHEN m2 IS NOT NULL THEN 'cedula' WHEN m3 IS NOT NULL THEN 'nombre_hospital' END AS by_,
       coalesce(tipo_reporte IS NULL OR tipo_reporte = 'desaparecido' OR (tipo_reporte <> 'fallecido' AND r_tipo_reporte IS DISTINCT FROM 'desaparecido'), false) AS may
     FROM (SELECT r.*, w.* EXCLUDE (k), max(CASE WHEN there AND w.id = r_id THEN w.id END) OVER () AS m1,
-        min(CASE WHEN there AND cedula <> '' AND cedula = r_cedula THEN {{'s': c_since, 'i': w.id}} END) OVER () AS m2,
-        min(CASE WHEN there AND nombre <> '' AND hospital <> '' AND lower(nombre) = lower(r_nombre) AND lower(hospital) = lower(r_hospital) THEN {{'s': p_since, 'i': w.id}} END) OVER () AS m3
+        min(CASE WHEN there AND cedula <> '' AND cedula = r_cedula THEN w.id END) OVER () AS m2,
+        min(CASE WHEN there AND nombre <> '' AND hospital <> '' AND lower(nombre) = lower(r_nombre) AND lower(hospital) = lower(r_hospital) THEN w.id END) OVER () AS m3
       FROM walk w JOIN rec r ON r.k = w.k + 1)))"""
 
 
@@ -54,13 +53,33 @@ def _persons_and_records(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return known, rows.filter("id % 3 = 0").select(*(F.expr(e).alias(k) for k, e in _RECORD.items()))
 
 
-@query(f"{_REPLAY} SELECT id, {', '.join(_COLUMNS)}, created_at, updated_at FROM walk WHERE there AND k = (SELECT max(k) FROM walk)")
+def _timed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("created_at", "updated_at")})
+
+
+_AFTER = f"{_REPLAY} SELECT id, {', '.join(_COLUMNS)}, created_at, updated_at FROM walk WHERE there AND k = (SELECT max(k) FROM walk)"
+
+
+@query(_AFTER)
 def persons_upsert(spark, sf_dir):
     known, records = _persons_and_records(spark, sf_dir)
     rows, _ = upsert.upserted(known, records, "arrival", F.lit("2024-05-01 00:00:00").cast("timestamp"))
-    return upsert.applied(known, rows).withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("created_at", "updated_at")})
+    return _timed(upsert.applied(known, rows))
 
 
 @query(f"{_REPLAY} SELECT named.arrival, named.id, walk.id AS pid, how AS matched_by, coalesce(what, 'skipped') AS outcome FROM named LEFT JOIN rec USING (arrival) LEFT JOIN walk ON walk.k = rec.k AND target")
 def upsert_outcomes(spark, sf_dir):
     return upsert.upserted(*_persons_and_records(spark, sf_dir), "arrival", F.current_timestamp())[1]
+
+
+@query(_AFTER)
+def persons_store(spark, sf_dir):
+    """The table after three batches, each of which rewrites the buckets that it touches."""
+    scratch = Scratch(spark, "store")
+    known, records = _persons_and_records(spark, sf_dir)
+    kept = store.PersonStore(spark, f"{scratch.root}/persons", known.schema, buckets=16)
+    kept.load(known)
+    cuts = [-1, *(int(x) for x in records.approxQuantile("arrival", [1 / 3, 2 / 3], 0.01)), 2**62]
+    for n, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False), 1):
+        kept.upsert(records.filter((F.col("arrival") > low) & (F.col("arrival") <= high)), "arrival", F.lit("2024-05-01 00:00:00").cast("timestamp"), n, Scratch(spark, f"batch-{n}"))
+    return _timed(kept.read())

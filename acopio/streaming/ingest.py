@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 
 from ..operators.content import checksum
 from ..operators.merge import folded
+from ..operators.store import PersonStore
+from ..plans.scratch import Scratch
 
 
 def new_pages(spark: SparkSession, path: str, schema: StructType, body: str = "body", file_format: str = "parquet", known: DataFrame | None = None, within: tuple[str, str] | None = None) -> DataFrame:
@@ -67,3 +69,13 @@ def merge_reports(reports: DataFrame, target: str, checkpoint: str, entity: str,
         folded(new, entity, kind, ["_turn", *order], columns).select(entity, "state", *columns).write.mode("overwrite").parquet(f"{target}/batch={n}")
 
     return reports.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_stream(records: DataFrame, kept: PersonStore, checkpoint: str, arrival: str) -> StreamingQuery:
+    """Applies each micro-batch of person records to a store as a version of its own. A batch that a restart runs again
+    finds its version there; bytes written follow the batch, not the table."""
+
+    def batch(rows: DataFrame, n: int) -> None:
+        kept.upsert(rows, arrival, F.current_timestamp(), n + 1, Scratch(rows.sparkSession, f"upsert-{n}"))
+
+    return records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

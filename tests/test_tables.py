@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from acopio.operators import upsert
+from acopio.operators import store, upsert
+from acopio.plans.scratch import Scratch
 
 THEN, NOW = dt.datetime(2020, 1, 1), dt.datetime(2024, 5, 1)
 COLUMNS = ["tipo_reporte", "nombre", "edad", "cedula", "hospital"]
@@ -17,10 +18,9 @@ BATCH = "arrival long, id string, tipo_reporte string, nombre string, edad strin
 def replayed(table, batch):
     """One record after another: the rows afterwards and what became of each record."""
     rows = {r[0]: dict(zip(["id", *COLUMNS, "folio", "created_at", "updated_at"], r, strict=True)) for r in table}
-    since = {(k, "c"): -1 for k in rows} | {(k, "p"): -1 for k in rows}
     out = []
     pair = lambda r: (r["nombre"].lower(), r["hospital"].lower()) if r["nombre"] and r["hospital"] else None
-    for t, rec in enumerate(sorted(batch, key=lambda r: (r[0], [(x is not None, x or "") for x in r[1:7]]))):
+    for rec in sorted(batch, key=lambda r: (r[0], [(x is not None, x or "") for x in r[1:7]])):
         new = {c: (v or "").strip() or None for c, v in zip(["id", *COLUMNS], rec[1:7], strict=True)}
         if not new["id"]:
             import hashlib
@@ -32,14 +32,13 @@ def replayed(table, batch):
             continue
         hit, by = (new["id"], "id") if new["id"] in rows else (None, None)
         if not hit and new["cedula"]:
-            found = [(since[k, "c"], k) for k, r in rows.items() if r["cedula"] == new["cedula"]]
-            hit, by = (min(found)[1], "cedula") if found else (None, None)
+            found = [k for k, r in rows.items() if r["cedula"] == new["cedula"]]
+            hit, by = (min(found), "cedula") if found else (None, None)
         if not hit and pair(new):
-            found = [(since[k, "p"], k) for k, r in rows.items() if pair(r) == pair(new)]
-            hit, by = (min(found)[1], "nombre_hospital") if found else (None, None)
+            found = [k for k, r in rows.items() if pair(r) == pair(new)]
+            hit, by = (min(found), "nombre_hospital") if found else (None, None)
         if not hit:
             rows[new["id"]] = dict(new, folio=None, created_at=NOW, updated_at=NOW)
-            since[new["id"], "c"] = since[new["id"], "p"] = t
             out.append((rec[0], new["id"], new["id"], None, "inserted"))
             continue
         row = rows[hit]
@@ -47,12 +46,7 @@ def replayed(table, batch):
         if now and (now == "fallecido" or (now != "desaparecido" and new["tipo_reporte"] == "desaparecido")):
             out.append((rec[0], new["id"], hit, by, "blocked"))
             continue
-        old = dict(row)
         row.update({c: v for c, v in new.items() if v and c != "id"}, updated_at=NOW)
-        if row["cedula"] != old["cedula"]:
-            since[hit, "c"] = t
-        if pair(row) != pair(old):
-            since[hit, "p"] = t
         out.append((rec[0], new["id"], hit, by, "updated"))
     return sorted((tuple(r[c] for c in ["id", *COLUMNS, "folio", "created_at", "updated_at"]) for r in rows.values()), key=str), sorted(out, key=str)
 
@@ -93,3 +87,45 @@ def test_upsert_of_odd_batches(spark):
     assert done(spark, [], ties) == replayed([], ties)
     table = [("z", "ingresado", "Ana", None, "9", "H", 1, THEN, THEN)]
     assert done(spark, table, []) == (replayed(table, [])[0], []) and done(spark, [], []) == ([], [])
+
+
+def test_store_rewrites_what_it_touches(spark, tmp_path):
+    """Batches cut anywhere equal one sequence; a batch writes its buckets only; versions are whole and run once."""
+    dice = random.Random(3)
+    table = [(f"k{k:03}", dice.choice(STATES), f"N{k}", None, str(1000 + k), "H", k, THEN, THEN) for k in range(300)]
+    batch = [(k, dice.choice([None, f"k{dice.randint(0, 20):03}", f"n{dice.randint(0, 4)}"]), dice.choice(STATES), dice.choice([None, f"N{dice.randint(0, 20)}", "Nueva"]), None, dice.choice([None, "77", str(1000 + dice.randint(0, 20))]), dice.choice([None, "h"]), None) for k in range(24)]
+    records, known = spark.createDataFrame(batch, BATCH), spark.createDataFrame(table, TABLE)
+    kept = store.PersonStore(spark, str(tmp_path / "persons"), known.schema, buckets=128)
+    kept.load(known)
+    seen = []
+    for n, (low, high) in enumerate([(0, 3), (3, 11), (11, 24)], 1):
+        part = records.filter(f"arrival >= {low} and arrival < {high}")
+        seen += kept.upsert(part, "arrival", F.lit(NOW), n, Scratch(spark, f"t{n}")).collect()
+        assert kept.upsert(part, "arrival", F.lit(NOW), n, Scratch(spark, f"again{n}")) is None
+        written = list((tmp_path / f"persons/rows/v={n}").glob("_bucket=*"))
+        assert 0 < len(written) <= high - low
+    want, outcomes = replayed(table, batch)
+    assert sorted((tuple(r) for r in kept.read().collect()), key=str) == want
+    assert sorted((tuple(r[c] for c in ("arrival", "id", "pid", "matched_by", "outcome")) for r in seen), key=str) == outcomes
+    index = {(r.kind, r.key, r.id) for r in kept.store.read("keys").collect()}
+    assert {k for kind, k, _ in index if kind == 1} == {r[4] for r in want if r[4]}
+    first = sorted(tuple(r) for r in kept.store.read("rows", version=1).select("id").collect())
+    kept.store.vacuum(keep=3)
+    assert kept.store.versions() == [1, 2, 3] and sorted(tuple(r) for r in kept.store.read("rows", version=1).select("id").collect()) == first
+    kept.store.vacuum(keep=1)
+    assert kept.store.versions() == [3] and sorted((tuple(r) for r in kept.read().collect()), key=str) == want
+    (tmp_path / "persons/rows/v=4").mkdir()  # a version that was never finished is not there
+    assert kept.store.latest() == 3 and kept.read().count() == len(want)
+
+
+def test_upsert_stream(spark, tmp_path):
+    from acopio.streaming import ingest
+
+    kept = store.PersonStore(spark, str(tmp_path / "persons"), spark.createDataFrame([], TABLE).schema, buckets=8)
+    batch = [(0, "a", "desaparecido", "Ana", None, "1", None, None), (1, None, "ingresado", "Ana B", None, "1", None, None), (2, "b", "ingresado", "Eva", None, "2", "H", None), (3, None, "fallecido", "EVA", None, None, "h", None)]
+    for k in range(2):
+        spark.createDataFrame(batch[2 * k : 2 * k + 2], BATCH).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        records = spark.readStream.schema(BATCH).parquet(str(tmp_path / "in"))
+        ingest.upsert_stream(records, kept, str(tmp_path / "cp"), "arrival").awaitTermination()
+    assert sorted((r.id, r.tipo_reporte, r.nombre, r.cedula) for r in kept.read().collect()) == [("a", "ingresado", "Ana B", "1"), ("b", "fallecido", "EVA", "2")]
+    assert kept.store.versions() == [1, 2]
