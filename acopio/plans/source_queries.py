@@ -407,3 +407,33 @@ def text_list(spark, sf_dir):
     day = F.lpad((1 + F.col("p_partkey") % 28).cast("string"), 2, "0")
     line = F.when(F.col("p_partkey") % 4 == 0, F.col("p_name")).otherwise(F.concat(F.col("p_partkey").cast("string"), F.lit(".  "), "p_name", F.lit(" ("), "p_brand", F.lit(", "), day, F.lit("-06-26) ")))
     return table(spark, sf_dir, "part").withColumn("r", readers.numbered_list(line)).filter("r.name is not null").select("p_partkey", "r.*")
+
+
+#: What stands in the files in place of some records, as JSON; null: a record as it should be.
+_BAD = f"CASE WHEN id % 11 = 0 THEN '3' WHEN id % 11 = 1 THEN '\"x\"' WHEN id % 11 = 2 THEN '[1]' WHEN id % 11 = 3 THEN 'null' WHEN id % 11 = 4 THEN concat('{{\"id\":\"', {_ID}, '\",\"nombre\":\" \"}}') WHEN id % 11 = 5 THEN concat('{{\"id\":\"', {_ID}, '\",\"nombre\":\"A\\\\u0000B\"}}') END"
+_BAD_SQL = _BAD.replace("AS STRING", "AS VARCHAR").replace("\\\\", "\\")
+
+
+def _spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a list of objects, some of whose elements are no records of a person; each 20th is cut off."""
+    rows = people(spark, sf_dir).select("id", F.floor(F.col("id") / _ROWS).alias("f"), F.expr(_BAD).alias("bad"), F.concat(F.lit('{"id":"'), F.col("id").cast("string"), F.lit('","nombre":"Ana","edad":'), (F.col("id") % 90).cast("string"), F.lit("}")).alias("good"))
+    each = rows.groupBy("f").agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bad", "good").alias("record")))).alias("all"))  # at most _ROWS records
+    body = F.concat(F.lit('{"items":['), F.array_join(F.transform("all", lambda x: x["record"]), ","), F.lit("]}"))
+    body = F.when(F.col("f") % 20 == 7, F.substr(body, F.lit(1), F.length(body) - 5)).otherwise(body)
+    return each.select(F.concat(F.lit("file-"), F.col("f").cast("string")).alias("url"), F.encode(body, "UTF-8").alias("body"))
+
+
+_SPOILED = f"{_P}, r AS (SELECT id, CAST(floor(id / {_ROWS}) AS BIGINT) AS f, id % 11 AS k, {_BAD_SQL} AS bad FROM people), n AS (SELECT *, CAST(row_number() OVER (PARTITION BY f ORDER BY id) - 1 AS INTEGER) AS nth FROM r)"
+_LEFT_OUT = "SELECT concat('file-', f) AS url, nth, CASE k WHEN 4 THEN 'no_name' WHEN 5 THEN 'nul_character' ELSE 'not_an_object' END AS error, bad AS raw FROM n WHERE bad IS NOT NULL AND f % 20 <> 7 UNION ALL SELECT DISTINCT concat('file-', f), CAST(NULL AS INTEGER), 'unreadable', NULL FROM n WHERE f % 20 = 7"
+
+
+@query(f"{_SPOILED} {_LEFT_OUT}")
+def record_quarantine(spark, sf_dir):
+    """M5: a bad element of a file costs that record only; what went is kept, with the reason."""
+    return specs.rejected(_spoiled(spark, sf_dir), "encuentralos").withColumnRenamed("at", "nth")
+
+
+@query(f"{_SPOILED}, x AS ({_LEFT_OUT}) SELECT error AS kind, count(*) AS n FROM x GROUP BY 1 UNION ALL SELECT 'file', count(DISTINCT f) FROM n UNION ALL SELECT 'person', count(*) FROM n WHERE bad IS NULL AND f % 20 <> 7")
+def quarantine_stats(spark, sf_dir):
+    """Files, persons and what was left out, by reason."""
+    return specs.parse_statistics(_spoiled(spark, sf_dir), "encuentralos")

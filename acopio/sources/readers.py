@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import iso_date, strip
 
-_RECORDS = "array<map<string,string>>"
 _ROWS = pa.schema([("url", pa.string()), ("at", pa.int32()), ("record", pa.map_(pa.string(), pa.string())), ("error", pa.string())])
 _ROWS_SQL = "url string, at int, record map<string,string>, error string"
 
@@ -31,24 +30,59 @@ def text_of(body: Column) -> Column:
     return F.regexp_replace(F.decode(body, "UTF-8"), "^﻿", "")
 
 
-def json_records(text: Column, paths: tuple[str, ...]) -> Column:
-    """The records under the first path that is there; a bare list, or one bare object, where no path is given."""
-    parts = [F.get_json_object(text, f"$.{p}") for p in paths]
-    bare = F.when(F.ltrim(text).startswith("["), text).otherwise(F.when(F.lit(not paths), F.concat(F.lit("["), text, F.lit("]"))))
-    return F.from_json(F.coalesce(*parts, bare), _RECORDS)
+def _is(v: Column, kind: str) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith(kind), F.lit(False))
 
 
-def envelope_records(text: Column) -> Column:
-    """The records of an unknown envelope: a usual key, else its first value, else the list itself."""
+def _as_text(v: Column) -> Column:
+    """A JSON value as text: whole numbers with a fraction keep it (1.0), objects and lists are JSON, null is none."""
+    kind, plain = F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
+    fraction = kind.rlike(r"^DECIMAL\((\d|1[0-8]),0\)$")
+    return F.when(kind == "VOID", None).when(fraction, F.concat(plain, F.lit(".0"))).otherwise(F.coalesce(plain, F.to_json(v)))
+
+
+def _parsed(files: DataFrame) -> DataFrame:
+    """url, text and v: the file's JSON, parsed once; null where it is none. Of keys that an object repeats the last counts."""
+    files.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return files.select("url", text_of(F.col("body")).alias("text")).withColumn("v", F.try_parse_json("text"))
+
+
+def _split(files: DataFrame, records: Column, more: dict[str, Column] | None = None) -> DataFrame:
+    """url, at, record, error, raw: an element of records (a list of variants) that is no object costs itself only."""
+    extra = [F.create_map(*(x for name, v in more.items() for x in (F.lit(name), v))).alias("_more")] if more else []
+    each = files.select("url", *extra, records.isNull().alias("_none"), F.posexplode_outer(records).alias("at", "r"))
+    good = _is(F.col("r"), "OBJECT")
+    record = F.transform_values(F.try_variant_get(F.when(good, F.col("r")), "$", "map<string,variant>"), lambda _, v: _as_text(v))
+    record = F.map_concat(record, "_more") if more else record
+    error = F.when(F.col("_none"), "unreadable").when(F.col("at").isNotNull() & ~good, "not_an_object")
+    return each.select("url", "at", record.alias("record"), error.alias("error"), F.when(error == "not_an_object", F.to_json("r")).alias("raw"))
+
+
+def _list_of(v: Column) -> Column:
+    return F.try_variant_get(F.when(_is(v, "ARRAY"), v), "$", "array<variant>")
+
+
+def json_records(files: DataFrame, paths: tuple[str, ...]) -> DataFrame:
+    """The records under the first path that holds a list; a bare list, or one bare object, where no path is given."""
+    v = F.col("v")
+    parts = [_list_of(F.try_variant_get(v, f"$.{p}", "variant")) for p in paths]
+    one = [F.when(_is(v, "OBJECT"), F.array(v))] if not paths else []
+    return _split(_parsed(files), F.coalesce(*parts, _list_of(v), *one))
+
+
+def envelope_records(files: DataFrame) -> DataFrame:
+    """The records of an unknown envelope: a usual key, else its first value in the file, else the list itself."""
+    text = F.col("text")
     usual = [F.get_json_object(text, f"$.{k}") for k in ("pacientes", "patients", "data", "results", "items")]
     first = F.get(F.map_values(F.from_json(text, "map<string,string>")), F.lit(0))
-    return F.from_json(F.when(F.ltrim(text).startswith("["), text).otherwise(F.coalesce(*usual, first)), _RECORDS)
+    inside = F.try_parse_json(F.coalesce(*usual, first))
+    return _split(_parsed(files), F.coalesce(_list_of(F.col("v")), _list_of(inside)))
 
 
-def nested_rows(text: Column, rows: str, parent: dict[str, str]) -> Column:
+def nested_rows(files: DataFrame, rows: str, parent: dict[str, str]) -> DataFrame:
     """Records under rows, each with values of the parent: name -> path."""
-    extra = F.create_map(*(x for name, path in parent.items() for x in (F.lit(name), F.coalesce(F.get_json_object(text, f"$.{path}"), F.lit("")))))
-    return F.transform(F.from_json(F.get_json_object(text, f"$.{rows}"), _RECORDS), lambda r: F.map_concat(r, extra))
+    under = lambda p: F.try_variant_get(F.col("v"), f"$.{p}", "variant")
+    return _split(_parsed(files), _list_of(under(rows)), {name: F.coalesce(_as_text(under(p)), F.lit("")) for name, p in parent.items()})
 
 
 #: The namespace of person files and the elements of a person and of a note that are read.

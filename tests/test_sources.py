@@ -160,3 +160,23 @@ def test_xml_files(spark):
         assert got == {"cdata": [("Ana <& Cía", missing)], "entities": [("José Nu&ez", missing)], "comment": [("Eva", missing)], "foreign": [("Eva", missing)], "default": [("Leo", "fallecido")], "latin": [("Íñigo", missing)]} | more
     errors = {r.url for r in readers.pfif_records(files, True).filter("error is not null").collect()}
     assert errors == {"cut", "unbound", "empty", "odd", "null"}
+
+
+def test_bad_records_cost_themselves_only(spark):
+    """Elements that are no objects, repeated keys, numbers with fractions, nested values; files that are no JSON or no list."""
+    bodies = {
+        "mixed": '{"items":[{"id":1,"nombre":"Ana","edad":4.0},3,"x",[1],null,true,{"id":2,"nombre":"Eva","nombre":"Zoe","edad":4.70},{"id":3},{"nombre":" ","cedula":"V-1"},{"id":4,"nombre":"N\\u0000"},{"id":5,"nombre":{"a":[1]},"edad":1e2}]}',
+        "cut": '{"items":[{"id":1,"nombre":"Ana"}', "object": '{"items":{"id":1,"nombre":"Ana"}}', "other": '{"x":[]}', "empty": '{"items":[]}', "bare": '[{"id":9,"nombre":"Leo"}]', "nothing": "", "number": "7",
+    }
+    files = spark.createDataFrame([(k, bytearray(v.encode())) for k, v in bodies.items()] + [("null", None)], "url string, body binary")
+    rows = specs.persons(files, "encuentralos").collect()
+    assert sorted((r.fuente_url, r.nombre, r.edad) for r in rows if r.nombre) == [("bare", "Leo", None), ("mixed", "Ana", "4.0"), ("mixed", "Zoe", "4.7"), ("mixed", '{"a":[1]}', "100.0")]
+    assert [r.cedula for r in rows if not r.nombre] == ["V-1"]
+    gone = {(r.url, r.at): (r.error, r.raw) for r in specs.rejected(files, "encuentralos").collect()}
+    no = "not_an_object"
+    assert {k: v for k, v in gone.items() if k[1] is not None} == {("mixed", 1): (no, "3"), ("mixed", 2): (no, '"x"'), ("mixed", 3): (no, "[1]"), ("mixed", 4): (no, "null"), ("mixed", 5): (no, "true"), ("mixed", 7): ("no_name", '{"id":"3"}'), ("mixed", 9): ("nul_character", '{"id":"4","nombre":"N\\u0000"}')}
+    assert {k[0] for k, v in gone.items() if k[1] is None and v == ("unreadable", None)} == {"cut", "object", "other", "nothing", "number", "null"}
+    counts = {r.kind: r.n for r in specs.parse_statistics(files, "encuentralos", "pipeline").collect()}
+    assert counts == {"file": 9, "empty_file": 1, "person": 5, "unreadable": 6, no: 5, "no_name": 1, "nul_character": 1}
+    xml = spark.createDataFrame([("u", bytearray(b"<cut"))], "url string, body binary")
+    assert [(r.at, r.error) for r in specs.rejected(xml, "busquedaunificadavzla").collect()] == [(None, "unreadable")]
