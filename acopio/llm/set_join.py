@@ -3,7 +3,7 @@
 1. equal sets become one class, of which the smallest doc_id stands for all: copies are never paired;
 2. sizes fall into bands, each as wide as the threshold lets a partner's size differ, so a set's larger partners lie in
    its own band or the next one. Every band has one segment more than two of its sets may differ in n-grams (H). n-grams
-   are hashed into the segments; a key is the hash of the subset of a set that falls into a segment. Every 16th segment
+   are hashed into the segments; a key is the hash of the subset of a set that falls into a segment. Every 32nd segment
    also has the keys of its one-deletion neighbourhood;
 3. pigeonhole: a set seeks its partners in a band by segments of level 0 (equal subsets) or 1 (subsets that differ in one
    n-gram at most). If levels plus one add up to H + 1, a partner is met. Which segments get which level is chosen by
@@ -34,7 +34,7 @@ from .common import LAST_ID, Rolling, Scratch, arrow, i64, keyed, mix, slices
 from .near_dedup import _bounds, _verify, shingles
 
 #: Every so many segments have a one-deletion neighbourhood.
-CUT_EVERY = 16
+CUT_EVERY = 32
 #: Subsets of this size and more are as rare as can be.
 LARGE = 63
 #: Members outside a bucket's largest component that meet the others in the first round; GROWTH times as many in each
