@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: White space that Python's str.strip() takes off; Spark's trim takes spaces only.
-_STRIP = r"(?U)^\s+|\s+$"
+_WHITE = r"[\s\x1C-\x1F]"
+_STRIP = rf"(?U)^{_WHITE}+|{_WHITE}+$"
 
 
 def strip(c: Column) -> Column:
@@ -28,7 +29,7 @@ def text_or_empty(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return strip(F.regexp_replace(c, r"(?U)\s+", " "))
+    return strip(F.regexp_replace(c, f"(?U){_WHITE}+", " "))
 
 
 @cache
@@ -117,14 +118,14 @@ def age_range(low: Column, high: Column, zero_is_missing: bool) -> Column:
     return F.when(some(low) & some(high) & (low != high), F.concat_ws("-", low.cast("string"), high.cast("string"))).when(some(low), low.cast("string"))
 
 
-def location_parts(c: Column) -> Column:
+def location_parts(c: Column, second_is_both: bool = False) -> Column:
     """parish, municipality, state from a comma list: first, second and last of three or more, the latter two of two, the
-    state alone of one."""
+    state alone of one. second_is_both: the second of two is the municipality, too, as one of the registries has it."""
     p = F.transform(F.split(c, ","), lambda x: F.trim(x))
     n = F.size(p)
     return F.struct(
         F.when(n >= 3, F.get(p, F.lit(0))).otherwise("").alias("parroquia"),
-        F.when(n >= 3, F.get(p, F.lit(1))).when(n == 2, F.get(p, F.lit(0))).otherwise("").alias("municipio"),
+        F.when(n >= 3, F.get(p, F.lit(1))).when(n == 2, F.get(p, F.lit(1 if second_is_both else 0))).otherwise("").alias("municipio"),
         F.try_element_at(p, F.lit(-1)).alias("estado"),
     )
 
@@ -162,8 +163,8 @@ def full_name(*parts: Column) -> Column:
 
 
 def query_number(url: Column, name: str) -> Column:
-    """A whole-number parameter of a url's query, 0 without one."""
-    return F.coalesce(F.regexp_extract(url, rf"[?&]{name}=(\d{{1,9}})(?:[&#]|$)", 1).try_cast("int"), F.lit(0))
+    """A whole-number parameter of a url's query as a long, 0 without one that fits."""
+    return F.coalesce(F.regexp_extract(url, rf"[?&]{name}=(\d+)(?:[&#]|$)", 1).try_cast("long"), F.lit(0))
 
 
 def iso_date(c: Column) -> Column:
@@ -200,15 +201,20 @@ def slash_class(name: Column, mark: str | None = None) -> Column:
 def suspicious_canonical(name: Column) -> Column:
     """The first variant is illegible, has two letters or fewer, or is under 0.4 of the longest further one."""
     v = name_variants(name)
-    first, rest = F.get(v, F.lit(0)), F.slice(v, 2, 1000)
+    first, rest = F.get(v, F.lit(0)), F.slice(v, F.lit(2), F.size(v))
     letters = F.length(F.regexp_replace(first, "[^A-Za-zÀ-ÿ]", ""))
     longest = F.coalesce(F.array_max(F.transform(rest, F.length)), F.lit(0))
     return F.coalesce(F.lower(first).contains("ilegible") | (letters <= 2) | (F.length(first) * 10 < longest * 4), F.lit(True))
 
 
+#: Fixed value: a part of a multipart body whose empty line follows its name at once; a part with more headers, such as an
+#: uploaded file, is none. Its groups are the name and the value, up to the next boundary line.
+PART = r'(?sU)name="([^"]+)"\s*\r?\n\r?\n(.*?)(?=\r?\n-{10,}|\z)'
+
+
 def multipart_fields(blob: Column) -> Column:
-    """name and value of each part of a multipart body, non-empty values only: the body is cut at its boundary lines, a
-    part at its first empty line."""
-    parts = F.split(F.regexp_replace(blob, "\r\n", "\n"), "\n-{10,}[^\n]*")
-    cut = F.transform(parts, lambda p: F.struct(F.regexp_extract(F.substring_index(p, "\n\n", 1), r'\bname="([^"]+)"', 1).alias("k"), strip(F.substr(p, F.locate("\n\n", p) + 2)).alias("v"), F.contains(p, F.lit("\n\n")).alias("ok")))
-    return F.map_from_entries(F.transform(F.filter(cut, lambda e: e["ok"] & (e["k"] != "") & (e["v"] != "")), lambda e: F.struct(e["k"], e["v"])))
+    """name and value of each plain part of a multipart body, non-empty values only, the last of a name."""
+    names, values = (F.regexp_extract_all(blob, F.lit(PART), F.lit(k)) for k in (1, 2))
+    parts = F.filter(F.arrays_zip(names.alias("k"), F.transform(values, strip).alias("v")), lambda e: e["v"] != "")
+    last = F.filter(parts, lambda e, i: ~F.exists(F.slice(parts, i + 2, F.size(parts)), lambda later: later["k"] == e["k"]))
+    return F.map_from_entries(last)

@@ -23,7 +23,10 @@ def consonant_runs(name: Column) -> Column:
 
 
 def no_context(df: DataFrame) -> Column:
-    return reduce(lambda a, b: a & b, (F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in CONTEXT if c in df.columns), F.lit(True))
+    """Whether every column of CONTEXT is empty; df must have them all."""
+    if missing := [c for c in CONTEXT if c not in df.columns]:
+        raise ValueError(f"no column {', '.join(missing)}")
+    return reduce(lambda a, b: a & b, (F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in CONTEXT))
 
 
 def place_spellings(df: DataFrame, place: str = "hospital") -> DataFrame:

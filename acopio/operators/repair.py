@@ -26,7 +26,7 @@ def variant_classes(people: DataFrame, mark: str | None = None) -> DataFrame:
 def variant_repairs(people: DataFrame, mark: str | None = None) -> DataFrame:
     rows = people.join(variant_classes(people, mark).filter("class = 'variantes_ocr'").select("id"), "id")
     v = name_variants(F.col("nombre"))
-    note = F.concat(F.lit("[Variantes de nombre detectadas: "), F.array_join(F.slice(v, 2, 1000), " | "), F.lit("] "), F.coalesce("notas", F.lit("")))
+    note = F.concat(F.lit("[Variantes de nombre detectadas: "), F.array_join(F.slice(v, F.lit(2), F.size(v)), " | "), F.lit("] "), F.coalesce("notas", F.lit("")))
     changes = F.array(F.struct(F.lit("nombre").alias("field"), F.col("nombre").alias("old_value"), F.get(v, F.lit(0)).alias("new_value")), F.struct(F.lit("notas").alias("field"), F.col("notas").alias("old_value"), note.alias("new_value")))
     return rows.filter(F.size(v) > 1).select("id", F.explode(changes).alias("c")).select("id", "c.*", F.lit("W1").alias("rule_id"))
 

@@ -148,3 +148,39 @@ class PersonStore:
         held = store.read("keys", indexed).join(moved.filter("not come"), ["key", "kind", "id"], "left_anti").unionByName(moved.filter("come").drop("come"))
         store.commit(version, {"rows": (after, touched), "keys": (held, indexed)})
         return outcomes
+
+
+#: Checksums of a batch that are sent to every task; more are shuffled.
+SMALL_BATCH = 1_000_000
+
+
+class SeenStore:
+    """The registry of contents (checksum, first_seen) in buckets by checksum. A batch reads the buckets of its checksums
+    and writes those in which it has new ones; what is known is neither read as a whole nor shuffled."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.store = Store(spark, path, {"seen": Kept("checksum", StructType.fromDDL("checksum string, first_seen long"))}, buckets)
+
+    def read(self) -> DataFrame:
+        return self.store.read("seen")
+
+    def load(self, known: DataFrame, version: int = 0) -> None:
+        self.store.commit(version, {"seen": (known, list(range(self.store.buckets)))})
+
+    def known_of(self, checksums: DataFrame) -> DataFrame:
+        """Those of checksums (checksum, once each) that are known."""
+        held = self.store.read("seen", self.store.touched("seen", checksums, "checksum")).select("checksum")
+        few = checksums.limit(SMALL_BATCH + 1).count() <= SMALL_BATCH
+        return held.join(checksums.hint("broadcast") if few else checksums, "checksum", "left_semi")
+
+    def sift(self, pages: DataFrame, arrival: str, version: int, scratch) -> DataFrame:
+        """arrival, checksum, is_new of pages (arrival, checksum): not known and the first of the batch. New ones are known
+        from then on, as a version; a version that is there already changes nothing."""
+        if version in self.store.versions():
+            raise ValueError(f"version {version} is there already")
+        first = scratch.write(pages.groupBy("checksum").agg(F.min(arrival).alias("first_seen")), "first")
+        new = scratch.write(first.join(self.known_of(first.select("checksum")), "checksum", "left_anti"), "new")
+        touched = self.store.touched("seen", new, "checksum")
+        after = self.store.read("seen", touched).unionByName(new.withColumn("first_seen", F.col("first_seen").cast("long")))
+        self.store.commit(version, {"seen": (after, touched)})
+        return pages.join(new.select("checksum", F.col("first_seen").alias("_first")), "checksum", "left").select(arrival, "checksum", F.coalesce(F.col(arrival) == F.col("_first"), F.lit(False)).alias("is_new"))

@@ -47,24 +47,24 @@ _PEOPLE = {
     "foto_url": "CASE WHEN doc_id % 2 = 0 THEN concat('http://fotos/', CAST(doc_id % 40 AS STRING)) ELSE 'data:image/png;base64,AAAA' END",
     "notas": "CASE WHEN doc_id % 8 = 0 THEN 'JosÃ© &amp; familia' WHEN doc_id % 8 = 1 THEN 'sin novedad' ELSE NULL END",
 }
-#: A name: the first words of a text; of some texts all of the first line that a name's column holds.
-_NAME, _LINE = r"^[^ \n]+( [^ \n]+)?( [^ \n]+)?", r"^[^\n]{1,512}"
-_WHO = "CASE WHEN doc_id % 13 = 0 THEN concat(regexp_extract(text, '{name}', 0), ' 7') WHEN doc_id % 17 = 0 THEN 'Persona sin datos' WHEN doc_id % 19 = 0 THEN regexp_extract(text, '{line}', 0) WHEN doc_id % 23 = 0 THEN lang WHEN doc_id % 29 = 0 THEN 'N/A' ELSE regexp_extract(text, '{name}', 0) END"
+#: A name: the first words of a text; of some texts all of the first line.
+_NAME, _LINE = r"^[^ \n]+( [^ \n]+)?( [^ \n]+)?", r"^[^\n]+"
+_WHO = "CASE WHEN doc_id % 13 = 0 THEN concat(regexp_extract(coalesce(text, ''), '{name}', 0), ' 7') WHEN doc_id % 17 = 0 THEN 'Persona sin datos' WHEN doc_id % 19 = 0 THEN regexp_extract(coalesce(text, ''), '{line}', 0) WHEN doc_id % 23 = 0 THEN lang WHEN doc_id % 29 = 0 THEN 'N/A' ELSE regexp_extract(coalesce(text, ''), '{name}', 0) END"
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter("text is not null")
+    docs = table(spark, sf_dir, "documents")
     who = _WHO.format(name=_NAME.replace("\\n", "\\\\n"), line=_LINE.replace("\\n", "\\\\n"))
     return docs.select(F.expr(who).alias("nombre"), *(F.expr(e).alias(c) for c, e in _PEOPLE.items()))
 
 
-_P = "WITH people AS (SELECT " + _WHO.format(name=_NAME, line=_LINE) + " AS nombre, " + ", ".join(f"{e.replace('AS STRING', 'AS VARCHAR')} AS {c}" for c, e in _PEOPLE.items()) + " FROM documents WHERE text IS NOT NULL)"
+_P = "WITH people AS (SELECT " + _WHO.format(name=_NAME, line=_LINE) + " AS nombre, " + ", ".join(f"{e.replace('AS STRING', 'AS VARCHAR')} AS {c}" for c, e in _PEOPLE.items()) + " FROM documents)"
 _NORM = "upper(trim(regexp_replace(strip_accents({}), '[^a-zA-Z]+', ' ', 'g')))"
 _PLACE = r"trim(regexp_replace(regexp_replace(upper(coalesce({}, '')), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 
 
 def _sound(x: str) -> str:
-    x = f"regexp_replace(replace(replace(replace(replace(lower({x}), 'v', 'b'), 'll', 'y'), 'z', 's'), 'qu', 'qu'), 'c([ei])', 's\\1', 'g')"
+    x = f"regexp_replace(replace(replace(replace(lower({x}), 'v', 'b'), 'll', 'y'), 'z', 's'), 'c([ei])', 's\\1', 'g')"
     x = f"regexp_replace(regexp_replace(replace(replace(replace({x}, 'qu', 'k'), 'c', 'k'), 'h', ''), 'g([ei])', 'j\\1', 'g'), 'y$', 'i')"
     for letter in "abcdefghijklmnopqrstuvwxyz":
         x = f"regexp_replace({x}, '{letter}{letter}+', '{letter}', 'g')"
@@ -117,7 +117,7 @@ def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(text.decode_entities(text.strip_tags(F.col("html"))).cast("binary")).alias("plain_md5"))
 
 
-@query(r"SELECT page_id, coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=(\d{1,9})(?:[&#]|$)', 1), '') AS INTEGER), 0) AS page FROM pages")
+@query(r"SELECT page_id, coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=(\d+)(?:[&#]|$)', 1), '') AS BIGINT), 0) AS page FROM pages")
 def url_query_param(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.query_number(F.col("url"), "page").alias("page"))
 
@@ -319,7 +319,15 @@ def _rule(name: str, predicate, sql: str) -> None:
 
 
 _rule("quality_consonant_runs", lambda r: quality.consonant_runs(F.col("nombre")), "regexp_matches(lower(nombre), '[bcdfghjklmnpqrstvwxyzñ]{4,}')")
-_rule("quality_no_context", lambda r: quality.no_context(r.drop("ciudad", "foto_url")), "coalesce(edad, '') = '' AND coalesce(cedula, '') = '' AND coalesce(sexo, '') = '' AND coalesce(hospital, '') = '' AND coalesce(telefono_familiar, '') = '' AND coalesce(notas, '') = ''")
+#: Of every 10th row all context is empty, of every 10th but one all but the condition.
+_CONTEXT = {c: f"CASE WHEN id % 10 = 0 THEN {'NULL' if k % 2 else repr('')} WHEN id % 10 = 1 THEN {repr('grave') if c == 'condicion' else 'NULL'} ELSE {c if c in _PEOPLE else repr('x')} END" for k, c in enumerate(quality.CONTEXT)}
+
+
+@query(f"{_P} SELECT id, nombre FROM (SELECT id, nombre, {', '.join(f'{e} AS {c}' for c, e in _CONTEXT.items())} FROM people) WHERE {' AND '.join(chr(40) + f'{c} IS NULL OR {c} = ' + repr('') + chr(41) for c in _CONTEXT)}")
+def quality_no_context(spark, sf_dir):
+    rows = people(spark, sf_dir).select("id", "nombre", *(F.expr(e).alias(c) for c, e in _CONTEXT.items()))
+    return rows.filter(quality.no_context(rows)).select("id", "nombre")
+
 _rule("quality_digits", lambda r: quality.has_digits(F.col("nombre")), "regexp_matches(nombre, '[0-9]')")
 _rule("quality_long_names", lambda r: quality.too_long(F.col("nombre")), "length(nombre) > 100")
 _rule("quality_placeholders", lambda r: quality.placeholder(F.col("nombre")), r"regexp_matches(lower(nombre), '\bdesconocid[oa]\b|\bsin\s+apellido\b|\bn/?a\b|\btest\b|\bprueba\b|\bxxx\b|\bsin\s+nombre\b|\bsin\s+datos\b|\beliminad[oa]\b')")
@@ -374,9 +382,15 @@ def mojibake_scan(spark, sf_dir):
     return quality.mojibake(people(spark, sf_dir), ["notas", "estado"])
 
 
-@query(f"{_P}, g AS (SELECT id, min(id) OVER w AS first_id, count(*) OVER w AS n FROM people WINDOW w AS (PARTITION BY nombre, edad, sexo, hospital, ciudad, tipo_reporte, estado)) SELECT * FROM g WHERE n > 1")
+_ALIKE = "nombre, cedula, edad, sexo, hospital, ciudad, condicion, tipo_reporte"
+_TWICE = "SELECT id, {a}, CAST(NULL AS STRING) AS condicion FROM people UNION ALL SELECT id + 1000000, {a}, CASE WHEN id % 2 = 0 THEN 'grave' END FROM people WHERE id % 7 = 0".replace("{a}", _ALIKE.replace(" condicion,", ""))
+
+
+@query(f"{_P}, p AS ({_TWICE.replace('AS STRING', 'AS VARCHAR')}), g AS (SELECT id, min(id) OVER w AS first_id, count(*) OVER w AS n FROM p WINDOW w AS (PARTITION BY {_ALIKE})) SELECT * FROM g WHERE n > 1")
 def literal_duplicates(spark, sf_dir):
-    return quality.literal_duplicates(people(spark, sf_dir), ["nombre", "edad", "sexo", "hospital", "ciudad", "tipo_reporte", "estado"])
+    """Every 7th row is there twice, every other one of these with another condition."""
+    rows = spark.sql(_TWICE.replace("FROM people", "FROM {people}"), people=people(spark, sf_dir))
+    return quality.literal_duplicates(rows, _ALIKE.split(", "))
 
 
 @query(f"{_P} SELECT count(*) AS n_rows, count(*) FILTER (WHERE length(regexp_replace(coalesce(cedula, ''), '[^0-9]', '', 'g')) BETWEEN 6 AND 9) AS with_id, round(count(*) FILTER (WHERE length(regexp_replace(coalesce(cedula, ''), '[^0-9]', '', 'g')) BETWEEN 6 AND 9) * 100.0 / count(*), 6) AS percent FROM people")
@@ -389,6 +403,11 @@ def migrations_clean(spark, sf_dir):
     return quality.cleaned(people(spark, sf_dir)).select("id", "tipo_reporte", "nombre", "cedula")
 
 
+@query(f"{_P} SELECT id, CASE WHEN tipo_reporte = 'dado_de_alta' THEN 'ingresado' ELSE tipo_reporte END AS tipo_reporte FROM people")
+def migrations_restored(spark, sf_dir):
+    return quality.restored(people(spark, sf_dir)).select("id", "tipo_reporte")
+
+
 _VARIANTS = "SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN concat('R / ', p_name) WHEN p_partkey % 5 = 1 THEN concat(p_name, ' / <b>x</b>') WHEN p_partkey % 5 = 2 THEN concat('[3/4, 10:15] ', p_name, ' / x') WHEN p_partkey % 5 = 3 THEN concat(p_name, ' / C.I. registrada') ELSE concat(p_name, ' / ', p_brand, '/') END AS nombre FROM part"
 
 
@@ -406,13 +425,15 @@ def variant_repairs(spark, sf_dir):
     return repair.variant_repairs(_variants(spark, sf_dir))
 
 
-@query("SELECT c_custkey AS id, c_name AS nombre, c_mktsegment AS hospital FROM customer")
+@query("SELECT c_custkey AS id, c_name AS nombre, c_mktsegment AS hospital, CASE WHEN c_custkey % 2 = 0 THEN 'http://fotos/1' END AS foto_url FROM customer")
 def multipart_extract(spark, sf_dir):
+    """Every other body has a photo's address, the rest an uploaded file, which is no field."""
     end = "\r\n----------------1\r\n"
     head = F.lit('Content-Disposition: attachment; name="nombre"\r\n\r\n')
-    blob = F.concat(head, "c_name", F.lit(end + 'Content-Disposition: form-data; name="pv_lugar"\r\n\r\n'), "c_mktsegment", F.lit(end + 'name="edad"\r\n\r\n' + end))
-    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), blob.alias("nombre"), F.lit("").alias("hospital"), F.lit(None).cast("string").alias("edad"))
-    return repair.apply_changes(rows, repair.multipart_repairs(rows)[0]).select("id", "nombre", "hospital")
+    photo = F.when(F.col("c_custkey") % 2 == 0, 'name="foto"\n\nhttp://fotos/1').otherwise('name="foto"; filename="a.png"\r\nContent-Type: image/png\r\n\r\nbytes')
+    blob = F.concat(head, "c_name", F.lit(end + 'Content-Disposition: form-data; name="pv_lugar"\r\n\r\n'), "c_mktsegment", F.lit(end), photo, F.lit(end + 'name="edad"\r\n\r\n' + end))
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), blob.alias("nombre"), F.lit("").alias("hospital"), F.lit(None).cast("string").alias("edad"), F.lit(None).cast("string").alias("foto_url"))
+    return repair.apply_changes(rows, repair.multipart_repairs(rows)[0]).select("id", "nombre", "hospital", "foto_url")
 
 
 _CHECKED = f"""{_P.replace("WITH people", "WITH RECURSIVE people")}, listed AS (SELECT regexp_replace(cedula, '[^0-9]', '', 'g') AS d, min(nombre) AS official FROM people WHERE id % 2 = 0 GROUP BY 1 HAVING coalesce(d, '') <> '' AND min(nombre) <> ''),
@@ -428,6 +449,13 @@ def registry_validation(spark, sf_dir):
     return repair.validated(rows, known)
 
 
+@query(f"{_CHECKED} SELECT people.id, coalesce(category, 'antes') AS cedula_validacion, CASE WHEN category IS NULL THEN 'nombre' ELSE official END AS cedula_nombre_oficial, score AS cedula_similitud FROM people LEFT JOIN checked USING (id)")
+def registry_writeback(spark, sf_dir):
+    """Rows that were not checked keep what they had."""
+    rows = people(spark, sf_dir).withColumns({"cedula_validacion": F.lit("antes"), "cedula_nombre_oficial": F.lit("nombre")})
+    return repair.with_validation(rows, registry_validation(spark, sf_dir)).select("id", "cedula_validacion", "cedula_nombre_oficial", "cedula_similitud")
+
+
 @query(f"{_CHECKED} SELECT kind AS category, count(id) AS n FROM (VALUES ('exacta'), ('exacta_reordenada'), ('fonetica'), ('no_coincide'), ('sin_registro')) v(kind) LEFT JOIN checked ON category = kind GROUP BY 1")
 def registry_validation_stats(spark, sf_dir):
     return repair.validation_stats(registry_validation(spark, sf_dir))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import store, upsert
-from .queries import _P, people, query
+from ..operators import constraints, content, schedules, store, upsert
+from ..operators.constraints import Foreign, Unique
+from .queries import _P, people, query, table
 from .scratch import Scratch
 
 #: Records that share ids, id numbers, names and places with known rows and with one another; some only with earlier ones
@@ -83,3 +84,73 @@ def persons_store(spark, sf_dir):
     for n, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False), 1):
         kept.upsert(records.filter((F.col("arrival") > low) & (F.col("arrival") <= high)), "arrival", F.lit("2024-05-01 00:00:00").cast("timestamp"), n, Scratch(spark, f"batch-{n}"))
     return _timed(kept.read())
+
+
+#: Schedules by supplier, and when each is due: minute, hour, day, month and day of week (0: Sunday) as SQL has them.
+_CRON = {
+    "0 */12 * * *": "mi = 0 AND h % 12 = 0",
+    "*/15 8-17 * * mon-fri": "mi % 15 = 0 AND h BETWEEN 8 AND 17 AND wd BETWEEN 1 AND 5",
+    "5,35 22-2 1 * *": "mi IN (5, 35) AND (h >= 22 OR h <= 2) AND d = 1",
+    "10-59/20 6 * feb,MAR 0": "mi IN (10, 30, 50) AND h = 6 AND mo IN (2, 3) AND wd = 0",
+    "0 0 29-31/2 * *": "mi = 0 AND h = 0 AND d IN (29, 31)",
+    "30 4 1,15 * fri": "mi = 30 AND h = 4 AND d IN (1, 15) AND wd = 5",
+    "7 23 * 2-3 5-1/2": "mi = 7 AND h = 23 AND mo IN (2, 3) AND wd IN (5, 0)",
+    "60 * * * *": "false", "* * *": "false", "5/10 * * * *": "false", "* * 0 * *": "false", "*/0 * * * *": "false",
+}
+_CRON_CASE = f"CASE s_suppkey % {len(_CRON)} " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_CRON)) + " END"
+_DUE_SQL = "WITH cal AS (SELECT t, minute(t) AS mi, hour(t) AS h, day(t) AS d, month(t) AS mo, dayofweek(t) AS wd FROM (SELECT unnest(generate_series(TIMESTAMP '2024-02-28 11:00:00', TIMESTAMP '2024-03-04 12:00:00', INTERVAL 1 MINUTE)) AS t) WHERE t < TIMESTAMP '2024-03-04 12:00:00')"
+
+
+@query(f"{_DUE_SQL} SELECT s_name AS name, CAST(t AS VARCHAR) AS due_at FROM supplier JOIN cal ON CASE s_suppkey % {len(_CRON)} " + " ".join(f"WHEN {k} THEN {w}" for k, w in enumerate(_CRON.values())) + " END WHERE s_suppkey % 7 <> 0")
+def due_runs(spark, sf_dir):
+    """ST3: when the schedules of a table are due within some days."""
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.expr(_CRON_CASE).alias("schedule"), (F.col("s_suppkey") % 7 != 0).alias("enabled"))
+    start, end = (F.lit(t).cast("timestamp") for t in ("2024-02-28 11:00:00", "2024-03-04 12:00:00"))
+    return schedules.due(rows, start, end).withColumn("due_at", F.date_format("due_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+_KEYED = (
+    Unique("customer", ("c_custkey",), True), Unique("customer", ("c_nationkey", "c_mktsegment")), Unique("orders", ("o_orderkey",), True),
+    Foreign("orders", ("o_custkey",), "customer", ("c_custkey",)), Foreign("lineitem", ("l_orderkey",), "orders", ("o_orderkey",)),
+)
+
+
+def _keyed_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """Customers without some keys, orders of some customers that are not there."""
+    customer = table(spark, sf_dir, "customer").select(F.expr("nullif(c_custkey % 1000, 7)").alias("c_custkey"), "c_nationkey", "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.expr("CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey + 20 END").alias("o_custkey"))
+    return {"customer": customer, "orders": orders, "lineitem": table(spark, sf_dir, "lineitem").select(F.expr("CASE WHEN l_linenumber = 7 THEN -l_orderkey ELSE l_orderkey END").alias("l_orderkey"), "l_linenumber")}
+
+
+_KEYED_SQL = "WITH c AS (SELECT nullif(c_custkey % 1000, 7) AS k, c_nationkey, c_mktsegment FROM customer), o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey + 20 END AS k FROM orders), l AS (SELECT CASE WHEN l_linenumber = 7 THEN -l_orderkey ELSE l_orderkey END AS k, l_linenumber FROM lineitem)"
+
+
+@query(f"""{_KEYED_SQL} SELECT 'customer' AS table_name, 'null c_custkey' AS rule, 'null' AS value, count(*) AS n FROM c WHERE k IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'customer', 'repeated c_custkey', CAST(k AS VARCHAR), count(*) FROM c WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1
+UNION ALL SELECT 'customer', 'repeated c_nationkey,c_mktsegment', concat(c_nationkey, '|', c_mktsegment), count(*) FROM c WHERE c_nationkey IS NOT NULL AND c_mktsegment IS NOT NULL GROUP BY c_nationkey, c_mktsegment HAVING count(*) > 1
+UNION ALL SELECT 'orders', 'orphan o_custkey', CAST(k AS VARCHAR), count(*) FROM o WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM c WHERE k IS NOT NULL) GROUP BY k
+UNION ALL SELECT 'lineitem', 'orphan l_orderkey', CAST(k AS VARCHAR), count(*) FROM l WHERE k NOT IN (SELECT o_orderkey FROM o) GROUP BY k""")
+def key_violations(spark, sf_dir):
+    """What breaks the declared keys of some tables."""
+    return constraints.violations(_keyed_tables(spark, sf_dir), _KEYED).withColumnRenamed("table", "table_name")
+
+
+@query(f"""{_KEYED_SQL}, c2 AS (SELECT * FROM c WHERE c_mktsegment <> 'BUILDING'), lost AS (SELECT k FROM c WHERE c_mktsegment = 'BUILDING' AND k IS NOT NULL AND k NOT IN (SELECT k FROM c2 WHERE k IS NOT NULL)),
+o2 AS (SELECT * FROM o WHERE k IS NULL OR k NOT IN (SELECT k FROM lost)), l2 AS (SELECT * FROM l WHERE k NOT IN (SELECT o_orderkey FROM o) OR k IN (SELECT o_orderkey FROM o2))
+SELECT 'customer' AS table_name, count(*) AS n, CAST(coalesce(sum(k), 0) AS BIGINT) AS keys FROM c2 UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM o2 UNION ALL SELECT 'lineitem', count(*), CAST(sum(k) AS BIGINT) FROM l2""")
+def cascading_delete(spark, sf_dir):
+    """The tables after some customers were deleted, with their orders and the lines of these."""
+    rows = spark.createDataFrame([("BUILDING",)], "c_mktsegment string")
+    left = constraints.deleted(_keyed_tables(spark, sf_dir), _KEYED, "customer", rows, Scratch(spark, "delete"))
+    count = lambda name, key: left[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(key), F.lit(0)).alias("keys"))
+    return count("customer", "c_custkey").unionByName(count("orders", "o_orderkey")).unionByName(count("lineitem", "l_orderkey"))
+
+
+@query("WITH o AS (SELECT doc_id, doc_id % 3 AS part, sha256(coalesce(text, '')) AS checksum FROM documents), s AS (SELECT *, row_number() OVER (PARTITION BY checksum ORDER BY part, doc_id) = 1 AS is_new FROM o) SELECT doc_id, checksum, is_new FROM s WHERE part > 0")
+def content_seen_store(spark, sf_dir):
+    """Two batches of pages against a registry in buckets."""
+    pages = table(spark, sf_dir, "documents").select("doc_id", content.checksum(F.coalesce("text", F.lit(""))).alias("checksum"))
+    scratch = Scratch(spark, "seen")
+    kept = store.SeenStore(spark, f"{scratch.root}/registry", buckets=16)
+    kept.load(pages.filter("doc_id % 3 = 0").groupBy("checksum").agg(F.min("doc_id").alias("first_seen")))
+    return kept.sift(pages.filter("doc_id % 3 = 1"), "doc_id", 1, Scratch(spark, "seen-1")).unionByName(kept.sift(pages.filter("doc_id % 3 = 2"), "doc_id", 2, Scratch(spark, "seen-2")))

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from acopio.operators import linkage, store, upsert
+from acopio.operators import constraints, linkage, schedules, store, upsert
 from acopio.plans.scratch import Scratch
 
 THEN, NOW = dt.datetime(2020, 1, 1), dt.datetime(2024, 5, 1)
@@ -162,3 +162,100 @@ def test_block_pairs_in_cells(spark, monkeypatch):
         monkeypatch.setattr(linkage, "CELL", cell)
         found.append(sorted(tuple(r) for r in linkage.block_pairs(linkage.blocked(df)).select("id_a", "id_b", "nombre_a", "nombre_b", "edad_a", "edad_b").collect()))
     assert found[0] == found[1] and len(found[0]) > 1000 and all(r[0] < r[1] and r[2] == rows[r[0]][1] and r[5] == rows[r[1]][2] for r in found[0])
+
+
+# schedules, keys and the registry of contents
+
+
+def fields(text):
+    """The values of five cron fields by a plain loop, None if one cannot be read."""
+    ranges = [(0, 59), (0, 23), (1, 31), (1, 12), (0, 6)]
+    names = [[], [], [], "jan feb mar apr may jun jul aug sep oct nov dec".split(), "sun mon tue wed thu fri sat".split()]
+    out = []
+    if len(text.split()) != 5:
+        return None
+    for (low, high), known, field in zip(ranges, names, text.lower().split(), strict=True):
+        values = set()
+        for part in field.split(","):
+            span, _, step = part.partition("/")
+
+            def number(x, low=low, high=high, known=known):
+                k = int(x) if x.isdigit() else known.index(x[:3]) + low if x[:3] in known else None
+                return k if k is not None and low <= k <= high else None
+
+            if span == "*":
+                each = list(range(low, high + 1))
+            else:
+                a, dash, b = span.partition("-")
+                a, b = number(a), number(b) if dash else None
+                if a is None or (dash and b is None) or ("/" in part and not dash):
+                    return None
+                each = [a] if not dash else list(range(a, b + 1)) if a <= b else [*range(a, high + 1), *range(low, b + 1)]
+            if "/" in part:
+                if not step.isdigit() or not int(step):
+                    return None
+                each = each[:: int(step)]
+            values |= set(each)
+        out.append(sorted(values))
+    return out
+
+
+def test_cron_fields(spark):
+    texts = ["* * * * *", "0 */12 * * *", "5,1-3 22-2/2 1-31/10 nov-FEB sat-mon", "*/7 0 31 2 0", "1-5/3,4 * * january *", "60 * * * *", "* 24 * * *", "* * 0 * *", "* * * 13 *", "* * * * 7", "*/0 * * * *", "5/10 * * * *", "a * * * *", "* * *", "", "1-x * * * *", "1, * * * *", "* * * * mon,foo", "1/2/3 * * * *", "-1 * * * *", " 0  1 2\t3 4 "]
+    rows = schedules.expanded(spark.createDataFrame([(t,) for t in texts] * 2, "schedule string")).collect()
+    assert len(rows) == 2 * len(texts)
+    for r in rows:
+        want = fields(r.schedule)
+        assert r.valid == (want is not None), r.schedule
+        if want:
+            assert [r[f"_{k}"] for k in schedules.FIELDS] == want, r.schedule
+
+
+def test_due_times(spark):
+    rows = spark.createDataFrame([("a", "*/20 3 29 2 *", True), ("b", "0 0 * * mon", True), ("off", "* * * * *", False), ("bad", "x", True), ("c", "59 23 * * *", True)], "name string, schedule string, enabled boolean")
+    start, end = (F.lit(t).cast("timestamp") for t in ("2024-02-28 23:59:00", "2024-03-04 00:01:00"))
+    got = sorted((r.name, str(r.due_at)) for r in schedules.due(rows, start, end).collect())
+    day = dt.datetime(2024, 2, 28, 23, 59)
+    want = [("c", str(day + dt.timedelta(days=k))) for k in range(5)] + [("a", f"2024-02-29 03:{m}:00") for m in ("00", "20", "40")] + [("b", "2024-03-04 00:00:00")]
+    assert got == sorted(want)
+    runs = spark.createDataFrame([("c", dt.datetime(2024, 3, 3, 23, 59)), ("b", dt.datetime(2024, 3, 3))], "spider_name string, started_at timestamp")
+    assert {r.name: r.overdue for r in schedules.last_due(rows, runs, end, start).collect()} == {"a": True, "b": True, "c": False}
+    assert schedules.due(rows.limit(0), start, end).count() == 0
+
+
+def test_keys(spark):
+    tables = {
+        "spider_config": spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "c")], "id int, name string"),
+        "scrape_run": spark.createDataFrame([(10, "a"), (11, "a"), (12, "b"), (13, "z"), (14, None)], "id int, spider_name string"),
+        "scraped_file": spark.createDataFrame([("x",), ("y",)], "checksum string"),
+        "run_file": spark.createDataFrame([(1, 10, "x"), (2, 10, "x"), (3, 12, "y"), (4, 99, "x"), (5, None, "y"), (6, None, "y")], "id int, run_id int, checksum string"),
+    }
+    got = {(r.table, r.rule, r.value, r.n) for r in constraints.violations(tables, constraints.KEYS).collect()}
+    assert got == {
+        ("spider_config", "repeated id", "2", 2), ("spider_config", "null id", "null", 1), ("spider_config", "repeated name", "c", 2), ("scrape_run", "orphan spider_name", "z", 1),
+        ("run_file", "repeated run_id,checksum", "10|x", 2), ("run_file", "orphan run_id", "99", 1),
+    }
+    left = constraints.deleted(tables, constraints.KEYS, "spider_config", spark.createDataFrame([("a",), ("nobody",)], "name string"), Scratch(spark, "d"))
+    ids = {name: sorted(str(r[0]) for r in rows.collect()) for name, rows in left.items()}
+    assert ids == {"spider_config": ["2", "2", "None"], "scrape_run": ["12", "13", "14"], "scraped_file": ["x", "y"], "run_file": ["3", "4", "5", "6"]}
+    # files go with either of their two parents; a name that another row still has is kept
+    left = constraints.deleted(tables, constraints.KEYS, "scraped_file", spark.createDataFrame([("x",)], "checksum string"), Scratch(spark, "d"))
+    assert sorted(r.id for r in left["run_file"].collect()) == [3, 5, 6] and left["scrape_run"].count() == 5
+    left = constraints.deleted(tables, constraints.KEYS, "spider_config", spark.createDataFrame([(2, "c")], "id int, name string"), Scratch(spark, "d"))
+    assert left["spider_config"].count() == 3 and left["scrape_run"].count() == 5
+
+
+def test_seen_contents(spark, tmp_path):
+    kept = store.SeenStore(spark, str(tmp_path / "seen"), buckets=32)
+    kept.load(spark.createDataFrame([(f"k{k}", k) for k in range(200)], "checksum string, first_seen long"))
+    pages = spark.createDataFrame([(1, "k5"), (2, "new"), (3, "new"), (4, None)], "page long, checksum string")
+    got = {r.page: r.is_new for r in kept.sift(pages.filter("checksum is not null"), "page", 1, Scratch(spark, "s1")).collect()}
+    assert got == {1: False, 2: True, 3: False}
+    assert len(list((tmp_path / "seen/seen/v=1").glob("_bucket=*"))) == 1
+    known = kept.known_of(pages.filter("checksum is not null").select("checksum").distinct())
+    assert sorted(r.checksum for r in known.collect()) == ["k5", "new"]
+    plan = known._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in plan and plan.count("Exchange hashpartitioning") <= 1  # the batch's own distinct, not what is known
+    assert {r.checksum: r.first_seen for r in kept.read().filter("checksum in ('k5', 'new')").collect()} == {"k5": 5, "new": 2}
+    with pytest.raises(ValueError, match="there already"):
+        kept.sift(pages, "page", 1, Scratch(spark, "s2"))
