@@ -86,6 +86,19 @@ def run_status(items: Column, errors: Column) -> Column:
     return F.when(errors == 0, "success").when(items > 0, "partial").otherwise("failed")
 
 
+def stale_closed(runs: DataFrame, now: Column, seconds: int = 3600) -> DataFrame:
+    """runs (status, started_at, finished_at) in which those that are running for over so many seconds have failed by now."""
+    stale = (F.col("status") == "running") & (F.col("started_at") < F.timestamp_add("SECOND", F.lit(-seconds), now))
+    return runs.withColumns({"status": F.when(stale, "failed").otherwise(F.col("status")), "finished_at": F.when(stale, now).otherwise(F.col("finished_at"))})
+
+
+def parser_run(files: DataFrame, source: str, records: str, error: str, elapsed: str) -> DataFrame:
+    """parser_stats of files with elapsed_s, their seconds, and a row TOTAL over all sources."""
+    each = parser_stats(files, source, records, error).join(files.groupBy(source).agg(F.sum(elapsed).alias("elapsed_s")), source)
+    sums = each.agg(F.lit("TOTAL").alias(source), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in each.columns if c != source))
+    return each.unionByName(sums).withColumn("elapsed_s", F.round("elapsed_s", 1))
+
+
 def parser_stats(files: DataFrame, source: str, records: str, error: str) -> DataFrame:
     return files.groupBy(source).agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(records), F.lit(0)).cast("long").alias("records"), F.count_if(F.col(error).isNotNull()).alias("errors"), F.count_if(F.col(error).isNull() & (F.coalesce(F.col(records), F.lit(0)) == 0)).alias("empty")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import constraints, content, schedules, store, upsert
 from ..operators.constraints import Foreign, Unique
+from ..streaming import ingest
 from .queries import _P, people, query, table
 from .scratch import Scratch
 
@@ -154,3 +155,52 @@ def content_seen_store(spark, sf_dir):
     kept = store.SeenStore(spark, f"{scratch.root}/registry", buckets=16)
     kept.load(pages.filter("doc_id % 3 = 0").groupBy("checksum").agg(F.min("doc_id").alias("first_seen")))
     return kept.sift(pages.filter("doc_id % 3 = 1"), "doc_id", 1, Scratch(spark, "seen-1")).unionByName(kept.sift(pages.filter("doc_id % 3 = 2"), "doc_id", 2, Scratch(spark, "seen-2")))
+
+
+_RUN_STATES = "WITH r AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS items, count(*) FILTER (WHERE value < 1) AS errors, min(ts) AS started FROM events GROUP BY 1, 2)"
+
+
+@query(f"{_RUN_STATES} SELECT event_type, CAST(day AS VARCHAR) AS day, CASE WHEN day(day) % 6 = 0 THEN CASE WHEN started < TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 3600 SECOND THEN 'failed' ELSE 'running' END WHEN day(day) % 6 = 1 THEN 'failed' WHEN errors = 0 THEN 'success' ELSE 'partial' END AS status FROM r")
+def run_states(spark, sf_dir):
+    """ST5: runs by their counts, those that found nothing but errors, and those that never ended and are closed."""
+    runs = table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("items"), F.count_if(F.col("value") < 1).alias("errors"), F.min("ts").alias("started_at"))
+    status = F.when(F.dayofmonth("day") % 6 == 0, "running").when(F.dayofmonth("day") % 6 == 1, content.run_status(F.lit(0), F.lit(1))).otherwise(content.run_status(F.col("items"), F.col("errors")))
+    rows = runs.withColumns({"status": status, "finished_at": F.lit(None).cast("timestamp")})
+    return content.stale_closed(rows, F.lit("2024-01-20 00:00:00").cast("timestamp")).select("event_type", F.col("day").cast("string").alias("day"), "status")
+
+
+_STATS = "count(*) AS files, CAST(coalesce(sum(CASE WHEN turn % 3 <> 0 THEN length(text) % 7 END), 0) AS BIGINT) AS records, count(*) FILTER (WHERE turn % 3 = 0) AS errors, count(*) FILTER (WHERE turn % 3 <> 0 AND length(text) % 7 = 0) AS empty, round(sum(length(text) % 8) / 4, 1) AS elapsed_s"
+
+
+@query(f"SELECT role, {_STATS} FROM conversations GROUP BY 1 UNION ALL SELECT 'TOTAL', {_STATS} FROM conversations")
+def parser_run_totals(spark, sf_dir):
+    """Statistics of a run with its seconds and the totals."""
+    bad = F.col("turn") % 3 == 0
+    files = table(spark, sf_dir, "conversations").select("role", F.when(~bad, F.length("text") % 7).alias("records"), F.when(bad, "broken").alias("error"), (F.length("text") % 8 / 4).alias("s"))
+    return content.parser_run(files, "role", "records", "error", "s")
+
+
+@query("SELECT count(*) AS n, CAST(sum(CAST(substr(c, 1, 1) IN ('0', '1', '2', '3') AS INTEGER)) AS BIGINT) AS low FROM (SELECT DISTINCT sha256(html) AS c FROM pages)")
+def stream_new_pages(spark, sf_dir):
+    """ST1: pages as a stream, each content once over two runs of it."""
+    scratch = Scratch(spark, "stream")
+    pages = scratch.write(table(spark, sf_dir, "pages").select(F.col("html").alias("body")), "pages")
+    for _ in range(2):
+        ingest.append_once(ingest.new_pages(spark, f"{scratch.root}/pages", pages.schema), f"{scratch.root}/out", f"{scratch.root}/cp").awaitTermination()
+    return spark.read.parquet(f"{scratch.root}/out").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.substring("checksum", 1, 1).isin("0", "1", "2", "3").cast("int")), F.lit(0)).alias("low"))
+
+
+_KIND = "CASE o_orderstatus WHEN 'F' THEN CASE WHEN o_orderkey % 10 = 0 THEN 'fallecido' ELSE 'ingresado' END WHEN 'O' THEN 'desaparecido' ELSE 'dado_de_alta' END"
+
+
+@query(f"WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS e, o_orderkey, {_KIND} AS kind FROM orders) SELECT e, o_orderkey, coalesce(max(CAST(kind = 'fallecido' AS INT)) OVER p, 0) = 0 AND (kind <> 'desaparecido' OR coalesce(max(CAST(kind <> 'desaparecido' AS INT)) OVER p, 0) = 0) AS accepted FROM r WINDOW p AS (PARTITION BY e ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+def stream_guard(spark, sf_dir):
+    """ST7: reports as a stream in two parts, one after the other; the state of each entity outlives the first."""
+    scratch = Scratch(spark, "guard")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("e"), "o_orderkey", F.expr(_KIND).alias("kind"))
+    cut = int(orders.agg(F.avg("o_orderkey")).first()[0])
+    for low, high in ((-1, cut), (cut, 2**62)):
+        orders.filter(F.col("o_orderkey").between(low + 1, high)).write.mode("append").parquet(f"{scratch.root}/in")
+        reports = spark.readStream.schema(orders.schema).parquet(f"{scratch.root}/in")
+        ingest.append_once(ingest.guarded(reports, "e", "kind", "o_orderkey"), f"{scratch.root}/out", f"{scratch.root}/cp").awaitTermination()
+    return spark.read.parquet(f"{scratch.root}/out").select("e", "o_orderkey", "accepted")

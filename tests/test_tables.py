@@ -259,3 +259,42 @@ def test_seen_contents(spark, tmp_path):
     assert {r.checksum: r.first_seen for r in kept.read().filter("checksum in ('k5', 'new')").collect()} == {"k5": 5, "new": 2}
     with pytest.raises(ValueError, match="there already"):
         kept.sift(pages, "page", 1, Scratch(spark, "s2"))
+
+
+def test_runs_are_logged(spark, tmp_path):
+    """A stream that ends well, one with bad records, one that breaks off, and a run whose driver died."""
+    import time
+
+    from acopio.streaming import runs
+
+    log = runs.RunLog(spark, str(tmp_path / "runs"))
+    log.begin("dead", "muerto", dt.datetime(2024, 1, 1))
+    listener = runs.RunListener(log)
+    spark.streams.addListener(listener)
+    kind = "body string, error string"
+    try:
+        for name, rows in (("bien", [("a", None)]), ("a_medias", [("a", None), ("b", "x")]), ("mal", [("boom", None)])):
+            spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / name))
+            stream = runs.counted(spark.readStream.schema(kind).parquet(str(tmp_path / name)), "error")
+
+            def batch(df, n):
+                if df.filter("body = 'boom'").count():
+                    raise ValueError("boom")
+
+            q = stream.writeStream.queryName(name).foreachBatch(batch).option("checkpointLocation", str(tmp_path / f"cp-{name}")).trigger(availableNow=True).start()
+            try:
+                q.awaitTermination()
+            except Exception as e:
+                assert "boom" in str(e)
+            until = time.time() + 90
+            while time.time() < until and any(listener.seen) or log.read().filter(f"spider_name = '{name}' and status <> 'running'").isEmpty():
+                time.sleep(0.5)
+                assert time.time() < until
+    finally:
+        spark.streams.removeListener(listener)
+    log.close_stale(dt.datetime(2024, 1, 1, 1, 0, 1))
+    got = {r.spider_name: (r.status, r.items, r.errors, r.finished_at is not None) for r in log.read().collect()}
+    assert got["bien"] == ("success", 1, 0, True) and got["a_medias"] == ("partial", 2, 1, True) and got["mal"][0] == "failed" and got["mal"][3]
+    assert got["muerto"] == ("failed", 0, 0, True) and len(got) == 4
+    log.end("dead", 5, 0, False, dt.datetime(2024, 1, 2))  # closed runs stay closed
+    assert log.read().filter("run_id = 'dead'").first().status == "failed"
