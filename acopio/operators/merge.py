@@ -85,6 +85,28 @@ def import_plan(incoming: DataFrame, known: DataFrame, key: str = "row_id") -> D
     return sure.unionByName(named).unionByName(fresh)
 
 
+def imported(incoming: DataFrame, known: DataFrame, new_id: Column, now: Column, key: str = "row_id") -> DataFrame:
+    """known after importing the rows of incoming by their plan: the columns that both have, created_at and updated_at.
+
+    Each row is planned against the table as it was before; null columns of a row leave what is there. Of several rows
+    that hit one, those count that may change its state one after the other by key, and the last of them has its columns;
+    of several new ones of a name, in any case, the first by key is inserted, under new_id."""
+    columns = [c for c in known.columns if c in incoming.columns and c not in ("id", "notas", "created_at", "updated_at")]
+    plan = import_plan(incoming, known, key)
+    rows = plan.join(incoming.select(key, *(F.col(c).alias(f"_n_{c}") for c in columns), new_id.alias("_new"), F.lower(F.trim("nombre")).alias("_name")), key)
+    hits, state = rows.filter("id is not null"), F.col("_n_tipo_reporte")
+    firsts = hits.groupBy("id").agg(F.min(F.when(state == "fallecido", F.col(key))).alias("dead"), F.min(F.when(state != "desaparecido", F.col(key))).alias("better"))
+    missing = F.coalesce(state == "desaparecido", F.lit(False))
+    ok = (F.col("dead").isNull() | (F.col(key) <= F.col("dead"))) & (~missing | F.col("better").isNull() | (F.col(key) < F.col("better")))
+    last = hits.join(firsts, "id").filter(ok).groupBy("id").agg(F.max_by(F.struct(*(f"_n_{c}" for c in columns), F.col("notas").alias("_notes")), key).alias("r"))
+    out = known.join(last, "id", "left")
+    changed = F.col("r").isNotNull()
+    out = out.withColumns({c: F.coalesce(F.col(f"r._n_{c}"), F.col(c)) for c in columns} | {"notas": F.when(changed, F.coalesce("r._notes", "notas")).otherwise(F.col("notas")), "updated_at": F.when(changed, now).otherwise(F.col("updated_at"))}).drop("r")
+    fresh = rows.filter("id is null").groupBy("_name").agg(F.min_by(F.struct("_new", "notas", *(f"_n_{c}" for c in columns)), key).alias("r"))
+    fresh = fresh.select(F.col("r._new").alias("id"), F.col("r.notas").alias("notas"), *(F.col(f"r._n_{c}").alias(c) for c in columns), now.alias("created_at"), now.alias("updated_at"))
+    return out.select(*known.columns).unionByName(fresh, allowMissingColumns=True)
+
+
 def once(rows: DataFrame, keys: list[str], order: str, any_case: bool = True) -> DataFrame:
     """The first row by order of each composite key, in any case of letters or exactly; null counts as empty."""
     made = {f"_k{i}": (F.upper if any_case else (lambda c: c))(F.coalesce(F.col(k), F.lit(""))) for i, k in enumerate(keys)}

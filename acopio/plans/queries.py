@@ -276,18 +276,38 @@ def conflict_preview(spark, sf_dir):
 _MAY = "(k.tipo_reporte IS NULL OR k.tipo_reporte = 'desaparecido' OR (k.tipo_reporte <> 'fallecido' AND n.tipo_reporte <> 'desaparecido'))"
 
 
-@query(f"""{_P}, n AS (SELECT id AS row_id, trim(nombre) AS nombre, coalesce(trim(hospital), '') AS hospital, coalesce(trim(cedula), '') AS cedula, tipo_reporte, concat('nota ', id) AS notas FROM people WHERE id % 3 = 0 AND trim(coalesce(nombre, '')) <> ''), k AS (SELECT * FROM people WHERE id % 3 <> 0),
+_IMPORT = f"""{_P}, n AS (SELECT id AS row_id, trim(nombre) AS nombre, coalesce(trim(hospital), '') AS hospital, coalesce(trim(cedula), '') AS cedula, tipo_reporte, concat('nota ', id) AS notas FROM people WHERE id % 3 = 0 AND trim(coalesce(nombre, '')) <> ''), k AS (SELECT * FROM people WHERE id % 3 <> 0),
 a AS (SELECT cedula, min(id) AS id FROM k WHERE cedula <> '' GROUP BY 1), b AS (SELECT lower(nombre) AS x, lower(hospital) AS y, min(id) AS id FROM k WHERE hospital <> '' GROUP BY 1, 2),
-h AS (SELECT n.*, a.id AS m1, b.id AS m2 FROM n LEFT JOIN a ON a.cedula = n.cedula LEFT JOIN b ON b.x = lower(n.nombre) AND b.y = lower(n.hospital))
-SELECT row_id, k.id, CASE WHEN m1 IS NOT NULL THEN 'cedula' ELSE 'nombre_hospital' END AS matched_by, n.notas FROM h n JOIN k ON k.id = coalesce(m1, m2) WHERE {_MAY}
+h AS (SELECT n.*, a.id AS m1, b.id AS m2 FROM n LEFT JOIN a ON a.cedula = n.cedula LEFT JOIN b ON b.x = lower(n.nombre) AND b.y = lower(n.hospital))"""
+_PLAN = f"""SELECT row_id, k.id, CASE WHEN m1 IS NOT NULL THEN 'cedula' ELSE 'nombre_hospital' END AS matched_by, n.notas FROM h n JOIN k ON k.id = coalesce(m1, m2) WHERE {_MAY}
 UNION ALL SELECT row_id, k.id, 'nombre', concat(CASE WHEN k.tipo_reporte = n.tipo_reporte THEN '' ELSE concat('[Estado anterior: ', k.tipo_reporte, '] ') END, n.notas, CASE WHEN coalesce(k.notas, '') <> '' THEN concat(' | ', k.notas) ELSE '' END) FROM h n JOIN k ON lower(k.nombre) = lower(n.nombre) WHERE coalesce(m1, m2) IS NULL AND {_MAY}
-UNION ALL SELECT row_id, NULL, 'insert', n.notas FROM h n WHERE coalesce(m1, m2) IS NULL AND lower(n.nombre) NOT IN (SELECT lower(nombre) FROM k WHERE nombre IS NOT NULL)""")
+UNION ALL SELECT row_id, NULL, 'insert', n.notas FROM h n WHERE coalesce(m1, m2) IS NULL AND lower(n.nombre) NOT IN (SELECT lower(nombre) FROM k WHERE nombre IS NOT NULL)"""
+
+
+@query(f"{_IMPORT}\n{_PLAN}")
 def import_plan(spark, sf_dir):
     rows = people(spark, sf_dir)
     new = rows.filter("id % 3 = 0").select(F.col("id").alias("row_id"), "cedula", "nombre", "hospital", "tipo_reporte", F.concat(F.lit("nota "), F.col("id").cast("string")).alias("notas"))
     return merge.import_plan(new, rows.filter("id % 3 <> 0"))
 
 
+_IMPORTED = f"""{_IMPORT}, plan(row_id, id, matched_by, notas) AS ({_PLAN}), p AS (SELECT plan.row_id, plan.id, plan.notas, x.nombre, x.cedula, x.hospital, x.tipo_reporte FROM plan JOIN people x ON x.id = row_id),
+f AS (SELECT *, min(CASE WHEN tipo_reporte = 'fallecido' THEN row_id END) OVER w AS dead, min(CASE WHEN tipo_reporte <> 'desaparecido' THEN row_id END) OVER w AS better FROM p WHERE id IS NOT NULL WINDOW w AS (PARTITION BY id)),
+l AS (SELECT * FROM f WHERE row_id <= coalesce(dead, row_id) AND (tipo_reporte <> 'desaparecido' OR row_id < coalesce(better, row_id + 1)) QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_id DESC) = 1)
+SELECT k.id, coalesce(l.nombre, k.nombre) AS nombre, coalesce(l.cedula, k.cedula) AS cedula, coalesce(l.hospital, k.hospital) AS hospital, coalesce(l.tipo_reporte, k.tipo_reporte) AS tipo_reporte, coalesce(l.notas, k.notas) AS notas, 0 AS created, CASE WHEN l.id IS NULL THEN 0 ELSE 1 END AS updated FROM k LEFT JOIN l ON l.id = k.id
+UNION ALL SELECT row_id + 5000000, nombre, cedula, hospital, tipo_reporte, notas, 1, 1 FROM p WHERE id IS NULL QUALIFY row_number() OVER (PARTITION BY lower(trim(nombre)) ORDER BY row_id) = 1"""
+
+
+@query(_IMPORTED)
+def import_applied(spark, sf_dir):
+    """The table after the import that import_plan plans."""
+    rows = people(spark, sf_dir)
+    new = rows.filter("id % 3 = 0").select(F.col("id").alias("row_id"), "cedula", "nombre", "hospital", "tipo_reporte", F.concat(F.lit("nota "), F.col("id").cast("string")).alias("notas"))
+    known = rows.filter("id % 3 <> 0").select("id", "nombre", "cedula", "hospital", "tipo_reporte", "notas", F.lit(0).alias("created_at"), F.lit(0).alias("updated_at"))
+    out = merge.imported(new, known, F.col("row_id") + 5000000, F.lit(1))
+    return out.select("id", "nombre", "cedula", "hospital", "tipo_reporte", "notas", F.col("created_at").alias("created"), F.col("updated_at").alias("updated"))
+
+
 _RUNS = "WITH d AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS files FROM events GROUP BY 1, 2), r AS (SELECT *, CASE WHEN extract(day FROM day) % 5 = 0 THEN 'failed' ELSE 'success' END AS status FROM d)"
 
 

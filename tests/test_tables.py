@@ -298,3 +298,20 @@ def test_runs_are_logged(spark, tmp_path):
     assert got["muerto"] == ("failed", 0, 0, True) and len(got) == 4
     log.end("dead", 5, 0, False, dt.datetime(2024, 1, 2))  # closed runs stay closed
     assert log.read().filter("run_id = 'dead'").first().status == "failed"
+
+
+def test_import_is_applied(spark):
+    from acopio.operators import merge
+
+    known = spark.createDataFrame([(1, "Ana", "V-1", "H", "ingresado", "a", 0, 0), (2, "Eva", None, None, "desaparecido", None, 0, 0), (3, "EVA", None, "X", "fallecido", "c", 0, 0), (4, "Leo", "V-4", None, None, "d", 0, 0)], "id long, nombre string, cedula string, hospital string, tipo_reporte string, notas string, created_at int, updated_at int")
+    rows = [  # by number: blocked, accepted, blocked again; by name: one row of two; two new ones of a name; nobody
+        (1, "Otra", "V-1", None, "desaparecido", "n1"), (2, "Ana B", "V-1", None, "fallecido", "n2"), (3, "Ana C", "V-1", "Z", "ingresado", "n3"),
+        (4, " eva ", "", None, "dado_de_alta", "n4"), (5, "Nueva", None, "Q", "ingresado", "n5"), (6, "NUEVA", None, "R", "fallecido", "n6"), (7, " ", "V-9", None, "ingresado", "n7"), (8, "Leo", "V-4", None, "desaparecido", "n8"),
+    ]
+    incoming = spark.createDataFrame(rows, "row_id long, nombre string, cedula string, hospital string, tipo_reporte string, notas string")
+    got = {r.id: (r.nombre, r.cedula, r.hospital, r.tipo_reporte, r.notas, r.created_at, r.updated_at) for r in merge.imported(incoming, known, F.col("row_id") + 100, F.lit(9)).collect()}
+    assert got == {
+        1: ("Ana B", "V-1", "H", "fallecido", "n2", 0, 9), 2: (" eva ", "", None, "dado_de_alta", "[Estado anterior: desaparecido] n4", 0, 9), 3: ("EVA", None, "X", "fallecido", "c", 0, 0),
+        4: ("Leo", "V-4", None, "desaparecido", "n8", 0, 9), 105: ("Nueva", None, "Q", "ingresado", "n5", 9, 9),
+    }
+    assert merge.imported(incoming.limit(0), known, F.lit(0), F.lit(9)).count() == 4 and merge.imported(incoming.limit(5), known.limit(0), F.col("row_id"), F.lit(9)).count() == 5
