@@ -15,11 +15,11 @@ from .scratch import Scratch
 #: only with earlier ones of the batch. One id number is that of a seventh of all rows. Both engines read these expressions.
 _RECORD = {
     "arrival": "id",
-    "id": "CASE WHEN id % 4 = 0 THEN concat('p', id + 1) WHEN id % 4 = 1 THEN NULL WHEN id % 4 = 2 THEN concat('n', CAST(floor(id / 40) AS BIGINT)) ELSE concat('n', id) END",
+    "id": "CASE WHEN id % 4 = 0 THEN concat('p', id + 1) WHEN id % 4 = 1 THEN NULL WHEN id % 4 = 2 THEN concat('n', CAST(floor(id / 24) AS BIGINT)) ELSE concat('n', id) END",
     "tipo_reporte": "tipo_reporte",
-    "nombre": "CASE WHEN id % 17 = 0 THEN ' ' WHEN id % 7 < 3 THEN concat('Nombre ', CAST(floor(id / 45) AS BIGINT)) ELSE nombre END",
+    "nombre": "CASE WHEN id % 17 = 0 THEN ' ' WHEN id % 7 < 3 THEN concat('Nombre ', CAST(floor(id / 20) AS BIGINT)) ELSE nombre END",
     "edad": "edad",
-    "cedula": "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 = 1 THEN concat(' ', cedula, ' ') WHEN id % 5 = 2 THEN concat('B', CAST(floor(id / 60) AS BIGINT)) WHEN id % 5 = 3 THEN concat('C', CAST(floor(id / 90) AS BIGINT)) ELSE '' END",
+    "cedula": "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 = 1 THEN concat(' ', cedula, ' ') WHEN id % 5 = 2 THEN concat('B', CAST(floor(id / 20) AS BIGINT)) WHEN id % 5 = 3 THEN concat('C', CAST(floor(id / 30) AS BIGINT)) ELSE '' END",
     "hospital": "CASE WHEN id % 2 = 0 THEN 'Hospital Central' WHEN id % 4 = 1 THEN 'HOSPITAL CENTRAL' ELSE hospital END",
     "notas": "concat('nota ', id)",
     "spider_name": "'fuente'",
