@@ -1,12 +1,13 @@
 """Approximate nearest neighbours over balanced posting lists.
 
-Centroids are fitted by k-means, with a penalty on crowded ones, on at most SAMPLE vectors of smallest hash; every
-vector is then filed under its nearest centroid, and vectors near a boundary under up to COPIES centroids, those within
+Centroids are fitted by k-means, with a penalty on crowded ones, on at most SAMPLE vectors of smallest hash that are no
+queries (a centroid fitted on a query lies too close to it, and the ratio would then leave out too much); every vector is then filed under its nearest centroid, and vectors near a boundary under up to COPIES centroids, those within
 NEAR of the nearest one's distance. A query walks a graph over the centroids, held in memory, and searches every list
-whose centroid is within RATIO of the nearest one's distance, and more of the nearest while these hold fewer than LEAST
-vectors; no fixed number of lists bounds it. Where the walk would have to see most centroids, all are compared instead.
+whose centroid is found within RATIO of the nearest one's distance, and more of the nearest while these hold fewer than
+LEAST vectors; no fixed number of lists or steps bounds the walk.
 Lists are searched in parts of about PART vectors, several lists or a share of a long one, against about ASKED queries at
-a time. Each part gives a query its best k.
+a time: a part is repeated only where more than these ask for it, and left out where none does. Each part gives a query
+its best k.
 
 Centroids are at most MOST_LISTS, whatever the corpus, so they can be broadcast. Defined results: vectors that are null,
 empty, zero, or hold null or non-finite components, or whose length is not the commonest, take no part; equal distances
@@ -26,7 +27,9 @@ from .common import Scratch
 
 SAMPLE, MOST_LISTS, LIST, COPIES, PART = 16_384, 2048, 200, 4, 20_000
 #: Set by recall and work on vectors with hardly any clusters, where the ratio prunes least (figures in README).
-NEAR, RATIO, LEAST, ASKED = 1.01, 1.27, 1500, 50_000
+NEAR, RATIO, LEAST, BEAM, STEP, ASKED = 1.01, 1.27, 1500, 32, 8, 50_000
+#: Parts whose numbers of queries are broadcast, at most: 12 bytes each.
+FEW_PARTS = 200_000
 
 
 def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
@@ -47,29 +50,33 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -
 
 
 class CentroidGraph:
-    """Each centroid's nearest others and some far ones; search keeps the best few seen and follows their edges."""
+    """Each centroid's nearest others, the next by number, so that all are connected, and some far ones."""
 
-    def __init__(self, c: np.ndarray, degree: int = 16, far: int = 4, seed: int = 5):
+    def __init__(self, c: np.ndarray, degree: int = 16, far: int = 1, seed: int = 5):
         self.c = c
         n = len(c)
         dice = np.random.default_rng(seed)
         d = ((c**2).sum(axis=1)[None, :] + (c**2).sum(axis=1)[:, None]) - 2 * c @ c.T
-        self.near = np.argsort(d, axis=1)[:, 1 : degree + 1]
-        self.edges = [np.unique(np.concatenate([self.near[i], np.flatnonzero((self.near == i).any(axis=1)), dice.integers(0, n, far)])) for i in range(n)]
-
-    def search(self, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """About the width nearest centroids and their distances, nearest first."""
-        seen = np.zeros(len(self.c), bool)
-        front = np.unique(np.linspace(0, len(self.c) - 1, min(len(self.c), 8)).astype(int))
-        seen[front] = True
-        ids, dist = front, np.sqrt(((self.c[front] - q) ** 2).sum(axis=1))
-        done = np.zeros(len(self.c), bool)
+        near = np.argsort(d, axis=1)[:, 1 : degree + 1]
+        self.edges = [np.unique(np.concatenate([near[i], np.flatnonzero((near == i).any(axis=1)), [(i + 1) % n], dice.integers(0, n, far)])) for i in range(n)]
+
+    def within(self, q: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, int]:
+        """The centroids found within RATIO of the nearest one's distance, or needed to reach LEAST vectors, nearest
+        first, and how many centroids the walk has seen. It follows the edges of all such centroids and of the BEAM
+        nearest, until they lead to no more of these: its reach is the ratio's, not a number of steps."""
+        ids = np.unique(np.linspace(0, len(self.c) - 1, min(len(self.c), 8)).astype(int))
+        dist = np.sqrt(((self.c[ids] - q) ** 2).sum(axis=1))
+        seen, done = np.zeros(len(self.c), bool), np.zeros(len(self.c), bool)
+        seen[ids] = True
         while True:
-            order = np.argsort(dist, kind="stable")[:width]
+            order = np.argsort(dist, kind="stable")
             ids, dist = ids[order], dist[order]
-            todo = ids[~done[ids]][:16]
+            taken = (dist <= RATIO * dist[0]) | (np.cumsum(sizes[ids]) - sizes[ids] < LEAST)
+            open_ = taken.copy()
+            open_[:BEAM] = True
+            todo = ids[open_ & ~done[ids]][:STEP]
             if not len(todo):
-                return ids, dist
+                return ids[taken], len(ids)
             done[todo] = True
             fresh = np.unique(np.concatenate([self.edges[i] for i in todo]))
             fresh = fresh[~seen[fresh]]
@@ -77,21 +84,6 @@ class CentroidGraph:
             ids = np.concatenate([ids, fresh])
             dist = np.concatenate([dist, np.sqrt(((self.c[fresh] - q) ** 2).sum(axis=1))])
 
-    def within(self, q: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The centroids within RATIO of the nearest one's distance, or needed to reach LEAST vectors, nearest first."""
-        width = 64
-        while width < len(self.c) // 4:
-            ids, dist = self.search(q, width)
-            held = np.cumsum(sizes[ids]) - sizes[ids]
-            taken = (dist <= RATIO * dist[0]) | (held < LEAST)
-            if not taken[-1]:
-                return ids[taken]
-            width *= 2
-        dist = np.sqrt(((self.c - q) ** 2).sum(axis=1))
-        ids = np.argsort(dist, kind="stable")
-        held = np.cumsum(sizes[ids]) - sizes[ids]
-        return ids[(dist[ids] <= RATIO * dist[ids[0]]) | (held < LEAST)]
-
 
 def parts_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first part of each list and how many parts it has: lists of up to PART vectors share parts of about PART."""
@@ -131,7 +123,7 @@ def _probe(c: np.ndarray, sizes: np.ndarray, made: pa.Schema):
         for batch in batches:
             rows, places, lists = [], [], []
             for i, q in enumerate(matrix(batch.column("vec"), c.shape[1])):
-                taken = np.sort(graph.within(q, sizes))
+                taken = np.sort(graph.within(q, sizes)[0])
                 at = np.repeat(first[taken], parts[taken])
                 at += np.arange(len(at)) - np.repeat(np.cumsum(parts[taken]) - parts[taken], parts[taken])
                 each = np.repeat(taken, parts[taken])
@@ -195,7 +187,10 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 100 = 0", k: int = 10)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, total = lengths["dim"], lengths["count"]
     good = good.filter(F.size("vec") == dim)
-    sample = np.array([r["vec"] for r in good.orderBy(F.xxhash64("vec_id", F.lit(9)), "vec_id").limit(SAMPLE).select("vec").collect()])
+    asked = good.filter(queries)
+    others = good.filter(F.expr(f"not coalesce(({queries}), false)"))
+    fitted = good if others.isEmpty() else others
+    sample = np.array([r["vec"] for r in fitted.orderBy(F.xxhash64("vec_id", F.lit(9)), "vec_id").limit(SAMPLE).select("vec").collect()])
     distinct = np.unique(sample, axis=0)
     c = balanced_centroids(sample, max(1, min(MOST_LISTS, total // LIST, len(distinct))))
     made = pa.schema([("list", pa.int32()), ("vec_id", pa.int64()), ("vec", pa.list_(pa.float64()))])
@@ -205,13 +200,13 @@ def nearest(vectors: DataFrame, queries: str = "vec_id % 100 = 0", k: int = 10)
     sizes = np.array([counts.get(i, 0) for i in range(len(c))])
     first, parts = parts_of(sizes)
     places = spark.createDataFrame([(i, int(first[i]), int(parts[i])) for i in range(len(c))], "list int, first long, parts int")
-    asked = good.filter(queries)
-    turns = max(1, -(-asked.count() // ASKED))
     filed = filed.join(F.broadcast(places), "list").withColumn("part", F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("first", "parts")
-    filed = filed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
     made = pa.schema([("part", pa.int64()), ("lists", pa.list_(pa.int32())), ("vec_id", pa.int64()), ("vec", pa.list_(pa.float64()))])
-    asked = asked.mapInArrow(_probe(c, sizes, made), "part long, lists array<int>, vec_id long, vec array<double>")
-    asked = asked.withColumn("turn", F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(turns)).cast("int"))
+    asked = scratch.write(asked.mapInArrow(_probe(c, sizes, made), "part long, lists array<int>, vec_id long, vec array<double>"), "asked")
+    turns = asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("turns"))
+    turns = F.broadcast(turns) if first[-1] + parts[-1] <= FEW_PARTS else turns
+    filed = filed.join(turns, "part").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1))).drop("turns")
+    asked = asked.join(turns, "part").withColumn("turn", F.pmod(F.xxhash64("vec_id", F.lit(4)), F.col("turns")).cast("int")).drop("turns")
     found = filed.groupBy("part", "turn").cogroup(asked.groupBy("part", "turn")).applyInArrow(_search(k, dim), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -326,9 +326,35 @@ def test_nearest_searches_all_lists_of_the_ratio():
     graph = CentroidGraph(c)
     for q in dice.normal(size=(10, 32)):
         d = np.sqrt(((c - q) ** 2).sum(axis=1))
-        assert set(graph.within(q, sizes)) == set(np.flatnonzero(d <= RATIO * d.min())) and (d <= RATIO * d.min()).sum() > 64
+        assert set(graph.within(q, sizes)[0]) == set(np.flatnonzero(d <= RATIO * d.min())) and (d <= RATIO * d.min()).sum() > 64
     lone = np.concatenate([c[:1] + 50, c[1:]])
-    assert len(CentroidGraph(lone).within(lone[0] + 0.01, sizes)) == 8  # 1500 vectors
+    assert len(CentroidGraph(lone).within(lone[0] + 0.01, sizes)[0]) == 8  # 1500 vectors
+
+
+def test_walk_sees_few_centroids_where_they_lie_in_clusters():
+    dice = np.random.default_rng(8)
+    hubs = dice.normal(size=(40, 32)) * 3
+    c, sizes = (hubs[:, None] + dice.normal(size=(40, 50, 32)) * 0.3).reshape(-1, 32), np.full(2000, 200)
+    graph, seen = CentroidGraph(c), []
+    for q in hubs + dice.normal(size=(40, 32)) * 0.3:
+        d = np.sqrt(((c - q) ** 2).sum(axis=1))
+        got, n = graph.within(q, sizes)
+        assert set(np.flatnonzero(d <= RATIO * d.min())) <= set(got)
+        seen.append(n)
+    assert np.mean(seen) < 700  # of 2000
+
+
+def test_nearest_beyond_one_turn_of_queries(spark, monkeypatch):
+    """Many queries of a part are dealt to repeats of it; every row may be a query, also without others to fit on."""
+    monkeypatch.setattr("acopio.llm.nearest.ASKED", 50)
+    x = np.random.default_rng(9).normal(size=(300, 4))
+    got = nearest(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>"), "vec_id >= 0", 3).collect()
+    want = []
+    for k, v in enumerate(x):
+        d = np.sqrt(((x - v) ** 2).sum(axis=1))
+        d[k] = np.inf
+        want += [(k, rank, int(i)) for rank, i in enumerate(np.argsort(d, kind="stable")[:3], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == want
 
 
 def test_rules(docs, texts):
