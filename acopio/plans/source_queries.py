@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.status import WORDS
 from ..operators import content, merge, repair
+from ..sources import datasource, readers, specs
 from ..sources import lookup as pages
-from ..sources import readers, specs
 from ..sources.specs import PERSON
+from ..streaming import ingest
 from .queries import _P, QUERIES, SQL, people, query, table
 from .scratch import Scratch
 
@@ -435,3 +436,38 @@ def record_quarantine(spark, sf_dir):
 def quarantine_stats(spark, sf_dir):
     """Files, persons and what was left out, by reason."""
     return specs.parse_statistics(_spoiled(spark, sf_dir), "encuentralos")
+
+
+def _put(spark: SparkSession, sf_dir: str, source: str, folder: str, which: str = "true") -> str:
+    """Puts the source's files into a folder, beside those that are there."""
+    one_line = F.regexp_replace(F.decode("body", "UTF-8"), "[\r\n]+", " ")
+    files(spark, sf_dir, source).filter(which).select(one_line.alias("value")).write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+    return folder
+
+
+_WITHOUT_URL = [c for c in PERSON if c != "fuente_url"]
+
+
+@query(f"SELECT {', '.join(_WITHOUT_URL)} FROM ({SQL['source_encuentralos']})")
+def datasource_persons(spark, sf_dir):
+    """A source's files on disk through the data source; its rows are those of source_encuentralos."""
+    return datasource.read_persons(spark, _put(spark, sf_dir, "encuentralos", f"{Scratch(spark, 'files').root}/in"), "encuentralos").select(*_WITHOUT_URL)
+
+
+@query(f"SELECT {', '.join(_WITHOUT_URL)} FROM ({SQL['source_tebusco']})")
+def datasource_stream(spark, sf_dir):
+    """The same of files that arrive in two parts; each run of the stream reads those that the one before did not."""
+    root = Scratch(spark, "files").root
+    for part in ("hash(url) % 2 = 0", "hash(url) % 2 <> 0", "false"):
+        arriving = datasource.stream_persons(spark, _put(spark, sf_dir, "tebusco", f"{root}/in", part), "tebusco")
+        ingest.append_once(arriving, f"{root}/out", f"{root}/cp").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(*_WITHOUT_URL)
+
+
+@query("SELECT s_suppkey, CAST(n AS INTEGER) AS nth, CASE n WHEN 0 THEN s_name ELSE 'Ana' END AS nombre, CASE n WHEN 0 THEN '' ELSE '7' END AS edad FROM supplier, range(0, 2) r(n) WHERE s_suppkey % 3 <> 2")
+def csv_people(spark, sf_dir):
+    """The table function in SQL; the header follows a title and a blank row, and files without one give nothing."""
+    datasource.register(spark)
+    text_ = F.when(F.col("s_suppkey") % 3 == 2, "x,y\n1,2\n").otherwise(F.concat(F.lit("Lista,\n,\nNombre,Edad\n"), "s_name", F.lit("\n\nAna,7\n")))
+    bodies = table(spark, sf_dir, "supplier").select("s_suppkey", F.encode(text_, "UTF-8").alias("body"))
+    return spark.sql("SELECT s_suppkey, row_number() OVER (PARTITION BY s_suppkey ORDER BY nth) - 1 AS nth, record['Nombre'] AS nombre, record['Edad'] AS edad FROM {bodies}, LATERAL csv_people(body, 'NOMBRE')", bodies=bodies)

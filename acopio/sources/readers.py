@@ -157,19 +157,31 @@ def stream_records(text: Column) -> Column:
     return F.transform(objects, one)
 
 
+#: What a CSV file may raise that is not as it should be.
+CSV_ERRORS = (UnicodeDecodeError, csv.Error, AttributeError)
+
+
+def csv_rows(body: bytes, marker: str | None, case: str | None = None) -> Iterator[tuple[int, dict[str, str]]]:
+    """Number and fields of each row under the header, the first row with a cell that holds the marker, or without a
+    marker the first of three or more non-empty cells, all under 60 characters, else row 0; short rows are padded."""
+    rows = list(csv.reader(io.StringIO(body.decode("utf-8-sig"), newline="")))
+    top = None if marker else 0
+    for i, row in enumerate(rows):
+        cells = [c for c in row if c.strip()]
+        if any(marker in c.upper() for c in cells) if marker else len(cells) >= 3 and all(len(c) < 60 for c in cells):
+            top = i
+            break
+    names = [getattr(c.strip(), case)() if case else c.strip() for c in rows[top]] if top is not None and rows else []
+    for k, row in enumerate(rows[top + 1 :] if names else []):
+        if any(c.strip() for c in row):
+            yield k, {n: c.strip() for n, c in zip(names, row + [""] * len(names), strict=False) if n}
+
+
 def csv_records(files: DataFrame, marker: str | None, case: str | None = None) -> DataFrame:
-    """url, at, record, error of CSV files. The header is the first row with a cell that holds the marker, or without a
-    marker the first row of three or more non-empty cells, all under 60 characters, else row 0; short rows are padded.
-    case: "upper" or "lower" for the names. A column label of files goes into each record as _sheet."""
+    """url, at, record, error of CSV files, as csv_rows reads them. case: "upper" or "lower" for the names. A column label
+    of files goes into each record as _sheet."""
     labelled = "label" in files.columns
 
-    def header(rows: list[list[str]]) -> int | None:
-        for i, row in enumerate(rows):
-            cells = [c for c in row if c.strip()]
-            if any(marker in c.upper() for c in cells) if marker else len(cells) >= 3 and all(len(c) < 60 for c in cells):
-                return i
-        return None if marker else 0
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {n: [] for n in _ROWS.names}
@@ -182,14 +194,9 @@ def csv_records(files: DataFrame, marker: str | None, case: str | None = None) -
             for url, body, label in zip(batch.column("url").to_pylist(), batch.column("body").to_pylist(), labels, strict=True):
                 more = {"_sheet": label or "unknown"}
                 try:
-                    rows = list(csv.reader(io.StringIO(body.decode("utf-8-sig"), newline="")))
-                    top = header(rows)
-                    names = [getattr(c.strip(), case)() if case else c.strip() for c in rows[top]] if top is not None and rows else []
-                    for k, row in enumerate(rows[top + 1 :] if names else []):
-                        if any(c.strip() for c in row):
-                            record = {n: c.strip() for n, c in zip(names, row + [""] * len(names), strict=False) if n}
-                            put(url, k, list((record | more).items()), None)
-                except (UnicodeDecodeError, csv.Error, AttributeError) as e:
+                    for k, record in csv_rows(body, marker, case):
+                        put(url, k, list((record | more).items()), None)
+                except CSV_ERRORS as e:
                     put(url, None, None, type(e).__name__)
             yield pa.RecordBatch.from_pydict(out, schema=_ROWS)
 
