@@ -162,7 +162,7 @@ step AS (SELECT host, good AS trust, bad AS distrust, 1.0::DOUBLE AS moved, 0 AS
     FROM own JOIN step s ON s.host = own.host
     LEFT JOIN (SELECT dst AS host, sum(w * trust) AS t FROM share JOIN step ON step.host = src GROUP BY dst) f ON f.host = own.host
     LEFT JOIN (SELECT src AS host, sum(w * distrust) AS d FROM share JOIN step ON step.host = dst GROUP BY src) b ON b.host = own.host)
-  WHERE most > 1e-3 AND k < 80),
+  WHERE most > 1e-3),
 held AS (SELECT host, trust, distrust FROM step WHERE k = (SELECT max(k) FROM step))
 SELECT page_id, host, path, rule, CASE WHEN coalesce(allowed, NOT coalesce(distrust > trust AND distrust >= 0.75 - 1e-9, false)) THEN 'allow' ELSE 'block' END AS verdict
 FROM judged LEFT JOIN held USING (host)""",

@@ -8,11 +8,13 @@ has by itself.
 
 Host pairs are counted before they are joined, and a host is one row in each round, however many pages it has.
 Defined results: a null url, or one without ``://``, has an empty host and path, which no rule fits and no link reaches;
-null pages have no links; loops from a host to itself carry nothing.
+null pages have no links; loops from a host to itself carry nothing; repeated rows and page_ids are judged each by
+itself, and count as pages and links of their host; columns other than page_id, url and html are not looked at.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, Scratch
 
 FOLLOW, THRESHOLD = 0.85, 0.75
-#: Rounds end when nothing moves by more than this; 0.85 to the power of ROUNDS is far less, so they always end so.
-MOVED, ROUNDS = 1e-3, 80
+#: Rounds end when nothing moves by more than this.
+MOVED = 1e-3
 #: With more rules than this, they are joined by host instead of written out as one expression; both give the same.
 INLINE = 64
 
@@ -75,6 +77,12 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.select("src", dst.alias("dst")).filter("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rounds_for(trusted: float) -> int:
+    """Rounds after which nothing can move by more than MOVED: a round passes on at most FOLLOW of what all values moved
+    by in the one before, which begins with the trust of all seeds, or with 1 for distrust, a mean."""
+    return 1 + math.ceil(math.log(max(trusted, 1.0) / MOVED) / -math.log(FOLLOW))
+
+
 def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame:
     """host, trust, distrust of the hosts of seeds (host, good, bad: shares of a host's pages) and of edges (src, dst, n).
 
@@ -83,13 +91,14 @@ def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame:
     starts again at the seeds, which changes all trust by one factor, so it needs no term here.)
     distrust = bad + (1 - bad) * FOLLOW * mean over the host's links of the target's distrust: against the links, and in
     the linking host's own shares, so that a popular blocked host is as bad to link to as an unknown one.
-    Rounds go on until no value moves by more than MOVED."""
+    Rounds go on until no value moves by more than MOVED, which rounds_for bounds for any graph."""
     out = edges.groupBy("src").agg(F.sum("n").alias("all"))
     share = scratch.write(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")), "share")
     named = edges.select(F.col("src").alias("host")).unionByName(edges.select(F.col("dst").alias("host"))).unionByName(seeds.select("host")).distinct()
     own = named.join(seeds, "host", "left").select("host", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("good", "bad")))
     state = scratch.write(own.withColumns({"trust": F.col("good"), "distrust": F.col("bad"), "moved": F.lit(1.0)}), "state0")
-    for k in range(1, ROUNDS + 1):
+    most = rounds_for(state.agg(F.sum("good")).first()[0] or 0.0)
+    for k in range(1, most + 1):
         ahead = share.join(state, share.src == state.host).select(F.col("dst").alias("host"), (F.col("share") * F.col("trust")).alias("t"), F.lit(0.0).alias("d"))
         back = share.join(state, share.dst == state.host).select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("share") * F.col("distrust")).alias("d"))
         got = ahead.unionByName(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
@@ -99,8 +108,8 @@ def spread(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame:
         state = scratch.write(new, f"state{k}")
         scratch.drop(f"state{k - 1}")
         if (state.agg(F.max("moved")).first()[0] or 0.0) <= MOVED:
-            break
-    return state.select("host", "trust", "distrust")
+            return state.select("host", "trust", "distrust")
+    raise ArithmeticError(f"trust and distrust still move after {most} rounds")
 
 
 def url_filters(pages: DataFrame, rules: list[UrlRule]) -> DataFrame:

@@ -16,7 +16,7 @@ from acopio.llm.set_join import set_join
 from acopio.llm.sharding import kd_shards
 from acopio.llm.substring_dedup import substring_dedup
 from acopio.llm.common import Scratch
-from acopio.llm.url_filters import FOLLOW, THRESHOLD, UrlRule, host_links, spread, url_filters
+from acopio.llm.url_filters import FOLLOW, MOVED, THRESHOLD, UrlRule, host_links, rounds_for, spread, url_filters
 
 CLASH = ["_id", "_th", "_slot", "_at", "_score", "_x0", "_c0", "kept_text", "n_lines", "component", "rep", "size", "shard", "block"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASH)
@@ -74,6 +74,21 @@ def test_nearest_of_few(spark):
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(0, 1, 2, 1.0), (0, 2, 3, 1.0)]
 
 
+def test_rounds_suffice_for_any_number_of_trusted_hosts():
+    for trusted in (0.0, 1.0, 3e3, 1e6, 1e10):
+        k = rounds_for(trusted)
+        assert FOLLOW ** (k - 1) * max(trusted, 1.0) <= MOVED and k < 200
+
+
+def test_repeated_pages_and_other_columns(spark):
+    """The same page_id twice, the same row twice, columns with names that the operator uses itself."""
+    rows = [(1, "http://a.com/en/1", None, "x", 1), (1, "http://b.net/de/1", None, "x", 2), (2, "http://a.com/1", "", "y", 3), (2, "http://a.com/1", "", "y", 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, rule int")
+    rules = [UrlRule("com", "/en/", allow=False), UrlRule("net", "/de/", allow=True)]
+    got = sorted(tuple(r) for r in url_filters(pages, rules).select("page_id", "host", "path", "verdict").collect())
+    assert got == [(1, "a.com", "/en/1", "block"), (1, "b.net", "/de/1", "allow"), (2, "a.com", "/1", "allow"), (2, "a.com", "/1", "allow")]
+
+
 def test_distrust_over_links(spark):
     """bad.org is blocked; hub and spam hosts link to it alone, far half to hub, and good.net, trusted, links to far. Values
     against plain rounds to the fixed point."""
