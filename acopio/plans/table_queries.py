@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import constraints, content, schedules, store, upsert
 from ..operators.constraints import Foreign, Unique
@@ -204,3 +205,20 @@ def stream_guard(spark, sf_dir):
         reports = spark.readStream.schema(orders.schema).parquet(f"{scratch.root}/in")
         ingest.append_once(ingest.guarded(reports, "e", "kind", "o_orderkey"), f"{scratch.root}/out", f"{scratch.root}/cp").awaitTermination()
     return spark.read.parquet(f"{scratch.root}/out").select("e", "o_orderkey", "accepted")
+
+
+_NOTE = "CASE WHEN o_orderkey % 3 > 0 THEN concat('n', o_orderkey) END"
+
+
+@query(f"WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS e, o_orderkey, {_NOTE} AS note, {_KIND} AS kind FROM orders), g AS (SELECT *, coalesce(max(CAST(kind = 'fallecido' AS INT)) OVER p, 0) = 0 AND (kind <> 'desaparecido' OR coalesce(max(CAST(kind <> 'desaparecido' AS INT)) OVER p, 0) = 0) AS ok FROM r WINDOW p AS (PARTITION BY e ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT e, arg_max(kind, o_orderkey) FILTER (WHERE ok) AS state, arg_max(note, o_orderkey) FILTER (WHERE ok AND note IS NOT NULL) AS note FROM g GROUP BY e")
+def stream_merge(spark, sf_dir):
+    """ST2: the table of entities after reports came as a stream in three parts; each rewrites the buckets it touches."""
+    scratch = Scratch(spark, "merge")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("e"), "o_orderkey", F.expr(_NOTE).alias("note"), F.expr(_KIND).alias("kind"))
+    kept = store.Store(spark, f"{scratch.root}/kept", {"states": store.Kept("e", StructType.fromDDL("e string, state string, note string"))})
+    last = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    for k in range(3):
+        orders.filter((F.col("o_orderkey") > last * k // 3 - (k == 0)) & (F.col("o_orderkey") <= last * (k + 1) // 3)).write.mode("append").parquet(f"{scratch.root}/in")
+        reports = spark.readStream.schema(orders.schema).parquet(f"{scratch.root}/in")
+        ingest.merge_stream(reports, kept, "states", f"{scratch.root}/cp", "e", "kind", ["o_orderkey"], ["note"]).awaitTermination()
+    return kept.read("states")

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.content import checksum
 from ..operators.merge import folded
-from ..operators.store import PersonStore
+from ..operators.store import PersonStore, Store
 from ..plans.scratch import Scratch
 
 
@@ -71,6 +71,23 @@ def merge_reports(reports: DataFrame, target: str, checkpoint: str, entity: str,
     return reports.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def merge_stream(reports: DataFrame, kept: Store, table: str, checkpoint: str, entity: str, kind: str, order: list[str], columns: list[str]) -> StreamingQuery:
+    """merge_reports into a table (entity, state, columns) of a store: a batch reads and writes the buckets of its entities
+    only, as a version of its own, and does nothing when it is run again. A null entity is an entity like others."""
+
+    def batch(rows: DataFrame, n: int) -> None:
+        if n + 1 in kept.versions():
+            return
+        new = rows.select(entity, kind, *columns, F.lit(1).alias("_turn"), *order)
+        new = Scratch(rows.sparkSession, f"merge-{n}").write(new, "batch")  # it is read twice
+        touched = kept.touched(table, new, entity)
+        old = kept.read(table, touched).select(entity, F.col("state").alias(kind), *columns, F.lit(0).alias("_turn"))
+        merged = folded(new.unionByName(old, allowMissingColumns=True), entity, kind, ["_turn", *order], columns)
+        kept.commit(n + 1, {table: (merged.select(entity, "state", *columns), touched)})
+
+    return reports.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def upsert_stream(records: DataFrame, kept: PersonStore, checkpoint: str, arrival: str) -> StreamingQuery:
     """Applies each micro-batch of person records to a store as a version of its own. A batch that a restart runs again
     finds its version there; bytes written follow the batch, not the table."""
