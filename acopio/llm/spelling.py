@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow, i64, mix, slices, small_batches
+from .common import Scratch, arrow, i64, mix, shuffled, slices, small_batches
 
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 #: Different words that a task counts before it hands them on.
@@ -107,9 +107,9 @@ def neighbours(words: DataFrame) -> DataFrame:
     a, b = (keys.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "low", "high"))) for s in "ab")
     # one is the other's deletion, or both lack the same place: then they differ in that place alone
     near = F.expr("id_a <> id_b and if(low_a < 0 or low_b < 0, (low_a < 0) <> (low_b < 0), low_a <= high_b and low_b <= high_a)")
-    met = a.join(b, "key").filter(near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    met = a.join(shuffled(b), "key").filter(near).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     left, right = (words.select(F.col("id").alias(s), F.col("word").alias(f"word_{s}")) for s in "ab")
-    return met.join(right, "b").join(left, "a").filter(F.levenshtein("word_a", "word_b", 1) == 1).select("a", "b", "word_b")
+    return met.join(shuffled(right), "b").join(shuffled(left), "a").filter(F.levenshtein("word_a", "word_b", 1) == 1).select("a", "b", "word_b")
 
 
 def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
@@ -118,7 +118,7 @@ def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         k += 1
         further = held.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        now = held.join(further, "root", "left").select("id", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        now = held.join(shuffled(further), "root", "left").select("id", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
         now = scratch.write(now, f"roots-{k}")
         if now.filter("moved").isEmpty():
             return now.select("id", "root")
@@ -129,13 +129,13 @@ def spelling_variants(docs: DataFrame, min_length: int = 5, min_count: int = 3,
     """A row for each word of docs (doc_id, text): word, form, root, n, n_near, form_n."""
     scratch = Scratch(docs.sparkSession, "spelling")
     words = scratch.write(vocabulary(docs, min_length, min_count, damage).withColumn("id", F.monotonically_increasing_id()), "words")
-    near = neighbours(words).join(words.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b")
+    near = neighbours(words).join(shuffled(words.select(F.col("id").alias("b"), F.col("n").alias("n_b"))), "b")
     best = F.min(F.struct((-F.col("n_b")).alias("less"), F.col("word_b").alias("form"), F.col("b").alias("form_id"))).alias("best")
     tied = near.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n_near"), best)
-    known = words.join(tied, "id", "left").withColumn("form_n", -F.col("best.less"))
+    known = words.join(shuffled(tied), "id", "left").withColumn("form_n", -F.col("best.less"))
     enough = F.col("form_n") >= ratio * F.col("n")
     known = known.select("id", "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), *(F.when(enough, F.col(c)).alias(a) for c, a in (("best.form", "form"), ("form_n", "form_n"), ("best.form_id", "form_id"))))
     known = scratch.write(known, "known")
     ends = roots(known.filter("form_id is not null").select("id", F.col("form_id").alias("form")), scratch)
-    ends = ends.join(words.select(F.col("id").alias("root"), F.col("word").alias("root_word")), "root").select("id", "root_word")
-    return known.join(ends, "id", "left").select("word", "form", F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n")
+    ends = ends.join(shuffled(words.select(F.col("id").alias("root"), F.col("word").alias("root_word"))), "root").select("id", "root_word")
+    return known.join(shuffled(ends), "id", "left").select("word", "form", F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n")

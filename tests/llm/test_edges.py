@@ -242,3 +242,22 @@ def test_sql_of_nearest_on_odd_vectors(spark, tmp_path):
     got = sorted(tuple(r) for r in queries.op5_posting_list_search(spark, str(tmp_path)).select(*names).collect())
     assert got == sorted(con.execute(f"SELECT {', '.join(names)} FROM ({queries.SQL['op5_posting_list_search']})").fetchall())
     assert {r[0] for r in got} == {0, 100, 200, 300}
+
+
+def test_spelling_sends_no_vocabulary_to_every_task(spark, monkeypatch):
+    """Written tables are far smaller than their rows: none of the joins of words may gather them in the driver."""
+    from acopio.llm import spelling
+
+    words = [f"{a}{b}{c}tura" for a in "bcdfg" for b in "aeiou" for c in ("", "n", "nn", "r")]
+    docs = spark.createDataFrame([(0, " ".join(words * 3 + words[:50] * 4))], "doc_id long, text string")
+    plans, write = [], spelling.Scratch.write
+
+    def kept(self, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, name)
+
+    monkeypatch.setattr(spelling.Scratch, "write", kept)
+    out = spelling.spelling_variants(docs)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert out.count() == len(set(words)) and len(plans) >= 4
+    assert not [p for p in plans if "Broadcast" in p]
