@@ -2,13 +2,14 @@
 
 A record finds the row of its id, else the row that holds its id number, else the row that holds its name and place in any
 case. It updates that row's columns with its own non-empty ones if the row's state may change, or becomes a new row. What
-a record finds depends on earlier records alone, so the assignment of records to rows is the one fixed point of "assign
-everything, work out which row held which key when, look everything up again"; each round settles at least the next record
-of every chain, in practice a few rounds settle all. A round's joins and aggregates are as large as the batch and the known
-rows that share a key with it, never as the whole table.
+a record finds depends on earlier records alone. Time is cut into stretches of about as many records. In a round each
+stretch is replayed record by record, all stretches at once, over the rows as the last round's writes leave them at its
+start; the assignment of records to rows is the one fixed point of that. A round settles one more stretch at least, in
+practice a few, however long the chains inside of it are. A round's joins and aggregates are as large as the batch and the
+known rows that share a key with it, never as the whole table.
 
-Nothing of this brings a row's records into one task: what may change follows from the first report of each kind, columns
-from an aggregate, and what a row held before a record from stretches of time that are summed up first.
+Nothing of this brings a row's or a key's records into one task, only those of a stretch with the rows that they can meet:
+of each key its smallest holders, as many as HOLDERS. Where those run out, a round with more of them follows.
 
 Defined results: empty and blank values count as missing; records with neither name nor id number are skipped; of several
 rows that hold a key the smallest id counts, so batches may be cut anywhere; arrival numbers are 0 and more, records that share
@@ -17,15 +18,19 @@ one are told apart by their content; columns that the table lacks are ignored.
 
 from __future__ import annotations
 
+import heapq
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, stable_id
 from ..plans.scratch import Scratch
 
-#: Rows of a stretch of time, about.
-STRETCH = 4000
-NEVER, ALWAYS = 2**62, -1
+#: Records of a stretch of time, about: a task replays them in a second.
+STRETCH = 20_000
+#: Rows that hold a key, at most, of which a stretch's task is told at first.
+HOLDERS = 120
 
 
 def with_ids(records: DataFrame, source: str = "spider_name") -> DataFrame:
@@ -33,23 +38,6 @@ def with_ids(records: DataFrame, source: str = "spider_name") -> DataFrame:
     return records.withColumn("id", F.coalesce(blank_to_null(F.col("id")), stable_id(F.coalesce(source, F.lit("")), F.col("nombre"), F.col("cedula"))))
 
 
-def _before(rows: DataFrame, by: str, columns: list[str]) -> DataFrame:
-    """rows (by, t, columns, _b: the stretch of t) with b_<column>: its last value before the row in its group."""
-    w = Window.partitionBy(by, "_b").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    ends = rows.groupBy(by, "_b").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("t"))).alias(f"_{c}") for c in columns))
-    v = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(by, "_b", *(F.last(f"_{c}", True).over(v).alias(f"_{c}") for c in columns))
-    inside = rows.withColumns({f"b_{c}": F.last(c, True).over(w) for c in columns}).join(ends, [by, "_b"])
-    return inside.withColumns({f"b_{c}": F.coalesce(f"b_{c}", f"_{c}") for c in columns}).drop(*(f"_{c}" for c in columns))
-
-
-def _until(rows: DataFrame, by: list[str]) -> DataFrame:
-    """rows (by, t, _b) with until: the next row's t in its group, else NEVER."""
-    w, v = Window.partitionBy(*by, "_b").orderBy("t"), Window.partitionBy(*by).orderBy("_b")
-    starts = rows.groupBy(*by, "_b").agg(F.min("t").alias("_t")).select(*by, "_b", F.lead("_t").over(v).alias("_next"))
-    return rows.withColumn("until", F.lead("t").over(w)).join(starts, [*by, "_b"]).withColumn("until", F.coalesce("until", "_next", F.lit(NEVER))).drop("_next")
-
-
 def _pair(name: Column, place: Column) -> Column:
     """One key of name and place in any case; null without one of them."""
     return F.when(name.isNotNull() & place.isNotNull(), F.to_json(F.array(F.lower(name), F.lower(place))))
@@ -64,76 +52,118 @@ def keys(rows: DataFrame, *keep: str | Column) -> DataFrame:
     return rows.select(*keep, F.posexplode(F.array("id", "c", _pair(F.col("n"), F.col("h")))).alias("kind", "key")).filter("key is not null")
 
 
-def _holdings(writes: DataFrame) -> DataFrame:
-    """kind, key, pid, since, until: which row held which key when, given the accepted writes (pid, t, _b, c, n, h) of all
-    rows, the first of which makes the row."""
-    moves = _before(writes.withColumn("id", F.col("pid")), "pid", ["id", "c", "n", "h"])
-    now = F.array("id", "c", _pair(F.coalesce("n", "b_n"), F.coalesce("h", "b_h")))
-    was = F.array("b_id", F.when(F.col("c").isNotNull(), F.col("b_c")), _pair(F.col("b_n"), F.col("b_h")))
-    each = moves.select("pid", "t", "_b", F.posexplode(F.arrays_zip(now.alias("key"), was.alias("was"))).alias("kind", "x")).filter("x.key is not null and not x.key <=> x.was")
-    return _until(each.select("pid", "kind", "t", "_b", F.col("x.key").alias("key")), ["pid", "kind"]).select("kind", "key", "pid", F.col("t").alias("since"), "until")
-
-
-def _lowest(held: DataFrame, stretch: Column) -> DataFrame:
-    """Of held (kind, key, pid, since, until) what can be a key's smallest holder: of those that keep the key for good the
-    ones smaller than all before them, of the others those that no such earlier one is smaller than. Few are left of a key
-    that many hold."""
-    steady = held.filter(F.col("until") == NEVER).groupBy("kind", "key", "since").agg(F.min("pid").alias("pid")).withColumn("_b", stretch)
-    w = Window.partitionBy("kind", "key", "_b").orderBy("since").rowsBetween(Window.unboundedPreceding, -1)
-    v = Window.partitionBy("kind", "key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    ends = steady.groupBy("kind", "key", "_b").agg(F.min("pid").alias("_pid")).select("kind", "key", "_b", F.min("_pid").over(v).alias("_low"))
-    lows = steady.withColumn("_in", F.min("pid").over(w)).join(ends, ["kind", "key", "_b"])
-    lows = lows.filter("(_in is null or pid < _in) and (_low is null or pid < _low)").select("kind", "key", "pid", "since", F.lit(NEVER).alias("until"))
-    first = steady.groupBy("kind", "key").agg(F.min(F.struct("since", "pid")).alias("first"))
-    brief = held.filter(F.col("until") < NEVER).join(first, ["kind", "key"], "left").filter("first is null or since < first.since or pid < first.pid").drop("first")
-    return lows.unionByName(brief)
-
-
-def _found(records: DataFrame, few: DataFrame) -> DataFrame:
-    """t, id, pid, matched_by: the smallest holder of each record's first key that has one just before t; its own id
-    without one."""
-    hit = keys(records, "t", "id").join(few, ["kind", "key"], "left").withColumn("m", F.when(F.expr("since < t and t <= until"), F.struct("kind", "pid")))
-    best = hit.groupBy("t").agg(F.min("m").alias("m"), F.min("id").alias("id"))
-    return best.select("t", "id", F.coalesce("m.pid", "id").alias("pid"), F.get(F.array(*map(F.lit, KINDS)), F.col("m.kind")).alias("matched_by"))
-
-
-def _accepted(found: DataFrame, known: DataFrame) -> DataFrame:
-    """found (t, id, pid, tipo_reporte and more) with is_new (the record makes the row) and ok. The first death and the
-    first report of another state than missing say what a row's records may change."""
-    rows = found.join(known.select(F.col("id").alias("pid"), F.lit(True).alias("old"), F.col("tipo_reporte").alias("state")), "pid", "left")
-    first = lambda when: F.coalesce(F.min(F.when(F.expr(when), F.col("t"))), F.lit(NEVER))
-    firsts = rows.groupBy("pid").agg(first("old is null and pid = id").alias("made"), first("tipo_reporte = 'fallecido'").alias("dead"), first("tipo_reporte <> 'desaparecido'").alias("better"))
-    rows = rows.join(firsts, "pid").filter("old or t >= made")  # else of a row that nothing made: in early rounds only
-    dead = F.when(F.col("state") == "fallecido", ALWAYS).otherwise(F.col("dead"))
-    better = F.when(F.col("state") != "desaparecido", ALWAYS).otherwise(F.col("better"))
-    missing = F.coalesce(F.col("tipo_reporte") == "desaparecido", F.lit(False))
-    out = rows.withColumn("is_new", F.col("old").isNull() & (F.col("t") == F.col("made"))).withColumn("ok", (F.col("t") <= dead) & (~missing | (F.col("t") < better)))
-    return out.select("t", "id", "pid", "matched_by", "is_new", "ok")
+def _versions(writes: DataFrame, stretches: int) -> DataFrame:
+    """pid, since, until, c, n, h, state: the rows as they are at the end of each stretch that changes them, given the
+    accepted writes (pid, t, _b, c, n, h, state). A version holds at the start of the stretches after since, to until."""
+    columns = ["c", "n", "h", "state"]
+    ends = writes.groupBy("pid", "_b").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("t"))).alias(c) for c in columns))
+    w = Window.partitionBy("pid").orderBy("_b")  # a row has one version a stretch, at most
+    return ends.select("pid", F.col("_b").alias("since"), F.coalesce(F.lead("_b").over(w), F.lit(stretches)).alias("until"), *(F.last(c, True).over(w).alias(c) for c in columns))
+
+
+def _met(records: DataFrame, versions: DataFrame, most: int) -> DataFrame:
+    """What the records (id, c, n, h, _b) of a stretch can meet at its start: rows (_s, pid, c, n, h, state), for each key
+    its smallest holders; of a key that more than most rows hold, also kind, key and the first pid that is left out."""
+    span = Window.partitionBy("kind", "key", "since", "until").orderBy("pid")
+    held = keys(versions.withColumn("id", F.col("pid")), "pid", "since", "until")
+    held = held.withColumn("_n", F.row_number().over(span)).filter(F.col("_n") <= most + 1).drop("_n")
+    sought = keys(records, "_b").distinct()
+    at = Window.partitionBy("_b", "kind", "key").orderBy("pid")
+    first = held.join(sought, ["kind", "key"]).filter("since < _b and _b <= until").withColumn("_n", F.row_number().over(at)).filter(F.col("_n") <= most + 1)
+    rows = first.filter(F.col("_n") <= most).select("_b", "pid").distinct().join(versions, "pid").filter("since < _b and _b <= until")
+    ends = first.filter(F.col("_n") > most).select(F.col("_b").alias("_s"), "pid", "kind", "key")
+    return rows.select(F.col("_b").alias("_s"), "pid", "c", F.lower("n").alias("n"), F.lower("h").alias("h"), "state").unionByName(ends, allowMissingColumns=True)
+
+
+_DONE = pa.schema([("t", pa.int64()), ("_b", pa.int32()), ("id", pa.string()), ("pid", pa.string()), ("matched_by", pa.string()), ("is_new", pa.bool_()), ("ok", pa.bool_()), ("short", pa.bool_())])
+_DONE_SQL = "t long, _b int, id string, pid string, matched_by string, is_new boolean, ok boolean, short boolean"
+
+
+def _replayed(records: pa.Table, met: pa.Table) -> pa.Table:
+    """The records of a stretch, one after another, over the rows that they can meet. short: a key ran out of holders."""
+    rows: dict[str, list] = {}  # c, n, h and state of each row
+    held: dict[tuple, list[str]] = {}  # the pids that held a key at some time, as heaps
+    left = {}
+
+    def kept(pid: str) -> tuple:
+        c, n, h, _ = rows[pid]
+        return ((1, c) if c is not None else None, (2, n, h) if n is not None and h is not None else None)
+
+    def put(pid: str) -> None:
+        for key in filter(None, kept(pid)):
+            heapq.heappush(held.setdefault(key, []), pid)
+
+    for r in met.to_pylist():
+        if r["kind"] is not None:
+            left[r["kind"], r["key"]] = r["pid"]
+        else:
+            rows[r["pid"]] = [r["c"], r["n"], r["h"], r["state"]]
+            put(r["pid"])
+
+    def least(key: tuple, name: str) -> tuple[str | None, bool]:
+        pids = held.get(key, [])
+        while pids and kept(pids[0])[key[0] - 1] != key:
+            heapq.heappop(pids)
+        pid, end = pids[0] if pids else None, left.get((key[0], name))
+        return pid, end is not None and (pid is None or pid >= end)
+
+    out: dict[str, list] = {n: [] for n in _DONE.names}
+    for r in sorted(records.to_pylist(), key=lambda r: r["t"]):
+        pid, kind, short = r["id"], 0, False
+        if pid not in rows:
+            pid = None
+            for kind, key, name in ((1, (1, r["c"]), r["c"]), (2, (2, r["n"], r["h"]), r["pair"])):
+                if pid is None and name is not None:
+                    pid, lacks = least(key, name)
+                    short |= lacks
+                    if pid is not None:
+                        break
+        is_new = pid is None
+        pid = r["id"] if is_new else pid
+        row = rows.setdefault(pid, [None] * 4)
+        ok = row[3] in (None, "desaparecido") or (row[3] != "fallecido" and r["tipo_reporte"] != "desaparecido")
+        if ok:
+            before = () if is_new else kept(pid)
+            row[:] = [old if new is None else new for new, old in zip((r["c"], r["n"], r["h"], r["tipo_reporte"]), row, strict=True)]
+            if kept(pid) != before:
+                put(pid)
+        for n, v in zip(_DONE.names, (r["t"], r["_b"], r["id"], pid, None if is_new else KINDS[kind], is_new, ok, short), strict=True):
+            out[n].append(v)
+    return pa.table(out, schema=_DONE)
 
 
 def assign(records: DataFrame, known: DataFrame, scratch: Scratch) -> DataFrame:
     """t, id, pid (the id of the row that a record updates or makes), matched_by, is_new, ok. records: t (all different),
     id, nombre, cedula, hospital, tipo_reporte; known: id and the same columns."""
     records = scratch.write(records.select("t", "id", "tipo_reporte", F.col("cedula").alias("c"), F.col("nombre").alias("n"), F.col("hospital").alias("h")), "records")
-    span = records.agg(F.min("t"), F.max("t"), F.count(F.lit(1))).first()
-    width = max(1, (span[1] - span[0]) // max(1, span[2] // STRETCH)) if span[2] else 1
-    stretch = lambda c: F.floor(F.col(c) / width)
-    known = known.select("id", *(F.nullif(c, F.lit("")).alias(a) for c, a in (("tipo_reporte", "tipo_reporte"), ("cedula", "c"), ("nombre", "n"), ("hospital", "h"))))
+    stretches = max(1, -(-records.count() // STRETCH))
+    cuts = [int(x) for x in records.approxQuantile("t", [k / stretches for k in range(1, stretches)], 0.1 / stretches)] if stretches > 1 else []
+    records = records.withColumn("_b", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x < F.col("t"))) if cuts else F.lit(0))
+    known = known.select("id", *(F.nullif(c, F.lit("")).alias(a) for c, a in (("tipo_reporte", "state"), ("cedula", "c"), ("nombre", "n"), ("hospital", "h"))))
     near = keys(known, "id").join(keys(records).distinct(), ["kind", "key"], "left_semi").select("id").distinct()
     known = scratch.write(known.join(near, "id", "left_semi"), "near")  # a row's first record finds it by its own keys
-    old = known.select(F.col("id").alias("pid"), F.lit(ALWAYS).cast("long").alias("t"), "c", "n", "h").withColumn("_b", stretch("t"))
+    old = known.select(F.col("id").alias("pid"), F.lit(-1).cast("long").alias("t"), F.lit(-1).alias("_b"), "c", "n", "h", "state")
+    plain = records.select("t", "_b", "id", "tipo_reporte", "c", F.lower("n").alias("n"), F.lower("h").alias("h"), _pair(F.col("n"), F.col("h")).alias("pair"))
 
-    writes, before, k = old, None, 0  # first what the known rows alone give
+    writes, now, before, settled, most, k = old, None, None, 0, HOLDERS, 0  # first what the known rows alone give
     while True:
-        found = _found(records, _lowest(_holdings(writes), stretch("since"))).join(records.select("t", "tipo_reporte"), "t")
-        now = scratch.write(_accepted(found, known), f"round-{k}")
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("t", "pid", "ok", "is_new").cast("decimal(38,0)"))).first())
-        if k > 0:
+        versions = scratch.write(_versions(writes, stretches), f"versions-{k}")
+        due = F.col("_b") >= settled  # stretches before it are right
+        met = _met(records.filter(due), versions, most)
+        done = plain.filter(due).groupBy("_b").cogroup(met.groupBy("_s")).applyInArrow(_replayed, _DONE_SQL)
+        last, now = now, scratch.write(done if now is None else done.unionByName(now.filter(~due)), f"round-{k}")
+        scratch.drop(f"versions-{k}")
+        if last is not None:
             scratch.drop(f"round-{k - 1}")
-        if state == before:
-            return now
-        writes = old.unionByName(records.join(now.filter("ok").select("t", "pid"), "t").select("pid", "t", "c", "n", "h").withColumn("_b", stretch("t")))
+        *state, short = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("t", "pid", "ok", "is_new").cast("decimal(38,0)")), F.max("short")).first()
+        if short:
+            most *= 8
+        elif state == before or settled + 1 >= stretches:
+            return now.select("t", "id", "pid", "matched_by", "is_new", "ok")
+        else:
+            settled += 1
         before, k = state, k + 1
+        writes = old.unionByName(records.join(now.filter("ok").select("t", "pid"), "t").select("pid", "t", "_b", "c", "n", "h", F.col("tipo_reporte").alias("state")))
 
 
 def ready(batch: DataFrame, arrival: str, columns: list[str]) -> DataFrame:

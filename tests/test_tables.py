@@ -75,6 +75,20 @@ def test_upsert_equals_one_record_after_another(spark, monkeypatch, seed, stretc
     assert done(spark, table, batch) == replayed(table, batch)
 
 
+@pytest.mark.parametrize(("stretch", "holders"), [(1000, 2), (7, 1), (7, 50)])
+def test_long_chains_take_few_rounds(spark, monkeypatch, stretch, holders):
+    """Each record is found by what the one before it made of a row: as many links as records, but a round a stretch, and
+    another one where the holders of a key run out."""
+    monkeypatch.setattr(upsert, "STRETCH", stretch)
+    monkeypatch.setattr(upsert, "HOLDERS", holders)
+    rounds, write = [], Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name: (rounds.append(name), write(self, df, name))[1])
+    table = [(f"k{k:02}", "desaparecido", f"N{k}", None, "0", "H", k, THEN, THEN) for k in range(20)]
+    batch = [(k, f"k{k // 2:02}" if k % 2 else None, "desaparecido", f"M{k}", None, str(k % 4 // 3), "H", "x") for k in range(28)]
+    assert done(spark, table, batch) == replayed(table, batch)
+    assert len([n for n in rounds if n.startswith("round-")]) <= -(-28 // stretch) + 3
+
+
 def test_upsert_of_odd_batches(spark):
     chain = [  # each is found by what the one before it made or changed
         (0, "a", "desaparecido", "Ana", None, "1", "H", None), (1, None, "ingresado", "Ana B", None, "1", None, None),
