@@ -169,3 +169,12 @@ def test_ratio_in_sql_equals_difflib():
             assert (category, score) == (("no_coincide", 0.0) if not a else ("exacta", 1.0) if a == b else ("exacta_reordenada", 0.98))
         else:
             assert ratio == SequenceMatcher(None, a, b).ratio() and score >= round(ratio, 3)
+
+
+def test_placeholders_end_where_the_sql_says(spark):
+    """Letters other than ASCII ones are no part of a word there, a vertical tab is no blank."""
+    from acopio.operators import quality
+
+    cases = {"TEST": True, "öschtest": False, "eutestö": False, "ötest einö": True, "Persona sin\tdatos": True, "sin\x0bdatos": False, "testı n/a": True, "prueba_1": False, "SİN NOMBRE": True, "ñna": True, "Ana": False}
+    rows = spark.createDataFrame(list(cases.items()), "name string, want boolean").withColumn("got", quality.placeholder(F.col("name")))
+    assert rows.filter("got <> want").collect() == []
