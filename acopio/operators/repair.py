@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.compare import compare_names
 from ..functions.text import digits, multipart_fields, name_variants, slash_class, suspicious_canonical
+from ..plans.scratch import shuffled
 
 #: Names of form fields and the columns they fill.
 FORM_FIELDS = {
@@ -48,7 +49,7 @@ def apply_changes(people: DataFrame, changes: DataFrame) -> DataFrame:
     fields = [c for c in people.columns if c != "id"]
     new = changes.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("field", "new_value"))).alias("_c"))
     kinds = dict(people.dtypes)
-    return people.join(new, "id", "left").select("id", *(F.coalesce(F.element_at("_c", c).cast(kinds[c]), F.col(c)).alias(c) for c in fields))
+    return people.join(shuffled(new), "id", "left").select("id", *(F.coalesce(F.element_at("_c", c).cast(kinds[c]), F.col(c)).alias(c) for c in fields))
 
 
 def validated(people: DataFrame, registry: DataFrame) -> DataFrame:
