@@ -73,6 +73,19 @@ def test_numbered_list(spark):
     assert tuple(r) == ("Luis Prueba", "Centro Uno", "2026-06-28")
 
 
+def test_numbered_lists_are_taken_apart_once(spark):
+    """Each part of a line is worked out once, however many others are made of it."""
+    from pyspark.sql import functions as F
+
+    lines = {
+        " 12. Luis Prueba (Centro Uno, 28-06-26) ": ("Luis Prueba", "Centro Uno", "2026-06-28"), "3.\tAna (B) C (D (x), 1-2)": ("Ana (B) C", "D (x)", "1-2"),
+        "x. Ana (B, 01-02-03)": (None,) * 3, "4.Ana (B, 01-02-03)": (None,) * 3, "5. (B, 01-02-03)": (None,) * 3, "6. Ana (B, x)": (None,) * 3, "": (None,) * 3,
+    }
+    rows = spark.createDataFrame([*[(k,) for k in lines], (None,)], "x string").select("x", readers.numbered_list(F.col("x")).alias("r"))
+    assert rows._jdf.queryExecution().analyzed().toString().count("regexp_replace") == 7
+    assert {r.x: tuple(r.r) for r in rows.collect()} == lines | {None: (None,) * 3}
+
+
 def test_streams(spark, tmp_path):
     from acopio.streaming import ingest
 
