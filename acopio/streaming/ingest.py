@@ -31,24 +31,33 @@ def append_once(pages: DataFrame, target: str, checkpoint: str) -> StreamingQuer
     return pages.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: Groups that the entities of a guarded stream are dealt to by hash; fixed, as a stream's state is kept by them.
+GUARDS = 4096
+
+
 def guarded(reports: DataFrame, entity: str, kind: str, order: str) -> DataFrame:
     """A stream of reports (entity string, kind string, order long) with accepted and the entity's state after each. The
-    state of an entity, its case state, outlives batches and runs; the reports of a batch count in order."""
+    state of an entity, its case state, outlives batches and runs; the reports of a batch count in order. Entities are
+    handled in GUARDS groups, as calls for each of them cost more than their reports; a batch rewrites the states of the
+    groups that it touches. A checkpoint from before the groups cannot be gone on with."""
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.get[0] if state.exists else None
+    def step(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = dict(zip(*state.get, strict=True)) if state.exists else {}
         rows = pd.concat(list(batches)).sort_values(order, kind="stable")
         accepted, states = [], []
-        for new in rows[kind]:
-            ok = not now or now == "desaparecido" or (now != "fallecido" and new != "desaparecido")
-            now = new if ok else now
+        for who, new in zip(rows[entity], rows[kind], strict=True):
+            was = now.get(who)
+            ok = not was or was == "desaparecido" or (was != "fallecido" and new != "desaparecido")
+            if ok:
+                now[who] = new
             accepted.append(ok)
-            states.append(now)
-        state.update((now,))
-        yield pd.DataFrame({entity: key[0], order: rows[order], kind: rows[kind], "accepted": accepted, "state": states})
+            states.append(now[who])
+        state.update((list(now), list(now.values())))
+        yield pd.DataFrame({entity: rows[entity], order: rows[order], kind: rows[kind], "accepted": accepted, "state": states})
 
     made = f"{entity} string, {order} long, {kind} string, accepted boolean, state string"
-    return reports.select(entity, order, kind).groupBy(entity).applyInPandasWithState(step, made, "state string", "append", GroupStateTimeout.NoTimeout)
+    dealt = reports.select(entity, order, kind, F.pmod(F.xxhash64(entity), F.lit(GUARDS)).cast("int").alias("_guard"))
+    return dealt.groupBy("_guard").applyInPandasWithState(step, made, "entities array<string>, states array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
 def merge_reports(reports: DataFrame, target: str, checkpoint: str, entity: str, kind: str, order: list[str], columns: list[str]) -> StreamingQuery:
