@@ -136,6 +136,22 @@ def test_stateful_guard_equals_the_sequence(spark, tmp_path):
     assert got == want
 
 
+def test_guard_is_not_called_for_each_entity(spark, tmp_path, monkeypatch):
+    """Many entities share a group and its calls, a null one among them; each has a state of its own."""
+    from acopio.streaming import ingest
+
+    monkeypatch.setattr(ingest, "GUARDS", 2)
+    kind = "entity string, seq long, kind string"
+    rows = [(None if e == 0 else f"e{e}", s, k) for e in range(40) for s, k in enumerate(["desaparecido", "ingresado", "desaparecido", "fallecido", "ingresado"])]
+    for part in (rows[::2], rows[1::2][::-1]):
+        spark.createDataFrame(sorted(part, key=lambda r: -r[1]), kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    reports = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
+    ingest.append_once(ingest.guarded(reports, "entity", "kind", "seq"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = {(r.entity, r.seq): (r.accepted, r.state) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = [(True, "desaparecido"), (True, "ingresado"), (False, "ingresado"), (True, "fallecido"), (False, "fallecido")]
+    assert got == {(e, s): want[s] for e, s, _ in rows}
+
+
 def test_merged_batches(spark, tmp_path):
     from acopio.streaming import ingest
 
@@ -193,3 +209,24 @@ def test_bad_records_cost_themselves_only(spark):
     assert counts == {"file": 9, "empty_file": 1, "person": 5, "unreadable": 6, no: 5, "no_name": 1, "nul_character": 1}
     xml = spark.createDataFrame([("u", bytearray(b"<cut"))], "url string, body binary")
     assert [(r.at, r.error) for r in specs.rejected(xml, "busquedaunificadavzla").collect()] == [(None, "unreadable")]
+
+
+def test_csv_files_are_handed_on_in_parts(spark):
+    """A worker holds the records of no more than some files at once, whatever a batch of files has."""
+    import pyarrow as pa
+
+    class Files:  # takes the function that runs in tasks
+        columns, sparkSession = ("url", "body"), spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    body = ("a,b,c\n" + "1,2,3\n" * 30).encode()
+    files = pa.RecordBatch.from_pydict({"url": [f"u{k}" for k in range(400)], "body": [b"\xff" if k == 7 else body for k in range(400)]})
+    parts = list(readers.csv_records(Files(), None)(iter([files])))
+    rows = [(u, k, e) for p in parts for u, k, e in zip(p.column("url").to_pylist(), p.column("at").to_pylist(), p.column("error").to_pylist(), strict=True)]
+    assert max(p.num_rows for p in parts) <= readers.HELD < len(rows)
+    assert rows == [x for k in range(400) for x in ([("u7", None, "UnicodeDecodeError")] if k == 7 else [(f"u{k}", n, None) for n in range(30)])]
