@@ -3,9 +3,11 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from acopio.functions import text
 from acopio.operators import constraints, linkage, schedules, store, upsert
 from acopio.plans.scratch import Scratch
 
@@ -178,6 +180,49 @@ def test_block_pairs_in_cells(spark, monkeypatch):
     assert found[0] == found[1] and len(found[0]) > 1000 and all(r[0] < r[1] and r[2] == rows[r[0]][1] and r[5] == rows[r[1]][2] for r in found[0])
 
 
+NAMES = ["ANA QUINTERO", "ANA QUINTERA", "ANA KINTERO", "ANA LOPEZ", "ANA", "ANA LUZ MAR", "ANA MAR LUZ", "ANA ADNADDID", "ANA DANAIDDD", "ANA DIADTDNA", "ANA DIDNTDAA", "ANA TDANIANN", "ANA NTANIDAN"]
+
+
+def persons(spark, n, seed):
+    """Rows of few names, some of which are alike in one order only, and the candidates among them by plain loops."""
+    import itertools
+    from difflib import SequenceMatcher
+
+    dice = random.Random(seed)
+    rows = [(k, dice.choice(NAMES), dice.choice([None, "30", "31", "33", "40"]), dice.choice([None, "V-1234567", "1234567", "7654321", "12"]), dice.choice(["H", "h.", None])) for k in range(n)]
+    people = spark.createDataFrame(rows, "id long, nombre string, edad string, cedula string, hospital string")
+    each = spark.createDataFrame([(x,) for x in NAMES], "x string").select("x", text.phonetic_tokens(F.col("x")).alias("c")).collect()
+    codes = {r.x: set(r.c) for r in each}
+    want = {}
+    for a, b in itertools.combinations(rows, 2):
+        ages = [int(r[2]) for r in (a, b) if r[2]]
+        if a[1] == b[1] or set(a[1].split()) == set(b[1].split()) or (a[4] is None) != (b[4] is None) or (len(ages) == 2 and abs(ages[0] - ages[1]) > 2):
+            continue
+        fa, fb = codes[a[1]], codes[b[1]]
+        score = max(len(fa & fb) / min(len(fa), len(fb)), SequenceMatcher(None, a[1], b[1]).ratio())
+        if score >= linkage.ALIKE:
+            numbers = [(r[3] or "").removeprefix("V-") for r in (a, b)]
+            same = len(numbers[0]) == 7 and numbers[0] == numbers[1]
+            want[a[0], b[0]] = (round(score, 3), "ALTA" if same else "MEDIA" if round(score, 3) == 1 and len(ages) == 2 and ages[0] == ages[1] else "BAJA")
+    return people, want
+
+
+def test_names_are_compared_once(spark, monkeypatch):
+    """Pairs of rows are those of the plain loops; the ratio sees pairs of names, not of rows."""
+    people, want = persons(spark, 400, 8)
+    seen, plain = spark.sparkContext.accumulator(0), linkage.scored.func
+
+    @F.pandas_udf(linkage.scored.returnType)
+    def counted(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.DataFrame:
+        seen.add(int(a.notna().sum()))
+        return plain(a, b, c)
+
+    monkeypatch.setattr(linkage, "scored", counted.asNondeterministic())
+    got = {(r.id_a, r.id_b): (r.score, r.tier) for r in linkage.candidates(linkage.blocked(people, split=1000)).collect()}
+    assert got == want and len(got) > 2000 and {t for _, t in got.values()} == {"ALTA", "MEDIA", "BAJA"}
+    assert 0 < seen.value <= 2 * 2 * len(NAMES) ** 2  # two places, two orders
+
+
 # schedules, keys and the registry of contents
 
 
