@@ -223,6 +223,35 @@ def test_names_are_compared_once(spark, monkeypatch):
     assert 0 < seen.value <= 2 * 2 * len(NAMES) ** 2  # two places, two orders
 
 
+def roots(pairs):
+    """The least id that each id of some pairs reaches."""
+    up = {}
+    find = lambda x: x if up.setdefault(x, x) == x else find(up[x])
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return {x: find(x) for x in up}
+
+
+def test_links_join_what_all_pairs_join(spark):
+    """Links are some of the pairs, join the same ids, and are few where many rows share names."""
+    for n, seed in ((60, 3), (90, 4), (400, 8)):
+        people, want = persons(spark, n, seed)
+        scratch = Scratch(spark, "links")
+        rows = linkage.compared_rows(linkage.blocked(people, split=1000), scratch)
+        alike = linkage.alike_names(rows, scratch)
+        links = {t: scratch.write(linkage.links(alike, rows, scratch, t), f"links-{t}") for t in ("ALTA", "MEDIA")}
+        every = {"ALTA": {p for p, (_, t) in want.items() if t == "ALTA"}, "ALTA-MEDIA": {p for p, (_, t) in want.items() if t != "BAJA"}}
+        assert {(r.id_a, r.id_b) for r in links["ALTA"].collect()} <= every["ALTA"]
+        assert {(r.id_a, r.id_b) for r in links["MEDIA"].collect()} <= every["ALTA-MEDIA"]
+        for name, pairs in every.items():
+            got = linkage.clusters(links["ALTA"].unionByName(links["MEDIA"]), scratch, tuple(name.split("-")))
+            assert {r.id: r.component for r in got.collect()} == roots(pairs), (n, name)
+    contained = linkage.contained_names(rows, scratch)
+    some, all_pairs = (df.select("id_a", "id_b").collect() for df in (linkage.links(contained, rows, scratch), linkage.row_pairs(contained, rows, ["id"])))
+    assert set(some) <= set(all_pairs) and roots(some) == roots(all_pairs) and len(all_pairs) > 2 * len(some)
+
+
 # schedules, keys and the registry of contents
 
 
